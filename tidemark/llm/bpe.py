@@ -12,11 +12,13 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import select_text
@@ -196,10 +198,36 @@ def id_lists(packed: list[bytes]) -> pa.Array:
 _BUILT: dict = {}
 
 
-def codec(key: tuple, lines: list[bytes], pattern: str) -> Bpe:
+def _encode(key: tuple[str, str], shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if _BUILT.get("key") != key:
-        _BUILT.update(key=key, bpe=Bpe(read_ranks(lines), pattern), cache=Recent(2 * CACHE))
-    return _BUILT["bpe"]
+        _BUILT.update(key=key, bpe=Bpe(read_ranks(shipped.value), key[1]), cache=Recent(2 * CACHE))
+    bpe, cache = _BUILT["bpe"], _BUILT["cache"]
+    for batch in batches:
+        out = []
+        for text in batch.column(1).to_pylist():
+            parts = cached_chunks(text, cache, bpe.packed)
+            out.append(b"".join(parts) if parts is not None else bpe.packed(text))
+        yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(out)], ["doc_id", "ids"])
+
+
+def _decode(ranks_path: str, shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if _BUILT.get("names") != ranks_path:
+        ranks = read_ranks(shipped.value)
+        tokens, names = np.empty(max(ranks.values()) + 1, object), np.empty(max(ranks.values()) + 1, object)
+        for t, r in ranks.items():
+            tokens[r], names[r] = t, str(r)
+        _BUILT.update(names=ranks_path, tables=(tokens, names))
+    tokens, names = _BUILT["tables"]
+    for batch in batches:
+        n, data, digest = [], [], []
+        for row in batch.column(1):
+            ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, np.int32)
+            if len(ids) and ids.min() < 0:
+                raise KeyError(int(ids.min()))
+            n.append(len(ids))
+            data.append(b"".join(tokens[ids].tolist()))
+            digest.append(hashlib.sha256(",".join(names[ids].tolist()).encode()).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array(digest, pa.string())], ["doc_id", "n_tokens", "decoded", "ids_sha256"])
 
 
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,19 +238,9 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """
     with open(ranks_path, "rb") as f:
         lines = f.read().splitlines()
-    key = (ranks_path, pattern)
     shipped = docs.sparkSession.sparkContext.broadcast(lines)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(key, shipped.value, pattern)
-        cache = _BUILT["cache"]
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                parts = cached_chunks(text, cache, bpe.packed)
-                out.append(b"".join(parts) if parts is not None else bpe.packed(text))
-            yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(out)], ["doc_id", "ids"])
-
+    run = partial(_encode, (ranks_path, pattern), shipped)
     return select_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -235,23 +253,5 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_
         lines = f.read().splitlines()
     shipped = encoded.sparkSession.sparkContext.broadcast(lines)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if _BUILT.get("names") != ranks_path:
-            ranks = read_ranks(shipped.value)
-            tokens, names = np.empty(max(ranks.values()) + 1, object), np.empty(max(ranks.values()) + 1, object)
-            for t, r in ranks.items():
-                tokens[r], names[r] = t, str(r)
-            _BUILT.update(names=ranks_path, tables=(tokens, names))
-        tokens, names = _BUILT["tables"]
-        for batch in batches:
-            n, data, digest = [], [], []
-            for row in batch.column(1):
-                ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, np.int32)
-                if len(ids) and ids.min() < 0:
-                    raise KeyError(int(ids.min()))
-                n.append(len(ids))
-                data.append(b"".join(tokens[ids].tolist()))
-                digest.append(hashlib.sha256(",".join(names[ids].tolist()).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array(digest, pa.string())], ["doc_id", "n_tokens", "decoded", "ids_sha256"])
-
+    run = partial(_decode, ranks_path, shipped)
     return encoded.select(id_col, ids_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string")
