@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_decode, bpe_encode
+from tidemark.llm.common import new_path
+from tidemark.llm.media import encode_media, media_features
+from tidemark.llm.token_output import token_index, write_tokens
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -20,5 +23,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded, RANKS).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op9_byte_bpe": op9_byte_bpe}
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_features(encode_media(table(spark, sf_dir, "documents")))
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_index(spark, path)
+
+
+QUERIES = {
+    "op4_media_columns": op4_media_columns,
+    "op8_token_output": op8_token_output,
+    "op9_byte_bpe": op9_byte_bpe,
+}
 ORACLE_SQL: dict[str, str] = {}
