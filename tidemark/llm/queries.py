@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import new_path
+from tidemark.llm.lang_id import classify, fit_profiles, fold
 from tidemark.llm.media import encode_media, media_features
+from tidemark.llm.mixing import mix
 from tidemark.llm.token_output import token_index, write_tokens
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,10 +25,21 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded, RANKS).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = fit_profiles(docs, fold("doc_id", 5) != 0)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
+    return classify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_features(encode_media(table(spark, sf_dir, "documents")))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,7 +47,9 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_media_columns": op4_media_columns,
+    "op5_source_mixing": op5_source_mixing,
     "op8_token_output": op8_token_output,
     "op9_byte_bpe": op9_byte_bpe,
 }
