@@ -97,8 +97,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
 
     sources is a column with one source or an array of them (default: `source`); null is a source of its own, and so is an empty
     array. source_size and target are those of the row's first source by code point. Size is the number of words, 0 for null
-    texts; such rows take nothing. Whole rows are taken, at most three times each; rows that share an id are taken together; a
-    null id counts as one id. A pattern's taken words differ from the flow by less than one id's. An empty table stays empty.
+    texts; such rows take nothing. Rows are taken whole, at most three times each, but for the one id of each pattern at which its
+    partial pass ends: that takes the words still wanted. Rows that share an id are taken together, and null ids count as one. An empty table stays empty.
     Columns of the four names in docs are replaced. One row for each pattern and slice is aggregated; the driver sees one row for
     each pattern.
     """
@@ -127,20 +127,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
         plan.append((p, of[unpack(p)[0]], targets[unpack(p)[0]], passes, rest))
     fields = f"{pattern} string, source_size long, target double, passes long, rest long"
     planned = spark.createDataFrame(plan, fields)
-    # The slice in which each pattern's partial pass ends, then the last id taken in that slice.
+    # The slice in which each pattern's partial pass ends, then the id in it.
     before = F.sum("n").over(Window.partitionBy(pattern).orderBy("slice")) - F.col("n")
     ends = sums.withColumn("before", before).join(planned.where("rest > 0"), pattern).where("before < rest and before + n >= rest").select(pattern, "slice", (F.col("rest") - F.col("before")).alias("want"))
     inside = rows.select(pattern, size, key, ident, slice_.alias("slice")).join(ends, [pattern, "slice"])
     each = inside.groupBy(pattern, "want", key, ident).agg(F.sum(size).alias("n"))
     running = F.sum("n").over(Window.partitionBy(pattern).orderBy(key, ident))
-    last = each.withColumn("sum", running).where(F.col("sum") - F.col("n") / 2 <= F.col("want")).groupBy(pattern).agg(F.max(F.struct(key, ident)).alias("last"))
-    found = {r[0]: r for r in ends.join(last, pattern, "left").select(pattern, "slice", "last").collect()}
-    cuts = []
-    for p, size_, target, passes, rest in plan:
-        r = found.get(p)
-        cuts.append((p, size_, target, passes, r["slice"] if r else -1, r["last"][0] if r and r["last"] else None, r["last"][1] if r and r["last"] else None))
-    limits = spark.createDataFrame(cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string")
-    upto = F.coalesce(F.struct(F.col(key).alias("a"), F.col(ident).alias("b")) <= F.struct(F.col(f"{tag}_k").alias("a"), F.col(f"{tag}_i").alias("b")), F.lit(False)) & F.col(f"{tag}_k").isNotNull()
-    extra = F.when(slice_ < F.col(f"{tag}_slice"), True).when(slice_ == F.col(f"{tag}_slice"), upto).otherwise(False)
+    last = each.withColumn("sum", running).where((F.col("sum") - F.col("n") < F.col("want")) & (F.col("sum") >= F.col("want")))
+    last = last.select(pattern, F.col(key).alias("k"), F.col(ident).alias("i"), (F.col("want") - F.col("sum") + F.col("n")).alias("left"), "n")
+    found = {r[0]: r[1:] for r in ends.select(pattern, "slice").join(last, pattern).select(pattern, "slice", "k", "i", "left", "n").collect()}
+    cuts = [(p, size_, target, passes, *found.get(p, (-1, None, None, 0, 1))) for p, size_, target, passes, _ in plan]
+    limits = spark.createDataFrame(cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string, {tag}_left long, {tag}_n long")
+    here, there = F.struct(F.col(key).alias("a"), F.col(ident).alias("b")), F.struct(F.col(f"{tag}_k").alias("a"), F.col(f"{tag}_i").alias("b"))
+    part = F.floor(F.col(size) * F.col(f"{tag}_left") / F.col(f"{tag}_n"))
+    inside = F.when(here < there, F.col(size)).when(here == there, part).otherwise(0)
+    extra = F.when(slice_ < F.col(f"{tag}_slice"), F.col(size)).when(slice_ == F.col(f"{tag}_slice"), inside).otherwise(0)
     joined = rows.join(limits, pattern, "left")
-    return joined.select(*[F.col(f"`{c}`") for c in own], F.col(size).alias("size"), "source_size", "target", (F.col(size) * (F.col(f"{tag}_passes") + extra.cast("long"))).alias("taken"))
+    return joined.select(*[F.col(f"`{c}`") for c in own], F.col(size).alias("size"), "source_size", "target", (F.col(size) * F.col(f"{tag}_passes") + extra).cast("long").alias("taken"))
