@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import select_text
 
 #: Most entries of each generation of a Python worker's caches.
-CACHE = 300_000
+CACHE = 100_000
 #: The white space of Unicode's White_Space property, which is what the pattern's \s means to the library.
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
@@ -114,7 +114,7 @@ class Bpe:
                     before, a = a, ha[1]
                 else:  # of equal merges the left one came first, so undo the right one first
                     before, b = b + 0.5, hb[0]
-            if len(self.fits) >= 2_000_000:
+            if len(self.fits) >= 4 * CACHE:
                 self.fits.clear()
             self.fits[left << 32 | right] = fits
         return fits
