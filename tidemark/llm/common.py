@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -153,3 +153,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     start = np.flatnonzero(inside & (before | edge[:-1]))
     end = np.flatnonzero(inside & (after | edge[1:])) + 1
     return span_hashes(prefix_sums(data), start, end), np.searchsorted(start, offsets)
+
+
+def on_group(f: Callable, *args) -> Callable:
+    """f with its first arguments, as a plain function of one group's table."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return f(*args, table)
+
+    return run
+
+
+def on_cogroup(f: Callable, *args) -> Callable:
+    """f with its first arguments, as a plain function of two tables of one group."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return f(*args, left, right)
+
+    return run
