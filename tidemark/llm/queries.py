@@ -12,6 +12,7 @@ from tidemark.llm.lang_id import classify, fit_profiles, fold
 from tidemark.llm.media import encode_media, media_features
 from tidemark.llm.mixing import mix
 from tidemark.llm.ngram_join import ngram_components
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_output import token_index, write_tokens
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +38,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_features(encode_media(table(spark, sf_dir, "documents")))
 
@@ -54,6 +59,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_media_columns": op4_media_columns,
     "op5_source_mixing": op5_source_mixing,
     "op8_token_output": op8_token_output,
