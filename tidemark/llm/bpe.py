@@ -166,6 +166,16 @@ class Bpe:
         return b"".join([self.bytes_of[i] for i in ids])
 
 
+_STOPS = frozenset(".,;:!?")
+
+
+def _one(cache: Recent, c: str, make: Callable[[str], bytes]) -> bytes:
+    if (got := cache.get(c)) is None:
+        got = make(c)
+        cache.put(c, got)
+    return got
+
+
 def cached_chunks(text: str, cache: Recent, make: Callable[[str], bytes]) -> list[bytes] | None:
     """make() of each chunk of a text that is cut before every blank between two visible characters, by way of a cache.
 
@@ -181,8 +191,12 @@ def cached_chunks(text: str, cache: Recent, make: Callable[[str], bytes]) -> lis
             if (got := cache.get(c)) is None:
                 if c[:1] == " " and (len(c) == 1 or c[1].isspace()) or not c and len(parts) > 1:
                     return None
-                got = make(c)
-                cache.put(c, got)
+                if c[-1:] in _STOPS and c[c[:1] == " " : -1].isalpha():
+                    # Letters and a stop are two matches: the word is likelier to come again alone.
+                    got = b"".join([_one(cache, c[:-1], make), _one(cache, c[-1], make)])
+                else:
+                    got = make(c)
+                    cache.put(c, got)
             young = cache.young
         out.append(got)
     return out

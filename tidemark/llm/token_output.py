@@ -41,7 +41,7 @@ def _tokenizer(key: str, text: str) -> dict:
 
         tokenizer = Tokenizer.from_str(text)
         tokenizer.encode_special_tokens = True  # strings like those of special tokens are ordinary text
-        _BUILT.update(key=key, tokenizer=tokenizer, cache=Recent(2 * CACHE))
+        _BUILT.update(key=key, tokenizer=tokenizer, cache=Recent(4 * CACHE))
     return _BUILT
 
 
