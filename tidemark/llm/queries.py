@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import bpe_decode, bpe_encode
 from tidemark.llm.common import new_path
 from tidemark.llm.lang_id import classify, fit_profiles, fold
+from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.media import encode_media, media_features
 from tidemark.llm.mixing import mix
 from tidemark.llm.ngram_join import ngram_components
@@ -50,6 +51,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_media_columns": op4_media_columns,
     "op5_source_mixing": op5_source_mixing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_token_output": op8_token_output,
     "op9_byte_bpe": op9_byte_bpe,
 }
