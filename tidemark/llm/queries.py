@@ -12,6 +12,7 @@ from tidemark.llm.lang_id import classify, fit_profiles, fold
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.media import encode_media, media_features
 from tidemark.llm.mixing import mix
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_output import token_index, write_tokens
@@ -61,6 +62,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -70,5 +75,6 @@ QUERIES = {
     "op6_lm_scoring": op6_lm_scoring,
     "op8_token_output": op8_token_output,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
