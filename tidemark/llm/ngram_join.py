@@ -1,9 +1,10 @@
 """N-gram Jaccard join by T-occurrence search.
 
-Documents become sets of hashed word shingles; equal sets are one class. A link needs a shared member among the first few of each
-set in a global order (frequent shingles last), so classes that can link meet in inverted lists of those first members. Blocks of
-classes that meet are searched with DivideSkip: the short inverted lists of a query are heap-merged, the long ones are
-binary-probed, and classes that reach the required overlap are retained and compared exactly.
+Documents become sets of hashed word shingles; equal sets are one class. In a global order (frequent shingles last), linked sets share
+at least l members among the first n - T + l of each, where T is the least overlap of a set of n with any partner; l is a fixed share
+of n here. So classes that can link meet in inverted lists of those first members, often enough. Blocks of classes that meet are
+searched with DivideSkip: the short inverted lists of a query are heap-merged, the long ones are binary-probed, and classes that
+reach the required overlap are retained and compared exactly.
 
 Lists of up to SHORT_LIST classes send all their classes to be compared. Longer lists, as of large groups of near copies, first link
 neighbours in order of size; after components of these links are known, only lists that hold several components are searched in
@@ -27,6 +28,8 @@ from tidemark.llm.common import chunks, drop, materialize, mix64, on_group, piec
 from tidemark.llm.components import UnionFind, connected_components
 
 SHORT_LIST = 6
+#: First members that two linked sets of n share at least: 1 + n // SHARE.
+SHARE = 12
 #: Most frequent shingles that go last in the order, and how often they occur at least; the table has a fixed size.
 HOT, HOT_FROM = 1 << 16, 32
 #: Bytes of text, and shingles, that one step of a task handles.
@@ -135,7 +138,7 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _post(width: int, percent: int, buckets: int, shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed rows: bucket -1 has (doc ids, set sizes, digests); the others have (shingles, set sizes, digests) of first members."""
+    """Packed rows: buckets below 0 have (doc ids, set sizes, digests); the others have (shingles, set sizes, digests) of first members."""
     hot = shipped.value
     for batch in batches:
         data, at = utf8(batch.column(1))
@@ -145,13 +148,13 @@ def _post(width: int, percent: int, buckets: int, shipped: Broadcast, batches: I
             size = np.array([len(s) for s in sets], np.int32)
             digest = np.array([_digest(s) for s in sets], np.int64)
             own = ids.slice(i, j - i)
-            out = [(-1, np.array(own.fill_null(0).to_numpy(zero_copy_only=False), np.int64).tobytes(), np.where(own.is_null().to_numpy(zero_copy_only=False), -1 - size, size).astype(np.int32).tobytes(), digest.tobytes())]
+            out = [(-1 - int(abs(int(digest[0])) % buckets), np.array(own.fill_null(0).to_numpy(zero_copy_only=False), np.int64).tobytes(), np.where(own.is_null().to_numpy(zero_copy_only=False), -1 - size, size).astype(np.int32).tobytes(), digest.tobytes())]
             first, of = [], []
             _, once = np.unique(digest, return_index=True)
             once = once[size[once] > 0]
             for k in once.tolist():
                 s = sets[k]
-                p = len(s) - least_overlap(len(s), percent) + 1
+                p = min(len(s), len(s) - least_overlap(len(s), percent) + 1 + len(s) // SHARE)
                 if len(hot):
                     place = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
                     late = hot[place] == s
@@ -175,38 +178,44 @@ def _joined(table: pa.Table | pa.RecordBatch, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
 
 
+MET = "kind int, token long, n long, a long, b long"
+PAIR, LONG, ROW, SHARED = range(4)
+
+
 def _meet(percent: int, table: pa.Table) -> pa.Table:
-    """Pairs of classes to compare (token 0), and the members of long lists (b is then null)."""
-    token, size, digest = _joined(table, "a", np.uint64), _joined(table, "n", np.int32), _joined(table, "digest", np.int64)
+    """PAIR: classes a and b to compare, which share n members of short lists here. LONG: class a, of size n, in the long list of a
+    token. SHARED: class a shares n of its first members here. ROW: document a has a set of n members with digest `token`."""
+    digest, size = _joined(table, "digest", np.int64), _joined(table, "n", np.int32).astype(np.int64)
+    if table.column("bucket")[0].as_py() < 0:
+        ids = pa.array(_joined(table, "a", np.int64), mask=size < 0)
+        return pa.table({"kind": pa.array(np.full(len(size), ROW, np.int32)), "token": pa.array(digest), "n": pa.array(np.where(size < 0, -1 - size, size)), "a": ids, "b": pa.nulls(len(size), pa.int64())})
+    token = _joined(table, "a", np.uint64)
     order = np.lexsort((digest, size, token))
-    token, size, digest = token[order], size[order].astype(np.int64), digest[order]
+    token, size, digest = token[order], size[order], digest[order]
     fresh = np.ones(len(token), bool)
     fresh[1:] = (token[1:] != token[:-1]) | (digest[1:] != digest[:-1])
     token, size, digest = token[fresh], size[fresh], digest[fresh]
-    edge = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-    length = np.repeat(np.diff(np.append(edge, len(token))), np.diff(np.append(edge, len(token))))
-    a, b = [], []
+    edge = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token))
+    length = np.repeat(np.diff(edge), np.diff(edge))
+    token, size, digest, length = (x[length > 1] for x in (token, size, digest, length))
+    pairs = []
     for k in range(1, SHORT_LIST):
         i = np.flatnonzero((token[:-k] == token[k:]) & (100 * size[:-k] >= percent * size[k:]) & ((length[:-k] <= SHORT_LIST) | (k == 1)))
-        a.append(digest[i])
-        b.append(digest[i + k])
-    pair = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0) if a else np.zeros((0, 2), np.int64)
+        pairs.append(np.stack([digest[i], digest[i + k], length[i] <= SHORT_LIST], axis=1))
+    pairs = np.concatenate(pairs)
+    pair, of = np.unique(pairs[:, :2], axis=0, return_inverse=True)
     long = np.flatnonzero(length > SHORT_LIST)
+    own, shared = np.unique(digest, return_counts=True)
+    kinds = np.repeat(np.array([PAIR, LONG, SHARED], np.int32), [len(pair), len(long), len(own)])
     return pa.table({
-        "token": pa.array(np.concatenate([np.zeros(len(pair), np.int64), token[long].view(np.int64)])),
-        "n": pa.array(np.concatenate([np.zeros(len(pair), np.int64), size[long]])),
-        "a": pa.array(np.concatenate([pair[:, 0], digest[long]])),
-        "b": pa.array(np.concatenate([pair[:, 1], np.zeros(len(long), np.int64)]), mask=np.append(np.zeros(len(pair), bool), np.ones(len(long), bool))),
+        "kind": pa.array(kinds),
+        "token": pa.array(np.concatenate([np.zeros(len(pair), np.int64), token[long].view(np.int64), np.zeros(len(own), np.int64)])),
+        "n": pa.array(np.concatenate([np.bincount(of.ravel(), weights=pairs[:, 2], minlength=len(pair)).astype(np.int64), size[long], shared.astype(np.int64)])),
+        "a": pa.array(np.concatenate([pair[:, 0], digest[long], own])),
+        "b": pa.array(np.concatenate([pair[:, 1], np.zeros(len(long) + len(own), np.int64)]), mask=kinds != PAIR),
     })
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = _joined(batch, "n", np.int32).astype(np.int64)
-        ids = pa.array(_joined(batch, "a", np.int64), mask=n < 0)
-        yield pa.RecordBatch.from_arrays([ids, pa.array(np.where(n < 0, -1 - n, n)), pa.array(_joined(batch, "digest", np.int64))], ["doc_id", "n_shingles", "digest"])
-
-
 def _search(width: int, percent: int, table: pa.Table) -> pa.Table:
     """Links of a block that join its components; rows that are no query are only found."""
     data, at = utf8(table.column("text"))
@@ -243,21 +252,31 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hot = counts.where(F.col("n") >= HOT_FROM).orderBy(F.desc("n"), "token").limit(HOT).select("token").toPandas()["token"].to_numpy(np.int64)
     shipped = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
     buckets = pieces(docs, 4 << 20)
-    packed, packed_at = materialize(docs.mapInArrow(partial(_post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary"), "postings")
-    found, found_at = materialize(packed.where("bucket >= 0").groupBy("bucket").applyInArrow(on_group(_meet, percent), "token long, n long, a long, b long"), "meetings")
-    rows, rows_at = materialize(packed.where("bucket = -1").select("a", "n", "digest").mapInArrow(_unpack, "doc_id long, n_shingles long, digest long"), "sets")
-    drop(spark, packed_at)
-    classes, classes_at = materialize(rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "classes")
-    pairs = found.where("b is not null").select("a", "b").distinct()
-    ends = pairs.join(classes.select(F.col("digest").alias("a"), F.col("doc_id").alias("x")), "a").join(classes.select(F.col("digest").alias("b"), F.col("doc_id").alias("y")), "b")
+    packed = docs.mapInArrow(partial(_post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary")
+    found, found_at = materialize(packed.groupBy("bucket").applyInArrow(on_group(_meet, percent), MET), "meetings", "kind")
+    drop(spark)
+    rows = found.where(F.col("kind") == ROW).select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("token").alias("digest"))
+    long = found.where(F.col("kind") == LONG).select("token", F.col("a").alias("digest"))
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    shared = found.where(F.col("kind") == SHARED).groupBy(F.col("a").alias("digest")).agg(F.sum("n").alias("shared"))
+    classes = classes.join(shared, "digest", "left").join(long.groupBy("digest").agg(F.count("*").alias("long")), "digest", "left")
+    classes, classes_at = materialize(classes.fillna(0).withColumn("least", 1 + F.floor(F.col("n") / SHARE)), "classes")
+    pairs = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("short"))
+    end = lambda side, name: classes.select(F.col("digest").alias(side), F.col("doc_id").alias(name), F.col("shared").alias(f"{name}_shared"), F.col("long").alias(f"{name}_long"), F.col("least").alias(f"{name}_least"))
+    ends = pairs.join(end("a", "x"), "a").join(end("b", "y"), "b")
+    ends = ends.where("least(x_least, y_least) <= least(x_shared, y_shared) and least(x_least, y_least) <= short + least(x_long, y_long)")
     block = F.pmod(F.xxhash64("x"), F.lit(buckets))
     near = ends.select(block.alias("block"), F.explode(F.array(F.struct(F.col("x").alias("doc_id"), F.lit(True).alias("query")), F.struct(F.col("y").alias("doc_id"), F.lit(False).alias("query")))).alias("e")).select("block", "e.*")
     links, links_at = materialize(_links(docs, near, width, percent), "near")
     group, group_at = materialize(connected_components(links), "groups")
     # Long lists whose classes are in several components: in order of size, in blocks of which each two whose sizes allow a link meet.
-    long = found.where("b is null").select("token", "n", F.col("a").alias("digest")).join(classes, "digest").join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    drop(spark)
+    # Partners are of similar size, so both share at least `percent` of what the larger must share.
+    able = classes.where(100 * F.col("shared") >= percent * (F.col("least") - 1)).select("digest", "doc_id", "n")
+    long = long.join(able, "digest").join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     long = long.select("token", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_ = long.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("token")
+    open_ = long.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("count"))
+    open_ = open_.where("low <> high").groupBy("sum", "count").agg(F.min("token").alias("token")).select("token")  # tokens of one list are searched once
     left, left_at = materialize(long.join(open_, "token"), "open")
     placed = left.withColumn("part", F.floor((F.row_number().over(Window.partitionBy("token").orderBy("n", "doc_id")) - 1) / LIST_BLOCK))
     placed, placed_at = materialize(placed, "placed")
@@ -270,6 +289,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     final, final_at = materialize(connected_components(links.unionByName(more)), "groups")
     named = classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("component"))
     named, _ = materialize(named, "named")
-    drop(spark, found_at, classes_at, links_at, group_at, left_at, placed_at, more_at, final_at)
+    drop(spark, classes_at, links_at, group_at, left_at, placed_at, more_at, final_at)
     out = rows.join(named, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
