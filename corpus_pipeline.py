@@ -1,10 +1,71 @@
-"""A training-data pipeline over ``documents``: five stages, each one operator of the llm package."""
+"""A training-data pipeline over ``documents``: five stages, each one operator of the llm package.
+
+Every stage but the last returns the columns of documents. Between stages the rows are written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.bpe import bpe_decode, bpe_encode
+from tidemark.llm.common import materialize
+from tidemark.llm.lang_id import classify, fit_profiles
+from tidemark.llm.mixing import mix
+from tidemark.llm.ngram_join import ngram_components
+from tidemark.llm.suffix_dedup import remove_repeats
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with some margin stay; those without letters, or between two languages, go."""
+    return classify(docs, fit_profiles(docs)).where("not rejected").select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document of least id stays, with all its rows."""
+    kept = ngram_components(docs, width=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes or more that an earlier document has are cut out; a character that a cut would split goes as a whole."""
+    cut = remove_repeats(docs, carry=True)
+    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept_text"))
+    rows = cut.select("row", text.alias("cut"))
+    changed = {"text": F.col("cut"), "n_chars": F.coalesce(F.length("cut"), F.lit(0)).cast("long")}
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it, rounded to whole documents."""
+    mixed = mix(docs)
+    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(0)
+    return mixed.withColumn("times", times).where("times > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("use")).drop("use")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, with digests of the ids and of the bytes they decode to."""
+    encoded = bpe_encode(docs, RANKS, public_tokenizers.PATTERN)
+    return bpe_decode(encoded, RANKS).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
+
+
+STAGES = [
+    ("language id", language_id),
+    ("n-gram Jaccard join", near_copies),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources", source_mix),
+    ("byte-level BPE", tokens),
+]
+#: Compression, suffix arrays and merges are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs, _ = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

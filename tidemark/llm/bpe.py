@@ -241,7 +241,7 @@ def _decode(ranks_path: str, shipped: Broadcast, batches: Iterator[pa.RecordBatc
             n.append(len(ids))
             data.append(b"".join(tokens[ids].tolist()))
             digest.append(hashlib.sha256(",".join(names[ids].tolist()).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array(digest, pa.string())], ["doc_id", "n_tokens", "decoded", "ids_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array(digest, pa.string()), batch.column(1)], ["doc_id", "n_tokens", "decoded", "ids_sha256", "ids"])
 
 
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,7 +259,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(doc_id, n_tokens, decoded, ids_sha256): the bytes the ids stand for, and a digest of the decimal ids joined by commas.
+    """(doc_id, n_tokens, decoded, ids_sha256, ids): the bytes the ids stand for, and a digest of the decimal ids joined by commas.
 
     Null ids count as none. An id outside the table raises KeyError.
     """
@@ -268,4 +268,4 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_
     shipped = encoded.sparkSession.sparkContext.broadcast(lines)
 
     run = partial(_decode, ranks_path, shipped)
-    return encoded.select(id_col, ids_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string")
+    return encoded.select(id_col, ids_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string, ids array<int>")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pieces, prefix_sums, select_text, span_hashes, utf8
+from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pieces, prefix_sums, span_hashes, utf8
 
 #: Bytes of text a step hashes, and bytes of segments in one suffix array.
 TEXT_STEP, ARRAY_STEP = 2 << 20, 1 << 20
@@ -303,7 +303,8 @@ def _keep(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             rows.append((len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept))
         cols = list(zip(*rows, strict=True)) or [()] * 5
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        more = [pa.array([k.decode("utf-8", "ignore") for k in cols[4]], pa.string()), batch.column(4)] if batch.num_columns > 4 else []
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], *more], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *["kept_text", "row"][: len(more)]])
 
 
 def repeated_spans(docs: DataFrame, width: int = 50) -> tuple[DataFrame, list[str]]:
@@ -330,14 +331,20 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> tuple[DataFrame, list[st
     return plan, [plan_at]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of docs.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, carry: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of docs; with carry also kept_text and `row`, a struct
+    of its columns; kept_text leaves out characters that a cut splits.
 
     Removed is each byte covered by `width` bytes that also start in a document of smaller id. Null and empty texts, and texts shorter
     than `width`, lose nothing. Rows that share an id are one document, so they don't take from one another; null ids come last and
-    are one document. Repeated rows stay. Other columns are not read. Windows of different shards are compared by 64-bit hashes.
+    are one document. Repeated rows stay. Without carry other columns are not read. Windows of different shards are compared by
+    64-bit hashes.
     """
-    rows = select_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").withColumn("tid", F.xxhash64(F.sha2(F.encode("text", "utf-8"), 256)))
-    plan, _ = repeated_spans(rows, width)
-    joined = rows.join(plan, ["doc", "tid"]).select(F.when(F.col("doc") < LAST, F.col("doc")).alias("doc_id"), "text", "copy", "spans")
-    return joined.mapInArrow(partial(_keep, width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    extra = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns])} if carry else {}
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64(F.sha2(F.encode(text, "utf-8"), 256)).alias("tid"), *[c.alias(n) for n, c in extra.items()])
+    plan, _ = repeated_spans(rows.select("doc", "text", "tid"), width)
+    joined = rows.join(plan, ["doc", "tid"]).select(F.when(F.col("doc") < LAST, F.col("doc")).alias("doc_id"), "text", "copy", "spans", *extra)
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    kind = f", kept_text string, row {rows.schema['row'].dataType.simpleString()}" if carry else ""
+    return joined.mapInArrow(partial(_keep, width), fields + kind)
