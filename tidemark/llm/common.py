@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -48,12 +50,14 @@ def materialize(df: DataFrame, name: str = "step", partition_by: str | None = No
 
 
 def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete tables that no later step reads; also lets Spark clean the shuffles behind them."""
+    """Delete tables that no later step reads, and let Spark clean the shuffles of plans that nothing refers to any more."""
     jvm = spark.sparkContext._jvm
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
     jvm.System.gc()
+    time.sleep(0.5)  # Spark's cleaner works beside the driver
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -171,3 +175,16 @@ def on_cogroup(f: Callable, *args) -> Callable:
         return f(*args, left, right)
 
     return run
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """Non-negative 64-bit values in as few bytes each as the largest needs."""
+    wide = np.ascontiguousarray(values, "<u8")
+    width = max(1, (int(wide.max()).bit_length() + 7) // 8) if len(wide) else 1
+    return bytes([width]) + wide.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_ints(data: bytes) -> np.ndarray:
+    out = np.zeros(((len(data) - 1) // data[0], 8), np.uint8)
+    out[:, : data[0]] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
+    return out.view("<u8").ravel()

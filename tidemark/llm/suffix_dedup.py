@@ -15,10 +15,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pieces, prefix_sums, span_hashes, utf8
+from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pack_ints, pieces, prefix_sums, span_hashes, unpack_ints, utf8
 
 #: Bytes of text a step hashes, and bytes of segments in one suffix array.
 TEXT_STEP, ARRAY_STEP = 2 << 20, 1 << 20
@@ -131,21 +132,43 @@ def _anchor_keys(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     return key[first], several
 
 
-def _ask(width: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, shard, keys, several) for the anchors of each step of a shard's rows."""
+PACKED = "shard int, docs binary, tids binary, sizes binary, texts binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps of a shard's texts as single rows, compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         data, at = utf8(batch.column(2))
-        shard = batch.column(1).to_numpy(zero_copy_only=False)
+        shard, doc, tid = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 0, 3))
         cuts = np.append(_runs(shard), len(shard)).tolist()
         rows = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             for i, j in chunks(at[a : b + 1], TEXT_STEP):
-                lo, hi = at[a + i], at[a + j]
-                key, several = _anchor_keys(data[lo:hi], at[a + i : a + j + 1] - lo, width)
-                edge = np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
-                rows += [(k, int(shard[a]), key[edge[k] : edge[k + 1]].tobytes(), several[edge[k] : edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()]
-        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["bucket", "shard", "keys", "several"])
+                x = slice(a + i, a + j)
+                rows.append((int(shard[a]), doc[x].tobytes(), tid[x].tobytes(), np.diff(at[a + i : a + j + 1]).tobytes(), squeeze(data[at[a + i] : at[a + j]].tobytes())))
+        cols = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["shard", "docs", "tids", "sizes", "texts"])
+
+
+def _texts(sizes: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(texts, max_output_size=int(at[-1])), np.uint8), at
+
+
+def _ask(width: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, shard, keys, several) for the anchors of each step of a shard's rows."""
+    for batch in batches:
+        for shard, sizes, texts in zip(*(batch.column(c).to_pylist() for c in ("shard", "sizes", "texts")), strict=True):
+            key, several = _anchor_keys(*_texts(sizes, texts), width)
+            edge = _edges(key, buckets)
+            cols = list(zip(*[(k, key[edge[k] : edge[k + 1]].tobytes(), several[edge[k] : edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()], strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([shard] * len(cols[0]), pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], ["bucket", "shard", "keys", "several"])
+
+
+def _edges(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Where sorted keys pass from one hash range to the next."""
+    return np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
 
 
 def _by_shard(table: pa.Table, runs: list[np.ndarray]) -> pa.Table:
@@ -202,25 +225,20 @@ def _classes(segments: list[tuple], width: int, buckets: int, shard: int) -> Ite
     head = np.array([[s[0], s[1], s[2], len(s[3])] for s in segments], np.int64)
     # A bucket of its own number carries the segments through the exchange.
     yield (-1 - shard, shard, head.tobytes(), data.tobytes(), np.packbits(repeats).tobytes(), None, None)
-    edge = np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
+    edge = _edges(key, buckets)
     for k in np.flatnonzero(np.diff(edge)).tolist():
         x = slice(edge[k], edge[k + 1])
         low = int(least[x].min())
-        small = int(least[x].max()) - low < 1 << 32
-        yield (k, shard, None, None, None, key[x].tobytes(), low.to_bytes(8, "little", signed=True) + (least[x] - low).astype(np.uint32 if small else np.int64).tobytes())
+        yield (k, shard, None, None, None, pack_ints(np.diff(key[x], prepend=np.uint64(0))), low.to_bytes(8, "little", signed=True) + pack_ints((least[x] - low).view(np.uint64)))
 
 
 def _segment(width: int, buckets: int, texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Cut a shard's texts to candidate segments and sort their suffixes, in arrays of bounded size."""
-    if not texts.num_rows:
-        return _rows([])
-    shard = texts.column("shard")[0].as_py()
     keys = np.unique(np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64))
-    data, at = utf8(texts.column("text"))
-    docs, ids = texts.column("doc").to_pylist(), texts.column("tid").to_pylist()
     out, held, size = [], [], 0
-    for i, j in chunks(at, TEXT_STEP):
-        part, local = data[at[i] : at[j]], at[i : j + 1] - at[i]
+    for shard, docs, ids, sizes, packed in zip(*(texts.column(c).to_pylist() for c in ("shard", "docs", "tids", "sizes", "texts")), strict=True):
+        part, local = _texts(sizes, packed)
+        docs, ids = np.frombuffer(docs, np.int64).tolist(), np.frombuffer(ids, np.int64).tolist()
         anchor, inside = window_anchors(part, local, width)
         begin = _runs(anchor)
         maybe = np.repeat(_member(keys, anchor[begin]), np.diff(np.append(begin, len(anchor)))) & inside
@@ -229,7 +247,7 @@ def _segment(width: int, buckets: int, texts: pa.Table, answers: pa.Table) -> pa
         stop = np.flatnonzero(maybe & ~np.append(maybe[1:], False)) + width if len(maybe) else start
         row = np.searchsorted(local, start, "right") - 1
         for r, a, b in zip(row.tolist(), start.tolist(), stop.tolist(), strict=True):
-            held.append((docs[i + r], ids[i + r], a - int(local[r]), part[a:b]))
+            held.append((docs[r], ids[r], a - int(local[r]), part[a:b]))
             size += b - a
             if size > ARRAY_STEP:
                 out += _classes(held, width, buckets, shard)
@@ -243,10 +261,8 @@ def _merge(table: pa.Table) -> pa.Table:
     """Of each shard's classes in a hash range, those that begin in an earlier document elsewhere. Segments pass through."""
     if table.column("bucket")[0].as_py() < 0:
         return table
-    runs = [np.frombuffer(x, np.uint64) for x in table.column("d").to_pylist()]
-    least = []
-    for x, r in zip(table.column("e").to_pylist(), runs, strict=True):
-        least.append(int.from_bytes(x[:8], "little", signed=True) + np.frombuffer(x, np.uint32 if len(x) - 8 == 4 * len(r) else np.int64, offset=8).astype(np.int64))
+    runs = [np.cumsum(unpack_ints(x), dtype=np.uint64) for x in table.column("d").to_pylist()]
+    least = [int.from_bytes(x[:8], "little", signed=True) + unpack_ints(x[8:]).view(np.int64) for x in table.column("e").to_pylist()]
     key = np.unique(np.concatenate(runs))
     best = np.full(len(key), LAST)
     places = [np.searchsorted(key, r) for r in runs]
@@ -313,15 +329,16 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> tuple[DataFrame, list[st
     copy marks a text that a smaller document has as a whole; spans are pairs of byte offsets.
     """
     spark = docs.sparkSession
-    facts, facts_at = materialize(docs.groupBy("doc", "tid").agg(F.lit(1).alias("one")).drop("one"), "facts")
+    facts, facts_at = materialize(docs.select("doc", "tid").distinct(), "facts")
     first, first_at = materialize(facts.groupBy("tid").agg(F.min("doc").alias("doc")), "first")
     shards = pieces(docs, 4 << 20)
-    own = docs.join(first, ["doc", "tid"]).select("doc", F.pmod(F.xxhash64("doc", "tid"), F.lit(shards)).cast("int").alias("shard"), "text", "tid")
-    held, held_at = materialize(own.repartition(shards, "shard").sortWithinPartitions("shard"), "texts")
-    answers, answers_at = materialize(held.select("doc", "shard", "text").mapInArrow(partial(_ask, width, shards), "bucket int, shard int, keys binary, several binary").groupBy("bucket").applyInArrow(on_group(_answer), "shard int, keys binary"), "anchors")
+    shard = F.pmod(F.xxhash64("doc", "tid"), F.lit(shards)).cast("int").alias("shard")
+    held, held_at = materialize(docs.join(first, ["doc", "tid"]).select("doc", shard, "text", "tid").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_pack, PACKED), "texts")
+    drop(spark)
+    asked = "bucket int, shard int, keys binary, several binary"
+    answers, answers_at = materialize(held.select("shard", "sizes", "texts").mapInArrow(partial(_ask, width, shards), asked).groupBy("bucket").applyInArrow(on_group(_answer), "shard int, keys binary"), "anchors")
     drop(spark)
-    classes = held.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(on_cogroup(_segment, width, shards), FIELDS)
-    merged, merged_at = materialize(classes.groupBy("bucket").applyInArrow(on_group(_merge), FIELDS), "merged")
+    merged, merged_at = materialize(held.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(on_cogroup(_segment, width, shards), FIELDS).groupBy("bucket").applyInArrow(on_group(_merge), FIELDS), "merged")
     drop(spark, held_at, answers_at)
     spans, spans_at = materialize(merged.groupBy("shard").applyInArrow(on_group(_spans, width), "doc long, tid long, spans binary").dropDuplicates(["doc", "tid"]), "spans")
     drop(spark, merged_at)
