@@ -16,10 +16,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop, materialize, mix64, on_cogroup, on_group, pieces, utf8, words
+from tidemark.llm.common import chunks, drop, materialize, mix64, on_cogroup, on_group, pack_ints, pieces, unpack_ints, utf8, words
 
 TEXT_STEP = 2 << 20
 BEGIN, END = np.uint64(0x5BD1E995C0FFEE01), np.uint64(0x5BD1E995C0FFEE02)
@@ -71,21 +72,43 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8 if len(data) == n else np.uint64).astype(np.int64)
 
 
+DEALT = "shard int, ids binary, absent binary, taught binary, sizes binary, texts binary"
 ASK = "bucket int, shard int, level int, keys binary, counts binary"
 
 
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by shard, several to a row, compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        data, at = utf8(batch.column(1))
+        ids, absent = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(0).is_null().to_numpy(zero_copy_only=False)
+        taught, shard = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(zero_copy_only=False)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else np.zeros(0, np.int64)
+        rows = []
+        for mine in np.split(order, cuts[1:]):
+            if not len(mine):
+                continue
+            for i, j in chunks(np.concatenate([[0], np.cumsum(np.diff(at)[mine])]), TEXT_STEP):
+                x = mine[i:j]
+                text = b"".join([data[at[k] : at[k + 1]].tobytes() for k in x.tolist()])
+                rows.append((int(shard[x[0]]), ids[x].astype(np.int64).tobytes(), absent[x].tobytes(), taught[x].astype(np.int8).tobytes(), np.diff(at)[x].tobytes(), squeeze(text)))
+        cols = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["shard", "ids", "absent", "taught", "sizes", "texts"])
+
+
+def _symbols_of(sizes: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+    return symbols(np.frombuffer(zstandard.ZstdDecompressor().decompress(texts, max_output_size=int(at[-1])), np.uint8), at)
+
+
 def _ask(order: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the distinct n-grams of each shard's rows, by bucket."""
     held: dict[int, list] = {}
     for batch in batches:
-        data, at = utf8(batch.column("text"))
-        shard, taught = batch.column("shard").to_numpy(zero_copy_only=False), batch.column("taught").to_numpy(zero_copy_only=False)
-        for s in np.unique(shard).tolist():
-            mine = np.flatnonzero(shard == s)
-            texts = [data[at[i] : at[i + 1]] for i in mine.tolist()]
-            own = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-            seq, starts = symbols(np.concatenate(texts), own)
-            held.setdefault(s, []).append((seq, np.diff(starts), taught[mine]))
+        for s, taught, sizes, texts in zip(*(batch.column(c).to_pylist() for c in ("shard", "taught", "sizes", "texts")), strict=True):
+            seq, starts = _symbols_of(sizes, texts)
+            held.setdefault(s, []).append((seq, np.diff(starts), np.frombuffer(taught, np.int8)))
             if sum(len(h[0]) for h in held[s]) > 1 << 22:
                 yield from _asked(s, held.pop(s), order, buckets)
     for s, parts in held.items():
@@ -99,17 +122,21 @@ def _asked(shard: int, parts: list, order: int, buckets: int) -> Iterator[pa.Rec
     for level, (keys, real) in enumerate(gram_keys(seq, starts, order), 1):
         key, count = _counted(keys[real], weight[real])
         edge = np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
-        rows = [(k, key[edge[k] : edge[k + 1]].tobytes(), _pack(count[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge)).tolist()]
+        rows = [(k, pack_ints(np.diff(key[edge[k] : edge[k + 1]], prepend=np.uint64(0))), _pack(count[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge)).tolist()]
         bucket, a, b = zip(*rows, strict=True) if rows else ((), (), ())
         n = len(rows)
         yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array([shard] * n, pa.int32()), pa.array([level] * n, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["bucket", "shard", "level", "keys", "counts"])
 
 
+def _keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack_ints(data), dtype=np.uint64)
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Counts over all shards where they differ from what the asking row has; shard -1 has the totals of words and of their kinds."""
     levels = np.array(table.column("level").to_pylist())
     shards = table.column("shard").to_pylist()
-    runs = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+    runs = [_keys(x) for x in table.column("keys").to_pylist()]
     counts = [_unpack(x, len(r)) for x, r in zip(table.column("counts").to_pylist(), runs, strict=True)]
     rows = []
     for level in np.unique(levels).tolist():
@@ -122,7 +149,7 @@ def _answer(table: pa.Table) -> pa.Table:
         for i, p in zip(of, places, strict=True):
             new = total[p] != counts[i]
             if new.any():
-                rows.append((shards[i], level, runs[i][new].tobytes(), total[p][new].astype(np.uint64 if total[p][new].max() >= 1 << 32 else np.uint32).tobytes(), 0, 0))
+                rows.append((shards[i], level, pack_ints(np.diff(runs[i][new], prepend=np.uint64(0))), pack_ints(total[p][new].view(np.uint64)), 0, 0))
         if level == 1:
             word = key != BEGIN
             rows.append((-1, 0, None, None, int(total[word].sum()), int((total[word] > 0).sum())))
@@ -174,9 +201,11 @@ class BackoffAutomaton:
 
 
 def _score(order: int, mu: float, n_words: int, n_kinds: int, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    data, at = utf8(texts.column("text"))
-    seq, starts = symbols(data, at)
-    taught = texts.column("taught").to_numpy()
+    blobs = {c: texts.column(c).to_pylist() for c in ("ids", "absent", "taught", "sizes", "texts")}
+    parts = [_symbols_of(a, b) for a, b in zip(blobs["sizes"], blobs["texts"], strict=True)]
+    seq = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
+    starts = np.concatenate([[0], *[np.diff(p[1]) for p in parts]]).cumsum()
+    ids, absent, taught = (np.frombuffer(b"".join(blobs[c]), t) for c, t in (("ids", np.int64), ("absent", bool), ("taught", np.int8)))
     grams = gram_keys(seq, starts, order)
     weight = np.repeat(taught, np.diff(starts))
     level, keys, counts = (answers.column(c).to_pylist() for c in ("level", "keys", "counts"))
@@ -185,15 +214,14 @@ def _score(order: int, mu: float, n_words: int, n_kinds: int, texts: pa.Table, a
         own, count = _counted(key[real], weight[real])
         for k, a, b in zip(level, keys, counts, strict=True):
             if k == n:
-                a = np.frombuffer(a, np.uint64)
-                count[np.searchsorted(own, a)] = np.frombuffer(b, np.uint32 if len(b) == 4 * len(a) else np.uint64)
+                count[np.searchsorted(own, _keys(a))] = unpack_ints(b).view(np.int64)
         tables.append((own, count))
     count, base, taken = BackoffAutomaton(tables, n_words, n_kinds, mu).read(grams)
     words_only = np.ones(len(seq), bool)
     words_only[starts[:-1]] = False
     add = (lambda x: np.add.reduceat(np.where(words_only, x, 0), starts[:-1])) if len(starts) > 1 else (lambda x: np.zeros(0))
     return pa.table({
-        "doc_id": texts.column("doc_id"),
+        "doc_id": pa.array(ids, mask=absent),
         "held_out": pa.array(taught == 0),
         "n_tokens": pa.array(np.diff(starts) - 1),
         "n_known": pa.array(add(count > 0).astype(np.int64)),
@@ -212,10 +240,12 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     """
     spark, shards = docs.sparkSession, pieces(docs, bytes_each)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn_from.cast("int"), F.lit(0)).alias("taught"))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(shards)).cast("int")).repartition(shards, "shard")
-    asked = dealt.mapInArrow(partial(_ask, order, 2 * shards), ASK)
+    shard = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(shards)).cast("int")
+    deal = lambda: rows.withColumn("shard", shard).mapInArrow(_deal, DEALT).repartition(shards, "shard")
+    asked = deal().select("shard", "taught", "sizes", "texts").mapInArrow(partial(_ask, order, 2 * shards), ASK)
     answers, _ = materialize(asked.groupBy("bucket").applyInArrow(on_group(_answer), "shard int, level int, keys binary, counts binary, n long, v long"), "answers")
+    del asked
     drop(spark)
     n, v = answers.where("shard = -1").agg(F.sum("n"), F.sum("v")).first()
     replies = answers.where("shard >= 0").select("shard", "level", "keys", "counts")
-    return dealt.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return deal().groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
