@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from tidemark.plans import relational
+
+MODULES = (relational,)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
