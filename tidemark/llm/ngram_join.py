@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -36,6 +36,8 @@ HOT, HOT_FROM = 1 << 16, 32
 TEXT_STEP, COUNT_STEP = 2 << 20, 1 << 21
 #: Classes of a block of a long list.
 LIST_BLOCK = 512
+#: Most list entries that go through the heap.
+HEAP_MOST = 4096
 #: Weight of the cost of a probe against a merge step in DivideSkip's choice of long lists.
 MU = 0.05
 
@@ -82,11 +84,12 @@ class DivideSkip:
         self.end = np.append(self.start[1:], len(members))
         self.postings = np.repeat(np.arange(len(self.tokens)), self.end - self.start) * self.n + self.owners
 
-    def search(self, query: np.ndarray, need: int, itself: int = -1) -> dict[int, int]:
-        """Overlap of every indexed set, but `itself`, that shares at least `need` members with the query."""
-        at = np.searchsorted(self.tokens, query)
-        at = at[at < len(self.tokens)]
-        at = at[np.isin(self.tokens[at], query)] if len(at) else at
+    def search(self, query: np.ndarray, need: int, itself: int = -1, settled: Callable[[int], bool] | None = None) -> dict[int, int]:
+        """Overlap of every indexed set, but `itself` and those settled, that shares at least `need` members with the query."""
+        if not len(self.tokens):
+            return {}
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
         size = self.end[at] - self.start[at]
         if itself >= 0:
             at, size = at[size > 1], size[size > 1]
@@ -96,17 +99,22 @@ class DivideSkip:
         longest = int(self.end[at[0]] - self.start[at[0]])
         skip = max(0, min(need - 1, int(need / (MU * math.log2(longest + 1) + 1))))
         long, short = at[:skip], at[skip:]
-        lists = [self.owners[self.start[i] : self.end[i]].tolist() for i in short.tolist()]
-        counts: dict[int, int] = {}
-        for owner in heapq.merge(*lists):
-            counts[owner] = counts.get(owner, 0) + 1
+        lists = [self.owners[self.start[i] : self.end[i]] for i in short.tolist()]
+        if sum(map(len, lists)) <= HEAP_MOST:
+            counts: dict[int, int] = {}
+            for owner in heapq.merge(*[x.tolist() for x in lists]):
+                counts[owner] = counts.get(owner, 0) + 1
+            likely = [o for o, c in counts.items() if c >= need - skip]
+        else:  # as many steps in one pass over counters
+            counts = np.bincount(np.concatenate(lists), minlength=self.n)
+            likely = np.flatnonzero(counts >= need - skip).tolist()
         out = {}
-        for owner, count in counts.items():
-            if count >= need - skip and owner != itself:
+        for owner in likely:
+            if owner != itself and not (settled and settled(owner)):
                 keys = long * self.n + owner
                 place = np.searchsorted(self.postings, keys)
                 place[place == len(self.postings)] = 0
-                count += int((self.postings[place] == keys).sum())
+                count = int(counts[owner]) + int((self.postings[place] == keys).sum())
                 if count >= need:
                     out[owner] = count
         return out
@@ -217,25 +225,30 @@ def _meet(percent: int, table: pa.Table) -> pa.Table:
 
 
 def _search(width: int, percent: int, table: pa.Table) -> pa.Table:
-    """Links of a block that join its components; rows that are no query are only found."""
+    """Links from a block's queries to its stored rows, as far as they join components that were apart."""
     data, at = utf8(table.column("text"))
     sets = []
     for i, j in chunks(at, TEXT_STEP):
         sets += shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
-    ids, query = table.column("doc_id").to_pylist(), table.column("query").to_pylist()
-    index, groups, out = DivideSkip(sets), UnionFind(), []
+    ids, group, query, stored = (table.column(c).to_pylist() for c in ("doc_id", "component", "query", "stored"))
+    kept = [i for i in range(len(ids)) if stored[i]]
+    place = {i: k for k, i in enumerate(kept)}
+    index, groups, out = DivideSkip([sets[i] for i in kept]), UnionFind(), []
     for i, s in enumerate(sets):
         if query[i] and len(s):
-            for j, both in index.search(s, least_overlap(len(s), percent), i).items():
-                if linked(len(s), len(sets[j]), both, percent) and groups.union(i, j):
+            near = index.search(s, least_overlap(len(s), percent), place.get(i, -1), lambda k: groups.find(group[kept[k]]) == groups.find(group[i]))
+            for k, both in near.items():
+                j = kept[k]
+                if linked(len(s), len(sets[j]), both, percent) and groups.union(group[i], group[j]):
                     out.append((ids[i], ids[j]))
     a, b = zip(*out, strict=True) if out else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _links(docs: DataFrame, needed: DataFrame, width: int, percent: int) -> DataFrame:
-    """Search blocks: needed has (block, doc_id, query); its texts are read again from docs."""
-    held = docs.join(needed.groupBy("block", "doc_id").agg(F.max("query").alias("query")), "doc_id").select("block", "doc_id", "query", "text")
+    """Search blocks: needed has (block, doc_id, component, query, stored); its texts are read again from docs."""
+    flags = [F.first("component").alias("component"), F.max("query").alias("query"), F.max("stored").alias("stored")]
+    held = docs.join(needed.groupBy("block", "doc_id").agg(*flags), "doc_id").select("block", "doc_id", "component", "query", "stored", "text")
     return held.groupBy("block").applyInArrow(on_group(_search, width, percent), "a long, b long")
 
 
@@ -266,7 +279,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ends = pairs.join(end("a", "x"), "a").join(end("b", "y"), "b")
     ends = ends.where("least(x_least, y_least) <= least(x_shared, y_shared) and least(x_least, y_least) <= short + least(x_long, y_long)")
     block = F.pmod(F.xxhash64("x"), F.lit(buckets))
-    near = ends.select(block.alias("block"), F.explode(F.array(F.struct(F.col("x").alias("doc_id"), F.lit(True).alias("query")), F.struct(F.col("y").alias("doc_id"), F.lit(False).alias("query")))).alias("e")).select("block", "e.*")
+    near = ends.select(block.alias("block"), F.explode(F.array(*[F.struct(F.col(c).alias("doc_id"), F.col(c).alias("component"), F.lit(c == "x").alias("query"), F.lit(c == "y").alias("stored")) for c in "xy"])).alias("e")).select("block", "e.*")
     links, links_at = materialize(_links(docs, near, width, percent), "near")
     group, group_at = materialize(connected_components(links), "groups")
     # Long lists whose classes are in several components: in order of size, in blocks of which each two whose sizes allow a link meet.
@@ -275,20 +288,28 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     able = classes.where(100 * F.col("shared") >= percent * (F.col("least") - 1)).select("digest", "doc_id", "n")
     long = long.join(able, "digest").join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     long = long.select("token", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_ = long.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("count"))
-    open_ = open_.where("low <> high").groupBy("sum", "count").agg(F.min("token").alias("token")).select("token")  # tokens of one list are searched once
-    left, left_at = materialize(long.join(open_, "token"), "open")
-    placed = left.withColumn("part", F.floor((F.row_number().over(Window.partitionBy("token").orderBy("n", "doc_id")) - 1) / LIST_BLOCK))
+    long, long_at = materialize(long, "long")
+    heads = long.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc_id").alias("head"))
+    heads = heads.where("low <> high").select("token", "head")
+    # Lists of one family mostly begin with the same documents: they are joined to one list under the least head of any list that
+    # holds their own head, so that a family is searched about once and not for each of its shingles.
+    held = long.join(heads, "token").groupBy("head", "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+    held, held_at = materialize(held, "heads")
+    lower = held.join(held.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("head")).agg(F.min("head").alias("first"))
+    family = held.join(lower, "head").groupBy(F.col("first").alias("family"), "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+    mixed = family.groupBy("family").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("family")
+    left, left_at = materialize(family.join(mixed, "family"), "open")
+    placed = left.withColumn("part", F.floor((F.row_number().over(Window.partitionBy("family").orderBy("n", "doc_id")) - 1) / LIST_BLOCK))
     placed, placed_at = materialize(placed, "placed")
-    spans = placed.groupBy("token", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    spans = placed.groupBy("family", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     s, t = spans.alias("s"), spans.alias("t")
-    meet = s.join(t, (F.col("s.token") == F.col("t.token")) & (F.col("s.part") <= F.col("t.part")) & (100 * F.col("s.high") >= percent * F.col("t.low")))
-    meet = meet.select(F.col("s.token").alias("token"), F.col("s.part").alias("p"), F.col("t.part").alias("q"), F.xxhash64("s.token", "s.part", "t.part").alias("block"))
-    needed = placed.join(meet, (placed.token == meet.token) & ((placed.part == meet.p) | (placed.part == meet.q))).select("block", "doc_id", F.lit(True).alias("query"))
+    meet = s.join(t, (F.col("s.family") == F.col("t.family")) & (F.col("s.part") <= F.col("t.part")) & (100 * F.col("s.high") >= percent * F.col("t.low")))
+    meet = meet.select(F.col("s.family").alias("family"), F.col("s.part").alias("p"), F.col("t.part").alias("q"), F.xxhash64("s.family", "s.part", "t.part").alias("block"))
+    needed = placed.join(meet, "family").where("part = p or part = q").select("block", "doc_id", "component", (F.col("part") == F.col("p")).alias("query"), (F.col("part") == F.col("q")).alias("stored"))
     more, more_at = materialize(_links(docs, needed, width, percent), "far")
     final, final_at = materialize(connected_components(links.unionByName(more)), "groups")
     named = classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("component"))
     named, _ = materialize(named, "named")
-    drop(spark, classes_at, links_at, group_at, left_at, placed_at, more_at, final_at)
+    drop(spark, classes_at, links_at, group_at, long_at, held_at, left_at, placed_at, more_at, final_at)
     out = rows.join(named, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
