@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -35,13 +36,13 @@ def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
     return means.join(df.groupBy(key).agg(F.count("*").alias("size")), key)
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def decode_vector(c: pd.Series) -> pd.Series:
     """base64 of little-endian 32-bit floats to an array."""
     return c.map(lambda s: None if s is None else np.frombuffer(base64.b64decode(s), "<f4").tolist())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def encode_vector(c: pd.Series) -> pd.Series:
     return c.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f4").tobytes()).decode())
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_EVENTS = 3
 
@@ -16,7 +17,8 @@ MIN_EVENTS = 3
 def interarrival(events: DataFrame, key: str, time_us: str) -> DataFrame:
     """(key, pos, time_us, gap): seconds since the key's event before, never negative; null for the first."""
     w = Window.partitionBy(key).orderBy(time_us)
-    gap = F.greatest((F.col(time_us) - F.lag(time_us).over(w)) / 1e6, F.lit(0.0))
+    before = F.lag(time_us).over(w)
+    gap = F.when(before.isNotNull(), F.greatest((F.col(time_us) - before) / 1e6, F.lit(0.0)))
     return events.select(key, time_us, F.row_number().over(w).alias("pos"), gap.alias("gap"))
 
 
@@ -57,7 +59,7 @@ def _states(s: float, gamma: float, states: int, batches: Iterator[pa.RecordBatc
 def burst_states(events: DataFrame, key: str, time_us: str, s: float = 2.0, gamma: float = 1.0, states: int = 10, least: int = MIN_EVENTS) -> DataFrame:
     """(key, n, gaps, states) of keys with at least two gaps."""
     rows = sequences(events, key, time_us, least).where(F.size("gaps") >= 2)
-    schema = rows.schema.add("states", "array<int>")
+    schema = T.StructType([*rows.schema.fields, T.StructField("states", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(partial(_states, s, gamma, states), schema)
 
 

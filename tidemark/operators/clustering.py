@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.vectors import auto_clusters, auto_k, centroids, cosine, kept_neighbours
 from tidemark.operators.neighbours import knn_graph, with_components
 from tidemark.storage import cut
 
 
-def simhash(text: Column) -> Column:
-    """Charikar's 64-bit simhash of lower-case words, as a string of 0 and 1: each word's digest votes for every bit."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    bits = F.transform(words, lambda w: F.lpad(F.conv(F.substring(F.md5(w.cast("binary")), 1, 16), 16, 2), 64, "0"))
-    vote = lambda i: F.aggregate(bits, F.lit(0), lambda s, b: s + F.when(F.substring(b, i, 1) == "1", 1).otherwise(-1))
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.when(vote(i) > 0, "1").otherwise("0")), "")
+_WORDS = regex.compile(r"[\p{L}\p{N}]+")
 
 
-def bucket(text: Column) -> Column:
-    """The first 16 bits of the simhash."""
-    return F.conv(F.substring(simhash(text), 1, 16), 2, 10).cast("int")
+def simhash64(text: str) -> int:
+    """Charikar's simhash of lower-case words: the first 64 bits of each word's md5 vote for every bit; ties are 0."""
+    words = _WORDS.findall(text.lower())
+    if not words:
+        return 0
+    digests = np.frombuffer(b"".join([hashlib.md5(w.encode()).digest()[:8] for w in words]), np.uint8).reshape(-1, 8)
+    ones = np.unpackbits(digests, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(words)).tobytes(), "big")
+
+
+@F.pandas_udf(T.IntegerType())
+def bucket(texts: pd.Series) -> pd.Series:
+    """The first 16 bits of the simhash; null texts are empty."""
+    return texts.map(lambda t: simhash64(t or "") >> 48)
 
 
 def distance(v: str, c: str) -> Column:

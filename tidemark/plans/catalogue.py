@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.plans import relational
+from tidemark.plans import bursts, clusters, evaluations, relational, streams, texts
 
-MODULES = (relational,)
+MODULES = (relational, texts, bursts, evaluations, clusters, streams)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}

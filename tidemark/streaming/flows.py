@@ -64,7 +64,7 @@ def to_batches(stream: DataFrame, path: str, checkpoint: str, prefix: str, time:
 
     def write(df: DataFrame, _: int) -> None:
         df = df.dropDuplicates(keys) if keys else df
-        df.withColumn("_batch", F.concat(F.lit(prefix), F.date_format(time, "yyyyMMdd-HH"))).write.mode("append").partitionBy("_batch").parquet(path)
+        df.withColumn("_batch", F.concat(F.lit(prefix), F.date_format(time, "yyyyMMdd-HH"))).repartition("_batch").write.mode("append").partitionBy("_batch").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
