@@ -1,7 +1,7 @@
 """Removal of repeated passages by suffix arrays over shards.
 
 Texts that occur more than once are represented by their first document. Every window of `width` bytes has an anchor, the least hash
-among its half-width substrings; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
+among its substrings of 18/25 of that; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
 shard is a set of candidate segments. A shard's suffix array is made by Larsson-Sadakane refinement, its common prefixes by Kasai's
 walk, and suffixes that share `width` bytes form a class with its least document. Classes of all shards meet by hash range, where
 sorted runs are merged by binary search, and each shard learns which of its classes begin in an earlier document elsewhere.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pack_ints, pieces, prefix_sums, span_hashes, unpack_ints, utf8
 
 #: Bytes of text a step hashes, and bytes of segments in one suffix array.
-TEXT_STEP, ARRAY_STEP = 2 << 20, 1 << 20
+TEXT_STEP, ARRAY_STEP = 1 << 20, 1 << 20
 LANE = 512
 LAST = np.iinfo(np.int64).max
 
@@ -38,7 +38,7 @@ def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
 
 def window_anchors(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For each start of `width` bytes in the data, its anchor's hash, and whether the window lies within one row."""
-    half = width // 2
+    half = max(1, width * 18 // 25)
     n = len(data) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -162,7 +162,7 @@ def _ask(width: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterato
         for shard, sizes, texts in zip(*(batch.column(c).to_pylist() for c in ("shard", "sizes", "texts")), strict=True):
             key, several = _anchor_keys(*_texts(sizes, texts), width)
             edge = _edges(key, buckets)
-            cols = list(zip(*[(k, key[edge[k] : edge[k + 1]].tobytes(), several[edge[k] : edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()], strict=True)) or [()] * 3
+            cols = list(zip(*[(k, pack_ints(np.diff(key[edge[k] : edge[k + 1]], prepend=np.uint64(0))), several[edge[k] : edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()], strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([shard] * len(cols[0]), pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], ["bucket", "shard", "keys", "several"])
 
 
@@ -178,7 +178,7 @@ def _by_shard(table: pa.Table, runs: list[np.ndarray]) -> pa.Table:
 
 def _answer(table: pa.Table) -> pa.Table:
     """Of each row's anchors, those that several documents have."""
-    runs = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+    runs = [np.cumsum(unpack_ints(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
     several = [np.frombuffer(x, bool) for x in table.column("several").to_pylist()]
     key, count = np.unique(np.concatenate(runs), return_counts=True)
     many = count > 1
