@@ -53,11 +53,14 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first `depth` bytes at least (Larsson-Sadakane: only unsorted groups are refined)."""
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Suffixes in full order (Larsson-Sadakane: doubling, where only unsorted groups are refined).
+
+    The order must be full: Kasai's walk relies on it that dropping the first byte of two suffixes keeps their order.
+    """
     n = len(data)
     padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = data.astype(np.uint64) + np.uint64(0)
+    padded[:n] = data
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : k + n]
@@ -67,7 +70,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     group = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     rank[order] = group
     h = 8
-    while h < depth:
+    while True:
         alone = fresh & np.append(fresh[1:], True)
         open_ = np.flatnonzero(~alone)
         if not len(open_):
@@ -208,7 +211,7 @@ def _classes(segments: list[tuple], width: int, buckets: int, shard: int) -> Ite
     end = np.repeat(np.cumsum(size), size)
     whole = end - np.arange(len(data)) >= width
     owner = np.repeat(np.array([s[0] for s in segments], np.int64), size)
-    order = suffix_array(data, width)
+    order = suffix_array(data)
     fresh = common_prefixes(data, order, width) < width
     fresh[0] = True
     first = np.flatnonzero(fresh)
