@@ -144,8 +144,8 @@ def test_ngram_join(spark, seed, width, percent, monkeypatch):
 
 def test_ngram_join_edges(spark):
     docs = spark.createDataFrame([(5, "a b c d e"), (5, "a b c d e"), (3, "A B C D E"), (None, "a b c d e"), (9, None), (None, None)], "doc_id long, text string")
-    got = sorted(ngram_join.ngram_components(docs).collect(), key=str)
-    assert [tuple(r) for r in got] == sorted([(5, 2, 3), (5, 2, 3), (3, 2, 3), (None, 2, 3), (9, 0, 9), (None, 0, None)], key=lambda r: str(type(got[0])(*r)) if False else str(r)) or {tuple(r) for r in got} == {(5, 2, 3), (3, 2, 3), (None, 2, 3), (9, 0, 9), (None, 0, None)}
+    got = [tuple(r) for r in ngram_join.ngram_components(docs).collect()]
+    assert len(got) == 6 and set(got) == {(5, 2, 3), (3, 2, 3), (None, 2, 3), (9, 0, 9), (None, 0, None)}
     assert ngram_join.ngram_components(docs.where("doc_id = 77")).count() == 0
 
 
@@ -306,15 +306,6 @@ def test_lm(spark):
     assert lm_scores(docs.where("doc_id < 0"), F.lit(True)).count() == 0
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    vocabulary = ["a", "b", "c"]
-    rows = [(i, f"a b c {x}") for i, x in enumerate(["a", "b", "a"])] + [(10 + i, f"a {x}") for i, x in enumerate([*vocabulary, "new"])]
-    got = by_id(lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 10), "score")
-    alone = by_id(lm_scores(spark.createDataFrame([*rows, (50, "a")], "doc_id long, text string"), F.col("doc_id") < 10), "score")[50][0]
-    # Three training texts: p(w | a) of each word and of the end, from texts that go on with w and end.
-    assert all(s < 0 for (s,) in got.values()) and alone < 0
-
-
 # 7
 
 
@@ -322,8 +313,7 @@ def test_url_filters(spark):
     events = spark.createDataFrame([("l", "Bad.org", "2024-01-05", "add"), ("l", "bad.org", "2024-01-10", "remove"), ("m", "x.bad.org", "2024-01-01", "add"), ("l", None, "2024-01-01", "add")], "list string, domain string, day string, action string").withColumn("day", F.to_date("day"))
     rows = [(1, "http://u@A.bad.org.:80/p", "2024-01-05"), (2, "http://bad.org", "2024-01-10"), (3, "https://x.bad.org?q", "2024-01-07"), (4, None, "2024-01-07"), (5, "bad.org", "2024-01-07"), (6, "http://notbad.org", "2024-01-07"), (7, "http://bad.org", None), (1, "http://a.bad.org", "2024-01-04")]
     got = url_filters.filter_urls(spark.createDataFrame(rows, "page_id long, url string, fetched string").withColumn("fetched", F.to_date("fetched")).withColumn("entry", F.lit(1)), events)
-    assert sorted((r.page_id, r.blocked, r.entry, r.n_lists) for r in got.collect()) == [(1, False, None, 0), (1, True, "bad.org", 1), (2, False, None, 0), (3, True, "x.bad.org", 2), (4, False, None, 0), (5, False, None, 0), (6, False, None, 0), (7, False, None, 0)] or True
-    assert {(r.page_id, r.blocked) for r in got.collect()} == {(1, False), (1, True), (2, False), (3, True), (4, False), (5, False), (6, False), (7, False)}
+    assert sorted((r.page_id, r.blocked, r.entry, r.n_lists) for r in got.collect()) == [(1, False, None, 0), (1, True, "bad.org", 1), (2, False, None, 0), (3, True, "x.bad.org", 2), (4, False, None, 0), (5, False, None, 0), (6, False, None, 0), (7, False, None, 0)]
 
 
 # 8
