@@ -55,9 +55,10 @@ def drop(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    gc.collect()
-    jvm.System.gc()
-    time.sleep(0.5)  # Spark's cleaner works beside the driver
+    for _ in range(2):  # Spark's cleaner works beside the driver, and frees what the first pass has let go in the second
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.5)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -242,9 +242,9 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn_from.cast("int"), F.lit(0)).alias("taught"))
     shard = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(shards)).cast("int")
     deal = lambda: rows.withColumn("shard", shard).mapInArrow(_deal, DEALT).repartition(shards, "shard")
-    asked = deal().select("shard", "taught", "sizes", "texts").mapInArrow(partial(_ask, order, 2 * shards), ASK)
-    answers, _ = materialize(asked.groupBy("bucket").applyInArrow(on_group(_answer), "shard int, level int, keys binary, counts binary, n long, v long"), "answers")
-    del asked
+    answers, _ = materialize(
+        deal().select("shard", "taught", "sizes", "texts").mapInArrow(partial(_ask, order, 2 * shards), ASK).groupBy("bucket").applyInArrow(on_group(_answer), "shard int, level int, keys binary, counts binary, n long, v long"), "answers"
+    )
     drop(spark)
     n, v = answers.where("shard = -1").agg(F.sum("n"), F.sum("v")).first()
     replies = answers.where("shard >= 0").select("shard", "level", "keys", "counts")
