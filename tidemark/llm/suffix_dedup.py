@@ -1,7 +1,7 @@
 """Removal of repeated passages by suffix arrays over shards.
 
 Texts that occur more than once are represented by their first document. Every window of `width` bytes has an anchor, the least hash
-among its substrings of 18/25 of that; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
+among its substrings of 4/5 of that; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
 shard is a set of candidate segments. A shard's suffix array is made by Larsson-Sadakane refinement, its common prefixes by Kasai's
 walk, and suffixes that share `width` bytes form a class with its least document. Classes of all shards meet by hash range, where
 sorted runs are merged by binary search, and each shard learns which of its classes begin in an earlier document elsewhere.
@@ -38,7 +38,7 @@ def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
 
 def window_anchors(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For each start of `width` bytes in the data, its anchor's hash, and whether the window lies within one row."""
-    half = max(1, width * 18 // 25)
+    half = max(1, width * 4 // 5)
     n = len(data) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -140,7 +140,7 @@ PACKED = "shard int, docs binary, tids binary, sizes binary, texts binary"
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Steps of a shard's texts as single rows, compressed."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=9).compress
     for batch in batches:
         data, at = utf8(batch.column(2))
         shard, doc, tid = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 0, 3))
