@@ -4,7 +4,7 @@ Texts that occur more than once are represented by their first document. Every w
 among its substrings of 4/5 of that; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
 shard is a set of candidate segments. A shard's suffix array is made by Larsson-Sadakane refinement, its common prefixes by Kasai's
 walk, and suffixes that share `width` bytes form a class with its least document. Classes of all shards meet by hash range, where
-sorted runs are merged by binary search, and each shard learns which of its classes begin in an earlier document elsewhere.
+sorted runs are merged by binary search, and each array learns which of its classes begin in an earlier document elsewhere.
 """
 
 from __future__ import annotations
@@ -196,16 +196,16 @@ def _member(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
 
 
-EMPTY = {"bucket": pa.int32(), "shard": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "e": pa.binary()}
-FIELDS = "bucket int, shard int, a binary, b binary, c binary, d binary, e binary"
+EMPTY = {"bucket": pa.int32(), "shard": pa.int32(), "array": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "e": pa.binary()}
+FIELDS = "bucket int, shard int, array int, a binary, b binary, c binary, d binary, e binary"
 
 
 def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(EMPTY.items())})
 
 
-def _classes(segments: list[tuple], width: int, buckets: int, shard: int) -> Iterator[tuple]:
-    """From (document, text id, start, bytes): the shard's segments with local repeats, and its classes by bucket."""
+def _classes(segments: list[tuple], width: int, buckets: int, shard: int, array: int) -> Iterator[tuple]:
+    """From (document, text id, start, bytes): an array's segments with local repeats, and its classes by bucket."""
     data = np.concatenate([s[3] for s in segments])
     size = np.array([len(s[3]) for s in segments])
     end = np.repeat(np.cumsum(size), size)
@@ -227,19 +227,20 @@ def _classes(segments: list[tuple], width: int, buckets: int, shard: int) -> Ite
     key, least = key[by], least[by]
     head = np.array([[s[0], s[1], s[2], len(s[3])] for s in segments], np.int64)
     # A bucket of its own number carries the segments through the exchange.
-    yield (-1 - shard, shard, head.tobytes(), data.tobytes(), np.packbits(repeats).tobytes(), None, None)
+    yield (-1 - shard, shard, array, head.tobytes(), data.tobytes(), np.packbits(repeats).tobytes(), None, None)
     edge = _edges(key, buckets)
     for k in np.flatnonzero(np.diff(edge)).tolist():
         x = slice(edge[k], edge[k + 1])
         low = int(least[x].min())
-        yield (k, shard, None, None, None, pack_ints(np.diff(key[x], prepend=np.uint64(0))), low.to_bytes(8, "little", signed=True) + pack_ints((least[x] - low).view(np.uint64)))
+        yield (k, shard, array, None, None, None, pack_ints(np.diff(key[x], prepend=np.uint64(0))), low.to_bytes(8, "little", signed=True) + pack_ints((least[x] - low).view(np.uint64)))
 
 
 def _segment(width: int, buckets: int, texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Cut a shard's texts to candidate segments and sort their suffixes, in arrays of bounded size."""
     keys = np.unique(np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64))
-    out, held, size = [], [], 0
-    for shard, docs, ids, sizes, packed in zip(*(texts.column(c).to_pylist() for c in ("shard", "docs", "tids", "sizes", "texts")), strict=True):
+    out, held, size, arrays = [], [], 0, 0
+    # In one order whenever this runs, as numbers of arrays must mean the same again.
+    for shard, docs, ids, sizes, packed in sorted(zip(*(texts.column(c).to_pylist() for c in ("shard", "docs", "tids", "sizes", "texts")), strict=True)):
         part, local = _texts(sizes, packed)
         docs, ids = np.frombuffer(docs, np.int64).tolist(), np.frombuffer(ids, np.int64).tolist()
         anchor, inside = window_anchors(part, local, width)
@@ -253,15 +254,15 @@ def _segment(width: int, buckets: int, texts: pa.Table, answers: pa.Table) -> pa
             held.append((docs[r], ids[r], a - int(local[r]), part[a:b]))
             size += b - a
             if size > ARRAY_STEP:
-                out += _classes(held, width, buckets, shard)
-                held, size = [], 0
+                out += _classes(held, width, buckets, shard, arrays)
+                held, size, arrays = [], 0, arrays + 1
     if held:
-        out += _classes(held, width, buckets, shard)
+        out += _classes(held, width, buckets, shard, arrays)
     return _rows(out)
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Of each shard's classes in a hash range, those that begin in an earlier document elsewhere. Segments pass through."""
+    """Of each array's classes in a hash range, those that begin in an earlier document elsewhere. Segments pass through."""
     if table.column("bucket")[0].as_py() < 0:
         return table
     runs = [np.cumsum(unpack_ints(x), dtype=np.uint64) for x in table.column("d").to_pylist()]
@@ -271,17 +272,22 @@ def _merge(table: pa.Table) -> pa.Table:
     places = [np.searchsorted(key, r) for r in runs]
     for p, x in zip(places, least, strict=True):
         best[p] = np.minimum(best[p], x)
-    shards = table.column("shard").to_pylist()
-    return _rows([(-1 - s, s, None, None, None, r[late].tobytes(), None) for s, r, p, x in zip(shards, runs, places, least, strict=True) if (late := best[p] < x).any()])
+    shards, arrays = (table.column(c).to_pylist() for c in ("shard", "array"))
+    return _rows([(-1 - s, s, n, None, None, None, r[late].tobytes(), None) for s, n, r, p, x in zip(shards, arrays, runs, places, least, strict=True) if (late := best[p] < x).any()])
 
 
 def _spans(width: int, table: pa.Table) -> pa.Table:
     """(doc, tid, spans) of a shard: maximal runs of removed bytes as pairs of offsets."""
-    late = np.unique(np.frombuffer(b"".join(x for x in table.column("d").to_pylist() if x is not None), np.uint64))
+    runs: dict[int, list[bytes]] = {}
+    for array, keys in zip(*(table.column(c).to_pylist() for c in ("array", "d")), strict=True):
+        if keys is not None:
+            runs.setdefault(array, []).append(keys)
     found: dict[tuple[int, int], list] = {}
-    for head, data, bits in zip(*(table.column(c).to_pylist() for c in "abc"), strict=True):
+    for array, head, data, bits in zip(*(table.column(c).to_pylist() for c in ("array", *"abc")), strict=True):
         if head is None:
             continue
+        # Late in one array may be first in another of the shard.
+        late = np.unique(np.frombuffer(b"".join(runs.get(array, [])), np.uint64))
         data = np.frombuffer(data, np.uint8)
         gone = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(data)).astype(bool)
         start = np.arange(len(data) - width + 1)
