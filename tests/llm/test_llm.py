@@ -438,6 +438,17 @@ def test_small_world_recall():
     assert hits >= 0.9 * 400
 
 
+def test_range_search_beyond_the_widest_beam():
+    """Where the graph leads nowhere, the whole block is compared with the whole shard."""
+    rng = np.random.default_rng(2)
+    u = np.repeat(rng.normal(size=(100, 16)), 3, axis=0) + rng.normal(size=(300, 16)) * 0.005
+    u = (u / np.linalg.norm(u, axis=1, keepdims=True)).astype(np.float32)
+    graph = near_dedup.SmallWorld(u)
+    graph.links = [{i: [] for i in layer} for layer in graph.links]
+    found, recall, _ = near_dedup.range_search(graph, u, 0.98)
+    assert found == [np.flatnonzero(u @ q >= 0.98 - 1e-5).tolist() for q in u] and recall == 1.0
+
+
 # the pipeline
 
 

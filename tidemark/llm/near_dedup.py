@@ -2,8 +2,9 @@
 
 Equal vectors of a label are one class. The classes of a label are dealt to shards, each shard gets a hierarchical navigable
 small-world graph (Malkov and Yashunin, 2016), and blocks of classes query every shard of their label. A block's beam is doubled
-until an audit of some of its queries against all of the shard's vectors reaches the wanted recall; a query whose beam holds nothing
-but links may have more of them, and is compared with the whole shard. Cosines are verified in double precision.
+until an audit of some of its queries against all of the shard's vectors reaches the wanted recall, and a block that fails with the
+widest beam is compared with the whole shard; so is a query whose beam holds nothing but links, as it may have more of them. Cosines
+are verified in double precision.
 """
 
 from __future__ import annotations
@@ -133,8 +134,10 @@ def range_search(graph: SmallWorld, queries: np.ndarray, least: float) -> tuple[
             found[i] = links(i)
             recall += len(t & set(found[i]))
         recall = recall / wanted if wanted else 1.0
-        if recall >= RECALL or beam >= MOST_BEAM:
+        if recall >= RECALL:
             return [found[i] if i in found else links(i) for i in range(len(queries))], recall, beam
+        if beam >= MOST_BEAM:
+            return [np.flatnonzero(s >= slack).tolist() for s in queries @ graph.unit.T], 1.0, len(graph.unit)
         beam *= 2
 
 
@@ -217,7 +220,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = graphs.join(asks, ["label", "dim"]).groupBy("label", "dim", "shard", "block").applyInArrow(on_group(_match, least), "a long, n long, b long, recall double")
     found, found_at = materialize(found, "found")
     groups, groups_at = materialize(connected_components(found.where("b is not null")), "groups")
-    counts = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    missed = F.when(F.min("recall") < RECALL, F.raise_error(F.lit("links of a query were searched below the wanted recall")).cast("long"))
+    counts = found.groupBy(F.col("a").alias("id")).agg(F.coalesce(missed, F.sum("n")).alias("others"))
     named = classes.join(counts, "id", "left").join(groups.withColumnRenamed("node", "id"), "id", "left")
     named, _ = materialize(named.select("label", "vector", "copies", F.coalesce("others", F.lit(0)).alias("others"), F.coalesce("component", "id").alias("component")), "named")
     drop(spark, classes_at, graphs_at, asks_at, found_at, groups_at)
