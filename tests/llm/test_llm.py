@@ -449,6 +449,20 @@ def test_range_search_beyond_the_widest_beam():
     assert found == [np.flatnonzero(u @ q >= 0.98 - 1e-5).tolist() for q in u] and recall == 1.0
 
 
+def test_range_search_audits_queries_without_links():
+    """Audited queries have no link here, all others have one that the graph does not reach."""
+    rng = np.random.default_rng(3)
+    u = rng.normal(size=(300, 16))
+    u = (u / np.linalg.norm(u, axis=1, keepdims=True)).astype(np.float32)
+    graph = near_dedup.SmallWorld(u)
+    graph.links = [{i: [] for i in layer} for layer in graph.links]
+    queries = u[:160].copy()
+    queries[:: near_dedup.AUDIT_EVERY] *= -1
+    exact = [np.flatnonzero(u @ q >= 0.98 - 1e-5).tolist() for q in queries]
+    assert not any(exact[:: near_dedup.AUDIT_EVERY]) and sum(map(len, exact)) >= 150
+    assert near_dedup.range_search(graph, queries, 0.98)[0] == exact
+
+
 # the pipeline
 
 

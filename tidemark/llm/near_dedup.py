@@ -2,9 +2,9 @@
 
 Equal vectors of a label are one class. The classes of a label are dealt to shards, each shard gets a hierarchical navigable
 small-world graph (Malkov and Yashunin, 2016), and blocks of classes query every shard of their label. A block's beam is doubled
-until an audit of some of its queries against all of the shard's vectors reaches the wanted recall, and a block that fails with the
-widest beam is compared with the whole shard; so is a query whose beam holds nothing but links, as it may have more of them. Cosines
-are verified in double precision.
+until an audit of some of its queries against all of the shard's vectors reaches the wanted recall, of links and of nearest neighbours,
+as many queries have no link in a shard. A block that fails with the widest beam is compared with the whole shard; so is a query whose
+beam holds nothing but links, as it may have more of them. Cosines are verified in double precision.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from tidemark.llm.components import UnionFind, connected_components
 #: Classes of a shard, and of a block of queries.
 SHARD_ROWS, BLOCK_ROWS = 8192, 1024
 M, BUILD_BEAM, FIRST_BEAM, MOST_BEAM = 12, 48, 24, 192
-AUDIT_EVERY, RECALL = 16, 0.99
+#: One query in so many is audited, by its links and by so many nearest neighbours.
+AUDIT_EVERY, NEAREST, RECALL = 16, 8, 0.99
 
 
 class SmallWorld:
@@ -118,24 +119,30 @@ class SmallWorld:
 
 def range_search(graph: SmallWorld, queries: np.ndarray, least: float) -> tuple[list[list[int]], float, int]:
     """Of each unit query, the nodes of inner product `least` or more; the audited recall, and the beam that reached it."""
-    slack, beam = least - 1e-5, FIRST_BEAM
+    slack, beam, n = least - 1e-5, FIRST_BEAM, min(NEAREST, len(graph.unit))
     audit = range(0, len(queries), AUDIT_EVERY)
-    truth = [set(np.flatnonzero(graph.unit @ queries[i] >= slack).tolist()) for i in audit]
+    truth = []
+    for i in audit:
+        sims = graph.unit @ queries[i]
+        truth.append((set(np.flatnonzero(sims >= slack).tolist()), float(np.partition(sims, -n)[-n]) - 1e-6))
+    wanted = sum(len(t) for t, _ in truth)
     while True:
-        found, recall, wanted = {}, 0, sum(map(len, truth))
+        found, linked, close = {}, 0, 0
 
-        def links(i: int, beam: int = beam) -> list[int]:
+        def links(i: int, beam: int = beam) -> tuple[list[int], list[tuple[float, int]] | None]:
+            """Links, and what the beam holds unless the whole shard was compared."""
             near = graph.search(queries[i], beam)
             if len(near) < len(graph.unit) and near[-1][0] >= slack:
-                return np.flatnonzero(graph.unit @ queries[i] >= slack).tolist()
-            return [j for s, j in near if s >= slack]
-
-        for i, t in zip(audit, truth, strict=True):
-            found[i] = links(i)
-            recall += len(t & set(found[i]))
-        recall = recall / wanted if wanted else 1.0
+                return np.flatnonzero(graph.unit @ queries[i] >= slack).tolist(), None
+            return [j for s, j in near if s >= slack], near
+
+        for i, (t, edge) in zip(audit, truth, strict=True):
+            found[i], near = links(i)
+            linked += len(t & set(found[i]))
+            close += n if near is None else sum(s >= edge for s, _ in near[:n])
+        recall = min(linked / wanted if wanted else 1.0, close / (n * len(truth)) if truth else 1.0)
         if recall >= RECALL:
-            return [found[i] if i in found else links(i) for i in range(len(queries))], recall, beam
+            return [found[i] if i in found else links(i)[0] for i in range(len(queries))], recall, beam
         if beam >= MOST_BEAM:
             return [np.flatnonzero(s >= slack).tolist() for s in queries @ graph.unit.T], 1.0, len(graph.unit)
         beam *= 2
