@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse, stats, vectors
-from tidemark.operators import bursts, clustering, evaluation, models, neighbours, sampling, views
+from tidemark.operators import bursts, clustering, evaluation, models, neighbours, sampling, sweep, views
 from tidemark.operators.components import connected_components
 from tidemark.sources.files import encode_columns, parse_logs
 from tidemark.sources.live import EventReader, waits
@@ -131,6 +131,43 @@ def test_split_ends_on_equal_points():
     assert np.bincount(clustering.split_rows(v, 40, 6, 0.5, 0.5)).max() <= 40
 
 
+def test_sweep_merges_as_merge_small(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f, i, i % 7 if i < 40 else i, [float(x) for x in rng.normal(size=4)]) for f in (0.5, 0.9) for i in range(44 if f == 0.5 else 30)]
+    df = spark.createDataFrame(rows, "drop_frac double, id long, cluster long, v array<double>")
+    got = sweep.merged_grid(df, (2, 6), (0.0, 0.4)).collect()
+    for f in (0.5, 0.9):
+        for m in (2, 6):
+            for t in (0.0, 0.4):
+                want = clustering.merge_small(df.where(F.col("drop_frac") == f).select("id", "cluster", "v"), m, t).collect()
+                assert sorted((r.id, r.cluster) for r in got if (r.drop_frac, r.min_size, r.threshold) == (f, m, t)) == sorted((r.id, r.cluster) for r in want)
+    assert sweep.shares([50, 30, 1], 20) == [12, 7, 1] and sweep.shares([3, 0, 1], 20) == [3, 0, 1] and sum(sweep.shares([1, 1, 98], 20)) == 20
+
+
+def test_sweeps_have_every_combination(spark):
+    rng = np.random.default_rng(5)
+    v = np.repeat(np.eye(4) * 5, 12, axis=0) + rng.normal(size=(48, 4)) * 0.3
+    df = spark.createDataFrame([(i, "t" if i % 5 else " ", x.tolist()) for i, x in enumerate(v)], "id long, text string, v array<double>")
+    got = {(r.drop_frac, r.min_size, r.threshold): r for r in sweep.judged_sweep(df, (0.0, 0.5), (2, 5), (0.0, 0.3), sample=3).collect()}
+    assert len(got) == 8 and all(0 < r.n_judged == r.n_sampled == min(3, r.n_clusters) and r.n_coherent == r.n_judged and r.coherence_rate == 100 for r in got.values())
+    none = sweep.judged_sweep(df, (0.5,), (2,), (0.0,), sample=3, judge=lambda vs: [None] * len(vs)).first()
+    assert (none.n_sampled > 0, none.n_judged, none.coherence_rate) == (True, 0, None)
+    assert sweep.cluster_counts(df, (2, 5), (0.0, 0.9)).count() == 4
+
+
+def test_days_are_clustered_apart(spark):
+    rng = np.random.default_rng(6)
+    v = np.array([1.0, 0, 0]) + rng.normal(size=(20, 3)) * 0.01
+    rows = [(i, f"day-{i % 2 if i < 19 else 2}", f"word{i} other{i * 7} third{i * 3}", x.tolist()) for i, x in enumerate(v)]
+    rows += [(100, "day-0", rows[0][2], v[0].tolist())]
+    got = {r.day: r for r in sweep.day_clusters(spark.createDataFrame(rows, "id long, day string, text string, v array<double>"), 0.9, 3, 3, sample=4).collect()}
+    assert sorted(got) == ["day-0", "day-1"]
+    for day, r in got.items():
+        ids = {x[0] for x in rows if x[1] == day}
+        assert r.cluster_size == len(ids) - (day == "day-0") and len(r.central_ids) == len(r.diverse_ids) == 4 and {*r.central_ids, *r.diverse_ids} <= ids
+        assert r.central_texts == [next(x[2] for x in rows if x[0] == i) for i in r.central_ids]
+
+
 def test_diverse_order_starts_central():
     v = np.array([[1.0, 0], [0.9, 0.1], [0, 1.0], [0.5, 0.5]])
     order = clustering.diverse_order(v, 3)

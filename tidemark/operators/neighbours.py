@@ -33,23 +33,23 @@ def _top(k: int, least: float, table: pa.Table) -> pa.Table:
     return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64()), "sim": pa.array(sim, pa.float64())})
 
 
-def nearest(vectors: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(src, dst, sim, rank): the k most similar of all rows for each row of (id, v), by exact cosine.
+def nearest(vectors: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS, by: str | None = None) -> DataFrame:
+    """(src, dst, sim, rank): the k most similar of all rows for each row of (id, v), by exact cosine; with `by`, of rows equal in it.
 
     Rows are dealt to blocks of bounded size and each two blocks meet in one task, so no task or broadcast holds all vectors; each
     block pair gives k rows for each of its rows, and ranks are cut before the last shuffle.
     """
-    rows = vectors.where("v is not null and size(v) > 0").select(F.col("id").cast("long").alias("id"), "v")
+    rows = vectors.where("v is not null and size(v) > 0").select(F.col("id").cast("long").alias("id"), "v", *([by] if by else []))
     blocks = max(1, -(-rows.count() // block_rows))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select("id", "v", F.lit(0).alias("side"), block.alias("i"), every.alias("j"))
-    right = rows.select("id", "v", F.lit(1).alias("side"), block.alias("j"), every.alias("i")).select(left.columns)
+    left = rows.select(*rows.columns, F.lit(0).alias("side"), block.alias("i"), every.alias("j"))
+    right = rows.select(*rows.columns, F.lit(1).alias("side"), block.alias("j"), every.alias("i")).select(left.columns)
 
     def top(table: pa.Table) -> pa.Table:
         return _top(k, least, table)
 
-    found = left.unionByName(right).groupBy("i", "j").applyInArrow(top, "src long, dst long, sim double")
+    found = left.unionByName(right).groupBy("i", "j", *([by] if by else [])).applyInArrow(top, "src long, dst long, sim double")
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -70,15 +70,18 @@ def knn_graph(vectors: DataFrame, k: int, drop_frac: float = 0.9) -> DataFrame:
     return symmetric(nearest(vectors, kept_neighbours(k, drop_frac)))
 
 
-def dbscan(vectors: DataFrame, eps: float = 0.7, min_samples: int = 5, min_cluster_size: int = 1, width: int | None = None) -> DataFrame:
-    """(id, cluster, core): density clusters on cosine; noise is left out.
+def dbscan(vectors: DataFrame, eps: float = 0.7, min_samples: int = 5, min_cluster_size: int = 1, width: int | None = None, by: str | None = None) -> DataFrame:
+    """(id, cluster, core): density clusters on cosine; noise is left out. With `by`, rows that are equal in it are clustered apart.
 
     A core has min_samples neighbours of similarity eps among its nearest `width`, not counting itself. Cores that are neighbours share
     a cluster; another row with a core neighbour joins that of the most similar. Below two cores there are no clusters.
     """
     width = width or search_width(vectors.count())
-    near = nearest(vectors, width, eps).select("src", "dst", "sim")
+    near = nearest(vectors, width, eps, by=by).select("src", "dst", "sim")
     cores = near.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples).select(F.col("src").alias("id"))
+    if by:
+        cores = cores.join(vectors.select("id", by), "id")
+        cores = cores.join(cores.groupBy(by).agg(F.count("*").alias("n")).where("n > 1"), by, "left_semi").select("id")
     if cores.limit(2).count() < 2:
         return vectors.sparkSession.createDataFrame([], "id long, cluster long, core boolean")
     to_core = near.join(cores.withColumnRenamed("id", "dst"), "dst", "left_semi")

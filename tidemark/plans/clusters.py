@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import centroids
-from tidemark.operators import clustering, models, neighbours
+from tidemark.operators import clustering, models, neighbours, sweep
 from tidemark.plans.tables import embedded, read
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -120,25 +120,31 @@ def diverse_sample(spark, d):
 
 @query()
 def cluster_pipeline(spark, d):
-    """ML-04/05/06/07, ML-14: neighbour graph, splitting, merging of small and of similar clusters."""
+    """ML-04/05/06/07: neighbour graph, splitting, merging of small and of similar clusters."""
     return clustering.cluster_knn_graph(_rows(spark, d), drop_frac=0.9, min_size=5, max_size=60, outlier_threshold=0.2, merge_threshold=0.6)
 
 
+@query()
+def day_clusters(spark, d):
+    """ML-14: density clusters of each day, near copies dropped, sampled and written by day. The day of a batch comes from its number."""
+    number = F.regexp_extract("source", r"(\d+)", 1).try_cast("int")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.coalesce(number, F.lit(0)) % 2).alias("day")
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", day)
+    return sweep.day_clusters(docs.join(_rows(spark, d), "id"), EPS, MIN_SAMPLES, MIN_SAMPLES)
+
+
 @query()
 def parameter_sweep(spark, d):
-    """ML-15/16, AGG-33: clusters by k and drop_frac from one neighbour table at the largest k."""
-    from tidemark.functions.vectors import kept_neighbours
-    from tidemark.storage import cut
+    """ML-15, AGG-33: clusters by k and drop_frac from one neighbour table at the largest k."""
+    return sweep.cluster_counts(_rows(spark, d), (2, 3, 5, 10, 15, 20, 30), (0.0, 0.5, 0.8, 0.9, 0.95))
 
-    rows = _rows(spark, d)
-    near, _ = cut(neighbours.nearest(rows, max(kept_neighbours(k, f) for k in (5, 10) for f in (0.8, 0.9))), "near")
-    out = None
-    for k in (5, 10):
-        for f in (0.8, 0.9):
-            named = neighbours.with_components(rows, neighbours.symmetric(near.where(F.col("rank") <= kept_neighbours(k, f))))
-            one = named.agg(F.countDistinct("cluster").alias("n")).select(F.lit(k).alias("k"), F.lit(f).alias("drop_frac"), "n")
-            out = one if out is None else out.unionByName(one)
-    return out
+
+@query()
+def judged_sweep(spark, d):
+    """ML-16, UDF-07: drop_frac, min_size and threshold by the stand-in's verdicts on sampled clusters, all rows as one day."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows = _rows(spark, d).join(docs, "id", "left")
+    return sweep.judged_sweep(rows, (0.0, 0.5, 0.8, 0.9, 0.95, 0.99), (2, 3, 5, 10), (0.0, 0.2))
 
 
 @query()
