@@ -68,6 +68,13 @@ def test_components(spark):
     assert got == {i: 0 for i in range(51)} | {100: 100, 101: 100}
 
 
+def test_sorted_ints():
+    rng = np.random.default_rng(0)
+    for n, top in ((0, 1), (1, 1), (5, 3), (1000, 10), (1000, 1 << 20), (3000, 1 << 37), (1000, 1 << 63), (2, (1 << 64) - 1)):
+        a = np.sort(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))
+        assert common.unpack_sorted(common.pack_sorted(a)).tolist() == a.tolist()
+
+
 def test_packed_ints():
     for v in ([], [0], [1, 255, 256], [2**64 - 1, 3]):
         a = np.array(v, np.uint64)
@@ -187,41 +194,28 @@ def test_suffix_dedup(spark, seed, monkeypatch):
     assert got == {r[0]: r[1:] for r in brute_repeats(list(enumerate(texts)), 50)}
 
 
-@pytest.mark.parametrize("step", [200, 700])
-def test_suffix_dedup_arrays_of_a_shard(step, monkeypatch):
-    """Several arrays in each shard: the first document of a passage keeps it, whichever array it is in."""
-    monkeypatch.setattr(suffix_dedup, "ARRAY_STEP", step)
-    monkeypatch.setattr(suffix_dedup, "TEXT_STEP", 1500)
-    texts = [t or "" for t in corpus(7, 64)] + ["ab" * 200, "b" * 50, "b" * 50 + "c"]
-    # Whole copies go before arrays are made.
-    rows = [(i, t) for i, t in enumerate(texts) if t not in texts[:i]]
-    shards, buckets, width = 2, 3, 50
-
-    def grouped(tables, key):
-        table = pa.concat_tables(tables)
-        of = np.array(table.column(key).to_pylist())
-        return {k: table.filter(pa.array(of == k)) for k in sorted(set(of.tolist()))}
-
-    parts = sorted(((i % shards, i, t) for i, t in random.Random(step).sample(rows, len(rows))), key=lambda p: p[0])
-    batch = pa.RecordBatch.from_arrays([pa.array([p[1] for p in parts], pa.int64()), pa.array([p[0] for p in parts], pa.int32()), pa.array([p[2] for p in parts]), pa.array([p[1] + 1000 for p in parts], pa.int64())], ["doc", "shard", "text", "tid"])
-    packed = pa.Table.from_batches(suffix_dedup._pack([batch]))
-    asked = pa.Table.from_batches(suffix_dedup._ask(width, buckets, packed.select(["shard", "sizes", "texts"]).to_batches()))
-    answers = grouped([suffix_dedup._answer(t) for t in grouped([asked], "bucket").values()], "shard")
-    made = [suffix_dedup._segment(width, buckets, t, answers[s]) for s, t in grouped([packed], "shard").items()]
-    assert all(sum(x is not None for x in t.column("a").to_pylist()) > 1 for t in made)
-    merged = [suffix_dedup._merge(t) for t in grouped(made, "bucket").values()]
-    spans = [r for t in grouped(merged, "shard").values() for r in suffix_dedup._spans(width, t).to_pylist()]
-    got = {r["doc"]: np.frombuffer(r["spans"], np.int64).reshape(-1, 2) for r in spans}
-    none = np.zeros((0, 2), np.int64)
-    have = {i: (int(np.diff(got.get(i, none)).sum()), len(got.get(i, none))) for i, _ in rows}
-    assert have == {r[0]: (r[2], r[3]) for r in brute_repeats(rows, width)}
+@pytest.mark.parametrize(("array", "step", "shard", "spare"), [(200, 1500, 3000, 10), (700, 64, 900, -20), (1 << 20, 1 << 20, 1, 0)])
+def test_suffix_dedup_parts(spark, array, step, shard, spare):
+    """Several arrays in a shard, long texts in parts, many shards, and keys so short that most anchors collide."""
+    texts = corpus(7, 64) + ["ab" * 200, "b" * 50, "b" * 50 + "c", "\0" * 80, "x" + "\0" * 60, "\0" * 79 + "y"]
+    docs = documents(spark, texts)
+    got = by_id(suffix_dedup.remove_repeats(docs, shard_bytes=shard, part_bytes=step, array_bytes=array, spare_bits=spare), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == {r[0]: r[1:] for r in brute_repeats(list(enumerate(texts)), 50)}
+
+
+@pytest.mark.parametrize("width", [3, 20, 130])
+def test_suffix_dedup_widths(spark, width):
+    texts = corpus(8, 40)
+    got = by_id(suffix_dedup.remove_repeats(documents(spark, texts), width=width), "n_removed", "n_spans")
+    assert got == {r[0]: r[2:4] for r in brute_repeats(list(enumerate(texts)), width)}
 
 
 def test_suffix_dedup_edges(spark):
     p = "0123456789" * 6
-    docs = spark.createDataFrame([(2, p), (2, p), (None, p + "z"), (2, p + "!"), (4, None)], "doc_id long, text string").withColumn("spans", F.lit(1))
-    got = suffix_dedup.remove_repeats(docs, carry=True).select("doc_id", "n_removed", "kept_text", "row.spans").collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(2, 0, p, 1), (2, 0, p, 1), (None, 60, "z", 1), (2, 0, p + "!", 1), (4, 0, "", 1)]))
+    docs = spark.createDataFrame([(2, p), (2, p), (None, p + "z"), (2, p + "!"), (4, None), (-5, "q" + p[:50]), (5, "")], "doc_id long, text string").withColumn("spans", F.lit(1)).withColumn("doc", F.lit("d"))
+    got = suffix_dedup.remove_repeats(docs, carry=True).select("doc_id", "n_removed", "kept_text", "row.spans", "row.doc").collect()
+    want = [(2, 60, "", 1), (2, 60, "", 1), (None, 60, "z", 1), (2, 60, "!", 1), (4, 0, None, 1), (-5, 0, "q" + p[:50], 1), (5, 0, "", 1)]
+    assert sorted(map(str, map(tuple, got))) == sorted(str((*w, "d")) for w in want)
     assert suffix_dedup.remove_repeats(docs.where("doc_id = 9")).count() == 0
 
 

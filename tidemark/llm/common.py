@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,10 @@ LOWER[65:91] += 32
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+PACKED_ROWS = "uid long, size long, rows binary"
+#: Tables of packed columns: small row groups, as a reader holds one at a time.
+PACKED_LAYOUT = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20)}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one."""
@@ -39,10 +44,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "step", partition_by: str | None = None) -> tuple[DataFrame, str]:
-    """Write df as Parquet into the shared folder and read it back, which cuts its lineage."""
+def materialize(df: DataFrame, name: str = "step", partition_by: str | None = None, packed: bool = False) -> tuple[DataFrame, str]:
+    """Write df as Parquet into the shared folder and read it back, which cuts its lineage. Packed columns are not compressed again."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.options(**PACKED_LAYOUT) if packed else df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -50,25 +55,65 @@ def materialize(df: DataFrame, name: str = "step", partition_by: str | None = No
 
 
 def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete tables that no later step reads, and let Spark clean the shuffles of plans that nothing refers to any more."""
+    """Delete tables that no later step reads."""
     jvm = spark.sparkContext._jvm
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    for _ in range(2):  # Spark's cleaner works beside the driver, and frees what the first pass has let go in the second
-        gc.collect()
-        jvm.System.gc()
-        time.sleep(0.5)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files that df reads, as the optimizer estimates them (no job runs)."""
-    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+def parts_of(n_bytes: int | None, bytes_each: int, least: int = 8) -> int:
+    """How many parts of bytes_each a measured number of bytes makes."""
+    return max(least, -(-(n_bytes or 0) // bytes_each))
+
+
+def pieces(docs: DataFrame, bytes_each: int, text_col: str = "text", least: int = 8) -> int:
+    """How many parts of about bytes_each the texts of docs make, by one aggregate that measures them."""
+    return parts_of(docs.agg(F.sum(F.octet_length(text_col))).first()[0], bytes_each, least)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in smaller ones, of at most `most` bytes in a string column or one row, so that few are Python objects at once."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        for i, j in chunks(at, most):
+            yield batch.slice(i, j - i)
+
+
+def _pack_rows(column: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get()
+    uid, held, size = (task.partitionId() if task else 0) << 32, [], 0
 
+    def packed() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([uid], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["uid", "size", "rows"])
 
-def pieces(df: DataFrame, bytes_each: int, least: int = 8, most: int = 1 << 17) -> int:
-    """How many parts of about bytes_each the input of df makes."""
-    return max(least, min(most, -(-input_bytes(df) // bytes_each)))
+    for batch in slices(batches, column, most):
+        n = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held and size + n > most:
+            yield packed()
+            uid, held, size = uid + 1, [], 0
+        held.append(batch)
+        size += n
+    if held:
+        yield packed()
+
+
+def pack_rows(df: DataFrame, text_col: str, most: int = 4 << 20) -> tuple[DataFrame, str]:
+    """A table of shards: (uid, size, rows), where rows has all columns of up to `most` bytes of text as a compressed Arrow stream.
+
+    Rows stay where they are read, nothing is shuffled; a longer text is a shard of its own. uid is unique within the table, and as
+    the table is written once, it means the same rows whenever it is read.
+    """
+    rows = df.mapInArrow(partial(_pack_rows, df.columns.index(text_col), most), PACKED_ROWS)
+    return materialize(rows, "shards", packed=True)
+
+
+def unpack_rows(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
 def select_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -189,3 +234,27 @@ def unpack_ints(data: bytes) -> np.ndarray:
     out = np.zeros(((len(data) - 1) // data[0], 8), np.uint8)
     out[:, : data[0]] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
     return out.view("<u8").ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit values by Elias and Fano: the base, then whole low bytes as they are and the rest as a bitmap of ones and zeros."""
+    values = np.ascontiguousarray(values, "<u8")
+    if not len(values):
+        return bytes(17)
+    base, rest = int(values[0]), values - values[0]
+    gap = max(int(rest[-1]) // len(values), 1).bit_length()
+    low = (gap + 4) // 8
+    high = (rest >> np.uint64(8 * low) if low < 8 else np.zeros(len(rest), np.uint64)).astype(np.int64)
+    ones = np.zeros(int(high[-1]) + len(values), np.uint8)
+    ones[high + np.arange(len(values))] = 1
+    return base.to_bytes(8, "little") + len(values).to_bytes(8, "little") + bytes([low]) + rest.view(np.uint8).reshape(-1, 8)[:, :low].tobytes() + np.packbits(ones).tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    base, n, low = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little"), data[16]
+    out = np.zeros((n, 8), np.uint8)
+    if low:
+        out[:, :low] = np.frombuffer(data, np.uint8, n * low, 17).reshape(n, low)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=17 + n * low)))[:n]
+    high = (ones - np.arange(n)).astype(np.uint64)
+    return out.view("<u8").ravel() + (high << np.uint64(8 * low) if low < 8 else high) + np.uint64(base)

@@ -1,10 +1,11 @@
 """Removal of repeated passages by suffix arrays over shards.
 
-Texts that occur more than once are represented by their first document. Every window of `width` bytes has an anchor, the least hash
-among its substrings of 4/5 of that; windows whose anchor no other document has cannot repeat and are left out, and what remains of each
-shard is a set of candidate segments. A shard's suffix array is made by Larsson-Sadakane refinement, its common prefixes by Kasai's
-walk, and suffixes that share `width` bytes form a class with its least document. Classes of all shards meet by hash range, where
-sorted runs are merged by binary search, and each array learns which of its classes begin in an earlier document elsewhere.
+Every window of `width` bytes has an anchor, the first of its substrings of 3/5 of that with the least hash. Equal windows have equal
+anchors at equal places, so windows whose anchor occurs in one document only can't repeat: hash ranges of anchors say which do. A
+shard sorts the suffixes of what remains by Larsson-Sadakane refinement and takes their common prefixes by Kasai's walk; the suffixes
+that begin at anchors go, with the bytes around them and once for each distinct surrounding, to the hash ranges as sorted runs. There
+the runs are merged by binary search, and prefixes and left sides that entries share give the least document of each window. Bytes
+decide: hashes only choose what is compared.
 """
 
 from __future__ import annotations
@@ -18,13 +19,17 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import chunks, drop, materialize, on_cogroup, on_group, pack_ints, pieces, prefix_sums, span_hashes, unpack_ints, utf8
+from tidemark.llm.common import drop, materialize, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, prefix_sums, span_hashes, unpack_ints, unpack_rows, unpack_sorted, utf8
 
-#: Bytes of text a step hashes, and bytes of segments in one suffix array.
-TEXT_STEP, ARRAY_STEP = 1 << 20, 1 << 20
+#: Bytes of text in a shard, bytes hashed at once, bytes of candidates in one suffix array, and bytes of text for each hash range.
+SHARD, TEXT_STEP, ARRAY_STEP, RANGE = 4 << 20, 1 << 20, 1 << 20, 12 << 20
 LANE = 512
 LAST = np.iinfo(np.int64).max
+_SIGN = np.uint64(1 << 63)
+_PLACE = np.uint64((1 << 31) - 1)
 
 
 def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
@@ -36,42 +41,73 @@ def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
     return f(x[: len(x) - (n - done)], x[n - done :]) if n > done else x
 
 
-def window_anchors(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of `width` bytes in the data, its anchor's hash, and whether the window lies within one row."""
-    half = max(1, width * 4 // 5)
-    n = len(data) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    start = np.arange(len(data) - half + 1)
-    grams = span_hashes(prefix_sums(data), start, start + half)
-    row = np.searchsorted(at, np.arange(n), "right")
-    return _slide(grams, width - half + 1, np.minimum), at[row] >= np.arange(n) + width
-
-
 def _runs(values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
+def gram_width(width: int) -> int:
+    return max(1, width * 3 // 5, width - 60)
+
+
+def _anchors_of(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    gram = gram_width(width)
+    n = len(data) - width + 1
+    if n <= 0:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+    start = np.arange(len(data) - gram + 1)
+    hashes = span_hashes(prefix_sums(data), start, start + gram)
+    # The place in the low bits makes the first of equals the least.
+    least = _slide((hashes & ~_PLACE) | start.astype(np.uint64), width - gram + 1, np.minimum)
+    place = (least & _PLACE).astype(np.int64)
+    window = np.arange(n)
+    inside = at[np.searchsorted(at, window, "right")] >= window + width
+    change = np.append(True, (place[1:] != place[:-1]) | (inside[1:] != inside[:-1]))
+    low = np.flatnonzero(change)
+    high = np.append(low[1:], n) - 1
+    sound = inside[low]
+    low, high = low[sound], high[sound]
+    return place[low], low, high, hashes[place[low]]
+
+
+def anchors(data: np.ndarray, at: np.ndarray, width: int, step: int = TEXT_STEP) -> tuple[np.ndarray, ...]:
+    """(place, first window, last window, hash) of each anchor: the windows of `width` bytes within a row that have it."""
+    out, i, rows = [], 0, len(at) - 1
+    while i < rows:  # rows of up to `step` bytes at once, longer rows in overlapping parts
+        j = max(i + 1, int(np.searchsorted(at, at[i] + step, "right")) - 1)
+        a, b = int(at[i]), int(at[j])
+        if b - a <= 2 * step:
+            out.append([x if k == 3 else x + a for k, x in enumerate(_anchors_of(data[a:b], at[i : j + 1] - a, width))])
+        else:
+            for s in range(a, b, step):
+                e = min(s + step + width - 1, b)
+                if e - s >= width:
+                    out.append([x if k == 3 else x + s for k, x in enumerate(_anchors_of(data[s:e], np.array([0, e - s]), width))])
+        i = j
+    place, low, high, code = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k == 3 else np.int64) for k in range(4))
+    first = _runs(place)  # two parts may share an anchor
+    return place[first], low[first], high[np.append(first[1:], len(place)) - 1] if len(first) else high, code[first]
+
+
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """Suffixes in full order (Larsson-Sadakane: doubling, where only unsorted groups are refined).
+    """Suffixes of symbols below 511 in full order (Larsson-Sadakane: doubling, where only unsorted groups are refined).
 
-    The order must be full: Kasai's walk relies on it that dropping the first byte of two suffixes keeps their order.
+    The order must be full: Kasai's walk relies on it that dropping the first symbol of two suffixes keeps their order.
     """
     n = len(data)
-    padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = data
+    padded = np.zeros(n + 7, np.uint64)
+    padded[:n] = data.astype(np.uint64) + np.uint64(1)  # the end is less than any symbol
     key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k : k + n]
+    for k in range(7):
+        key = (key << np.uint64(9)) | padded[k : k + n]
     order = np.argsort(key, kind="stable")
-    fresh = np.append(True, key[order][1:] != key[order][:-1])
+    fresh = np.append(True, key[order][1:] != key[order][:-1])[:n]
     rank = np.empty(n, np.int64)
     group = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     rank[order] = group
-    h = 8
+    h = 7
     while True:
-        alone = fresh & np.append(fresh[1:], True)
+        alone = fresh & np.append(fresh[1:], True)[:n]
         open_ = np.flatnonzero(~alone)
         if not len(open_):
             break
@@ -95,7 +131,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     Kasai's walk in text order, where a length falls by one at most from place to place; many stretches of the text walk at once.
     """
     n = len(data)
-    padded = np.zeros(n + most + LANE + 1, np.uint8)
+    padded = np.zeros(n + most + LANE + 1, data.dtype)
     padded[:n] = data
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
@@ -120,257 +156,277 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     return out[order]
 
 
-def _anchor_keys(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct anchors of the rows, sorted, and whether several rows have them."""
-    anchor, inside = window_anchors(data, at, width)
-    begin = _runs(anchor)
-    begin = np.union1d(begin, at[:-1][at[:-1] < len(anchor)])
-    begin = begin[inside[begin]] if len(anchor) else begin
-    # A run may begin outside a row and go on inside; those begin at the row's start, which is among the places.
-    key, row = anchor[begin], np.searchsorted(at, begin, "right")
-    order = np.lexsort((row, key))
-    key, row = key[order], row[order]
-    first = _runs(key)
-    several = np.maximum.reduceat(row, first) != row[first] if len(first) else np.zeros(0, bool)
-    return key[first], several
+def _shard(rows: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """All columns, the bytes, the offsets and the documents of a shard's rows."""
+    table = unpack_rows(rows)
+    data, at = utf8(table.column("text"))
+    return table, data, at, table.column("doc").to_numpy()
 
 
-PACKED = "shard int, docs binary, tids binary, sizes binary, texts binary"
+def _asked(key: np.ndarray, row: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct anchor keys, whether several documents have them, and the key of each anchor by its number."""
+    key, of = np.unique(key >> np.uint64(64 - bits), return_inverse=True)
+    low, high = np.full(len(key), LAST), np.full(len(key), -LAST - 1)
+    np.minimum.at(low, of, doc[row])
+    np.maximum.at(high, of, doc[row])
+    return key, low != high, of
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Steps of a shard's texts as single rows, compressed."""
-    squeeze = zstandard.ZstdCompressor(level=9).compress
-    for batch in batches:
-        data, at = utf8(batch.column(2))
-        shard, doc, tid = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 0, 3))
-        cuts = np.append(_runs(shard), len(shard)).tolist()
-        rows = []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            for i, j in chunks(at[a : b + 1], TEXT_STEP):
-                x = slice(a + i, a + j)
-                rows.append((int(shard[a]), doc[x].tobytes(), tid[x].tobytes(), np.diff(at[a + i : a + j + 1]).tobytes(), squeeze(data[at[a + i] : at[a + j]].tobytes())))
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["shard", "docs", "tids", "sizes", "texts"])
+def _edges(key: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    """Where sorted keys pass from one hash range to the next."""
+    return np.searchsorted(key, np.array([-(-(k << bits) // buckets) for k in range(buckets)], np.uint64)).tolist() + [len(key)]
 
 
-def _texts(sizes: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(texts, max_output_size=int(at[-1])), np.uint8), at
+ASK = "bucket int, uid long, keys binary, several binary"
 
 
-def _ask(width: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, shard, keys, several) for the anchors of each step of a shard's rows."""
+def _ask(width: int, step: int, buckets: int, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchor keys of each shard, by hash range."""
     for batch in batches:
-        for shard, sizes, texts in zip(*(batch.column(c).to_pylist() for c in ("shard", "sizes", "texts")), strict=True):
-            key, several = _anchor_keys(*_texts(sizes, texts), width)
-            edge = _edges(key, buckets)
-            cols = list(zip(*[(k, pack_ints(np.diff(key[edge[k] : edge[k + 1]], prepend=np.uint64(0))), several[edge[k] : edge[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edge)).tolist()], strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([shard] * len(cols[0]), pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], ["bucket", "shard", "keys", "several"])
+        for uid, rows in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            _, data, at, doc = _shard(rows.as_buffer())
+            place, _, _, code = anchors(data, at, width, step)
+            key, several, _ = _asked(code, np.searchsorted(at, place, "right") - 1, doc, bits)
+            edge = _edges(key, buckets, bits)
+            out = [(k, uid, pack_sorted(key[a:b]), np.packbits(several[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if a < b]
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "uid", "keys", "several"])
 
 
-def _edges(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted keys pass from one hash range to the next."""
-    return np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
+def _answer(table: pa.Table) -> pa.Table:
+    """For each shard's keys of a hash range, which of them several documents have."""
+    runs = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
+    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(r)) for x, r in zip(table.column("several").to_pylist(), runs, strict=True)]).astype(bool)
+    _, of, count = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+    many = count > 1
+    many[of[several]] = True
+    bits = [np.packbits(x).tobytes() for x in np.split(many[of], np.cumsum([len(r) for r in runs])[:-1])]
+    return pa.table({"uid": table.column("uid"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
-def _by_shard(table: pa.Table, runs: list[np.ndarray]) -> pa.Table:
-    shards = table.column("shard").to_pylist()
-    return pa.table({"shard": pa.array(shards, pa.int32()), "keys": pa.array([r.tobytes() for r in runs], pa.binary())})
+FIELDS = "bucket long, uid long, array int, run binary, docs binary"
+KINDS = (("bucket", pa.int64()), ("uid", pa.int64()), ("array", pa.int32()), ("run", pa.binary()), ("docs", pa.binary()))
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Of each row's anchors, those that several documents have."""
-    runs = [np.cumsum(unpack_ints(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
-    several = [np.frombuffer(x, bool) for x in table.column("several").to_pylist()]
-    key, count = np.unique(np.concatenate(runs), return_counts=True)
-    many = count > 1
-    for r, s in zip(runs, several, strict=True):
-        many[np.searchsorted(key, r[s])] = True
-    return _by_shard(table, [r[many[np.searchsorted(key, r)]] for r in runs])
+def _rows(rows: list[tuple]) -> pa.Table:
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(KINDS)})
 
 
-def _member(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(values), bool)
-    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
+def _columns(matrix: np.ndarray) -> list[np.ndarray]:
+    """Rows of bytes as big-endian integers, first bytes first: they compare like the bytes."""
+    wide = np.zeros((len(matrix), -(-matrix.shape[1] // 8) * 8), np.uint8)
+    wide[:, : matrix.shape[1]] = matrix
+    return list(wide.view(">u8").astype(np.uint64).T)
 
 
-EMPTY = {"bucket": pa.int32(), "shard": pa.int32(), "array": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "e": pa.binary()}
-FIELDS = "bucket int, shard int, array int, a binary, b binary, c binary, d binary, e binary"
+def _squeeze(*parts: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([len(p).to_bytes(4, "little") + p for p in parts]))
 
 
-def _rows(rows: list[tuple]) -> pa.Table:
-    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(EMPTY.items())})
-
-
-def _classes(segments: list[tuple], width: int, buckets: int, shard: int, array: int) -> Iterator[tuple]:
-    """From (document, text id, start, bytes): an array's segments with local repeats, and its classes by bucket."""
-    data = np.concatenate([s[3] for s in segments])
-    size = np.array([len(s[3]) for s in segments])
-    end = np.repeat(np.cumsum(size), size)
-    whole = end - np.arange(len(data)) >= width
-    owner = np.repeat(np.array([s[0] for s in segments], np.int64), size)
-    order = suffix_array(data)
-    fresh = common_prefixes(data, order, width) < width
-    fresh[0] = True
+def _loosen(data: bytes) -> list[bytes]:
+    data, out, at = zstandard.ZstdDecompressor().decompress(data), [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return out
+
+
+def _entries(data: np.ndarray, stop: np.ndarray, doc: np.ndarray, anchor: tuple[np.ndarray, ...], width: int, buckets: int, uid: int, array: int) -> Iterator[tuple]:
+    """Sorted runs of the suffixes at some anchors of a shard, by hash range; bucket -1 - uid keeps where they occur.
+
+    stop and doc are the row end and document of each anchor.
+    """
+    place, low, high, bucket = anchor
+    end = np.minimum(place + width, stop)
+    first = np.flatnonzero(np.append(True, (low[1:] > np.maximum.accumulate(end)[:-1]) | (stop[1:] != stop[:-1])))
+    begin, length = low[first], np.maximum.reduceat(end, first) - low[first]
+    shift = np.cumsum(length + 1) - (length + 1)
+    symbols = data[np.minimum(np.repeat(begin - shift, length + 1) + np.arange((length + 1).sum()), len(data) - 1)].astype(np.uint16) + np.uint16(1)
+    symbols[shift + length] = 0  # less than any byte: a suffix ends with its row
+    of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(place))))
+    order = suffix_array(symbols)
+    which = np.full(len(symbols), -1)
+    which[place - begin[of] + shift[of]] = np.arange(len(place))
+    at = np.flatnonzero(which[order] >= 0)
+    by = which[order[at]]
+    prefix = np.minimum.reduceat(common_prefixes(symbols, order, width + 1)[: at[-1] + 1], np.append(0, at[:-1] + 1))
+    place, low, high, stop, doc, bucket = (x[by] for x in (place, low, high, stop, doc, bucket))
+    # Suffixes with equal bytes up to the row's end, or for `width` bytes, are one group of the run.
+    size = np.minimum(stop - place, width)
+    group = np.cumsum(np.append(True, prefix[1:] < np.minimum(size[1:] + 1, width)))
+    margin = width - gram_width(width)
+    reach = np.arange(width)
+    right = np.where(reach < size[:, None], data[np.minimum(place[:, None] + reach, len(data) - 1)], 0).astype(np.uint8)
+    back = np.arange(1, margin + 1)
+    left = np.where(back <= (place - low)[:, None], data[np.maximum(place[:, None] - back, 0)], 0).astype(np.uint8)
+    record = np.concatenate([right, size[:, None].astype(np.uint8), left, (place - high)[:, None].astype(np.uint8), (place - low)[:, None].astype(np.uint8)], axis=1)
+    tail = _columns(record[:, width + 1 :])
+    by = np.lexsort((*tail[::-1], group, bucket))
+    place, low, high, doc, bucket, group, record = (x[by] for x in (place, low, high, doc, bucket, group, record))
+    fresh = np.append(True, (group[1:] != group[:-1]) | (bucket[1:] != bucket[:-1]))
+    for c in tail:
+        fresh[1:] |= c[by][1:] != c[by][:-1]
     first = np.flatnonzero(fresh)
-    least = np.minimum.reduceat(np.where(whole[order], owner[order], LAST), first)
-    repeats = np.zeros(len(data), bool)
-    repeats[order] = owner[order] > np.repeat(least, np.diff(np.append(first, len(data))))
-    repeats &= whole
-    # One full window of each class, for its hash.
-    some = np.minimum.reduceat(np.where(whole[order], order, len(data)), first)
-    least, some = least[some < len(data)], some[some < len(data)]
-    key = span_hashes(prefix_sums(data), some, some + width)
-    by = np.argsort(key)
-    key, least = key[by], least[by]
-    head = np.array([[s[0], s[1], s[2], len(s[3])] for s in segments], np.int64)
-    # A bucket of its own number carries the segments through the exchange.
-    yield (-1 - shard, shard, array, head.tobytes(), data.tobytes(), np.packbits(repeats).tobytes(), None, None)
-    edge = _edges(key, buckets)
-    for k in np.flatnonzero(np.diff(edge)).tolist():
-        x = slice(edge[k], edge[k + 1])
-        low = int(least[x].min())
-        yield (k, shard, array, None, None, None, pack_ints(np.diff(key[x], prepend=np.uint64(0))), low.to_bytes(8, "little", signed=True) + pack_ints((least[x] - low).view(np.uint64)))
-
-
-def _segment(width: int, buckets: int, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """Cut a shard's texts to candidate segments and sort their suffixes, in arrays of bounded size."""
-    keys = np.unique(np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64))
-    out, held, size, arrays = [], [], 0, 0
-    # In one order whenever this runs, as numbers of arrays must mean the same again.
-    for shard, docs, ids, sizes, packed in sorted(zip(*(texts.column(c).to_pylist() for c in ("shard", "docs", "tids", "sizes", "texts")), strict=True)):
-        part, local = _texts(sizes, packed)
-        docs, ids = np.frombuffer(docs, np.int64).tolist(), np.frombuffer(ids, np.int64).tolist()
-        anchor, inside = window_anchors(part, local, width)
-        begin = _runs(anchor)
-        maybe = np.repeat(_member(keys, anchor[begin]), np.diff(np.append(begin, len(anchor)))) & inside
-        # Windows of one segment follow one another within a row.
-        start = np.flatnonzero(maybe & ~np.append(False, maybe[:-1]))
-        stop = np.flatnonzero(maybe & ~np.append(maybe[1:], False)) + width if len(maybe) else start
-        row = np.searchsorted(local, start, "right") - 1
-        for r, a, b in zip(row.tolist(), start.tolist(), stop.tolist(), strict=True):
-            held.append((docs[r], ids[r], a - int(local[r]), part[a:b]))
-            size += b - a
-            if size > ARRAY_STEP:
-                out += _classes(held, width, buckets, shard, arrays)
-                held, size, arrays = [], 0, arrays + 1
-    if held:
-        out += _classes(held, width, buckets, shard, arrays)
+    count = np.diff(np.append(first, len(fresh)))
+    least = np.minimum.reduceat(doc, first)
+    own = _squeeze(pack_ints(count), pack_ints(place), np.packbits(doc > np.repeat(least, count)).tobytes(), record[first, -2].tobytes(), record[first, -1].tobytes())
+    yield (-1 - uid, uid, array, own, None)
+    record, bucket = record[first], bucket[first]
+    edge = np.append(_runs(bucket), len(bucket)).tolist()
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        docs = least[a:b].view(np.uint64) ^ _SIGN
+        base = docs.min()
+        yield (int(bucket[a]), uid, array, _squeeze(record[a:b].tobytes()), int(base).to_bytes(8, "little") + pack_ints(docs - base))
+
+
+def _segment(width: int, step: int, most: int, buckets: int, bits: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sort the suffixes of a shard's candidates, in arrays of bounded size."""
+    out = []
+    said = dict(zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True))
+    for uid, rows in zip(shards.column("uid").to_pylist(), shards.column("rows"), strict=True):
+        _, data, at, doc = _shard(rows.as_buffer())
+        place, low, high, code = anchors(data, at, width, step)
+        row = np.searchsorted(at, place, "right") - 1
+        key, _, of = _asked(code, row, doc, bits)
+        edge = _edges(key, buckets, bits)
+        many = np.zeros(len(key), bool)
+        for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+            if a < b:
+                many[a:b] = np.unpackbits(np.frombuffer(said[k], np.uint8), count=b - a).astype(bool)
+        bucket = np.repeat(np.arange(buckets), np.diff(edge))[of] if len(of) else of
+        pick = np.flatnonzero(many[of])
+        if not len(pick):
+            continue
+        weight = np.cumsum(np.append(width, np.minimum(np.diff(place[pick]), 2 * width)))
+        for array, part in enumerate(np.split(pick, _runs(weight // most)[1:])):
+            out += _entries(data, at[row[part] + 1], doc[row[part]], (place[part], low[part], high[part], bucket[part]), width, buckets, uid, array)
     return _rows(out)
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """Of each array's classes in a hash range, those that begin in an earlier document elsewhere. Segments pass through."""
+def _merged(keys: list[np.ndarray]) -> np.ndarray:
+    """The order in which sorted runs, one after another, become one run: pairs are merged by binary search until one is left."""
+    at = np.cumsum([0] + [len(k) for k in keys])
+    held = [(k, np.arange(a, a + len(k))) for k, a in zip(keys, at, strict=False)]
+    while len(held) > 1:
+        after = []
+        for (a, i), (b, j) in zip(held[::2], held[1::2], strict=False):
+            to = np.searchsorted(a, b, "right") + np.arange(len(b))
+            rest = np.ones(len(a) + len(b), bool)
+            rest[to] = False
+            key, index = np.empty(len(rest), a.dtype), np.empty(len(rest), np.int64)
+            key[to], key[rest], index[to], index[rest] = b, a, j, i
+            after.append((key, index))
+        held = after + held[len(held) // 2 * 2 :]
+    return held[0][1]
+
+
+def _merge(width: int, table: pa.Table) -> pa.Table:
+    """For each entry of a hash range a mask: bit r says that an earlier document has the window that begins r bytes before the anchor."""
     if table.column("bucket")[0].as_py() < 0:
         return table
-    runs = [np.cumsum(unpack_ints(x), dtype=np.uint64) for x in table.column("d").to_pylist()]
-    least = [int.from_bytes(x[:8], "little", signed=True) + unpack_ints(x[8:]).view(np.int64) for x in table.column("e").to_pylist()]
-    key = np.unique(np.concatenate(runs))
-    best = np.full(len(key), LAST)
-    places = [np.searchsorted(key, r) for r in runs]
-    for p, x in zip(places, least, strict=True):
-        best[p] = np.minimum(best[p], x)
-    shards, arrays = (table.column(c).to_pylist() for c in ("shard", "array"))
-    return _rows([(-1 - s, s, n, None, None, None, r[late].tobytes(), None) for s, n, r, p, x in zip(shards, arrays, runs, places, least, strict=True) if (late := best[p] < x).any()])
-
-
-def _spans(width: int, table: pa.Table) -> pa.Table:
-    """(doc, tid, spans) of a shard: maximal runs of removed bytes as pairs of offsets."""
-    runs: dict[int, list[bytes]] = {}
-    for array, keys in zip(*(table.column(c).to_pylist() for c in ("array", "d")), strict=True):
-        if keys is not None:
-            runs.setdefault(array, []).append(keys)
-    found: dict[tuple[int, int], list] = {}
-    for array, head, data, bits in zip(*(table.column(c).to_pylist() for c in ("array", *"abc")), strict=True):
-        if head is None:
-            continue
-        # Late in one array may be first in another of the shard.
-        late = np.unique(np.frombuffer(b"".join(runs.get(array, [])), np.uint64))
-        data = np.frombuffer(data, np.uint8)
-        gone = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(data)).astype(bool)
-        start = np.arange(len(data) - width + 1)
-        gone[start] |= _member(late, span_hashes(prefix_sums(data), start, start + width))
-        at = 0
-        for doc, tid, place, n in np.frombuffer(head, np.int64).reshape(-1, 4).tolist():
-            hit = np.flatnonzero(gone[at : at + n - width + 1])
-            at += n
-            if len(hit):
-                cut = np.flatnonzero(np.diff(hit) > width)
-                found.setdefault((doc, tid), []).extend(zip((hit[np.append(0, cut + 1)] + place).tolist(), (hit[np.append(cut, len(hit) - 1)] + place + width).tolist(), strict=True))
+    margin = width - gram_width(width)
+    wide = width + margin + 3
+    parts = [np.frombuffer(_loosen(x)[0], np.uint8).reshape(-1, wide) for x in table.column("run").to_pylist()]
+    docs = np.concatenate([(unpack_ints(x[8:]) + np.uint64(int.from_bytes(x[:8], "little")) ^ _SIGN).view(np.int64) for x in table.column("docs").to_pylist()])
+    order = _merged([np.ascontiguousarray(p[:, : width + 1]).view(f"S{width + 1}").ravel() for p in parts])
+    record = np.concatenate(parts)[order]
+    doc = docs[order]
+    n = len(record)
+    cut = lambda a: np.append(0, np.where((a[1:] == a[:-1]).all(axis=1), a.shape[1], (a[1:] != a[:-1]).argmax(axis=1)))
+    prefix = cut(record[:, :width])
+    left = record[:, width + 1 : width + 1 + margin]
+    by = np.lexsort(_columns(left)[::-1]) if margin else np.arange(n)
+    shared = cut(left[by]) if margin else np.zeros(n, np.int64)
+    near, far = record[:, -2], record[:, -1]
+    mask = np.zeros(n, np.uint64)
+    side = np.empty(n, np.int64)
+    for r in range(margin + 1):
+        pick = np.flatnonzero((near <= r) & (r <= far))
+        if len(pick):
+            side[by] = np.cumsum(shared < r)
+            both = np.cumsum(prefix < width - r)[pick] * (n + 1) + side[pick]
+            to = np.argsort(both, kind="stable")
+            first = _runs(both[to])
+            least = np.repeat(np.minimum.reduceat(doc[pick[to]], first), np.diff(np.append(first, len(to))))
+            mask[pick[to]] |= (doc[pick[to]] > least).astype(np.uint64) << np.uint64(r)
+    back = np.empty(n, np.uint64)
+    back[order] = mask
+    masks = np.split(back, np.cumsum([len(p) for p in parts])[:-1])
+    uids, arrays, buckets = (table.column(c).to_pylist() for c in ("uid", "array", "bucket"))
+    return _rows([(b, u, a, _squeeze(pack_ints(m)), None) for b, u, a, m in zip(buckets, uids, arrays, masks, strict=True)])
+
+
+def removed_bytes(width: int, n: int, parts: pa.Table) -> np.ndarray:
+    """Which of a shard's n bytes are removed, from where its entries occur and their masks."""
+    gone = np.zeros(n, bool)
+    found = sorted(zip(*(parts.column(c).to_pylist() for c in ("array", "bucket", "run")), strict=True), key=lambda x: x[:2])
+    for array in sorted({a for a, _, _ in found}):
+        own = _loosen(next(x for a, b, x in found if a == array and b < 0))
+        count, place = unpack_ints(own[0]).astype(np.int64), unpack_ints(own[1]).astype(np.int64)
+        later = np.unpackbits(np.frombuffer(own[2], np.uint8), count=len(place)).astype(bool)
+        near, far = (np.frombuffer(x, np.uint8).astype(np.uint64) for x in own[3:5])
+        every = (np.uint64(2) << far) - (np.uint64(1) << near)
+        mask = np.concatenate([unpack_ints(_loosen(x)[0]) for a, b, x in found if a == array and b >= 0])
+        mask = np.where(later, np.repeat(every, count), np.repeat(mask, count))
+        for r in range(width - gram_width(width) + 1):
+            gone[place[(mask >> np.uint64(r)) & np.uint64(1) == 1] - r] = True
+    place = np.arange(n, dtype=np.int32)
+    return place - np.maximum.accumulate(np.where(gone, place, np.int32(-width))) < width if n else gone
+
+
+def _finish(width: int, schema: pa.Schema, shards: pa.Table, parts: pa.Table) -> pa.Table:
+    """The rows of a shard with what is left of their texts."""
     out = []
-    for (doc, tid), spans in found.items():
-        merged: list[list[int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
-        out.append((doc, tid, np.array(merged, np.int64).tobytes()))
-    doc, tid, spans = zip(*out, strict=True) if out else ((), (), ())
-    return pa.table({"doc": pa.array(doc, pa.int64()), "tid": pa.array(tid, pa.int64()), "spans": pa.array(spans, pa.binary())})
-
-
-def _keep(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, at = utf8(batch.column(1))
-        rows = []
-        for i, (copy, spans) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            text = data[at[i] : at[i + 1]].tobytes()
-            cut = [(0, len(text))] if copy and len(text) >= width else np.frombuffer(spans or b"", np.int64).reshape(-1, 2).tolist()
-            kept, last = [], 0
-            for a, b in cut:
-                kept.append(text[last:a])
-                last = b
-            kept.append(text[last:])
-            kept = b"".join(kept)
-            rows.append((len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept))
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        more = [pa.array([k.decode("utf-8", "ignore") for k in cols[4]], pa.string()), batch.column(4)] if batch.num_columns > 4 else []
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], *more], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *["kept_text", "row"][: len(more)]])
-
-
-def repeated_spans(docs: DataFrame, width: int = 50) -> tuple[DataFrame, list[str]]:
-    """From (doc, text, tid): (doc, tid, copy, spans) of every distinct pair, and the tables that this reads.
-
-    copy marks a text that a smaller document has as a whole; spans are pairs of byte offsets.
-    """
-    spark = docs.sparkSession
-    facts, facts_at = materialize(docs.select("doc", "tid").distinct(), "facts")
-    first, first_at = materialize(facts.groupBy("tid").agg(F.min("doc").alias("doc")), "first")
-    shards = pieces(docs, 4 << 20)
-    shard = F.pmod(F.xxhash64("doc", "tid"), F.lit(shards)).cast("int").alias("shard")
-    held, held_at = materialize(docs.join(first, ["doc", "tid"]).select("doc", shard, "text", "tid").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_pack, PACKED), "texts")
-    drop(spark)
-    asked = "bucket int, shard int, keys binary, several binary"
-    answers, answers_at = materialize(held.select("shard", "sizes", "texts").mapInArrow(partial(_ask, width, shards), asked).groupBy("bucket").applyInArrow(on_group(_answer), "shard int, keys binary"), "anchors")
-    drop(spark)
-    merged, merged_at = materialize(held.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(on_cogroup(_segment, width, shards), FIELDS).groupBy("bucket").applyInArrow(on_group(_merge), FIELDS), "merged")
-    drop(spark, held_at, answers_at)
-    spans, spans_at = materialize(merged.groupBy("shard").applyInArrow(on_group(_spans, width), "doc long, tid long, spans binary").dropDuplicates(["doc", "tid"]), "spans")
-    drop(spark, merged_at)
-    copies = facts.join(first.select("tid", F.col("doc").alias("least")), "tid").select("doc", "tid", (F.col("doc") > F.col("least")).alias("copy"))
-    plan, plan_at = materialize(copies.join(spans, ["doc", "tid"], "left"), "plan")
-    drop(spark, facts_at, first_at, spans_at)
-    return plan, [plan_at]
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, carry: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of docs; with carry also kept_text and `row`, a struct
-    of its columns; kept_text leaves out characters that a cut splits.
+    for rows in shards.column("rows"):
+        table, data, at, doc = _shard(rows.as_buffer())
+        gone = removed_bytes(width, len(data), parts)
+        sums = np.concatenate([[0], np.cumsum(gone)])
+        rise = gone.copy()
+        rise[1:] &= ~gone[:-1]
+        rise[at[:-1][at[:-1] < len(data)]] = gone[at[:-1][at[:-1] < len(data)]]
+        spans = np.concatenate([[0], np.cumsum(rise)])
+        left = data[~gone].tobytes()
+        edge = (at - sums[at]).tolist()
+        kept = [left[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        cols = {
+            "doc_id": pa.array(doc, mask=doc == LAST),
+            "n_bytes": pa.array(np.diff(at)),
+            "n_removed": pa.array(np.diff(sums[at])),
+            "n_spans": pa.array(np.diff(spans[at])),
+            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+            "kept": pa.array(kept, pa.binary()),
+        }
+        if "row" in table.column_names:
+            absent = table.column("text").is_null().to_numpy()
+            cols["kept_text"] = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string(), mask=absent)
+            cols["row"] = table.column("row")
+        out.append(pa.table(cols).cast(schema))
+    return pa.concat_tables(out)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, carry: bool = False, shard_bytes: int = SHARD, part_bytes: int = TEXT_STEP, array_bytes: int = ARRAY_STEP, spare_bits: int = 10) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of docs; with carry also kept_text, null for a null text
+    and without characters that a cut splits, and `row`, a struct of the other columns.
 
     Removed is each byte covered by `width` bytes that also start in a document of smaller id. Null and empty texts, and texts shorter
-    than `width`, lose nothing. Rows that share an id are one document, so they don't take from one another; null ids come last and
-    are one document. Repeated rows stay. Without carry other columns are not read. Windows of different shards are compared by
-    64-bit hashes.
+    than `width`, lose nothing; very long texts are shards of their own, hashed and sorted in parts. Rows that share an id are one
+    document, so they don't take from one another; null ids come last and are one document. Repeated rows stay; an empty table stays
+    empty. Without carry other columns are not read. A key of an anchor has spare_bits more bits than tell the windows of the corpus
+    apart; fewer would only make more candidates.
     """
-    extra = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns])} if carry else {}
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64(F.sha2(F.encode(text, "utf-8"), 256)).alias("tid"), *[c.alias(n) for n, c in extra.items()])
-    plan, _ = repeated_spans(rows.select("doc", "text", "tid"), width)
-    joined = rows.join(plan, ["doc", "tid"]).select(F.when(F.col("doc") < LAST, F.col("doc")).alias("doc_id"), "text", "copy", "spans", *extra)
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    kind = f", kept_text string, row {rows.schema['row'].dataType.simpleString()}" if carry else ""
-    return joined.mapInArrow(partial(_keep, width), fields + kind)
+    spark = docs.sparkSession
+    extra = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")] if carry else []
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"), *extra)
+    shards, _ = pack_rows(rows, "text", shard_bytes)
+    total = shards.agg(F.sum("size")).first()[0] or 0
+    buckets, bits = parts_of(total, RANGE), min(63, max(8, total.bit_length() + spare_bits - 3))
+    answers = shards.mapInArrow(partial(_ask, width, part_bytes, buckets, bits), ASK).groupBy("bucket").applyInArrow(on_group(_answer), "uid long, bucket int, bits binary")
+    answers, answers_at = materialize(answers, "anchors", packed=True)
+    runs = shards.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(on_cogroup(_segment, width, part_bytes, array_bytes, buckets, bits), FIELDS)
+    marks, _ = materialize(runs.groupBy("bucket").applyInArrow(on_group(_merge, width), FIELDS), "marks", packed=True)
+    drop(spark, answers_at)
+    schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    if carry:
+        schema = schema.add("kept_text", "string").add("row", rows.schema["row"].dataType)
+    return shards.groupBy("uid").cogroup(marks.groupBy("uid")).applyInArrow(on_cogroup(_finish, width, to_arrow_schema(schema)), schema)
