@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import drop, materialize, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, prefix_sums, span_hashes, unpack_ints, unpack_rows, unpack_sorted, utf8
+from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, prefix_sums, span_hashes, unpack_ints, unpack_rows, unpack_sorted, utf8
 
 #: Bytes of text in a shard, bytes hashed at once, bytes of candidates in one suffix array, and bytes of text for each hash range.
 SHARD, TEXT_STEP, ARRAY_STEP, RANGE = 4 << 20, 1 << 20, 1 << 20, 12 << 20
@@ -67,7 +67,7 @@ def _anchors_of(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarra
     high = np.append(low[1:], n) - 1
     sound = inside[low]
     low, high = low[sound], high[sound]
-    return place[low], low, high, hashes[place[low]]
+    return place[low], low, high, mix64(hashes[place[low]] ^ _SIGN)  # the least of many are small: spread them again
 
 
 def anchors(data: np.ndarray, at: np.ndarray, width: int, step: int = TEXT_STEP) -> tuple[np.ndarray, ...]:
@@ -256,10 +256,12 @@ def _entries(data: np.ndarray, stop: np.ndarray, doc: np.ndarray, anchor: tuple[
     size = np.minimum(stop - place, width)
     group = np.cumsum(np.append(True, prefix[1:] < np.minimum(size[1:] + 1, width)))
     margin = width - gram_width(width)
-    reach = np.arange(width)
-    right = np.where(reach < size[:, None], data[np.minimum(place[:, None] + reach, len(data) - 1)], 0).astype(np.uint8)
-    back = np.arange(1, margin + 1)
-    left = np.where(back <= (place - low)[:, None], data[np.maximum(place[:, None] - back, 0)], 0).astype(np.uint8)
+    padded = np.zeros(len(data) + width + margin, np.uint8)
+    padded[margin : margin + len(data)] = data
+    right = np.lib.stride_tricks.sliding_window_view(padded[margin:], width)[place]
+    right[np.arange(width, dtype=np.uint8) >= size[:, None].astype(np.uint8)] = 0
+    left = np.lib.stride_tricks.sliding_window_view(padded, margin)[place][:, ::-1] if margin else np.zeros((len(place), 0), np.uint8)
+    left = np.where(np.arange(margin, dtype=np.uint8) < (place - low)[:, None].astype(np.uint8), left, np.uint8(0))
     record = np.concatenate([right, size[:, None].astype(np.uint8), left, (place - high)[:, None].astype(np.uint8), (place - low)[:, None].astype(np.uint8)], axis=1)
     tail = _columns(record[:, width + 1 :])
     by = np.lexsort((*tail[::-1], group, bucket))
