@@ -1,18 +1,22 @@
 """Language-model scoring with a weighted backoff automaton.
 
 N-grams are counted over the whole training part and smoothed with a Dirichlet prior towards the next shorter history:
-p(w | h) = (c(h w) + mu p(w | h')) / (c(h) + mu), down to add-one word frequencies. As an automaton, each history is a state, each
-counted n-gram an arc with the logarithm of that value, and where a state has no arc for a word a failure arc of weight
-log(mu / (c(h) + mu)) leads to the state of the shorter history. A text is read once from left to right.
+p(w | h) = (c(h w) + mu p(w | h')) / (c(h) + mu), down to add-one word frequencies. As an automaton, each counted history is a state,
+each counted n-gram an arc with the logarithm of that value, and where a state has no arc for a word, its failure arc of weight
+log(mu / (c(h) + mu)) leads to the state of the shorter history. A text is walked once from left to right, carrying its state.
 
-The model is never in one place: documents are dealt to shards, a shard asks for the n-grams of its own texts, and buckets of n-grams
-answer with counts over all shards. What a shard has counted itself and no other has is not sent back.
+The model is never in one place. Texts are packed into shards; hash ranges of words give each word a number and its count, hash ranges
+of n-grams, named by the numbers of their words, give counts over all shards, and a shard makes the part of the automaton that its
+own texts can reach. Words and n-grams are compared as they are, not by hashes.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,232 +24,304 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop, materialize, mix64, on_cogroup, on_group, pack_ints, pieces, unpack_ints, utf8, words
+from tidemark.llm.common import materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, unpack_ints, unpack_rows, unpack_sorted
 
-TEXT_STEP = 2 << 20
-BEGIN, END = np.uint64(0x5BD1E995C0FFEE01), np.uint64(0x5BD1E995C0FFEE02)
+#: Bytes of text in a shard, for each hash range of words, and for each of n-grams.
+SHARD, WORD_RANGE, GRAM_RANGE = 4 << 20, 16 << 20, 8 << 20
 MU = 100.0
+#: The end of a text as a word of its own: white space is never in a word.
+END = b"\n"
+#: Numbers of words: 0 for those that training texts don't have, 1 for the begin of a text, the others from 2 on.
+UNKNOWN, BEGIN = 0, 1
 
 
-def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of begin, words and end of each row, in order, and where rows begin."""
-    out, size = [], []
-    for i, j in chunks(at, TEXT_STEP):
-        found, before = words(data[at[i] : at[j]], at[i : j + 1] - at[i])
-        n = np.diff(before)
-        place = np.cumsum(n + 2) - (n + 2)
-        seq = np.empty(len(found) + 2 * len(n), np.uint64)
-        seq[np.arange(len(found)) + 2 * np.repeat(np.arange(len(n)), n) + 1] = found
-        seq[place], seq[place + n + 1] = BEGIN, END
-        out.append(seq)
-        size.append(n + 2)
-    starts = np.zeros(sum(map(len, size)) + 1, np.int64)
-    if size:
-        np.cumsum(np.concatenate(size), out=starts[1:])
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), starts
-
-
-def gram_keys(seq: np.ndarray, starts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1 to order: hashes of the n-grams that end at each symbol, and whether the row has that many symbols there."""
-    code = mix64(np.arange(1, order + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
-    depth = np.arange(len(seq)) - np.repeat(starts[:-1], np.diff(starts))
-    out = [(seq, np.ones(len(seq), bool))]
-    for n in range(2, order + 1):
-        key = np.zeros(len(seq), np.uint64)
-        for k in range(n):
-            key[n - 1 :] += seq[n - 1 - k : len(seq) - k] * code[k]
-        out.append((mix64(key + np.uint64(n)), depth >= n - 1))
-    return out
+def text_words(texts: pa.ChunkedArray | pa.Array) -> list[list[bytes]]:
+    """Words of each text, and its end. split() without arguments cuts bytes at space and \\t to \\r, lower() changes A-Z alone."""
+    return [[*(t or b"").lower().split(), END] for t in texts.cast(pa.binary()).to_pylist()]
 
 
-def _counted(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how many of each are of training rows."""
-    key, of = np.unique(keys, return_inverse=True)
-    return key, np.bincount(of, weights=taught, minlength=len(key)).astype(np.int64)
+def _own_words(lists: list[list[bytes]], taught: list[bool], buckets: int) -> tuple[list[bytes], np.ndarray, list[int]]:
+    """Distinct words by hash range, each range in order; how often training texts have them; and where ranges begin."""
+    counts: Counter = Counter()
+    for words, use in zip(lists, taught, strict=True):
+        if use:
+            counts.update(words)
+    for words, use in zip(lists, taught, strict=True):
+        if not use:
+            counts.update(dict.fromkeys(words, 0))
+    words = sorted(counts)
+    bucket = np.array([zlib.crc32(w) % buckets for w in words], np.int64)
+    order = np.argsort(bucket, kind="stable")
+    words = [words[i] for i in order.tolist()]
+    return words, np.array([counts[w] for w in words], np.int64), np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
 
 
-def _pack(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint8 if not len(counts) or counts.max() < 256 else np.uint64).tobytes()
+def _batch(names: tuple[str, ...], kinds: tuple, rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], list(names))
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if len(data) == n else np.uint64).astype(np.int64)
+ASK = "bucket int, uid long, keys binary, counts binary"
+ASKED = (("bucket", "uid", "keys", "counts"), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))
+ANSWER = "uid long, level int, bucket int, names binary, totals binary, n long, v long"
+ANSWERED = (("uid", "level", "bucket", "names", "totals", "n", "v"), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()))
 
 
-DEALT = "shard int, ids binary, absent binary, taught binary, sizes binary, texts binary"
-ASK = "bucket int, shard int, level int, keys binary, counts binary"
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts by shard, several to a row, compressed."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        data, at = utf8(batch.column(1))
-        ids, absent = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(0).is_null().to_numpy(zero_copy_only=False)
-        taught, shard = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(zero_copy_only=False)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else np.zeros(0, np.int64)
-        rows = []
-        for mine in np.split(order, cuts[1:]):
-            if not len(mine):
-                continue
-            for i, j in chunks(np.concatenate([[0], np.cumsum(np.diff(at)[mine])]), TEXT_STEP):
-                x = mine[i:j]
-                text = b"".join([data[at[k] : at[k + 1]].tobytes() for k in x.tolist()])
-                rows.append((int(shard[x[0]]), ids[x].astype(np.int64).tobytes(), absent[x].tobytes(), taught[x].astype(np.int8).tobytes(), np.diff(at)[x].tobytes(), squeeze(text)))
-        cols = list(zip(*rows, strict=True)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["shard", "ids", "absent", "taught", "sizes", "texts"])
-
-
-def _symbols_of(sizes: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
-    return symbols(np.frombuffer(zstandard.ZstdDecompressor().decompress(texts, max_output_size=int(at[-1])), np.uint8), at)
-
-
-def _ask(order: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the distinct n-grams of each shard's rows, by bucket."""
-    held: dict[int, list] = {}
-    for batch in batches:
-        for s, taught, sizes, texts in zip(*(batch.column(c).to_pylist() for c in ("shard", "taught", "sizes", "texts")), strict=True):
-            seq, starts = _symbols_of(sizes, texts)
-            held.setdefault(s, []).append((seq, np.diff(starts), np.frombuffer(taught, np.int8)))
-            if sum(len(h[0]) for h in held[s]) > 1 << 22:
-                yield from _asked(s, held.pop(s), order, buckets)
-    for s, parts in held.items():
-        yield from _asked(s, parts, order, buckets)
+def _loosen(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _asked(shard: int, parts: list, order: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    seq, size, taught = (np.concatenate([p[k] for p in parts]) for k in range(3))
+def _ask_words(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for uid, rows in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            table = unpack_rows(rows.as_buffer())
+            words, count, edge = _own_words(text_words(table.column("text")), table.column("taught").to_pylist(), buckets)
+            yield _batch(*ASKED, [(k, uid, _squeeze(b" ".join(words[a:b])), _squeeze(pack_ints(count[a:b]))) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if a < b])
+
+
+def _name_words(buckets: int, table: pa.Table) -> pa.Table:
+    """Numbers and counts of the words of a hash range, for each shard; uid -1 has the counts of all its tokens and words."""
+    bucket = table.column("bucket")[0].as_py()
+    keys = [_loosen(x).split(b" ") for x in table.column("keys").to_pylist()]
+    total: dict[bytes, int] = {}
+    for words, counts in zip(keys, table.column("counts").to_pylist(), strict=True):
+        for w, c in zip(words, unpack_ints(_loosen(counts)).tolist(), strict=True):
+            total[w] = total.get(w, 0) + c
+    known = sorted(w for w, c in total.items() if c)
+    name = {w: i * buckets + bucket + 2 for i, w in enumerate(known)}
+    rows = [(-1, 1, bucket, None, None, sum(total.values()), len(known))]
+    for uid, words in zip(table.column("uid").to_pylist(), keys, strict=True):
+        names, totals = np.array([name.get(w, UNKNOWN) for w in words], np.uint64), np.array([total[w] for w in words], np.uint64)
+        rows.append((uid, 1, bucket, _squeeze(pack_ints(names)), _squeeze(pack_ints(totals)), 0, 0))
+    return pa.Table.from_batches([_batch(*ANSWERED, rows)])
+
+
+class Texts(NamedTuple):
+    """A shard's texts as symbols: BEGIN, words and end of each row. Symbols from 2 on are places in the shard's own words; name has
+    their numbers, total their counts in all training texts."""
+
+    table: pa.Table
+    taught: np.ndarray
+    symbols: np.ndarray
+    starts: np.ndarray
+    name: np.ndarray
+    total: np.ndarray
+
+
+def _texts(rows: bytes, answers: pa.Table, buckets: int) -> Texts:
+    table = unpack_rows(rows)
+    lists, taught = text_words(table.column("text")), table.column("taught").to_pylist()
+    words, _, _ = _own_words(lists, taught, buckets)
+    said = sorted((b, n, t) for level, b, n, t in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", "names", "totals")), strict=True) if level == 1)
+    name = np.concatenate([np.array([UNKNOWN, BEGIN], np.uint64), *[unpack_ints(_loosen(n)) for _, n, _ in said]])
+    total = np.concatenate([np.zeros(2, np.int64), *[unpack_ints(_loosen(t)).astype(np.int64) for _, _, t in said]])
+    place = {w: i if total[i] else UNKNOWN for i, w in enumerate(words, 2)}
+    total[BEGIN] = total[words.index(END) + 2] if words else 0  # as many begins as ends
+    size = np.array([len(x) + 1 for x in lists], np.int64)
     starts = np.concatenate([[0], np.cumsum(size)])
-    weight = np.repeat(taught, size)
-    for level, (keys, real) in enumerate(gram_keys(seq, starts, order), 1):
-        key, count = _counted(keys[real], weight[real])
-        edge = np.searchsorted(key >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
-        rows = [(k, pack_ints(np.diff(key[edge[k] : edge[k + 1]], prepend=np.uint64(0))), _pack(count[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge)).tolist()]
-        bucket, a, b = zip(*rows, strict=True) if rows else ((), (), ())
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array([shard] * n, pa.int32()), pa.array([level] * n, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["bucket", "shard", "level", "keys", "counts"])
-
-
-def _keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack_ints(data), dtype=np.uint64)
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    """Counts over all shards where they differ from what the asking row has; shard -1 has the totals of words and of their kinds."""
-    levels = np.array(table.column("level").to_pylist())
-    shards = table.column("shard").to_pylist()
-    runs = [_keys(x) for x in table.column("keys").to_pylist()]
-    counts = [_unpack(x, len(r)) for x, r in zip(table.column("counts").to_pylist(), runs, strict=True)]
-    rows = []
-    for level in np.unique(levels).tolist():
-        of = np.flatnonzero(levels == level).tolist()
-        key = np.unique(np.concatenate([runs[i] for i in of]))
-        total = np.zeros(len(key), np.int64)
-        places = [np.searchsorted(key, runs[i]) for i in of]
-        for i, p in zip(of, places, strict=True):
-            total[p] += counts[i]
-        for i, p in zip(of, places, strict=True):
-            new = total[p] != counts[i]
-            if new.any():
-                rows.append((shards[i], level, pack_ints(np.diff(runs[i][new], prepend=np.uint64(0))), pack_ints(total[p][new].view(np.uint64)), 0, 0))
-        if level == 1:
-            word = key != BEGIN
-            rows.append((-1, 0, None, None, int(total[word].sum()), int((total[word] > 0).sum())))
-    cols = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = (("shard", pa.int32()), ("level", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64()))
-    return pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds, cols, strict=True)})
+    symbols = np.full(starts[-1], BEGIN, np.int64)
+    for a, x in zip(starts.tolist(), lists, strict=False):
+        symbols[a + 1 : a + 1 + len(x)] = [place[w] for w in x]
+    return Texts(table, np.array(taught, bool), symbols, starts, name, total)
+
+
+def _grams(texts: Texts, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where n-grams of known words end, the first of these places for each distinct one, and the number of the one at each place."""
+    depth = np.arange(len(texts.symbols)) - np.repeat(texts.starts[:-1], np.diff(texts.starts))
+    place = np.flatnonzero(depth >= level - 1)
+    for k in range(level):
+        place = place[texts.symbols[place - k] != UNKNOWN]
+    code, span = texts.symbols[place - level + 1], len(texts.name)
+    for k in range(level - 2, -1, -1):
+        if len(code) and int(code.max()) >= (1 << 62) // span:
+            _, code = np.unique(code, return_inverse=True)
+        code = code * span + texts.symbols[place - k]
+    _, first, of = np.unique(code, return_index=True, return_inverse=True)
+    return place, place[first], of
+
+
+def _dealt(texts: Texts, ends: np.ndarray, level: int, buckets: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The order of distinct n-grams by hash range and numbers, where ranges begin in it, and the numbers of their words."""
+    columns = [texts.name[texts.symbols[ends - k]] for k in range(level - 1, -1, -1)]
+    mixed = np.zeros(len(ends), np.uint64)
+    for c in columns:
+        mixed = mix64(mixed + c + np.uint64(0x9E3779B97F4A7C15))
+    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((*columns[::-1], bucket))
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1)), columns
+
+
+def _ask_grams(level: int, word_buckets: int, buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+    out = []
+    for uid, rows in zip(shards.column("uid").to_pylist(), shards.column("rows"), strict=True):
+        texts = _texts(rows.as_buffer(), answers, word_buckets)
+        place, ends, of = _grams(texts, level)
+        count = np.bincount(of, weights=np.repeat(texts.taught, np.diff(texts.starts))[place], minlength=len(ends)).astype(np.int64)
+        order, edge, columns = _dealt(texts, ends, level, buckets)
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            x = order[edge[k] : edge[k + 1]]
+            parts = [pack_sorted(columns[0][x]), *[pack_ints(c[x]) for c in columns[1:]]]
+            out.append((k, uid, b"".join([len(p).to_bytes(4, "little") + p for p in parts]), _squeeze(pack_ints(count[x]))))
+    return pa.Table.from_batches([_batch(*ASKED, out)])
+
+
+def _columns(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        part = data[at + 4 : at + 4 + n]
+        out.append(unpack_ints(part) if out else unpack_sorted(part))
+        at += 4 + n
+    return out
+
+
+def _sum_grams(level: int, table: pa.Table) -> pa.Table:
+    """Counts over all shards of the n-grams of a hash range, in each shard's order."""
+    asked = [_columns(x) for x in table.column("keys").to_pylist()]
+    code = np.concatenate([a[0] for a in asked])
+    for k in range(1, level):
+        column = np.concatenate([a[k] for a in asked])
+        span = int(column.max()) + 1
+        if int(code.max()) >= (1 << 63) // span:
+            _, code = np.unique(code, return_inverse=True)
+            code = code.astype(np.uint64)
+            if len(code) >= (1 << 63) // span:
+                raise ValueError("too many words for one hash range of n-grams")
+        code = code * np.uint64(span) + column
+    _, of = np.unique(code, return_inverse=True)
+    total = np.bincount(of, weights=np.concatenate([unpack_ints(_loosen(x)) for x in table.column("counts").to_pylist()])).astype(np.int64)
+    bucket = table.column("bucket")[0].as_py()
+    parts = np.split(total[of], np.cumsum([len(a[0]) for a in asked])[:-1])
+    return pa.Table.from_batches([_batch(*ANSWERED, [(u, level, bucket, None, _squeeze(pack_ints(t)), 0, 0) for u, t in zip(table.column("uid").to_pylist(), parts, strict=True)])])
 
 
 class BackoffAutomaton:
-    """States and arcs for the n-grams of some texts, with logarithms to base 10.
+    """States, arcs and failure arcs, with logarithms to base 10.
 
-    tables has, for n = 1 to order, sorted keys and counts over the training part; n_words and n_kinds are those of its words.
+    State 0 is the empty history and has an arc for every symbol. arcs leads from state * width + symbol to an arc's number.
     """
 
-    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]], n_words: int, n_kinds: int, mu: float) -> None:
-        self.tables, self.mu, self.rest = tables, mu, n_words + n_kinds + 1
-
-    def count(self, level: int, keys: np.ndarray) -> np.ndarray:
-        key, count = self.tables[level - 1]
-        if not len(key):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
-        return np.where(key[at] == keys, count[at], 0)
-
-    def read(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per symbol: the words' counts, the lowest state's weights and the weights taken.
-
-        The state before a symbol is given by the symbols before it, so all symbols of a level are read at once: an arc where the
-        n-gram is counted, else the failure arc and what the shorter history's state gave. Weights are made once for each n-gram.
-        """
-        seq = grams[0][0]
-        key, of = np.unique(seq, return_inverse=True)
-        count = self.count(1, key)
-        base = np.log10((count + 1) / self.rest)
-        taken, history = base[of], count[of]
-        base, counts = taken, history
-        for level, (keys, real) in enumerate(grams[1:], 2):
-            place = np.flatnonzero(real)
-            key, first, of = np.unique(keys[place], return_index=True, return_inverse=True)
-            seen, before = self.count(level, key), history[place[first] - 1]
-            lower = taken[place[first]]
-            arc = np.log10((seen + self.mu * 10.0**lower) / (before + self.mu))
-            fail = np.log10(self.mu / (before + self.mu)) + lower
-            taken = taken.copy()
-            taken[place] = np.where(seen > 0, arc, fail)[of]
-            history = np.zeros(len(seq), np.int64)
-            history[place] = seen[of]
-        return counts, base, taken
-
-
-def _score(order: int, mu: float, n_words: int, n_kinds: int, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    blobs = {c: texts.column(c).to_pylist() for c in ("ids", "absent", "taught", "sizes", "texts")}
-    parts = [_symbols_of(a, b) for a, b in zip(blobs["sizes"], blobs["texts"], strict=True)]
-    seq = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-    starts = np.concatenate([[0], *[np.diff(p[1]) for p in parts]]).cumsum()
-    ids, absent, taught = (np.frombuffer(b"".join(blobs[c]), t) for c, t in (("ids", np.int64), ("absent", bool), ("taught", np.int8)))
-    grams = gram_keys(seq, starts, order)
-    weight = np.repeat(taught, np.diff(starts))
-    level, keys, counts = (answers.column(c).to_pylist() for c in ("level", "keys", "counts"))
-    tables = []
-    for n, (key, real) in enumerate(grams, 1):
-        own, count = _counted(key[real], weight[real])
-        for k, a, b in zip(level, keys, counts, strict=True):
-            if k == n:
-                count[np.searchsorted(own, _keys(a))] = unpack_ints(b).view(np.int64)
-        tables.append((own, count))
-    count, base, taken = BackoffAutomaton(tables, n_words, n_kinds, mu).read(grams)
-    words_only = np.ones(len(seq), bool)
-    words_only[starts[:-1]] = False
-    add = (lambda x: np.add.reduceat(np.where(words_only, x, 0), starts[:-1])) if len(starts) > 1 else (lambda x: np.zeros(0))
-    return pa.table({
-        "doc_id": pa.array(ids, mask=absent),
-        "held_out": pa.array(taught == 0),
-        "n_tokens": pa.array(np.diff(starts) - 1),
-        "n_known": pa.array(add(count > 0).astype(np.int64)),
-        "train_tokens": pa.array(np.full(len(starts) - 1, n_words, np.int64)),
-        "base_score": pa.array(add(base).astype(np.float64)),
-        "score": pa.array(add(taken).astype(np.float64)),
-    })
-
-
-def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, mu: float = MU, bytes_each: int = 12 << 20) -> DataFrame:
+    def __init__(self, width: int) -> None:
+        self.width = width
+        self.arcs: dict[int, int] = {}
+        self.weight: list[float] = []
+        self.target: list[int] = []
+        self.fail, self.fail_weight = [0], [0.0]
+        self.begin = 0
+
+    def add_states(self, fail: np.ndarray, fail_weight: np.ndarray) -> int:
+        """The number of the first of some new states."""
+        self.fail += fail.tolist()
+        self.fail_weight += fail_weight.tolist()
+        return len(self.fail) - len(fail)
+
+    def add_arcs(self, state: np.ndarray, symbol: np.ndarray, weight: np.ndarray, target: np.ndarray) -> None:
+        self.arcs.update(zip((state * self.width + symbol).tolist(), range(len(self.weight), len(self.weight) + len(weight)), strict=True))
+        self.weight += weight.tolist()
+        self.target += target.tolist()
+
+    def read(self, symbols: list[int]) -> float:
+        """Walk one text from its begin and add up the weights of the arcs and failure arcs taken."""
+        arc_of, weight, target, fail, fail_weight, width = self.arcs.get, self.weight, self.target, self.fail, self.fail_weight, self.width
+        state, total = self.begin, 0.0
+        for symbol in symbols:
+            while (arc := arc_of(state * width + symbol)) is None:
+                total += fail_weight[state]
+                state = fail[state]
+            total += weight[arc]
+            state = target[arc]
+        return total
+
+
+def build_automaton(texts: Texts, order: int, mu: float, rest: int, totals: dict[int, np.ndarray]) -> tuple[BackoffAutomaton, np.ndarray]:
+    """The part of the model that the texts reach, and the weight of each symbol at state 0.
+
+    totals has, for each level from 2 on, the counts of the texts' distinct n-grams as _grams numbers them.
+    """
+    machine = BackoffAutomaton(len(texts.name))
+    base = np.log10((texts.total + 1) / rest)
+    symbol = np.arange(len(base))
+    state = np.zeros(len(base), np.int64)  # of the history that is this symbol alone
+    if order > 1:
+        known = np.flatnonzero(texts.total > 0)
+        state[known] = machine.add_states(np.zeros(len(known), np.int64), np.log10(mu / (texts.total[known] + mu))) + np.arange(len(known))
+        machine.begin = int(state[BEGIN])
+    words = symbol[symbol != BEGIN]
+    machine.add_arcs(np.zeros(len(words), np.int64), words, base[words], state[words])
+    # Of the n-gram that ends at each place: its state, its count and the weight of its arc, for the level below.
+    states, counts, weights = state[texts.symbols], texts.total[texts.symbols], base[texts.symbols]
+    for level in range(2, order + 1):
+        place, ends, of = _grams(texts, level)
+        total = totals[level]
+        seen = np.flatnonzero(total > 0)
+        end = ends[seen]
+        weight = np.log10((total[seen] + mu * 10.0 ** weights[end]) / (counts[end - 1] + mu))
+        target = states[end]
+        if level < order:
+            target = machine.add_states(states[end], np.log10(mu / (total[seen] + mu))) + np.arange(len(seen))
+        machine.add_arcs(states[end - 1], texts.symbols[end], weight, target)
+        if level < order:
+            fill = lambda values, kind: np.concatenate([values, [0]]).astype(kind)[slot]
+            slot = np.full(len(texts.symbols), len(seen))
+            at = np.full(len(total), len(seen))
+            at[seen] = np.arange(len(seen))
+            slot[place] = at[of]
+            states, counts, weights = fill(target, np.int64), fill(total[seen], np.int64), fill(weight, np.float64)
+    return machine, base
+
+
+def _score(order: int, mu: float, n_words: int, n_kinds: int, word_buckets: int, buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+    out = []
+    for rows in shards.column("rows"):
+        texts = _texts(rows.as_buffer(), answers, word_buckets)
+        totals = {}
+        for level in range(2, order + 1):
+            _, ends, _ = _grams(texts, level)
+            by, _, _ = _dealt(texts, ends, level, buckets)
+            said = sorted((b, t) for k, b, t in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", "totals")), strict=True) if k == level)
+            totals[level] = np.zeros(len(ends), np.int64)
+            if said:
+                totals[level][by] = np.concatenate([unpack_ints(_loosen(t)) for _, t in said]).astype(np.int64)
+        machine, base = build_automaton(texts, order, mu, n_words + n_kinds + 1, totals)
+        starts = texts.starts
+        edge = starts.tolist()
+        score = [machine.read(texts.symbols[a + 1 : b].tolist()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        word = texts.symbols != BEGIN
+        add = lambda x, begin=starts[:-1], word=word: np.add.reduceat(np.where(word, x, 0), begin) if len(begin) else np.zeros(0)
+        out.append(pa.table({
+            "doc_id": texts.table.column("doc_id"),
+            "held_out": pa.array(~texts.taught),
+            "n_tokens": pa.array(np.diff(starts) - 1),
+            "n_known": pa.array(add(texts.symbols != UNKNOWN).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(starts) - 1, n_words, np.int64)),
+            "base_score": pa.array(add(base[texts.symbols]).astype(np.float64)),
+            "score": pa.array(score, pa.float64()),
+        }))
+    return pa.concat_tables(out)
+
+
+def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, mu: float = MU, shard_bytes: int = SHARD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs.
 
     Rows where learn_from holds teach the model; where it is null or false they are held out. Tokens are words (runs of anything but
-    ASCII white space, A-Z lower-cased) and one end. Null and empty texts have the end alone. Repeated rows teach repeatedly. If
-    nothing is taught, every score is that of an empty model. Other columns are not read. N-grams are told apart by 64-bit hashes.
+    ASCII white space, A-Z lower-cased) and one end. Null and empty texts have the end alone; a very long text is a shard of its own;
+    null ids stay; repeated rows stay and teach repeatedly. If nothing is taught, every score is that of an empty model; an empty
+    table stays empty. Other columns are not read. All n-grams up to `order` words are counted, none is pruned.
     """
-    spark, shards = docs.sparkSession, pieces(docs, bytes_each)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn_from.cast("int"), F.lit(0)).alias("taught"))
-    shard = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(shards)).cast("int")
-    deal = lambda: rows.withColumn("shard", shard).mapInArrow(_deal, DEALT).repartition(shards, "shard")
-    answers, _ = materialize(
-        deal().select("shard", "taught", "sizes", "texts").mapInArrow(partial(_ask, order, 2 * shards), ASK).groupBy("bucket").applyInArrow(on_group(_answer), "shard int, level int, keys binary, counts binary, n long, v long"), "answers"
-    )
-    drop(spark)
-    n, v = answers.where("shard = -1").agg(F.sum("n"), F.sum("v")).first()
-    replies = answers.where("shard >= 0").select("shard", "level", "keys", "counts")
-    return deal().groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    shards, _ = pack_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("taught")), "text", shard_bytes)
+    size = shards.agg(F.sum("size")).first()[0]
+    word_buckets, buckets = parts_of(size, WORD_RANGE), parts_of(size, GRAM_RANGE)
+    words = shards.mapInArrow(partial(_ask_words, word_buckets), ASK).groupBy("bucket").applyInArrow(on_group(_name_words, word_buckets), ANSWER)
+    words, _ = materialize(words, "words", packed=True)
+    n, v = words.where("uid = -1").agg(F.sum("n"), F.sum("v")).first()
+    answers = words.where("uid >= 0")
+    for level in range(2, order + 1):
+        asked = shards.groupBy("uid").cogroup(words.where("uid >= 0").groupBy("uid")).applyInArrow(on_cogroup(_ask_grams, level, word_buckets, buckets), ASK)
+        summed, _ = materialize(asked.groupBy("bucket").applyInArrow(on_group(_sum_grams, level), ANSWER), "grams", packed=True)
+        answers = answers.unionByName(summed)
+    fields = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return shards.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0, word_buckets, buckets), fields)
