@@ -73,10 +73,12 @@ def pieces(docs: DataFrame, bytes_each: int, text_col: str = "text", least: int
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in smaller ones, of at most `most` bytes in a string column or one row, so that few are Python objects at once."""
+    """The rows of the batches in smaller ones, of at most `most` bytes in a string, binary or integer list column, or of one row, so
+    that few rows are Python objects at once."""
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        values = batch.column(column)
+        size = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(values.type) else pc.binary_length(values)
+        at = np.concatenate([[0], np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
         for i, j in chunks(at, most):
             yield batch.slice(i, j - i)
 
@@ -188,12 +190,29 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each ASCII-lower-cased word, and how many words come before each row's first (one more entry than rows)."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the words at [start, end): eight bytes at a time go through a bijective finaliser, so no word's bytes cancel out."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    out = mix64((end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    live, at = np.arange(len(start)), start
+    while len(live):
+        left = end[live] - at
+        chunk = eight[at]
+        short = left < 8
+        chunk[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        out[live] = mix64((out[live] ^ chunk) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+        more = left > 8
+        live, at = live[more], at[more] + 8
+    return out
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words begin and end, and how many come before each row's first (one more entry than rows)."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    data = LOWER[data]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     inside = ~SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -202,7 +221,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[:-1] = ~inside[1:]
     start = np.flatnonzero(inside & (before | edge[:-1]))
     end = np.flatnonzero(inside & (after | edge[1:])) + 1
-    return span_hashes(prefix_sums(data), start, end), np.searchsorted(start, offsets)
+    return start, end, np.searchsorted(start, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each ASCII-lower-cased word, and how many words come before each row's first (one more entry than rows)."""
+    start, end, before = word_places(data, offsets)
+    return word_hashes(LOWER[data], start, end, seed), before
 
 
 def on_group(f: Callable, *args) -> Callable:

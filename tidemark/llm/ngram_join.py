@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import chunks, drop, materialize, mix64, on_group, pieces, select_text, utf8, words
-from tidemark.llm.components import UnionFind, connected_components
+from tidemark.llm.components import connected_components
 
 SHORT_LIST = 6
 #: First members that two linked sets of n share at least: 1 + n // SHARE.
@@ -36,15 +36,13 @@ HOT, HOT_FROM = 1 << 16, 32
 TEXT_STEP, COUNT_STEP = 2 << 20, 1 << 21
 #: Classes of a block of a long list.
 LIST_BLOCK = 512
-#: Most list entries that go through the heap.
-HEAP_MOST = 4096
 #: Weight of the cost of a probe against a merge step in DivideSkip's choice of long lists.
 MU = 0.05
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of each row's shingles of `width` words; fewer words are one shingle, no words none."""
-    found, before = words(data, at)
+def shingles(data: np.ndarray, at: np.ndarray, width: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each row's shingles of `width` words, and where rows begin; fewer words are one shingle, no words none."""
+    found, before = words(data, at, seed)
     code = mix64(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
     n = max(len(found) - width + 1, 0)
     rolled = np.zeros(n, np.uint64)
@@ -54,12 +52,22 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarra
     out = []
     for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
         if b - a >= width:
-            out.append(np.unique(rolled[a : b - width + 1]))
-        elif b > a:
-            out.append(mix64((found[a:b] * code[: b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a)))
+            out.append(rolled[a : b - width + 1])
         else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+            out.append(mix64((found[a:b] * code[: b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a))[: b > a])
+    return (np.concatenate(out) if out else rolled), np.concatenate([[0], np.cumsum([len(x) for x in out], dtype=np.int64)])
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of each row's shingles."""
+    found, begin = shingles(data, at, width)
+    return [np.unique(found[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+
+
+def exact_shingles(text: bytes, width: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves; lower() and split() of bytes treat ASCII letters and white space alone."""
+    found = text.lower().split()
+    return {tuple(found[k : k + width]) for k in range(max(1, len(found) - width + 1))} if found else set()
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -84,8 +92,8 @@ class DivideSkip:
         self.end = np.append(self.start[1:], len(members))
         self.postings = np.repeat(np.arange(len(self.tokens)), self.end - self.start) * self.n + self.owners
 
-    def search(self, query: np.ndarray, need: int, itself: int = -1, settled: Callable[[int], bool] | None = None) -> dict[int, int]:
-        """Overlap of every indexed set, but `itself` and those settled, that shares at least `need` members with the query."""
+    def search(self, query: np.ndarray, need: int, itself: int = -1, alive: np.ndarray | None = None) -> dict[int, int]:
+        """Overlap of every indexed set, but `itself` and those that are not alive, that shares at least `need` members with the query."""
         if not len(self.tokens):
             return {}
         at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
@@ -100,21 +108,18 @@ class DivideSkip:
         skip = max(0, min(need - 1, int(need / (MU * math.log2(longest + 1) + 1))))
         long, short = at[:skip], at[skip:]
         lists = [self.owners[self.start[i] : self.end[i]] for i in short.tolist()]
-        if sum(map(len, lists)) <= HEAP_MOST:
-            counts: dict[int, int] = {}
-            for owner in heapq.merge(*[x.tolist() for x in lists]):
-                counts[owner] = counts.get(owner, 0) + 1
-            likely = [o for o, c in counts.items() if c >= need - skip]
-        else:  # as many steps in one pass over counters
-            counts = np.bincount(np.concatenate(lists), minlength=self.n)
-            likely = np.flatnonzero(counts >= need - skip).tolist()
+        if alive is not None:
+            lists = [x[alive[x]] for x in lists]
+        counts: dict[int, int] = {}
+        for owner in heapq.merge(*[x.tolist() for x in lists if len(x)]):
+            counts[owner] = counts.get(owner, 0) + 1
         out = {}
-        for owner in likely:
-            if owner != itself and not (settled and settled(owner)):
+        for owner, count in counts.items():
+            if count >= need - skip and owner != itself:
                 keys = long * self.n + owner
                 place = np.searchsorted(self.postings, keys)
                 place[place == len(self.postings)] = 0
-                count = int(counts[owner]) + int((self.postings[place] == keys).sum())
+                count += int((self.postings[place] == keys).sum())
                 if count >= need:
                     out[owner] = count
         return out
@@ -141,22 +146,31 @@ def _frequent(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield counted(held)
 
 
-def _digest(s: np.ndarray) -> int:
-    return int(mix64(np.array([mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
+def _digests(data: np.ndarray, at: np.ndarray, width: int, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit digests of each set of shingles. The second goes back to the words with another hash."""
+    found, begin = shingles(data, at, width)
+    other, _ = shingles(data, at, width, seed=2)
+    one, two = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+    for k, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+        _, first = np.unique(found[a:b], return_index=True)
+        one[k] = mix64(sets[k] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(first))
+        two[k] = mix64(other[a:b][first] ^ np.uint64(0x5A5A5A5A5A5A5A5A)).sum(dtype=np.uint64)
+    return mix64(one).view(np.int64), mix64(two).view(np.int64)
 
 
 def _post(width: int, percent: int, buckets: int, shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed rows: buckets below 0 have (doc ids, set sizes, digests); the others have (shingles, set sizes, digests) of first members."""
+    """Packed rows: buckets below 0 have (doc ids, set sizes, two digests); the others have (shingles, set sizes, digests) of first members."""
     hot = shipped.value
     for batch in batches:
         data, at = utf8(batch.column(1))
         ids = batch.column(0)
         for i, j in chunks(at, TEXT_STEP):
-            sets = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
+            part, edge = data[at[i] : at[j]], at[i : j + 1] - at[i]
+            sets = shingle_sets(part, edge, width)
             size = np.array([len(s) for s in sets], np.int32)
-            digest = np.array([_digest(s) for s in sets], np.int64)
+            digest, check = _digests(part, edge, width, sets)
             own = ids.slice(i, j - i)
-            out = [(-1 - int(abs(int(digest[0])) % buckets), np.array(own.fill_null(0).to_numpy(zero_copy_only=False), np.int64).tobytes(), np.where(own.is_null().to_numpy(zero_copy_only=False), -1 - size, size).astype(np.int32).tobytes(), digest.tobytes())]
+            out = [(-1 - int(abs(int(digest[0])) % buckets), np.array(own.fill_null(0).to_numpy(zero_copy_only=False), np.int64).tobytes(), np.where(own.is_null().to_numpy(zero_copy_only=False), -1 - size, size).astype(np.int32).tobytes(), digest.tobytes(), check.tobytes())]
             first, of = [], []
             _, once = np.unique(digest, return_index=True)
             once = once[size[once] > 0]
@@ -177,9 +191,9 @@ def _post(width: int, percent: int, buckets: int, shipped: Broadcast, batches: I
                 edge = np.searchsorted(bucket, np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(edge)).tolist():
                     x = slice(edge[b], edge[b + 1])
-                    out.append((b, token[x].tobytes(), size[owner[x]].tobytes(), digest[owner[x]].tobytes()))
+                    out.append((b, token[x].tobytes(), size[owner[x]].tobytes(), digest[owner[x]].tobytes(), None))
             cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["bucket", "a", "n", "digest"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["bucket", "a", "n", "digest", "check"])
 
 
 def _joined(table: pa.Table | pa.RecordBatch, name: str, dtype) -> np.ndarray:
@@ -192,11 +206,11 @@ PAIR, LONG, ROW, SHARED = range(4)
 
 def _meet(percent: int, table: pa.Table) -> pa.Table:
     """PAIR: classes a and b to compare, which share n members of short lists here. LONG: class a, of size n, in the long list of a
-    token. SHARED: class a shares n of its first members here. ROW: document a has a set of n members with digest `token`."""
+    token. SHARED: class a shares n of its first members here. ROW: document a has a set of n members with digests `token` and b."""
     digest, size = _joined(table, "digest", np.int64), _joined(table, "n", np.int32).astype(np.int64)
     if table.column("bucket")[0].as_py() < 0:
         ids = pa.array(_joined(table, "a", np.int64), mask=size < 0)
-        return pa.table({"kind": pa.array(np.full(len(size), ROW, np.int32)), "token": pa.array(digest), "n": pa.array(np.where(size < 0, -1 - size, size)), "a": ids, "b": pa.nulls(len(size), pa.int64())})
+        return pa.table({"kind": pa.array(np.full(len(size), ROW, np.int32)), "token": pa.array(digest), "n": pa.array(np.where(size < 0, -1 - size, size)), "a": ids, "b": pa.array(_joined(table, "check", np.int64))})
     token = _joined(table, "a", np.uint64)
     order = np.lexsort((digest, size, token))
     token, size, digest = token[order], size[order], digest[order]
@@ -225,7 +239,7 @@ def _meet(percent: int, table: pa.Table) -> pa.Table:
 
 
 def _search(width: int, percent: int, table: pa.Table) -> pa.Table:
-    """Links from a block's queries to its stored rows, as far as they join components that were apart."""
+    """Links from a block's queries to its stored rows, as far as they join components that were apart. Words confirm each link."""
     data, at = utf8(table.column("text"))
     sets = []
     for i, j in chunks(at, TEXT_STEP):
@@ -233,14 +247,22 @@ def _search(width: int, percent: int, table: pa.Table) -> pa.Table:
     ids, group, query, stored = (table.column(c).to_pylist() for c in ("doc_id", "component", "query", "stored"))
     kept = [i for i in range(len(ids)) if stored[i]]
     place = {i: k for k, i in enumerate(kept)}
-    index, groups, out = DivideSkip([sets[i] for i in kept]), UnionFind(), []
+    index, out = DivideSkip([sets[i] for i in kept]), []
+    _, label = np.unique(np.array(group, np.int64), return_inverse=True)
+    exact = lambda i: exact_shingles(data[at[i] : at[i + 1]].tobytes(), width)
     for i, s in enumerate(sets):
         if query[i] and len(s):
-            near = index.search(s, least_overlap(len(s), percent), place.get(i, -1), lambda k: groups.find(group[kept[k]]) == groups.find(group[i]))
+            alive = label[kept] != label[i]
+            near = index.search(s, least_overlap(len(s), percent), place.get(i, -1), alive) if alive.any() else {}
+            own = None
             for k, both in near.items():
                 j = kept[k]
-                if linked(len(s), len(sets[j]), both, percent) and groups.union(group[i], group[j]):
-                    out.append((ids[i], ids[j]))
+                if label[i] != label[j] and linked(len(s), len(sets[j]), both, percent):
+                    own = own or exact(i)
+                    theirs = exact(j)
+                    if linked(len(own), len(theirs), len(own & theirs), percent):
+                        label[label == label[j]] = label[i]
+                        out.append((ids[i], ids[j]))
     a, b = zip(*out, strict=True) if out else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -258,19 +280,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link when 100 * |both| >= percent * |either|.
     Null texts and texts without words have an empty set and stay alone; fewer than `width` words are one shingle. Rows that share
     an id are one document to links; a row with a null id is compared like any other but gets a null component when it is alone with
-    other null ids. Repeated rows stay. Other columns are not read. Sets are compared by 64-bit hashes of their members.
+    other null ids. Repeated rows stay; very long texts are read whole; an empty table stays empty. Other columns are not read.
+    Candidates are found by 64-bit hashes of shingles, in which two sets of one first digest may share entries; sets are equal when
+    two independent digests are, and links are confirmed by the words themselves.
     """
     spark, docs = docs.sparkSession, select_text(docs, id_col, text_col)
     counts = docs.mapInArrow(partial(_frequent, width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     hot = counts.where(F.col("n") >= HOT_FROM).orderBy(F.desc("n"), "token").limit(HOT).select("token").toPandas()["token"].to_numpy(np.int64)
     shipped = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
     buckets = pieces(docs, 4 << 20)
-    packed = docs.mapInArrow(partial(_post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary")
+    packed = docs.mapInArrow(partial(_post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary, check binary")
     found, found_at = materialize(packed.groupBy("bucket").applyInArrow(on_group(_meet, percent), MET), "meetings", "kind")
-    drop(spark)
-    rows = found.where(F.col("kind") == ROW).select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("token").alias("digest"))
+    rows = found.where(F.col("kind") == ROW).select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("token").alias("digest"), F.col("b").alias("check"))
     long = found.where(F.col("kind") == LONG).select("token", F.col("a").alias("digest"))
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest", "check").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     shared = found.where(F.col("kind") == SHARED).groupBy(F.col("a").alias("digest")).agg(F.sum("n").alias("shared"))
     classes = classes.join(shared, "digest", "left").join(long.groupBy("digest").agg(F.count("*").alias("long")), "digest", "left")
     classes, classes_at = materialize(classes.fillna(0).withColumn("least", 1 + F.floor(F.col("n") / SHARE)), "classes")
@@ -283,7 +306,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links, links_at = materialize(_links(docs, near, width, percent), "near")
     group, group_at = materialize(connected_components(links), "groups")
     # Long lists whose classes are in several components: in order of size, in blocks of which each two whose sizes allow a link meet.
-    drop(spark)
     # Partners are of similar size, so both share at least `percent` of what the larger must share.
     able = classes.where(100 * F.col("shared") >= percent * (F.col("least") - 1)).select("digest", "doc_id", "n")
     long = long.join(able, "digest").join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -308,8 +330,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     needed = placed.join(meet, "family").where("part = p or part = q").select("block", "doc_id", "component", (F.col("part") == F.col("p")).alias("query"), (F.col("part") == F.col("q")).alias("stored"))
     more, more_at = materialize(_links(docs, needed, width, percent), "far")
     final, final_at = materialize(connected_components(links.unionByName(more)), "groups")
-    named = classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("component"))
+    named = classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", "check", F.coalesce("component", "doc_id").alias("component"))
     named, _ = materialize(named, "named")
     drop(spark, classes_at, links_at, group_at, long_at, held_at, left_at, placed_at, more_at, final_at)
-    out = rows.join(named, "digest", "left")
+    out = rows.join(named, ["digest", "check"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
