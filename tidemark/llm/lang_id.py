@@ -6,21 +6,23 @@ compressed with every dictionary, and the least sum wins; the gap to the second
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of what is learned from: documents per language, and bytes of each.
-SAMPLE_DOCS, SAMPLE_BYTES = 128, 1024
+from tidemark.llm.common import slices
+
+#: Bound of what is learned from: so many whole texts of each language.
+SAMPLE_DOCS = 32
 BLOCK, LEVEL = 2048, 5
 MIN_MARGIN = 0.005
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BUILT: dict = {}
 
 
@@ -29,25 +31,28 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def fit_profiles(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
+def fit_profiles(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """A dictionary for each value of lang_col, from a bounded sample of the rows where learn_from holds.
 
-    The sample takes, for each language, the row of least id hash in each of sample_docs buckets of ids, and sample_bytes of each,
-    so it never depends on the order of rows. Rows with a null id, language or text, or a text without letters, teach nothing.
+    The sample takes, for each language, the whole text of the row of least id hash in each of sample_docs buckets of ids (of rows that
+    share an id the least text), so it never depends on the order of rows. Rows with a null id, language or text, or a text without
+    letters, teach nothing; without any rows there are no dictionaries. sample_docs texts of each language reach the driver.
     """
     use = F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
     if learn_from is not None:
         use &= learn_from
     key = F.xxhash64(F.col(id_col).cast("string"))
-    rows = docs.where(use).select(F.col(lang_col).alias("lang"), key.alias("key"), F.col(text_col).alias("text"))
-    least = rows.groupBy("lang", F.pmod("key", F.lit(sample_docs)).alias("bucket")).agg(F.min("key").alias("key"))
-    chosen = {(r.lang, r.key) for r in least.select("lang", "key").collect()}
-    found = rows.where(F.col("key").isin([k for _, k in chosen])).select("lang", "key", F.substring(F.lower("text"), 1, sample_bytes).alias("text")).collect() if chosen else []
-    parts: dict[str, dict[int, bytes]] = {}
-    for r in sorted(found, key=lambda r: (r.lang, r.key, r.text)):
-        if (r.lang, r.key) in chosen:
-            parts.setdefault(r.lang, {}).setdefault(r.key, r.text.encode()[:sample_bytes])
-    return {lang: b"\n".join(p.values()) for lang, p in parts.items()}
+    rows = docs.where(use).select(F.col(lang_col).alias("lang"), key.alias("key"), F.pmod(key, F.lit(sample_docs)).alias("bucket"), F.col(text_col).alias("text"))
+    # Keys first: texts of buckets' other rows are not carried through the aggregation.
+    least = {(r.lang, r.key) for r in rows.groupBy("lang", "bucket").agg(F.min("key").alias("key")).select("lang", "key").collect()}
+    if not least:
+        return {}
+    chosen = rows.where(F.col("key").isin(sorted({k for _, k in least}))).groupBy("lang", "key").agg(F.min("text").alias("text")).collect()
+    parts: dict[str, list[bytes]] = {}
+    for r in sorted(chosen, key=lambda r: (r.lang, r.key)):
+        if (r.lang, r.key) in least:
+            parts.setdefault(r.lang, []).append(r.text.lower().encode())
+    return {lang: b"\n".join(p) for lang, p in parts.items()}
 
 
 def _compressors(profiles: dict[str, bytes]) -> list:
@@ -77,7 +82,7 @@ def classify_text(text: str | None, langs: list[str], made: list, min_margin: fl
 
 def _classify(profiles: dict[str, bytes], at: int, keep: list[int], names: list[str], min_margin: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     langs, made = sorted(profiles), _compressors(profiles)
-    for batch in batches:
+    for batch in slices(batches, at):
         found = [classify_text(t, langs, made, min_margin) for t in batch.column(at).to_pylist()]
         lang, score, rejected = zip(*found, strict=True) if found else ((), (), ())
         new = [pa.array(lang, pa.string()), pa.array(np.array(score, np.float64)), pa.array(rejected, pa.bool_())]
