@@ -21,10 +21,10 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import select_text
+from tidemark.llm.common import select_text, slices
 
-#: Most entries of each generation of a Python worker's caches.
-CACHE = 100_000
+#: Bytes of each generation of a Python worker's caches, as they are counted, and most remembered pairs of tokens.
+CACHE_BYTES, PAIRS = 12 << 20, 200_000
 #: The white space of Unicode's White_Space property, which is what the pattern's \s means to the library.
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
@@ -37,18 +37,22 @@ def read_ranks(lines: list[bytes]) -> dict[bytes, int]:
 class Recent:
     """A bounded cache of two generations: what is asked for again moves to the young one, the old one is dropped when that is full."""
 
-    def __init__(self, most: int = CACHE) -> None:
-        self.young, self.old, self.most = {}, {}, most
+    def __init__(self, most: int = CACHE_BYTES) -> None:
+        self.young, self.old, self.most, self.size = {}, {}, most, 0
 
     def get(self, key):
         if (got := self.young.get(key)) is None and (got := self.old.get(key)) is not None:
             self.put(key, got)
         return got
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
+    def put(self, key: str, value: bytes) -> None:
+        cost = 2 * len(key) + len(value) + 200  # with the objects and their place in the table
+        if cost > self.most // 8:  # long chunks hardly come again
+            return
+        if self.size + cost > self.most:
+            self.old, self.young, self.size = self.young, {}, 0
         self.young[key] = value
+        self.size += cost
 
 
 class Bpe:
@@ -114,7 +118,7 @@ class Bpe:
                     before, a = a, ha[1]
                 else:  # of equal merges the left one came first, so undo the right one first
                     before, b = b + 0.5, hb[0]
-            if len(self.fits) >= 4 * CACHE:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             self.fits[left << 32 | right] = fits
         return fits
@@ -214,9 +218,9 @@ _BUILT: dict = {}
 
 def _encode(key: tuple[str, str], shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if _BUILT.get("key") != key:
-        _BUILT.update(key=key, bpe=Bpe(read_ranks(shipped.value), key[1]), cache=Recent(2 * CACHE))
+        _BUILT.update(key=key, bpe=Bpe(read_ranks(shipped.value), key[1]), cache=Recent())
     bpe, cache = _BUILT["bpe"], _BUILT["cache"]
-    for batch in batches:
+    for batch in slices(batches, 1):
         out = []
         for text in batch.column(1).to_pylist():
             parts = cached_chunks(text, cache, bpe.packed)
@@ -232,7 +236,7 @@ def _decode(ranks_path: str, shipped: Broadcast, batches: Iterator[pa.RecordBatc
             tokens[r], names[r] = t, str(r)
         _BUILT.update(names=ranks_path, tables=(tokens, names))
     tokens, names = _BUILT["tables"]
-    for batch in batches:
+    for batch in slices(batches, 1, 1 << 20):
         n, data, digest = [], [], []
         for row in batch.column(1):
             ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, np.int32)
@@ -269,3 +273,17 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_
 
     run = partial(_decode, ranks_path, shipped)
     return encoded.select(id_col, ids_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string, ids array<int>")
+
+
+def _both(key: tuple[str, str], shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _decode(key[0], shipped, _encode(key, shipped, batches))
+
+
+def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """bpe_decode of bpe_encode in one pass: ids don't travel between workers, and one worker for each task holds the tables."""
+    with open(ranks_path, "rb") as f:
+        lines = f.read().splitlines()
+    shipped = docs.sparkSession.sparkContext.broadcast(lines)
+
+    run = partial(_both, (ranks_path, pattern), shipped)
+    return select_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string, ids array<int>")

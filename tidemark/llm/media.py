@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import select_text, utf8
+from tidemark.llm.common import select_text, slices, utf8
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
@@ -130,7 +130,7 @@ def cosine_hash(samples: np.ndarray) -> str:
 
 
 def _encode(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1):
         data, at = utf8(batch.column(1))
         out = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -143,13 +143,14 @@ def _encode(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = 1) -> DataFrame:
     """(doc_id, n_bytes, media): each text's UTF-8 bytes, zero-padded to a positive multiple of 64, as rows of a grey PNG.
 
-    Null and empty texts make one row of zeros; repeated rows stay; null ids stay; other columns are not read.
+    Null and empty texts make one row of zeros; a very long text is one tall image; repeated rows and null ids stay; an empty table
+    stays empty; other columns are not read.
     """
     return select_text(docs, id_col, text_col).mapInArrow(partial(_encode, level), "doc_id long, n_bytes long, media binary")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 2):
         cols: tuple[list, ...] = ([], [], [], [], [], [])
         for media in batch.column(2):
             media = media.as_py()

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import bpe_decode, bpe_encode
-from tidemark.llm.common import new_path
+from tidemark.llm.bpe import bpe_round_trip
+from tidemark.llm.common import materialize, new_path
 from tidemark.llm.lang_id import classify, fit_profiles, fold
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.media import encode_media, media_features
@@ -28,8 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe_decode(encoded, RANKS).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = bpe_round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_features(encode_media(table(spark, sf_dir, "documents")))
+    stored, _ = materialize(encode_media(table(spark, sf_dir, "documents")), "media", packed=True)
+    return media_features(stored)
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import CACHE, Recent, cached_chunks, id_lists
-from tidemark.llm.common import pieces, select_text
+from tidemark.llm.bpe import Recent, cached_chunks, id_lists
+from tidemark.llm.common import pieces, select_text, slices
 
 LAYOUT = {
     "compression": "zstd",
@@ -31,6 +31,8 @@ LAYOUT = {
     "parquet.page.row.count.limit": "500",
 }
 FIELDS = "doc_id long, part int, at long, n_tokens long, ids array<int>"
+#: Bytes of each generation of a worker's cache of encoded words.
+CACHE_BYTES = 80 << 20
 _BUILT: dict = {}
 
 
@@ -39,9 +41,7 @@ def _tokenizer(key: str, text: str) -> dict:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(text)
-        tokenizer.encode_special_tokens = True  # strings like those of special tokens are ordinary text
-        _BUILT.update(key=key, tokenizer=tokenizer, cache=Recent(4 * CACHE))
+        _BUILT.update(key=key, tokenizer=Tokenizer.from_str(text), cache=Recent(CACHE_BYTES))
     return _BUILT
 
 
@@ -50,7 +50,7 @@ def _encode(key: str, shipped: Broadcast, end_id: int, batches: Iterator[pa.Reco
     cache, encode = built["cache"], built["tokenizer"].encode
     pack = lambda text: np.array(encode(text, add_special_tokens=False).ids, np.int32).tobytes()
     end, at = np.array([end_id], np.int32).tobytes(), 0
-    for batch in batches:
+    for batch in slices(batches, 1):
         out = []
         for text in batch.column(1).to_pylist():
             parts = cached_chunks(text, cache, pack)
@@ -67,7 +67,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     One file holds one range of document ids. Null and empty texts have the end id alone; a null document id comes first; repeated
     rows all stay, in no fixed order among equals; an empty table gives files without rows. Other columns are not read.
     Chunks between blanks are encoded by the library once for each cache of a worker, which gives the ids of the whole text
-    because the byte-level pre-tokenizer never joins them.
+    because the byte-level pre-tokenizer never joins them; strings of special tokens have no blanks and are found as the library finds them.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())  # a public tokenizer's file, of fixed size
@@ -87,7 +87,7 @@ def read_tokens(spark: SparkSession, path: str, first: int | None = None, last:
 def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(3)
-        values, at = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
+        values, at = ids.values.to_numpy(zero_copy_only=False).view("<u4"), ids.offsets.to_numpy()
         n = np.diff(at).astype(np.int64)
         crc = np.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)], np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(n), pa.array(crc)], ["doc_id", "part", "at", "n_tokens", "ids_crc32"])
