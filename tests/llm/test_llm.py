@@ -5,19 +5,23 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, lang_id, media, mixing, near_dedup, ngram_join, suffix_dedup, token_output, url_filters
 from tidemark.llm.bpe import Bpe, bpe_decode, bpe_encode, read_ranks
 from tidemark.llm.components import connected_components
-from tidemark.llm.lm_score import lm_scores
+from tidemark.llm.lm_score import BackoffAutomaton, lm_scores
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -91,6 +95,15 @@ def test_word_hashes_follow_words():
     assert len(set(zip(flat, h.tolist()))) == len(set(flat)) == len(set(h.tolist()))
 
 
+def test_word_hashes_tell_structured_words_apart():
+    """Two words of one length whose sums of powers of an odd base agree modulo 2**64."""
+    swap = bytes.maketrans(b"ab", b"ba")
+    a = bytes(b"ab"[bin(i).count("1") & 1] for i in range(1024))
+    text = a + b" " + a.translate(swap)
+    h, _ = common.words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert h[0] != h[1]
+
+
 # 1
 
 
@@ -110,6 +123,38 @@ def test_language_id(spark):
     assert lang_id.classify(docs, {}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_id_equals_brute_force(spark):
+    """Sample, dictionaries and least sums once more, text by text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    key = lambda i: (lambda k: k - (1 << 64) if k >> 63 else k)(xxhash.xxh64_intdigest(str(i).encode(), 42))
+    sample = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5 and regex.search(r"\p{L}", r.text or ""):
+            slot = (r.lang, key(r.doc_id) % lang_id.SAMPLE_DOCS)
+            sample[slot] = min(sample.get(slot, (1 << 64, "")), (key(r.doc_id), r.text))
+    langs = sorted({x for x, _ in sample})
+    packs = {}
+    for x in langs:
+        data = b"\n".join(t.lower().encode() for _, t in sorted(v for k, v in sample.items() if k[0] == x))
+        packs[x] = zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+    got = {r.doc_id: (r.lang_pred, r.score, r.rejected) for r in lang_id.classify(docs, lang_id.fit_profiles(docs, lang_id.fold("doc_id", 5) != 0)).collect()}
+    for r in rows:
+        if not regex.search(r"\p{L}", r.text or ""):
+            assert got[r.doc_id] == ("und", 0.0, True)
+            continue
+        data = r.text.lower().encode()
+        sizes = sorted((sum(len(packs[x].compress(data[i : i + 2048])) for i in range(0, len(data), 2048)), x) for x in langs)
+        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        assert got[r.doc_id] == (sizes[0][1], pytest.approx(margin), margin < lang_id.MIN_MARGIN)
+
+
+def test_language_id_letters_and_ties(spark):
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ ٣ _"), (2, "ª"), (3, "same words"), (3, "same words")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.lang_pred, r.rejected) for r in lang_id.classify(docs, {"b": b"same words here", "a": b"same words here"}).collect())
+    assert got == [(1, "und", True), (2, "a", True), (3, "a", True), (3, "a", True)]
+
+
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     profiles = lang_id.fit_profiles(docs, lang_id.fold("doc_id", 5) != 0)
@@ -150,6 +195,28 @@ def test_ngram_join(spark, seed, width, percent, monkeypatch):
     assert got == brute_groups(texts, width, percent)
 
 
+def test_ngram_join_structured_and_long_words(spark):
+    swap = str.maketrans("ab", "ba")
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    texts = [f"x {a} y z", f"x {a.translate(swap)} y z", "w " * 30000, "w " * 20000 + "v", " ".join(f"w{i}" for i in range(20000)), " ".join(f"w{i}" for i in range(20500))]
+    got = by_id(ngram_join.ngram_components(documents(spark, texts)), "n_shingles", "component_id")
+    assert got == brute_groups(texts, 4, 85) and got[0][1] != got[1][1] and got[5][1] == 4
+
+
+def test_ngram_join_colliding_hashes(spark, monkeypatch):
+    """Search with hashes of four bits: candidates abound, links do not."""
+    texts = ["a b c d e f g h", "a b c d e f g i", "z y x w v u t s", "a b c d e f g h k"]
+    table = pa.table({"text": texts, "doc_id": list(range(4)), "component": list(range(4)), "query": [True] * 4, "stored": [True] * 4})
+    honest = ngram_join.mix64
+    monkeypatch.setattr(ngram_join, "mix64", lambda x: honest(x) % np.uint64(16))
+    found = ngram_join._search(2, 60, table).to_pylist()
+    groups = {i: i for i in range(4)}
+    for r in found:
+        low, high = sorted((groups[r["a"]], groups[r["b"]]))
+        groups = {i: low if g == high else g for i, g in groups.items()}
+    assert groups == {i: g for i, (_, g) in brute_groups(texts, 2, 60).items()}
+
+
 def test_ngram_join_edges(spark):
     docs = spark.createDataFrame([(5, "a b c d e"), (5, "a b c d e"), (3, "A B C D E"), (None, "a b c d e"), (9, None), (None, None)], "doc_id long, text string")
     got = [tuple(r) for r in ngram_join.ngram_components(docs).collect()]
@@ -266,6 +333,21 @@ def test_media(spark):
 # 5
 
 
+def brute_targets(sizes):
+    """Targets of sources in code point order, in fractions: shares are taken again until no target is above three times its size."""
+    from fractions import Fraction
+
+    weight, done = {s: Fraction(i % 3 + 1) for i, s in enumerate(sizes)}, {}
+    while True:
+        open_ = [s for s in sizes if s not in done]
+        left = Fraction(sum(sizes.values())) - sum(done.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * sizes[s]]
+        if not over:
+            return {s: float(x) for s, x in (share | done).items()}
+        done |= {s: Fraction(3 * sizes[s]) for s in over}
+
+
 def test_targets_and_flow():
     t = mixing.fill_targets({"a": 100, "b": 10, None: 10}, {"a": 1, "b": 2, None: 3})
     assert t == {"a": 60.0, "b": 30.0, None: 30.0}
@@ -285,7 +367,7 @@ def test_mixing(spark):
         assert r["size"] == len(words(r.text)) and 0 <= r.taken <= 3 * r["size"] and r.ids == [r.doc_id]
         sizes.setdefault(r.source, []).append(r)
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    want = mixing.fill_targets({s: sum(r["size"] for r in sizes[s]) for s in order}, {s: i % 3 + 1 for i, s in enumerate(order)})
+    want = brute_targets({s: sum(r["size"] for r in sizes[s]) for s in order})
     for s, rows in sizes.items():
         assert rows[0].target == pytest.approx(want[s]) and rows[0].source_size == sum(r["size"] for r in rows)
         assert abs(sum(r.taken for r in rows) - want[s]) <= 1.5
@@ -301,36 +383,63 @@ def test_mixing_overlapping_sources(spark):
 # 6
 
 
-def brute_lm(texts, taught, mu):
+def brute_lm(texts, taught, mu, order=2):
     import math
     from collections import Counter
 
-    seq = [words(t) + [None] for t in texts]
-    c1, c2 = Counter(), Counter()
+    seq = [["<s>", *words(t), None] for t in texts]
+    counts = Counter()
     for s, k in zip(seq, taught):
         if k:
-            c1.update(s)
-            c2.update(zip(["<s>", *s], s))
-    n, v, begun, out = sum(c1.values()), len(c1), sum(taught), []
+            counts.update(tuple(s[i : i + n]) for n in range(1, order + 1) for i in range(len(s) - n + 1))
+    vocabulary = {g[0] for g in counts if len(g) == 1} - {"<s>"}
+    n, v, out = sum(counts[w,] for w in vocabulary), len(vocabulary), []
+
+    def chance(history, w):
+        if not history:
+            return (counts[w,] + 1) / (n + v + 1)
+        return (counts[(*history, w)] + mu * chance(history[1:], w)) / (counts[history] + mu)
+
     for s in seq:
-        base = sum(math.log10((c1[w] + 1) / (n + v + 1)) for w in s)
-        score = sum(math.log10((c2[h, w] + mu * (c1[w] + 1) / (n + v + 1)) / ((begun if h == "<s>" else c1[h]) + mu)) for h, w in zip(["<s>", *s], s))
-        out.append((len(s), sum(c1[w] > 0 for w in s), n, base, score))
+        base = sum(math.log10((counts[w,] + 1) / (n + v + 1)) for w in s[1:])
+        score = sum(math.log10(chance(tuple(s[max(0, i - order + 1) : i]), s[i])) for i in range(1, len(s)))
+        out.append((len(s) - 1, sum(counts[w,] > 0 for w in s[1:]), n, base, score))
     return out
 
 
-def test_lm(spark):
-    texts = corpus(4, 56)
+@pytest.mark.parametrize(("order", "shard"), [(1, 1 << 20), (2, 1 << 20), (2, 700), (3, 2000)])
+def test_lm(spark, order, shard):
+    texts = corpus(4, 56) + ["Zz " * 4000, "ab\x1cc ab\x1cc \x85\xa0d", "only here"]
     docs = documents(spark, texts)
-    got = by_id(lm_scores(docs, lang_id.fold("doc_id", 7) != 2), "n_tokens", "n_known", "train_tokens", "base_score", "score", "held_out")
-    taught = [zlib.crc32(str(i).encode()) % 7 != 2 for i in range(56)]
-    for i, want in enumerate(brute_lm(texts, taught, 100.0)):
+    got = by_id(lm_scores(docs, lang_id.fold("doc_id", 7) != 2, order=order, shard_bytes=shard), "n_tokens", "n_known", "train_tokens", "base_score", "score", "held_out")
+    taught = [zlib.crc32(str(i).encode()) % 7 != 2 for i in range(len(texts))]
+    for i, want in enumerate(brute_lm(texts, taught, 100.0, order)):
         assert got[i][:3] == want[:3] and got[i][3] == pytest.approx(want[3]) and got[i][4] == pytest.approx(want[4]) and got[i][5] == (not taught[i])
+
+
+def test_lm_edges(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a c"), (4, None), (5, "")], "doc_id long, text string").withColumn("taught", F.lit("clash"))
+    got = sorted((r.doc_id or 0, r.n_tokens, r.held_out, round(r.score, 9)) for r in lm_scores(docs, F.col("doc_id") < 3).collect())
+    want = brute_lm(["a c", "a b", "a b", "", ""], [False, True, True, False, False], 100.0)
+    assert got == [(i, w[0], h, round(w[4], 9)) for i, w, h in zip((0, 1, 1, 4, 5), want, (True, False, False, True, True))]
     empty = lm_scores(docs, F.lit(False)).collect()
-    assert len(empty) == 56 and all(r.train_tokens == 0 and r.score == 0 for r in empty)
+    assert len(empty) == 5 and all(r.train_tokens == 0 and r.score == 0 for r in empty)
     assert lm_scores(docs.where("doc_id < 0"), F.lit(True)).count() == 0
 
 
+def test_automaton_by_hand():
+    """Two states besides the empty history; every step of a walk is looked up by hand."""
+    machine = BackoffAutomaton(4)
+    first = machine.add_states(np.array([0, 0]), np.array([-0.5, -0.25]))
+    machine.begin = first
+    machine.add_arcs(np.zeros(3, int), np.array([0, 2, 3]), np.array([-9.0, -2.0, -3.0]), np.array([0, first + 1, 0]))
+    machine.add_arcs(np.array([first, first + 1]), np.array([2, 3]), np.array([-0.125, -1.0]), np.array([first + 1, 0]))
+    assert machine.read([2, 3]) == -1.125  # arcs of the begin and of 2
+    assert machine.read([3]) == -3.5  # failure of the begin, arc of the empty history
+    assert machine.read([2, 0, 3]) == -0.125 - 0.25 - 9 - 3 and machine.read([]) == 0
+    assert machine.fail == [0, 0, 0]
+
+
 # 7
 
 
@@ -347,18 +456,17 @@ def test_url_filters(spark):
 def test_token_output(spark):
     from tokenizers import Tokenizer
 
-    texts = corpus(5, 40) + ["Don't  stop\n \n now", "a\0b c", "<|endoftext|> x"]
+    texts = corpus(5, 40) + ["Don't  stop\n \n now", "a\0b c", "<|endoftext|> x", "x <|endoftext|> y", "a<|endoftext|><|endoftext|>.b <|endoftext|>"]
     path = common.new_path(spark, "tokens")
     name = public_tokenizers.path("byte_bpe_50k.json")
     token_output.write_tokens(documents(spark, texts).orderBy(F.rand(1)), path, name, bytes_each=2000)
     t = Tokenizer.from_file(name)
-    t.encode_special_tokens = True
     got, start = by_id(token_output.token_index(spark, path), "start", "n_tokens", "ids_crc32"), 0
     for i, text in enumerate(texts):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
         assert got[i] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    assert [r.doc_id for r in token_output.read_tokens(spark, path, 5, 9).collect()] == [5, 6, 7, 8, 9]
+    assert sorted(r.doc_id for r in token_output.read_tokens(spark, path, 5, 9).collect()) == [5, 6, 7, 8, 9]
     files = [f for f in sorted(os.listdir(path.removeprefix("file://"))) if f.endswith(".parquet")]
     meta = pq.read_metadata(f"{path.removeprefix('file://')}/{files[-1]}")
     ids = next(meta.row_group(0).column(i) for i in range(meta.num_columns) if "ids" in meta.row_group(0).column(i).path_in_schema)
@@ -470,6 +578,11 @@ def test_pipeline_stages(spark):
         before = found
         found, _ = common.materialize(stage(spark, before, ""), "t")
         assert found.columns == docs.columns
+        if name == "language id":
+            kept = {r.doc_id for r in found.collect()}
+            clean = [r for r in before.collect() if len(words(r.text)) >= 20 and r.lang]
+            assert sum(r.doc_id in kept for r in clean) >= 0.97 * len(clean)
+            assert not any(r.doc_id in kept for r in before.collect() if not regex.search(r"\p{L}", r.text or ""))
         if name == "n-gram Jaccard join":
             rows = sorted((r.doc_id, r.text) for r in before.collect())
             groups = brute_groups([t for _, t in rows], 5, 80)
@@ -477,5 +590,34 @@ def test_pipeline_stages(spark):
         if name == "suffix-array dedup":
             want = {r[0]: r[1] - r[2] for r in brute_repeats([(r.doc_id, r.text) for r in before.collect()], 50)}
             assert all(want[r.doc_id] - 6 <= len(r.text.encode()) <= want[r.doc_id] and r.n_chars == len(r.text) for r in found.collect())
+        if name == "mixing sources":
+            rows, have = before.collect(), Counter(r.doc_id for r in found.collect())
+            assert all(have[r.doc_id] <= 3 and (words(r.text) or not have[r.doc_id]) for r in rows)
+            size = lambda counts, source: sum(len(words(r.text)) * counts[r.doc_id] for r in rows if r.source == source)
+            once, order = Counter(r.doc_id for r in rows), sorted({r.source for r in rows}, key=lambda s: (s is None, s or ""))
+            want = brute_targets({s: size(once, s) for s in order})
+            longest = max(len(words(r.text)) for r in rows)
+            assert all(abs(size(have, s) - want[s]) <= longest for s in order)
     last = corpus_pipeline.STAGES[-1][1](spark, found, "").collect()
     assert len(last) == found.count() and {r.doc_id: r.decoded_sha256 for r in last} == {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in found.collect()}
+
+
+def test_pipeline_edges(spark):
+    """Nulls in every column, repeated rows, a long text and columns with names that operators use, through all stages."""
+    import corpus_pipeline
+
+    r = random.Random(5)
+    text = lambda k: " ".join(r.choice(["river", "stone", "cloud", "walks", "under", "bright", "seven", "morning"]) + str(r.randrange(99)) for _ in range(k))
+    rows = [(i, text(40), "en" if i % 2 else "de", f"s{i % 3}", 1) for i in range(40)]
+    rows += [(None, text(30), None, None, None), (41, None, "en", "s1", 0), (42, "", None, "s1", 0), (7, rows[7][1], "en", "s1", 1), (43, text(30000), "en", None, None), (None, None, None, None, None)]
+    names = ("lang_pred", "score", "rejected", "times", "use", "size", "source_size", "target", "taken", "row", "doc", "uid", "kept_text", "component_id", "digest")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({n: F.lit(f"own {n}") for n in names})
+    for table in (docs, docs.where("doc_id < 0")):
+        found, _ = common.materialize(table, "edges")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            found, _ = common.materialize(stage(spark, found, ""), "edges")
+            assert found.columns == docs.columns, name
+            assert all(x[n] == f"own {n}" for x in found.collect() for n in names), name
+            assert found.count() > 30 or table is not docs, name
+        last = corpus_pipeline.STAGES[-1][1](spark, found, "")
+        assert last.count() == found.count()
