@@ -137,3 +137,47 @@ def feed_items(raw: DataFrame, column: str = "value") -> DataFrame:
     item = F.from_json(column, "post struct<uri: string, record: struct<text: string, langs: array<string>>>")
     rows = raw.select(item.alias("i"), F.col(column).alias("raw"))
     return rows.select("i.post.uri", "i.post.record.text", F.coalesce("i.post.record.langs", F.array().cast("array<string>")).alias("langs"), "raw")
+
+
+def supported(posts: Column, source_filter: str | None) -> Column:
+    """Whether a claim counts: with any filter text, claims of two posts or more, as that is what filters stand for; else all."""
+    return F.coalesce(posts, F.lit(0)) >= 2 if source_filter else F.lit(True)
+
+
+def mapped(c: Column, values: dict[str, int]) -> Column:
+    """The number that a value stands for, null for others."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), c)
+
+
+def flat_columns(columns: Column) -> Column:
+    """A list of lists as one list."""
+    return F.flatten(columns)
+
+
+def freshness(start: Column, end: Column) -> Column:
+    """`STARTtoEND`, empty without both; one without the other is an error."""
+    none = lambda c: F.coalesce(c, F.lit("")) == ""
+    bad = F.raise_error(F.lit("start and end of freshness go together")).cast("string")
+    return F.when(none(start) & none(end), F.lit("")).when(none(start) | none(end), bad).otherwise(F.concat(start, F.lit("to"), end))
+
+
+def stale_range(today: Column | None = None, first: str = "2020-01-01", days: int = 14) -> tuple[Column, Column]:
+    """Start and end of what counts as stale on a day: everything from `first` up to two weeks before it."""
+    today = F.current_date() if today is None else today
+    return F.lit(first), F.date_format(F.date_sub(today, days), "yyyy-MM-dd")
+
+
+def plain_name(c: Column) -> Column:
+    """Lower case, no brackets, dashes for white space."""
+    bare = F.regexp_replace(F.replace(F.lower(c), F.lit("\n"), F.lit(" ")), "[()]", "")
+    return F.regexp_replace(F.regexp_replace(bare, r"\s+", "-"), "^-+|-+$", "")
+
+
+def match_name(c: Column, known: list[str]) -> Column:
+    """The known name that a name means: itself, else one with an equal plain form, or with underscores for its dashes, else the first
+    whose plain form holds the name's or is held by it. known is a listing of names, as of a folder."""
+    names = F.array(*[F.lit(k) for k in sorted(known)])
+    own = plain_name(c)
+    first = lambda test: F.try_element_at(F.filter(names, test), F.lit(1))
+    inside = lambda k: F.contains(own, plain_name(k)) | F.contains(plain_name(k), own)
+    return F.coalesce(first(lambda k: k == c), first(lambda k: plain_name(k) == own), first(lambda k: plain_name(k) == F.replace(own, F.lit("-"), F.lit("_"))), first(inside))

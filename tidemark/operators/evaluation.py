@@ -90,3 +90,49 @@ def grid(spark, **axes) -> DataFrame:
     for name, values in axes.items():
         out = out.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
     return out.drop("_").withColumn("combo", F.row_number().over(Window.orderBy(*axes)) - 1)
+
+
+def check_sweep(drop_frac: list[float], min_size: list[int], threshold: list[float]) -> None:
+    """Raise ValueError unless 0 <= drop_frac < 1, min_size >= 2 and 0 <= threshold < 1 for all values of a sweep."""
+    for name, values, ok in (("drop_frac", drop_frac, lambda x: 0 <= x < 1), ("min_size", min_size, lambda x: x >= 2), ("threshold", threshold, lambda x: 0 <= x < 1)):
+        if wrong := [x for x in values if not ok(x)]:
+            raise ValueError(f"{name} out of range: {wrong}")
+
+
+def comparison_row(judges: DataFrame, labels: DataFrame, example: str) -> DataFrame:
+    """One row: mean accuracy over runs of each judge against each label kind, and agreement of every two kinds.
+
+    judges has (judge, example, run, validity), labels (example, one column of 0, 1 or null for each kind). Failed verdicts and unknown
+    labels count for nothing.
+    """
+    kinds = [c for c in labels.columns if c != example]
+    both = judges.where("validity is not null").join(labels, example)
+    right = [F.avg(F.when(F.col(k).isNotNull(), (F.col("validity") == F.col(k)).cast("int"))).alias(k) for k in kinds]
+    runs = both.groupBy("judge", "run").agg(*right)
+    means = runs.groupBy().pivot("judge", sorted(r[0] for r in judges.select("judge").distinct().collect())).agg(*[(100.0 * F.avg(k)).alias(f"vs_{k}") for k in kinds])
+    pairs = [(a, b) for i, a in enumerate(kinds) for b in kinds[i + 1 :]]
+    shares = labels.agg(*[agreement(F.col(a), F.col(b), F.lit(True)).alias(f"{a}_{b}") for a, b in pairs])
+    return means.crossJoin(shares)  # one row each
+
+
+def noise_rates(candidates: DataFrame, judged: DataFrame, levels: list[float]) -> DataFrame:
+    """Per threshold: judged clusters, those that are noise, the noise rate in percent, items below the threshold and, of these, how many
+    are dropped wrongly if the rate holds: none where no noise was found.
+
+    candidates has (cluster, size, max_sim), judged (cluster, threshold, verdict), verdict 0 for noise, 1 for coherent, null if failed.
+    """
+    t = F.explode(F.array(*[F.lit(x) for x in levels])).alias("threshold")
+    below = candidates.select("size", "max_sim", t).groupBy("threshold").agg(F.coalesce(F.sum(F.when(F.col("max_sim") < F.col("threshold"), F.col("size"))), F.lit(0)).alias("dropped"))
+    seen = judged.groupBy("threshold").agg(F.count("verdict").alias("sampled"), F.count_if(F.col("verdict") == 0).alias("n_noise"))
+    rows = below.join(seen, "threshold", "left").fillna(0, ["sampled", "n_noise"])
+    rows = rows.withColumn("noise_pct", F.when(F.col("sampled") > 0, 100.0 * F.col("n_noise") / F.col("sampled")).otherwise(0.0))
+    wrong = F.when(F.col("noise_pct") > 0, F.floor((1 - F.col("noise_pct") / 100) * F.col("dropped"))).otherwise(0)
+    return rows.select("threshold", "sampled", "n_noise", "noise_pct", "dropped", wrong.cast("long").alias("est_fp"))
+
+
+def outlier_candidates(sims: DataFrame, texts: DataFrame, cluster: str, n_texts: int = 32) -> DataFrame:
+    """sims (cluster, size, max_sim) of small clusters with the first n_texts of their texts (cluster, id, text), worst first from rank 0."""
+    place = F.row_number().over(Window.partitionBy(cluster).orderBy("id"))
+    few = texts.join(sims.select(cluster), cluster, "left_semi").withColumn("_p", place).where(F.col("_p") <= n_texts)
+    listed = few.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "text"))), lambda s: s["text"]).alias("texts"))
+    return sims.join(listed, cluster, "left").withColumn("rank", F.row_number().over(Window.orderBy("max_sim", cluster)) - 1)

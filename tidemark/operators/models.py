@@ -7,6 +7,7 @@ go to it in sizes of spark.sql.execution.arrow.maxRecordsPerBatch, or of `batch`
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -17,6 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.parse import verdict_012
+from tidemark.storage import exists
+
 
 def _annotate(model: Callable, column: str, batch_rows: int, failed, kind: pa.DataType, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -37,6 +41,119 @@ def annotate(df: DataFrame, column: str, model: Callable[[list], list], name: st
     return df.mapInArrow(partial(_annotate, model, column, batch, failed, to_arrow_type(kind), name), T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
 
+def _retried(model: Callable, tries: int, values: list) -> list:
+    error: Exception | None = None
+    for _ in range(tries):
+        try:
+            return model(values)
+        except Exception as e:  # noqa: BLE001  # whatever a model raises may pass
+            error = e
+    out = []
+    for v in values:  # one input may spoil a batch: ask for each alone
+        try:
+            out += model([v])
+        except Exception:  # noqa: BLE001
+            out.append(None)
+    if all(x is None for x in out) and values:
+        raise RuntimeError(f"no answer in {tries} tries") from error
+    return out
+
+
+def retrying(model: Callable[[list], list], tries: int = 6) -> Callable[[list], list]:
+    """A model that is asked again when it fails; then inputs are asked for one by one, and those that still fail have no answer."""
+    return partial(_retried, model, tries)
+
+
+def annotate_batches(view: DataFrame, path: str, column: str, model: Callable[[list], list], name: str, kind: T.DataType, max_batches: int | None = None, chunk_rows: int = 10_000) -> int:
+    """Append to the annotation table at path the answers for rows of a view (id, _batch, column) whose id it doesn't have.
+
+    One batch is one commit, so a run that stops goes on with the batch it was in; at most max_batches in one call. Returns how many
+    batches were written.
+    """
+    spark = view.sparkSession
+    if exists(spark, path):
+        view = view.join(spark.read.parquet(path).select("id"), "id", "left_anti")
+    left = [r[0] for r in view.select("_batch").distinct().orderBy("_batch").collect()][:max_batches]
+    for b in left:
+        rows = annotate(view.where(F.col("_batch") == b).select("id", column), column, model, name, kind).drop(column)
+        rows.withColumn("_batch", F.lit(b)).write.option("maxRecordsPerFile", chunk_rows).mode("append").parquet(path)
+    return len(left)
+
+
+def judge_feasibility(df: DataFrame, text: str, model: Callable[[list], list], tries: int = 6) -> DataFrame:
+    """df with the judge's `explanation` and `label` 0 to 2; an empty text is not sent and has an explanation alone."""
+    answered = annotate(df, text, retrying(model, tries), "_answer", T.StringType())
+    parts = F.split("_answer", r"\|")
+    said = F.array_join(F.slice(parts, 1, F.size(parts) - 1), "|")
+    explanation = F.when(F.col("_answer").isNull(), F.lit("empty text")).when(F.size(parts) > 1, said)
+    return answered.withColumns({"explanation": explanation, "label": verdict_012(F.col("_answer"))}).drop("_answer")
+
+
+CLASSIFIED = T.StructType([T.StructField("classifier_label", T.StringType()), T.StructField("classifier_probs", T.ArrayType(T.DoubleType()))])
+
+
+def hashed_classifier(texts: list[str], classes: int = 3) -> list[dict]:
+    """Stand-in: probabilities in proportion to the first bytes of a digest, and the label of the greatest, the first of equals."""
+    out = []
+    for t in texts:
+        w = [b + 1 for b in hashlib.md5(t.encode()).digest()[:classes]]
+        out.append({"classifier_label": f"LABEL_{w.index(max(w))}", "classifier_probs": [x / sum(w) for x in w]})
+    return out
+
+
+KEYWORDS = T.StructType([T.StructField("entities", T.ArrayType(T.StringType())), T.StructField("summary", T.StringType())])
+
+
+def capital_words(texts: list[str]) -> list[str]:
+    """Stand-in for keyword extraction, in a fence as models write it: capitalised words as entities, the first six words as summary."""
+    entities = [sorted(set(re.findall(r"[A-Z][a-z]+", t))) for t in texts]
+    return ["```yaml" + json.dumps({"entities": e, "summary": " ".join(re.findall(r"[a-zA-Z]+", t)[:6])}) + "```" for t, e in zip(texts, entities, strict=True)]
+
+
+def parse_keywords(output: str | None) -> dict | None:
+    """(entities, summary) of a fenced YAML answer; null unless it has a list of strings and a string."""
+    import yaml
+
+    try:
+        found = yaml.safe_load((output or "").removeprefix("```").removeprefix("yaml").removesuffix("```"))
+    except yaml.YAMLError:
+        return None
+    if not isinstance(found, dict) or not isinstance(found.get("summary"), str) or not isinstance(found.get("entities"), list) or not all(isinstance(e, str) for e in found["entities"]):
+        return None
+    return {"entities": found["entities"], "summary": found["summary"]}
+
+
+def _keywords(model: Callable, texts: list[str]) -> list:
+    return [parse_keywords(o) for o in model(texts)]
+
+
+def extract_keywords(df: DataFrame, text: str, model: Callable[[list], list], tries: int = 3) -> DataFrame:
+    """df with `keywords`, a struct of entities and a summary; null for empty texts and answers that can't be read."""
+    return annotate(df, text, retrying(partial(_keywords, model), tries), "keywords", KEYWORDS)
+
+
+VERDICT = T.StructType([T.StructField("validity", T.IntegerType()), T.StructField("explanation", T.StringType()), T.StructField("n_search_calls", T.IntegerType())])
+
+
+def hashed_agent(prompts: list[str], searches: bool = True) -> list[dict]:
+    """Stand-in for an agent that checks a claim: digests give the verdict, none for some, and how often it searched."""
+    out = []
+    for p in prompts:
+        d = hashlib.md5(p.encode()).digest()
+        out.append({"validity": None if d[0] >= 240 else int(d[0] < 144), "explanation": "stand-in", "n_search_calls": d[1] % 16 if searches else 0})
+    return out
+
+
+def verdict_runs(df: DataFrame, text: str, agent: Callable[[list], list], runs: int) -> DataFrame:
+    """Rows of df once for each run, with an agent's validity, explanation and number of searches; failed runs have no validity.
+
+    agent gets `text #run`. Search, no-search and other-search agents differ in the callable alone; a search tool is the agent's own and
+    gets its range of dates from parse.freshness.
+    """
+    asked = repeat_runs(df, runs).withColumn("_prompt", F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(" #"), F.col("run").cast("string")))
+    return annotate(asked, "_prompt", retrying(agent), "_v", VERDICT).select(*df.columns, "run", "_v.validity", "_v.explanation", "_v.n_search_calls")
+
+
 def repeat_runs(df: DataFrame, runs: int) -> DataFrame:
     """Each row once per run, with its number."""
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))

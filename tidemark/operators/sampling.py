@@ -65,3 +65,17 @@ def boundary(df: DataFrame, key: str, value: str, threshold: float, n: int, marg
     low = min(below, n - min(above, n - n // 2))
     high = min(above, n - low)
     return near.withColumn("_r", rank).where(F.col("_r") <= F.when(F.col("_below"), low).otherwise(high)).drop("_r", "_below")
+
+
+def first_days(df: DataFrame, day: str, n: int) -> DataFrame:
+    """Rows of the first n days that have any: the days are a top-n of the distinct ones."""
+    return df.join(df.select(day).distinct().orderBy(day).limit(n), day, "left_semi")
+
+
+def union_days(days: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several days under one another, with their `day`."""
+    out = None
+    for name, rows in days.items():
+        rows = rows.withColumn("day", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out

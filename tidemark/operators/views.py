@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,28 @@ def first_text(texts: DataFrame, wanted: DataFrame, key: str, text: str, order:
     """(key, text) for the wanted keys: of each the first non-empty text in order. Spark broadcasts the keys if they are few."""
     rows = texts.where(F.length(F.trim(text)) > 0).join(wanted.select(key).distinct(), key, "left_semi")
     return rows.groupBy(key).agg(F.min_by(text, order).alias(text))
+
+
+# The columns of each named export, its filter and the column that makes its subsets.
+EXPORTS = {
+    "classifier_hits": ExportConfig(["created_at", "at_uri", "uri", "text"]),
+    "raw_clusters": ExportConfig(["id", "original_ids", "text"]),
+    "clustered": ExportConfig(["claim", "cluster_id", "id", "original_ids", "original_texts", "post_count"], "post_count >= 2"),
+    "embedded_claims": ExportConfig(["claim", "claim_id", "cluster_id", "embedding_dim", "post_count", "original_ids", "original_texts"]),
+    "clusters_summarized": ExportConfig(["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], subset_by="date"),
+    "clusters_summarized_kmeans": ExportConfig(["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], subset_by="date"),
+    "meta_clusters": ExportConfig(["claim_id", "cluster_id", "num_claims", "total_post_count"]),
+    "double_summarized": ExportConfig(["claim", "cluster_id", "post_count", "original_ids", "original_texts", "date"]),
+}
+#: Of the first export: the annotator's columns and the label that makes a hit.
+HIT_COLUMNS, HIT = ["classifier_label", "classifier_probs"], '"LABEL_1"'
+
+
+def export_mode(spark: SparkSession, root: str, mode: str, name: str, target: str, annotator: str | None = None) -> None:
+    """Write one of the named exports of a dataset of files to target, a folder for each subset."""
+    from tidemark.sources.files import dataset, write_subsets
+
+    config = EXPORTS[mode]
+    layers = [Layer(dataset(spark, root, name, annotator=annotator), HIT_COLUMNS, F.col(HIT_COLUMNS[0]) == HIT)] if mode == "classifier_hits" else []
+    columns = [c for c in config.base_columns if c != "id"]
+    write_subsets(export_subsets(ExportConfig(columns, config.base_filter, layers, config.subset_by), dataset(spark, root, name)), target)

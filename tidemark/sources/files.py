@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import found
+from tidemark.functions.parse import found, text_column, true_false
+from tidemark.storage import copy, exists, files_below, write_one
 
 REACTION = "subject_uri string, event_type string, actor_did string, time_us long, created_at string"
 
@@ -60,9 +63,9 @@ def parse_logs(texts: DataFrame, column: str = "value") -> DataFrame:
     return rows.select("task", "params", found(r"epoch\s+(\d+)/", F.col("line")).cast("int").alias("epoch"), value("train_loss"), value("val_loss"), value("val_acc"), "test_loss", "test_acc")
 
 
-def example_runs(spark: SparkSession, path: str) -> DataFrame:
-    """(ex_idx, text, pseudo_label, run, validity, n_search_calls) from JSON files of one example each."""
-    rows = spark.read.schema("example_idx int, text string, pseudo_label boolean, runs array<struct<run: int, validity: int, explanation: string, n_search_calls: int>>").option("multiLine", "true").json(path)
+def example_runs(spark: SparkSession, path: str, one_each: bool = True) -> DataFrame:
+    """(ex_idx, text, pseudo_label, run, validity, n_search_calls) from JSON files of one example each, or with one example a line."""
+    rows = spark.read.schema("example_idx int, text string, pseudo_label boolean, runs array<struct<run: int, validity: int, explanation: string, n_search_calls: int>>").option("multiLine", str(one_each).lower()).json(path)
     return rows.select(F.col("example_idx").alias("ex_idx"), "text", "pseudo_label", F.explode("runs").alias("r")).select("ex_idx", "text", "pseudo_label", "r.run", "r.validity", "r.n_search_calls")
 
 
@@ -72,6 +75,123 @@ def encode_columns(df: DataFrame, key: str = "id") -> DataFrame:
     return df.select(*[F.col(c) if c == key or t not in ("string",) and not t.startswith(("array", "map", "struct")) else F.when(F.col(c).isNotNull(), quote(c)).alias(c) for c, t in df.dtypes])
 
 
+def complete_runs(runs: DataFrame, n_examples: int, n_runs: int) -> DataFrame:
+    """Every run of every example below n_examples: those without a file, or without that run, have a null verdict."""
+    spark = runs.sparkSession
+    every = spark.range(n_examples).select(F.col("id").cast("int").alias("ex_idx"), F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"))
+    return every.join(runs.select("ex_idx", "run", "validity"), ["ex_idx", "run"], "left")
+
+
+def dataset_files(spark: SparkSession, root: str, subset: str | None, split: str | None) -> list[str]:
+    """Parquet files of a dataset's subset folder (below data/, else directly) with `{split}-` in their names. Names only are listed."""
+    files = [f for f in files_below(spark, root) if f.endswith(".parquet")]
+    if subset:
+        files = [f for f in files if f.startswith(f"data/{subset}/")] or [f for f in files if f.startswith(f"{subset}/")]
+    return [f for f in files if split is None or f"{split}-" in f.rsplit("/", 1)[-1]]
+
+
+def best_file(spark: SparkSession, root: str, subset: str | None, split: str = "test") -> str:
+    """The first file below data/[subset/], those whose path names the split before all others."""
+    base = f"data/{subset}/" if subset else "data/"
+    files = [f for f in files_below(spark, root) if f.startswith(base) and f.endswith(".parquet")]
+    if not files:
+        raise ValueError(f"no Parquet files below {root}/{base}")
+    return min(files, key=lambda f: (split not in f, f))
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files as one table. Where their schemas can't be merged, columns of different kinds become text, absent ones null."""
+    try:
+        rows = spark.read.option("mergeSchema", "true").parquet(*paths)
+        rows.schema  # noqa: B018  # footers are read here
+        return rows
+    except (PySparkException, Py4JJavaError):
+        kinds: dict[str, set] = {}
+        alike: dict[str, list[str]] = {}
+        for p in paths:  # files of one schema are read together
+            schema = spark.read.parquet(p).schema
+            alike.setdefault(schema.json(), []).append(p)
+            for f in schema:
+                kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+        out = None
+        for group in alike.values():
+            part = spark.read.parquet(*group)
+            part = part.select(*[F.col(f"`{c}`").cast("string").alias(c) if len(kinds[c]) > 1 else F.col(f"`{c}`") for c in part.columns])
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out
+
+
+def load_split(spark: SparkSession, root: str, subset: str | None = None, split: str | None = None) -> DataFrame:
+    """(text, veracity) of a dataset's split from all its files; veracity is null where there is no such column or no true or false."""
+    files = dataset_files(spark, root, subset, split)
+    if not files:
+        raise ValueError(f"no Parquet files in {root} for {subset}, {split}")
+    return texts_of(read_files(spark, [f"{root}/{f}" for f in files]))
+
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    truth = true_false(F.col("veracity").cast("string")) if "veracity" in rows.columns else F.lit(None).cast("boolean")
+    return rows.select(F.col(text_column(rows.columns)).cast("string").alias("text"), truth.alias("veracity"))
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, lines) of the JSON chunks that a path or pattern names."""
+    rows = spark.read.text(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+/[^/]+)$", 1).alias("file"))
+    return rows.groupBy("file").agg(F.count("*").alias("lines"))
+
+
+def merged_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON files that hold one object or a list of them each."""
+    text = F.trim("value")
+    items = F.when(text.startswith("["), F.from_json("value", f"array<struct<{schema}>>")).otherwise(F.array(F.from_json("value", schema)))
+    return spark.read.text(path, wholetext=True).select(F.inline(items))
+
+
+def write_batches(df: DataFrame, root: str, name: str, annotator: str | None = None) -> list[str]:
+    """df by its `_batch` in the layout that `dataset` reads, one file a batch; the names of the batches."""
+    base = f"{root}/{name}" + (f"/annotations/{annotator}" if annotator else "")
+    names = [r[0] for r in df.select("_batch").distinct().orderBy("_batch").collect()]
+    for b in names:
+        write_one(df.where(F.col("_batch") == b).drop("_batch"), f"{base}/{b}/merged.parquet")
+    return names
+
+
+def finished(spark: SparkSession, root: str) -> list[str]:
+    """Folders directly below root whose job has ended: Spark's committer has left _SUCCESS there."""
+    return sorted({f.split("/")[0] for f in files_below(spark, root) if f.endswith("/_SUCCESS") and f.count("/") == 1})
+
+
+def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copy the JSON chunks of finished folders to target, each with a manifest that names its run; the manifests' rows.
+
+    A folder whose manifest is there already is not copied again.
+    """
+    for day in finished(spark, source):
+        manifest = f"{target}/{day}/run_manifest.json"
+        if exists(spark, manifest):
+            continue
+        chunks = [f for f in files_below(spark, f"{source}/{day}") if f.endswith(".json")]
+        for i, f in enumerate(chunks):
+            copy(spark, f"{source}/{day}/{f}", f"{target}/{day}/chunk-{i:05d}.jsonl")
+        write_one(spark.createDataFrame([(day, True, len(chunks))], "run_id string, completed boolean, chunk_count long"), manifest, "json")
+    return spark.read.schema("run_id string, completed boolean, chunk_count long").json(f"{target}/*/run_manifest.json")
+
+
+def cached(spark: SparkSession, path: str, make, regenerate: bool = False) -> DataFrame:
+    """The table at path; made and written there first if it is absent or is to be made anew."""
+    if regenerate or not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").json(path)
+    return spark.read.json(path)
+
+
+def write_dump(clusters: DataFrame, path: str, cluster: str = "cluster", texts: str = "texts") -> None:
+    """One text block for each cluster, largest first: its number in that order and its size, its texts indented, an empty line."""
+    lines = F.transform(F.filter(texts, lambda t: F.trim(t) != ""), lambda t: F.concat(F.lit("  "), F.trim(t), F.lit("\n")))
+    place = F.row_number().over(Window.orderBy(F.size(texts).desc(), cluster)) - 1
+    head = F.concat(F.lit("=== Cluster "), place.cast("string"), F.lit(" (size: "), F.size(texts).cast("string"), F.lit(") ===\n"))
+    clusters.select(F.concat(head, F.array_join(lines, "")).alias("value"), place.alias("p")).orderBy("p").select("value").write.mode("overwrite").text(path)
+
+
 def write_json(df: DataFrame, path: str, rows_per_file: int = 500) -> None:
     df.write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").json(path)
 

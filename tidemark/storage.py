@@ -20,9 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + shared_dir.own
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet and read it back, so that a lost executor costs what follows and not what came before."""
-    path = f"{shared_dir(df.sparkSession)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -31,3 +35,47 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def files_below(spark: SparkSession, root: str) -> list[str]:
+    """Paths of all files below a folder, relative to it, in order; whatever file system it is on."""
+    fs, p = _file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    base, out, found = fs.getFileStatus(p).getPath().toString().rstrip("/") + "/", [], fs.listFiles(p, True)
+    while found.hasNext():
+        out.append(found.next().getPath().toString().removeprefix(base))
+    return sorted(out)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, a = _file_system(spark, source)
+    b = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    (a, p), (b, q) = _file_system(spark, source), _file_system(spark, target)
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(a, p, b, q, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_one(df: DataFrame, target: str, kind: str = "parquet", **options: str) -> None:
+    """df as one file of a given name: for files that a reader knows by name, such as a batch's merged.parquet."""
+    spark, scratch = df.sparkSession, new_path(df.sparkSession, "one")
+    df.coalesce(1).write.options(**options).format(kind).save(scratch)
+    part = next(f for f in files_below(spark, scratch) if f.startswith("part-"))
+    remove(spark, target)
+    move(spark, f"{scratch}/{part}", target)
+    remove(spark, scratch)
