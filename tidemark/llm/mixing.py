@@ -13,7 +13,7 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.common import WORD, drop, materialize
 
 #: Slices of each pattern's hash range in the search for the last document of a partial pass.
 SLICES = 4096
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
     """docs with size, source_size, target and taken: how many words of each row the mix takes, repeats counted.
 
     sources is a column with one source or an array of them (default: `source`); null is a source of its own, and so is an empty
-    array. source_size and target are those of the row's first source by code point. Size is the number of words, 0 for null
+    array. source_size and target are those of the row's first source by code point; very long texts count whole. Size is the number of words, 0 for null
     texts; such rows take nothing. Rows are taken whole, at most three times each, but for the one id of each pattern at which its
     partial pass ends: that takes the words still wanted. Rows that share an id are taken together, and null ids count as one. An empty table stays empty.
     Columns of the four names in docs are replaced. One row for each pattern and slice is aggregated; the driver sees one row for
@@ -117,7 +117,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
     rows = rows.withColumn(key, F.xxhash64(F.lit(seed), ident))
     rows = rows.select(*[F.col(f"`{c}`") for c in own], size, pattern, key, ident)
     slice_ = F.shiftrightunsigned(F.col(key), 64 - SLICES.bit_length() + 1)
-    sums = rows.groupBy(pattern, slice_.alias("slice")).agg(F.sum(size).alias("n"))
+    # Texts are read here and for the result; sums and the ends of partial passes come from this table of sizes.
+    sized, sized_at = materialize(rows.select(pattern, size, key, ident), "sizes")
+    sums = sized.groupBy(pattern, slice_.alias("slice")).agg(F.sum(size).alias("n"))
     totals = {r[0]: r[1] for r in sums.groupBy(pattern).agg(F.sum("n")).collect()}
     unpack = lambda p: tuple(json.loads(p))
     words, of, targets = plan_mix({unpack(p): n for p, n in totals.items()}, weights)
@@ -130,12 +132,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
     # The slice in which each pattern's partial pass ends, then the id in it.
     before = F.sum("n").over(Window.partitionBy(pattern).orderBy("slice")) - F.col("n")
     ends = sums.withColumn("before", before).join(planned.where("rest > 0"), pattern).where("before < rest and before + n >= rest").select(pattern, "slice", (F.col("rest") - F.col("before")).alias("want"))
-    inside = rows.select(pattern, size, key, ident, slice_.alias("slice")).join(ends, [pattern, "slice"])
+    inside = sized.withColumn("slice", slice_).join(ends, [pattern, "slice"])
     each = inside.groupBy(pattern, "want", key, ident).agg(F.sum(size).alias("n"))
     running = F.sum("n").over(Window.partitionBy(pattern).orderBy(key, ident))
     last = each.withColumn("sum", running).where((F.col("sum") - F.col("n") < F.col("want")) & (F.col("sum") >= F.col("want")))
     last = last.select(pattern, F.col(key).alias("k"), F.col(ident).alias("i"), (F.col("want") - F.col("sum") + F.col("n")).alias("left"), "n")
     found = {r[0]: r[1:] for r in ends.select(pattern, "slice").join(last, pattern).select(pattern, "slice", "k", "i", "left", "n").collect()}
+    drop(spark, sized_at)
     cuts = [(p, size_, target, passes, *found.get(p, (-1, None, None, 0, 1))) for p, size_, target, passes, _ in plan]
     limits = spark.createDataFrame(cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string, {tag}_left long, {tag}_n long")
     here, there = F.struct(F.col(key).alias("a"), F.col(ident).alias("b")), F.struct(F.col(f"{tag}_k").alias("a"), F.col(f"{tag}_i").alias("b"))
