@@ -202,14 +202,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """(vec_id, n_links, component_id, kept) for every row of vectors.
 
     Rows link when their labels are equal and not null, their vectors have one length, and their cosine is `least` or more. Vectors
-    that are null, empty, zero, or hold nulls or non-finite numbers link with nothing. Repeated rows are rows of their own to
-    n_links. A row with a null id counts as a link of others but has null component and kept. Other columns are not read.
+    that are null, empty, zero, or hold nulls or non-finite numbers link with nothing, and so do rows with a null id, whose component and
+    kept are null. Repeated rows are rows of their own to n_links; rows that share an
+    id but not a vector are one node, whose links are added up. Long vectors are compared whole; an empty
+    table stays empty. Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.transform(vector_col, lambda x: x.cast("double")).alias("vector"))
-    sound = F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists("vector", lambda x: x != 0)
+    sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    classes = rows.where("sound").groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).where("id is not null")
+    classes = rows.where("sound").groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     classes, classes_at = materialize(classes.withColumn("dim", F.size("vector")), "classes")
     sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("n")).select("label", "dim", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"), F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     dealt = classes.join(sizes, ["label", "dim"])
@@ -223,8 +225,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     asks = dealt.groupBy("label", "dim", "block").applyInArrow(on_group(_block), f"label {kind}, dim int, block int, {fields}")
     asks = asks.select("label", "dim", "block", F.col("ids").alias("ask_ids"), F.col("vectors").alias("ask_vectors"))
     asks, asks_at = materialize(asks, "asks")
-    # Each pair of a shard and a block of its label is one group of bounded size.
-    found = graphs.join(asks, ["label", "dim"]).groupBy("label", "dim", "shard", "block").applyInArrow(on_group(_match, least), "a long, n long, b long, recall double")
+    # Each pair of a shard and a block of its label is one group of bounded size; blocks go to every shard, so that no label is one key.
+    every = asks.join(sizes.select("label", "dim", "shards"), ["label", "dim"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+    found = graphs.join(every, ["label", "dim", "shard"]).groupBy("label", "dim", "shard", "block").applyInArrow(on_group(_match, least), "a long, n long, b long, recall double")
     found, found_at = materialize(found, "found")
     groups, groups_at = materialize(connected_components(found.where("b is not null")), "groups")
     missed = F.when(F.min("recall") < RECALL, F.raise_error(F.lit("links of a query were searched below the wanted recall")).cast("long"))
@@ -232,7 +235,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     named = classes.join(counts, "id", "left").join(groups.withColumnRenamed("node", "id"), "id", "left")
     named, _ = materialize(named.select("label", "vector", "copies", F.coalesce("others", F.lit(0)).alias("others"), F.coalesce("component", "id").alias("component")), "named")
     drop(spark, classes_at, graphs_at, asks_at, found_at, groups_at)
-    out = rows.join(named, ["label", "vector"], "left")
+    # A row that isn't sound may share a label and vector with a class: only sound ones are in it.
+    out = rows.join(named.withColumn("sound", F.lit(True)), ["label", "vector", "sound"], "left")
     links = F.when(F.col("sound"), F.coalesce(F.col("copies") - 1 + F.col("others"), F.lit(0))).otherwise(0)
-    component = F.when(F.col("sound") & F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id")).otherwise(F.col("vec_id"))
+    component = F.when(F.col("sound"), F.coalesce("component", "vec_id")).otherwise(F.col("vec_id"))
     return out.select("vec_id", links.cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
