@@ -69,7 +69,11 @@ def stream_batches(spark, d):
     return spark.read.parquet(f"{at}/rows").groupBy(F.col("_batch").alias("batch")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {REACTIONS}, g AS (SELECT subject, time_us, row_number() OVER w AS pos, greatest((time_us - lag(time_us) OVER w) / 1e6, 0.0) AS gap FROM reactions WINDOW w AS (PARTITION BY subject ORDER BY time_us)),
+s AS (SELECT subject, count(*) AS n, coalesce(list(gap ORDER BY pos) FILTER (pos > 1), []) AS gaps FROM g GROUP BY 1),
+v AS (SELECT subject, gaps, 1 AS i, list_transform(range(0, 10), lambda q: -ln(pow(2, q) / 60000) + pow(2, q) / 60000 * gaps[1]) AS cost FROM s WHERE len(gaps) > 0
+  UNION ALL SELECT subject, gaps, i + 1, list_transform(range(0, 10), lambda q: list_min(list_transform(range(0, 10), lambda p: cost[p + 1] + greatest(q - p, 0))) - ln(pow(2, q) / 60000) + pow(2, q) / 60000 * gaps[i + 1]) FROM v WHERE i < len(gaps))
+SELECT s.subject, s.n, CAST(coalesce(list_position(cost, list_min(cost)) - 1, 0) AS INT) AS state FROM s LEFT JOIN v ON v.subject IS NOT DISTINCT FROM s.subject AND i = len(s.gaps)""")
 def stream_bursts(spark, d):
     """STM-08, WIN-02: running burst states, one row per subject and batch."""
     at = _folder(spark)
