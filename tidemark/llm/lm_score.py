@@ -13,7 +13,7 @@ own texts can reach. Words and n-grams are compared as they are, not by hashes.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, unpack_ints, unpack_rows, unpack_sorted
+from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, unpack_ints, unpack_rows, unpack_sorted
 
 #: Bytes of text in a shard, for each hash range of words, and for each of n-grams.
 SHARD, WORD_RANGE, GRAM_RANGE = 4 << 20, 16 << 20, 8 << 20
@@ -35,25 +35,28 @@ END = b"\n"
 UNKNOWN, BEGIN = 0, 1
 
 
-def text_words(texts: pa.ChunkedArray | pa.Array) -> list[list[bytes]]:
-    """Words of each text, and its end. split() without arguments cuts bytes at space and \\t to \\r, lower() changes A-Z alone."""
-    return [[*(t or b"").lower().split(), END] for t in texts.cast(pa.binary()).to_pylist()]
+def text_symbols(texts: pa.ChunkedArray | pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words in the order they come in, symbols of all texts (2 and a word's place) with their ends, and where texts begin.
 
-
-def _own_words(lists: list[list[bytes]], taught: list[bool], buckets: int) -> tuple[list[bytes], np.ndarray, list[int]]:
-    """Distinct words by hash range, each range in order; how often training texts have them; and where ranges begin."""
-    counts: Counter = Counter()
-    for words, use in zip(lists, taught, strict=True):
-        if use:
-            counts.update(words)
-    for words, use in zip(lists, taught, strict=True):
-        if not use:
-            counts.update(dict.fromkeys(words, 0))
-    words = sorted(counts)
-    bucket = np.array([zlib.crc32(w) % buckets for w in words], np.int64)
+    split() without arguments cuts bytes at space and \\t to \\r, lower() changes A-Z alone; null texts have their end alone.
+    """
+    index: defaultdict = defaultdict()
+    index.default_factory = index.__len__
+    index[END]
+    rows, end = [], np.zeros(1, np.int32)
+    for t in texts.cast(pa.binary()).to_pylist():
+        words = (t or b"").lower().split()
+        rows += [np.fromiter(map(index.__getitem__, words), np.int32, len(words)), end]
+    starts = np.zeros(len(rows) // 2 + 1, np.int64)
+    np.cumsum([len(r) + 1 for r in rows[::2]], out=starts[1:])
+    return list(index), (np.concatenate(rows) if rows else np.zeros(0, np.int32)) + np.int32(2), starts
+
+
+def _ranges(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[int]]:
+    """The order of words by hash range, and where ranges begin in it."""
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
     order = np.argsort(bucket, kind="stable")
-    words = [words[i] for i in order.tolist()]
-    return words, np.array([counts[w] for w in words], np.int64), np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
 
 
 def _batch(names: tuple[str, ...], kinds: tuple, rows: list[tuple]) -> pa.RecordBatch:
@@ -76,11 +79,16 @@ def _loosen(data: bytes) -> bytes:
 
 
 def _ask_words(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each shard and how often its training texts have them, by hash range."""
     for batch in batches:
         for uid, rows in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
             table = unpack_rows(rows.as_buffer())
-            words, count, edge = _own_words(text_words(table.column("text")), table.column("taught").to_pylist(), buckets)
-            yield _batch(*ASKED, [(k, uid, _squeeze(b" ".join(words[a:b])), _squeeze(pack_ints(count[a:b]))) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if a < b])
+            words, symbols, starts = text_symbols(table.column("text"))
+            use = np.repeat(table.column("taught").to_numpy(), np.diff(starts))
+            count = np.bincount(symbols[use] - 2, minlength=len(words))
+            order, edge = _ranges(words, buckets)
+            parts = [(k, order[a:b].tolist()) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if a < b]
+            yield _batch(*ASKED, [(k, uid, _squeeze(b" ".join([words[i] for i in at])), _squeeze(pack_ints(count[at]))) for k, at in parts])
 
 
 def _name_words(buckets: int, table: pa.Table) -> pa.Table:
@@ -100,9 +108,37 @@ def _name_words(buckets: int, table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(*ANSWERED, rows)])
 
 
+NUMBERED = "uid long, size long, rows binary, names binary, totals binary"
+
+
+def _number(buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+    """A shard's texts as symbols: 0 for words that training texts don't have, else 2 and the place among its other words."""
+    out = []
+    for uid, size, rows in zip(shards.column("uid").to_pylist(), shards.column("size").to_pylist(), shards.column("rows"), strict=True):
+        table = unpack_rows(rows.as_buffer())
+        words, symbols, starts = text_symbols(table.column("text"))
+        order, _ = _ranges(words, buckets)
+        said = sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "names", "totals")), strict=True))
+        name, total = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+        name[order] = np.concatenate([unpack_ints(_loosen(n)) for _, n, _ in said])
+        total[order] = np.concatenate([unpack_ints(_loosen(t)) for _, _, t in said])
+        known = np.flatnonzero(total)
+        known = known[np.argsort(name[known])]  # symbols in the order of numbers, so that n-grams are in one order by either
+        place = np.zeros(len(words), np.int32)
+        place[known] = np.arange(2, len(known) + 2)
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(place[symbols - 2]))
+        sink = pa.BufferOutputStream()
+        kept = pa.table({"doc_id": table.column("doc_id"), "taught": table.column("taught"), "symbols": lists})
+        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
+            stream.write_table(kept)
+        # As many begins as ends, which is the first word.
+        out.append((uid, size, sink.getvalue().to_pybytes(), _squeeze(pack_ints(np.append(np.uint64(BEGIN), name[known]))), _squeeze(pack_ints(np.append(total[0], total[known])))))
+    return pa.Table.from_batches([_batch(("uid", "size", "rows", "names", "totals"), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), out)])
+
+
 class Texts(NamedTuple):
-    """A shard's texts as symbols: BEGIN, words and end of each row. Symbols from 2 on are places in the shard's own words; name has
-    their numbers, total their counts in all training texts."""
+    """A shard's texts as symbols: BEGIN, words and end of each row. name has the numbers of symbols, total their counts in all training
+    texts."""
 
     table: pa.Table
     taught: np.ndarray
@@ -112,21 +148,25 @@ class Texts(NamedTuple):
     total: np.ndarray
 
 
-def _texts(rows: bytes, answers: pa.Table, buckets: int) -> Texts:
+def _texts(rows: bytes, names: bytes, totals: bytes) -> Texts:
     table = unpack_rows(rows)
-    lists, taught = text_words(table.column("text")), table.column("taught").to_pylist()
-    words, _, _ = _own_words(lists, taught, buckets)
-    said = sorted((b, n, t) for level, b, n, t in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", "names", "totals")), strict=True) if level == 1)
-    name = np.concatenate([np.array([UNKNOWN, BEGIN], np.uint64), *[unpack_ints(_loosen(n)) for _, n, _ in said]])
-    total = np.concatenate([np.zeros(2, np.int64), *[unpack_ints(_loosen(t)).astype(np.int64) for _, _, t in said]])
-    place = {w: i if total[i] else UNKNOWN for i, w in enumerate(words, 2)}
-    total[BEGIN] = total[words.index(END) + 2] if words else 0  # as many begins as ends
-    size = np.array([len(x) + 1 for x in lists], np.int64)
-    starts = np.concatenate([[0], np.cumsum(size)])
+    column = table.column("symbols").combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks)
+    size = np.diff(column.offsets.to_numpy())
+    starts = np.concatenate([[0], np.cumsum(size + 1, dtype=np.int64)])
     symbols = np.full(starts[-1], BEGIN, np.int64)
-    for a, x in zip(starts.tolist(), lists, strict=False):
-        symbols[a + 1 : a + 1 + len(x)] = [place[w] for w in x]
-    return Texts(table, np.array(taught, bool), symbols, starts, name, total)
+    inside = np.ones(len(symbols), bool)
+    inside[starts[:-1]] = False
+    symbols[inside] = column.flatten().to_numpy()
+    name = np.append(np.uint64(UNKNOWN), unpack_ints(_loosen(names)))
+    total = np.append(0, unpack_ints(_loosen(totals)).astype(np.int64))
+    return Texts(table, table.column("taught").to_numpy(), symbols, starts, name, total)
+
+
+def _all_texts(shards: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, Texts]]:
+    for uid, rows, names, totals in zip(shards.column("uid").to_pylist(), *(shards.column(c) for c in ("rows", "names", "totals")), strict=True):
+        yield uid, _texts(rows.as_buffer(), names.as_buffer(), totals.as_buffer())
 
 
 def _grams(texts: Texts, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,28 +185,29 @@ def _grams(texts: Texts, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _dealt(texts: Texts, ends: np.ndarray, level: int, buckets: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The order of distinct n-grams by hash range and numbers, where ranges begin in it, and the numbers of their words."""
+    """The order of distinct n-grams by hash range and then as they are, by numbers; where ranges begin in it; numbers of their words."""
     columns = [texts.name[texts.symbols[ends - k]] for k in range(level - 1, -1, -1)]
     mixed = np.zeros(len(ends), np.uint64)
     for c in columns:
         mixed = mix64(mixed + c + np.uint64(0x9E3779B97F4A7C15))
-    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((*columns[::-1], bucket))
+    bucket = (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1)), columns
 
 
-def _ask_grams(level: int, word_buckets: int, buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
-    out = []
-    for uid, rows in zip(shards.column("uid").to_pylist(), shards.column("rows"), strict=True):
-        texts = _texts(rows.as_buffer(), answers, word_buckets)
-        place, ends, of = _grams(texts, level)
-        count = np.bincount(of, weights=np.repeat(texts.taught, np.diff(texts.starts))[place], minlength=len(ends)).astype(np.int64)
-        order, edge, columns = _dealt(texts, ends, level, buckets)
-        for k in np.flatnonzero(np.diff(edge)).tolist():
-            x = order[edge[k] : edge[k + 1]]
-            parts = [pack_sorted(columns[0][x]), *[pack_ints(c[x]) for c in columns[1:]]]
-            out.append((k, uid, b"".join([len(p).to_bytes(4, "little") + p for p in parts]), _squeeze(pack_ints(count[x]))))
-    return pa.Table.from_batches([_batch(*ASKED, out)])
+def _ask_grams(level: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the distinct n-grams of known words in each shard's training texts, by hash range."""
+    for batch in batches:
+        for uid, texts in _all_texts(batch):
+            place, ends, of = _grams(texts, level)
+            count = np.bincount(of, weights=np.repeat(texts.taught, np.diff(texts.starts))[place], minlength=len(ends)).astype(np.int64)
+            order, edge, columns = _dealt(texts, ends, level, buckets)
+            out = []
+            for k in np.flatnonzero(np.diff(edge)).tolist():
+                x = order[edge[k] : edge[k + 1]]
+                parts = [pack_sorted(columns[0][x]), *[pack_ints(c[x]) for c in columns[1:]]]
+                out.append((k, uid, b"".join([len(p).to_bytes(4, "little") + p for p in parts]), _squeeze(pack_ints(count[x]))))
+            yield _batch(*ASKED, out)
 
 
 def _columns(data: bytes) -> list[np.ndarray]:
@@ -274,10 +315,9 @@ def build_automaton(texts: Texts, order: int, mu: float, rest: int, totals: dict
     return machine, base
 
 
-def _score(order: int, mu: float, n_words: int, n_kinds: int, word_buckets: int, buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+def _score(order: int, mu: float, n_words: int, n_kinds: int, buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
     out = []
-    for rows in shards.column("rows"):
-        texts = _texts(rows.as_buffer(), answers, word_buckets)
+    for _, texts in _all_texts(shards):
         totals = {}
         for level in range(2, order + 1):
             _, ends, _ = _grams(texts, level)
@@ -312,16 +352,20 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     null ids stay; repeated rows stay and teach repeatedly. If nothing is taught, every score is that of an empty model; an empty
     table stays empty. Other columns are not read. All n-grams up to `order` words are counted, none is pruned.
     """
-    shards, _ = pack_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("taught")), "text", shard_bytes)
+    spark = docs.sparkSession
+    shards, shards_at = pack_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("taught")), "text", shard_bytes)
     size = shards.agg(F.sum("size")).first()[0]
     word_buckets, buckets = parts_of(size, WORD_RANGE), parts_of(size, GRAM_RANGE)
     words = shards.mapInArrow(partial(_ask_words, word_buckets), ASK).groupBy("bucket").applyInArrow(on_group(_name_words, word_buckets), ANSWER)
-    words, _ = materialize(words, "words", packed=True)
+    words, words_at = materialize(words, "words", packed=True)
     n, v = words.where("uid = -1").agg(F.sum("n"), F.sum("v")).first()
-    answers = words.where("uid >= 0")
+    numbered = shards.groupBy("uid").cogroup(words.where("uid >= 0").groupBy("uid")).applyInArrow(on_cogroup(_number, word_buckets), NUMBERED)
+    numbered, _ = materialize(numbered, "numbered", packed=True)
+    drop(spark, shards_at, words_at)
+    answers = spark.createDataFrame([], ANSWER)
     for level in range(2, order + 1):
-        asked = shards.groupBy("uid").cogroup(words.where("uid >= 0").groupBy("uid")).applyInArrow(on_cogroup(_ask_grams, level, word_buckets, buckets), ASK)
+        asked = numbered.mapInArrow(partial(_ask_grams, level, buckets), ASK)
         summed, _ = materialize(asked.groupBy("bucket").applyInArrow(on_group(_sum_grams, level), ANSWER), "grams", packed=True)
-        answers = answers.unionByName(summed)
+        answers = summed if level == 2 else answers.unionByName(summed)
     fields = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return shards.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0, word_buckets, buckets), fields)
+    return numbered.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(on_cogroup(_score, order, mu, n or 0, v or 0, buckets), fields)
