@@ -1,5 +1,6 @@
 """Units against hand-made values and brute force."""
 
+import hashlib
 import itertools
 import json
 import math
@@ -8,9 +9,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import storage
 from tidemark.functions import parse, stats, vectors
-from tidemark.operators import bursts, clustering, evaluation, models, neighbours, sampling, sweep, views
+from tidemark.operators import bursts, classifier, clustering, evaluation, models, neighbours, sampling, sweep, views
 from tidemark.operators.components import connected_components
+from tidemark.sources import files
 from tidemark.sources.files import encode_columns, parse_logs
 from tidemark.sources.live import EventReader, waits
 
@@ -211,3 +214,136 @@ def test_event_reader_rewinds_and_rotates():
         live.time.sleep = keep
     assert end == {"time_us": 7_000_000} and len(list(rows)) == 2 and asked == [("a", 2_000_000), ("b", 2_000_000)]
     assert waits(10, draw=lambda: 0) == 30 and waits(0, draw=lambda: 1) == pytest.approx(1.2)
+
+
+def test_label_ranks_and_splits(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 5 else "b") for i in range(500)] + [(900, None)], "id long, label string").repartition(7)
+    got = sampling.ranked(rows, "id", "label", 3).collect()
+    for label in ("a", "b", None):
+        mine = sorted((hashlib.md5(f"3|{r.id}".encode()).hexdigest(), r.id, r._r, r._n) for r in got if r.label == label)
+        assert [m[2] for m in mine] == list(range(len(mine))) and {m[3] for m in mine} == {len(mine)}
+    assert sampling.balance(rows.where("id < 900"), "id", "label", 3).groupBy("label").count().collect() == sampling.balance(rows.where("id < 900"), "id", "label", 3).groupBy("label").count().collect()
+    assert {r["count"] for r in sampling.balance(rows.where("id < 900"), "id", "label", 3).groupBy("label").count().collect()} == {100}
+    assert sampling.balance(rows.where("id < 0"), "id", "label", 3).count() == 0
+
+
+def test_nearest_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.normal(size=(60, 6)), 2, axis=0)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    got = {(r.src, r.rank): r.dst for r in neighbours.nearest(df, 4, block_rows=17).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    sims = np.round(u @ u.T, 12)
+    for i in range(len(v)):
+        order = sorted((j for j in range(len(v)) if j != i), key=lambda j: (-sims[i, j], j))[:4]
+        assert [got[i, k + 1] for k in range(4)] == order
+    assert neighbours.nearest(df, 200, 0.9, block_rows=17).count() == int((sims >= 0.9).sum()) - len(v)
+
+
+def test_retries_and_failures():
+    calls = []
+
+    def shaky(values):
+        calls.append(len(values))
+        if len(values) > 1 or values == ["bad"]:
+            raise ValueError
+        return [v.upper() for v in values]
+
+    assert models.retrying(shaky, 2)(["a", "bad", "c"]) == ["A", None, "C"] and calls[:2] == [3, 3]
+    with pytest.raises(RuntimeError):
+        models.retrying(shaky, 2)(["bad"])
+    assert models.parse_keywords("```yaml\nentities: [A, B]\nsummary: s\n```") == {"entities": ["A", "B"], "summary": "s"}
+    assert models.parse_keywords("entities: 3") is None and models.parse_keywords(None) is None and models.parse_keywords("a: [") is None
+
+
+def test_sweep_checks():
+    evaluation.check_sweep([0, 0.9], [2], [0.0])
+    for bad in (([1.0], [2], [0]), ([0], [1], [0]), ([0], [2], [1.0])):
+        with pytest.raises(ValueError, match="out of range"):
+            evaluation.check_sweep(*bad)
+
+
+def test_freshness(spark):
+    f = lambda a, b: spark.range(1).select(parse.freshness(F.lit(a), F.lit(b))).first()[0]
+    assert f("2020-01-01", "2024-01-01") == "2020-01-01to2024-01-01" and f(None, "") == ""
+    with pytest.raises(Exception, match="go together"):
+        f("2020-01-01", None)
+    start, end = parse.stale_range(F.lit("2024-03-10").cast("date"))
+    assert spark.range(1).select(start, end).first()[:] == ("2020-01-01", "2024-02-25")
+
+
+def test_files_of_a_split(spark):
+    root = storage.new_path(spark, "split")
+    one = spark.createDataFrame([("x",)], "claim string")
+    for name in ("s/test-0.parquet", "data/t/train-0.parquet", "data/t/test-0.parquet", "data/t/test-1.json"):
+        storage.write_one(one, f"{root}/{name}")
+    assert files.dataset_files(spark, root, "t", "test") == ["data/t/test-0.parquet"] and files.dataset_files(spark, root, "s", None) == ["s/test-0.parquet"]
+    assert files.best_file(spark, root, "t", "train") == "data/t/train-0.parquet" and files.best_file(spark, root, "t", "none") == "data/t/test-0.parquet"
+    with pytest.raises(ValueError, match="no Parquet"):
+        files.load_split(spark, root, "u", "test")
+    with pytest.raises(ValueError, match="no Parquet"):
+        files.best_file(spark, root, "u")
+
+
+def test_classifier_learns(spark):
+    rows = spark.createDataFrame([(i, ("good fine " if i % 2 else "bad poor ") + f"w{i % 7}", i % 2) for i in range(200)] + [(900, None, 1)], "id long, text string, label int")
+    model = classifier.train(rows.where("id < 150"))
+    found = classifier.evaluate(model, rows.where("id >= 150 and id < 900")).first()
+    assert found.accuracy == 1.0 and found.n == 50 and found.loss < 0.3
+    assert classifier.predict(model, rows).count() == 201
+    assert classifier.evaluate(model, rows.where("id < 0")).first()[:] == (0, None, None)
+
+
+def test_diverse_sample_equals_brute_force(spark):
+    from tidemark.plans import catalogue
+
+    d = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").collect()
+    got = {}
+    for r in catalogue.QUERIES["diverse_sample"](spark, d).collect():
+        got.setdefault(r.cluster, []).append((r["rank"], r.id))
+    for label in {r.label for r in rows}:
+        mine = sorted((r.vec_id, np.array(r.embedding, float)) for r in rows if r.label == label) if label is not None else []
+        if not mine:
+            continue
+        ids, v = [m[0] for m in mine], np.array([m[1] for m in mine])
+        if len(v) <= 5:
+            assert [i for _, i in sorted(got[label])] == ids
+            continue
+        mean = v.mean(axis=0)
+        chosen = [max(range(len(v)), key=lambda i: float(v[i] @ mean / np.linalg.norm(v[i])))]
+        while len(chosen) < 5:
+            m = v[chosen].mean(axis=0)
+            chosen.append(max((i for i in range(len(v)) if i not in chosen), key=lambda i: float(np.linalg.norm(v[i] - m))))
+        assert [i for _, i in sorted(got[label])] == [ids[c] for c in chosen]
+
+
+def test_parameter_sweep_equals_brute_force(spark):
+    from tidemark.plans import catalogue
+
+    d = "/root/testdata/sf0.001"
+    rows = sorted(spark.read.parquet(f"{d}/embeddings.parquet").collect(), key=lambda r: r.vec_id)
+    u = np.array([r.embedding for r in rows], float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    sims, n = np.round(u @ u.T, 12), len(u)
+    np.fill_diagonal(sims, -9)
+    order = np.argsort(-sims, axis=1, kind="stable")
+    found = catalogue.QUERIES["parameter_sweep"](spark, d).collect()
+    assert len(found) == 35
+    for r in found:
+        keep = max(1, int(np.ceil(r.k * (1 - r.drop_frac))))
+        link = np.zeros((n, n), bool)
+        for i in range(n):
+            link[i, order[i, :keep]] = True
+        both = (link | link.T) & ((sims > 0) | (link & link.T & (sims != 0)))
+        seen, sizes = set(), []
+        for i in range(n):
+            if i not in seen:
+                todo, mine = [i], {i}
+                while todo:
+                    new = set(np.flatnonzero(both[todo.pop()]).tolist()) - mine
+                    mine |= new
+                    todo += new
+                seen |= mine
+                sizes.append(len(mine))
+        assert r.n == len(sizes), r

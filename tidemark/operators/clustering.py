@@ -2,40 +2,27 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.vectors import auto_clusters, auto_k, centroids, cosine, kept_neighbours
 from tidemark.operators.neighbours import knn_graph, with_components
 from tidemark.storage import cut
 
 
-_WORDS = regex.compile(r"[\p{L}\p{N}]+")
-
-
-def simhash64(text: str) -> int:
-    """Charikar's simhash of lower-case words: the first 64 bits of each word's md5 vote for every bit; ties are 0."""
-    words = _WORDS.findall(text.lower())
-    if not words:
-        return 0
-    digests = np.frombuffer(b"".join([hashlib.md5(w.encode()).digest()[:8] for w in words]), np.uint8).reshape(-1, 8)
-    ones = np.unpackbits(digests, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(words)).tobytes(), "big")
-
-
-@F.pandas_udf(T.IntegerType())
-def bucket(texts: pd.Series) -> pd.Series:
-    """The first 16 bits of the simhash; null texts are empty."""
-    return texts.map(lambda t: simhash64(t or "") >> 48)
+def simhash_buckets(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, bucket): the first 16 bits of Charikar's simhash of the text's lower-case words, where the first bits of each word's md5 vote
+    for every bit; ties, and texts without words, give 0. Votes are summed before they move, as a text's words come one after another."""
+    words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    votes = rows.select(key, F.explode_outer(words).alias("w")).withColumn("h", F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, 4), 16, 10).cast("int"))
+    bit = lambda b: F.when(F.sum(F.when(F.col("h").bitwiseAND(F.lit(1 << b)) != 0, 1).otherwise(-1)) > 0, 1 << b).otherwise(0)
+    return votes.groupBy(key).agg(sum([bit(b) for b in range(1, 16)], bit(0)).cast("int").alias("bucket"))
 
 
 def distance(v: str, c: str) -> Column:
@@ -44,7 +31,7 @@ def distance(v: str, c: str) -> Column:
 
 def drop_near_copies(rows: DataFrame, least: int = 1) -> DataFrame:
     """Of (id, cluster, v, text): the row nearest to the centroid of each cluster and bucket; clusters below `least` rows go."""
-    far = rows.join(centroids(rows, "cluster", "v").select("cluster", "centroid"), "cluster").withColumn("far", distance("v", "centroid")).withColumn("bucket", bucket(F.col("text")))
+    far = rows.join(centroids(rows, "cluster", "v").select("cluster", "centroid"), "cluster").withColumn("far", distance("v", "centroid")).join(simhash_buckets(rows, "id", "text"), "id")
     first = F.row_number().over(Window.partitionBy("cluster", "bucket").orderBy("far", "id"))
     kept = far.withColumn("r", first).where("r = 1").select(*rows.columns)
     large = kept.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("cluster")

@@ -16,21 +16,24 @@ BLOCK_ROWS = 4096
 def _top(k: int, least: float, table: pa.Table) -> pa.Table:
     """Of each row of side 0 the k most similar rows of side 1 (itself excluded) at `least` or more; of equals the least id."""
     side, ids = table.column("side").to_numpy(), table.column("id").to_numpy()
-    rows = table.column("v").to_pylist()
+    rows = np.asarray(table.column("v").combine_chunks().flatten(), np.float64).reshape(len(table), -1)
+    rows = rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-12)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    out: list[tuple] = []
-    if len(left) and len(right):
-        right = right[np.argsort(ids[right])]
-        a, b = (np.array([rows[i] for i in x], np.float64) for x in (left, right))
-        a, b = (m / np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), 1e-12) for m in (a, b))
-        for start in range(0, len(left), 512):
-            sims = np.round(a[start : start + 512] @ b.T, 12)
-            for i, row in zip(left[start : start + 512].tolist(), sims, strict=True):
-                row[ids[right] == ids[i]] = -np.inf
-                order = np.argsort(-row, kind="stable")[:k]
-                out += [(int(ids[i]), int(ids[right[j]]), float(row[j])) for j in order.tolist() if row[j] >= least and np.isfinite(row[j])]
-    src, dst, sim = zip(*out, strict=True) if out else ((), (), ())
-    return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64()), "sim": pa.array(sim, pa.float64())})
+    src, dst, sim = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for start in range(0, len(left) if len(right) else 0, 512):
+        part = left[start : start + 512]
+        sims = np.round(rows[part] @ rows[right].T, 12)
+        sims[ids[part][:, None] == ids[right]] = -np.inf
+        low = np.partition(sims, -k, axis=1)[:, -k, None] if k < len(right) else -np.inf
+        i, j = np.nonzero((sims >= np.maximum(low, least)) & np.isfinite(sims))
+        order = np.lexsort((ids[right[j]], -sims[i, j], i))
+        i, j = i[order], j[order]
+        first = np.searchsorted(i, np.arange(len(part)))
+        keep = np.arange(len(i)) - first[i] < k
+        src.append(ids[part[i[keep]]])
+        dst.append(ids[right[j[keep]]])
+        sim.append(sims[i[keep], j[keep]])
+    return pa.table({"src": pa.array(np.concatenate(src)), "dst": pa.array(np.concatenate(dst)), "sim": pa.array(np.concatenate(sim))})
 
 
 def nearest(vectors: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS, by: str | None = None) -> DataFrame:

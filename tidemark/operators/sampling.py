@@ -15,19 +15,31 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.withColumn("_d", digest(F.col(key), seed)).orderBy("_d", key).limit(n).drop("_d")
 
 
+def ranked(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
+    """df with `_r`, each row's place from 0 among its label's rows in digest order, and `_n`, how many those are.
+
+    Places are counted within slices of the digests' range and moved on by the sizes of the slices before, so that no task holds a label.
+    """
+    d = digest(F.col(key), seed)
+    rows = df.withColumns({"_d": d, "_s": F.substring(d, 1, 3)})
+    sizes = rows.groupBy(F.col(label).alias("_l"), F.col("_s").alias("_t")).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy("_l")
+    sizes = sizes.select("_l", "_t", F.coalesce(F.sum("_c").over(w.orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"), F.sum("_c").over(w).alias("_n"))
+    found = rows.join(sizes, rows[label].eqNullSafe(sizes["_l"]) & (rows["_s"] == sizes["_t"]))
+    place = F.row_number().over(Window.partitionBy(label, "_s").orderBy("_d", key)) - 1
+    return found.withColumn("_r", F.col("_b") + place).drop("_d", "_s", "_t", "_l", "_b")
+
+
 def balance(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     """As many rows of each label as the rarest has."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    least = counts.agg(F.min("n").alias("least"))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(digest(F.col(key), seed), key))
-    return df.withColumn("_r", rank).crossJoin(F.broadcast(least)).where("_r <= least").drop("_r", "least")  # one row
+    least = df.groupBy(label).agg(F.count("*").alias("n")).agg(F.min("n").alias("_least"))
+    return ranked(df, key, label, seed).crossJoin(F.broadcast(least)).where("_r < _least").drop("_r", "_n", "_least")  # one row
 
 
 def split(df: DataFrame, key: str, label: str, seed: int, train: float = 0.8, val: float = 0.1) -> DataFrame:
     """df with a `split` column, the same shares of every label."""
-    w = Window.partitionBy(label)
-    place = (F.row_number().over(w.orderBy(digest(F.col(key), seed), key)) - 1) / F.count("*").over(w)
-    return df.withColumn("split", F.when(place < train, "train").when(place < train + val, "val").otherwise("test"))
+    place = F.col("_r") / F.col("_n")
+    return ranked(df, key, label, seed).withColumn("split", F.when(place < train, "train").when(place < train + val, "val").otherwise("test")).drop("_r", "_n")
 
 
 def allocate(sizes: list[int], n: int) -> list[int]:

@@ -108,4 +108,4 @@ def burst_level_hist(spark, d):
 def stat_row_upper_median(spark, d):
     """AGG-29."""
     c = reactions(spark, d).groupBy("kind", "subject").agg(F.count("*").alias("n"))
-    return c.groupBy("kind").agg(F.min("n").alias("least"), upper_median(F.col("n")).alias("mid"), F.max("n").alias("most"), F.round(F.avg("n"), 6).alias("mean"))
+    return c.groupBy("kind").agg(F.min("n").alias("least"), upper_median("n").alias("mid"), F.max("n").alias("most"), F.round(F.avg("n"), 6).alias("mean"))

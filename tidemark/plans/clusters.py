@@ -57,14 +57,13 @@ def knn_components(spark, d):
     return neighbours.with_components(rows, neighbours.knn_graph(rows, K, 0.9))
 
 
-@query(f"""WITH RECURSIVE {SIMS}, near AS (SELECT src, dst, sim FROM sims WHERE sim >= {EPS}), core AS (SELECT src AS id FROM near GROUP BY 1 HAVING count(*) >= {MIN_SAMPLES}),
+@query(f"""WITH RECURSIVE {SIMS}, near AS (SELECT src, dst, sim FROM sims WHERE sim >= {EPS} QUALIFY row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) <= least(500, greatest(200, (SELECT count(*) FROM e) // 1000))), core AS (SELECT src AS id FROM near GROUP BY 1 HAVING count(*) >= {MIN_SAMPLES}),
 links AS (SELECT src AS a, dst AS b FROM near WHERE src IN (SELECT id FROM core) AND dst IN (SELECT id FROM core)), {components_sql('links')}, named AS (SELECT core.id, coalesce(cluster, core.id) AS cluster FROM core LEFT JOIN comp USING (id)),
 border AS (SELECT src AS id, arg_max(cluster, (sim, -dst)) AS cluster FROM near JOIN named ON named.id = dst WHERE src NOT IN (SELECT id FROM core) GROUP BY 1)
 SELECT id, cluster, true AS core FROM named UNION ALL SELECT id, cluster, false FROM border""")
 def dbscan_labels(spark, d):
-    """ML-09, JOIN-14/15. The width of the search is that of all rows, as the SQL has it."""
-    rows = _rows(spark, d)
-    return neighbours.dbscan(rows, EPS, MIN_SAMPLES, 1, rows.count())
+    """ML-09, JOIN-14/15, MTH-03: with the usual width of the search."""
+    return neighbours.dbscan(_rows(spark, d), EPS, MIN_SAMPLES, 1)
 
 
 @query("WITH x AS (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS m FROM x GROUP BY 1, 2) SELECT label, round(sqrt(sum(m * m)), 9) AS length, round(max(m) FILTER (i = 1), 9) AS first, (SELECT count(*) FROM embeddings e WHERE e.label = m.label) AS size FROM m GROUP BY 1")

@@ -163,7 +163,7 @@ def parameter_grid(spark, d):
 def cluster_size_summary(spark, d):
     """AGG-31/29."""
     s = embedded(spark, d).groupBy("label").agg(F.count("*").alias("n"))
-    return s.agg(F.round(F.avg("n"), 6).alias("mean"), F.round(F.stddev_pop("n"), 6).alias("std"), F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.median("n"), 6).alias("mid"), upper_median(F.col("n")).alias("upper"))
+    return s.agg(F.round(F.avg("n"), 6).alias("mean"), F.round(F.stddev_pop("n"), 6).alias("std"), F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.median("n"), 6).alias("mid"), upper_median("n").alias("upper"))
 
 
 @query(f"""WITH {PAIRS}, c AS (SELECT ex_idx, run, CAST(p AS VARCHAR) || CAST(s AS VARCHAR) AS way FROM pairs), o AS (SELECT *, row_number() OVER (PARTITION BY way, ex_idx ORDER BY run) AS a FROM c),

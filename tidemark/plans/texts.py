@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse
-from tidemark.operators.clustering import bucket
+from tidemark.operators.clustering import simhash_buckets as simhashes
 from tidemark.plans.tables import posts, read
 from tidemark.sources.files import encode_columns, parse_logs
 
@@ -138,7 +138,7 @@ b AS (SELECT doc_id, i, sum(CASE WHEN (('0x' || substr(md5(w), 1, 4))::INT >> (1
 SELECT d.doc_id, CAST(coalesce(sum(CASE WHEN s > 0 THEN 1 << (16 - i) ELSE 0 END), 0) AS INT) AS bucket FROM documents d LEFT JOIN b USING (doc_id) GROUP BY 1""")
 def simhash_buckets(spark, d):
     """STR-12: top 16 bits of the simhash of whole texts."""
-    return read(spark, d, "documents").select("doc_id", bucket(F.col("text")).alias("bucket"))
+    return simhashes(read(spark, d, "documents"), "doc_id", "text")
 
 
 @query("""SELECT CAST(s_nationkey AS INT) AS task, 2 AS epoch, 0.25::DOUBLE AS val_loss, count(*) AS n FROM supplier GROUP BY 1""")
