@@ -9,7 +9,6 @@ beam holds nothing but links, as it may have more of them. Cosines are verified
 
 from __future__ import annotations
 
-import heapq
 import math
 import pickle
 
@@ -24,127 +23,199 @@ from tidemark.llm.components import UnionFind, connected_components
 #: Classes of a shard, and of a block of queries.
 SHARD_ROWS, BLOCK_ROWS = 8192, 1024
 M, BUILD_BEAM, FIRST_BEAM, MOST_BEAM = 12, 48, 24, 192
+#: Nodes that come into a graph together, and nodes of a beam that are expanded together.
+BATCH, WIDE = 512, 4
 #: One query in so many is audited, by its links and by so many nearest neighbours.
 AUDIT_EVERY, NEAREST, RECALL = 16, 8, 0.99
 
 
+def _best(sims: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the n greatest of each row, in no order."""
+    return np.argpartition(-sims, n - 1, axis=1)[:, :n] if n < sims.shape[1] else np.tile(np.arange(sims.shape[1]), (len(sims), 1))
+
+
+def _descending(ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(-sims, axis=1, kind="stable")
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+
+
 class SmallWorld:
-    """A graph over unit vectors; nearness is the inner product."""
+    """A graph over unit vectors; nearness is the inner product.
 
-    def __init__(self, unit: np.ndarray, m: int = M, beam: int = BUILD_BEAM) -> None:
+    links has, for each layer, a row of neighbours for every node, -1 where there are fewer. Nodes come in from the highest layer down,
+    so the entry is the first; those of one batch search the graph side by side and are candidates of one another.
+    """
+
+    def __init__(self, unit: np.ndarray, m: int = M, beam: int = BUILD_BEAM, batch: int = BATCH) -> None:
         self.unit, self.m = unit, m
         n = len(unit)
         draw = (mix64(np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(11)).astype(float) / 2**53
         self.level = np.floor(-np.log(np.maximum(draw, 1e-12)) / math.log(m)).astype(int)
-        self.links: list[dict[int, list[int]]] = [{} for _ in range(int(self.level.max(initial=0)) + 1)]
-        self.entry, self.top = 0, int(self.level[0]) if n else 0
-        for i in range(n):
-            self._insert(i, beam)
-
-    def _insert(self, i: int, beam: int) -> None:
-        own = int(self.level[i])
-        if i:
-            q, near = self.unit[i], [self.entry]
-            for layer in range(self.top, own, -1):
-                near = [self.search_layer(q, near, 1, layer)[0][1]]
-            for layer in range(min(self.top, own), -1, -1):
-                found = self.search_layer(q, near, beam, layer)
-                near = [j for _, j in found]
-                mine = self._spread(found, self.m)
-                self.links[layer][i] = mine
-                most = self.m * (2 if layer == 0 else 1)
-                for j in mine:
-                    theirs = self.links[layer][j]
-                    theirs.append(i)
-                    if len(theirs) > most:
-                        sims = self.unit[theirs] @ self.unit[j]
-                        order = np.argsort(-sims)
-                        self.links[layer][j] = self._spread([(float(sims[k]), theirs[k]) for k in order], most)
-        for layer in range(own + 1):
-            self.links[layer].setdefault(i, [])
-        if own > self.top:
-            self.entry, self.top = i, own
-
-    def _spread(self, found: list[tuple[float, int]], most: int) -> list[int]:
-        """Neighbours nearer to the new node than to one another; the nearest of the rest fill up."""
-        if len(found) <= most:
-            return [j for _, j in found]
-        ids = [j for _, j in found]
-        block = self.unit[ids]
-        among = block @ block.T
-        kept: list[int] = []
-        for k, (sim, _) in enumerate(found):
-            if len(kept) == most:
+        self.links = [np.full((n, m * (2 if layer == 0 else 1)), -1, np.int32) for layer in range(int(self.level.max(initial=0)) + 1)]
+        order = np.lexsort((np.arange(n), -self.level))
+        self.entry = int(order[0]) if n else 0
+        at = 1
+        while at < n:
+            self._insert(order[at : at + min(batch, at)], beam)
+            at += min(batch, at)
+
+    def _insert(self, nodes: np.ndarray, beam: int) -> None:
+        q, near = self.unit[nodes], np.full((len(nodes), 1), self.entry)
+        for layer in range(len(self.links) - 1, -1, -1):
+            own = self.level[nodes] >= layer
+            if not own.all():
+                found, _ = self.search_layer(q[~own], near[~own][:, :1], 1, layer)
+                near[~own] = -1
+                near[~own, :1] = found
+            if own.any():
+                mine = nodes[own]
+                found, sims = self.search_layer(q[own], near[own], beam, layer)
+                among = q[own] @ q[own].T
+                np.fill_diagonal(among, -np.inf)
+                pick = _best(among, min(beam, len(mine)))
+                ids, sims = _descending(np.concatenate([found, mine[pick]], axis=1), np.concatenate([sims, np.take_along_axis(among, pick, 1)], axis=1))
+                ids[sims == -np.inf] = -1
+                chosen = self._spread(ids[:, :beam], sims[:, :beam], self.m)
+                self.links[layer][mine, : self.m] = chosen
+                self._link_back(layer, mine, chosen)
+                wide = np.full((len(nodes), max(near.shape[1], found.shape[1])), -1)
+                wide[~own, : near.shape[1]] = near[~own]
+                wide[own, : found.shape[1]] = found
+                near = wide
+
+    def _link_back(self, layer: int, nodes: np.ndarray, chosen: np.ndarray) -> None:
+        """Each chosen neighbour links to the nodes that chose it; those with too many links choose among them."""
+        links, dim = self.links[layer], self.unit.shape[1]
+        row, col = np.nonzero(chosen >= 0)
+        to = chosen[row, col]
+        by = np.argsort(to, kind="stable")
+        to, source = to[by], nodes[row[by]]
+        target, first, count = np.unique(to, return_index=True, return_counts=True)
+        place = np.arange(len(to)) - np.repeat(first, count)
+        order = np.argsort(count, kind="stable")
+        cap, at = links.shape[1], 0
+        while at < len(order):  # targets of like numbers of new links together, in blocks of bounded size
+            end = at + 1
+            while end < len(order) and (end - at + 1) * (cap + count[order[end]]) * dim <= 1 << 22:
+                end += 1
+            some = order[at:end]
+            wide = np.full((len(some), cap + int(count[some].max())), -1, np.int64)
+            wide[:, :cap] = links[target[some]]
+            slot = np.full(len(target), -1)
+            slot[some] = np.arange(len(some))
+            mine = np.flatnonzero(slot[np.repeat(np.arange(len(target)), count)] >= 0)
+            wide[slot[np.repeat(np.arange(len(target)), count)[mine]], cap + place[mine]] = source[mine]
+            sims = np.einsum("rcd,rd->rc", self.unit[wide], self.unit[target[some]])
+            sims[wide < 0] = -np.inf
+            wide, sims = _descending(wide, sims)
+            full = (wide >= 0).sum(axis=1) > cap
+            kept = wide[:, :cap].copy()
+            if full.any():
+                kept[full] = self._spread(wide[full], sims[full], cap)
+            links[target[some]] = kept
+            at = end
+
+    def _spread(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
+        """Of candidates from near to far those nearer to the node than to one another; the nearest of the rest fill up."""
+        rows, width = ids.shape
+        vectors = self.unit[ids]
+        among = vectors @ vectors.transpose(0, 2, 1)
+        kept, count, closest = np.zeros((rows, width), bool), np.zeros(rows, int), np.full((rows, width), -np.inf, np.float32)
+        for j in range(width):
+            ok = (ids[:, j] >= 0) & (count < most) & (closest[:, j] <= sims[:, j])
+            kept[:, j] = ok
+            count += ok
+            closest[ok] = np.maximum(closest[ok], among[ok, j])
+        order = np.argsort(np.where(ids < 0, 2 * width, np.where(kept, 0, width)) + np.arange(width), axis=1)[:, :most]
+        out = np.full((rows, most), -1, np.int64)
+        out[:, : order.shape[1]] = np.take_along_axis(ids, order, 1)
+        return out
+
+    def search_layer(self, q: np.ndarray, start: np.ndarray, beam: int, layer: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes near to each query and their nearness, up to `beam`, nearest first; -1 and -inf where there are fewer.
+
+        The queries go side by side: each step expands the WIDE best nodes of every beam that are not yet expanded.
+        """
+        links, unit, n = self.links[layer], self.unit, len(q)
+        seen = np.zeros((n, len(unit)), bool)
+        beam = min(beam, len(unit))
+        width = max(beam, start.shape[1])
+        ids, sims = np.full((n, width), -1, np.int64), np.full((n, width), -np.inf, np.float32)
+        ids[:, : start.shape[1]] = start
+        row, col = np.nonzero(start >= 0)
+        sims[row, col] = np.einsum("rd,rd->r", unit[start[row, col]], q[row])
+        seen[row, start[row, col]] = True
+        ids, sims = _descending(ids, sims)
+        ids, sims = ids[:, :beam].copy(), sims[:, :beam].copy()
+        done = ids < 0
+        live = np.arange(n)
+        while True:
+            open_ = np.where(done[live], -np.inf, sims[live])
+            pick = _best(open_, min(WIDE, beam))
+            good = np.take_along_axis(open_, pick, 1) > -np.inf
+            some = good.any(axis=1)
+            live, pick, good = live[some], pick[some], good[some]
+            if not len(live):
                 break
-            if not kept or among[k, kept].max() <= sim:
-                kept.append(k)
-        if len(kept) < most:
-            have = set(kept)
-            kept += [k for k in range(len(ids)) if k not in have][: most - len(kept)]
-        return [ids[k] for k in kept]
-
-    def search_layer(self, q: np.ndarray, start: list[int], beam: int, layer: int) -> list[tuple[float, int]]:
-        """Up to `beam` near nodes, nearest first."""
-        links, unit, seen = self.links[layer], self.unit, set(start)
-        sims = (unit[start] @ q).tolist()
-        best = list(zip(sims, start, strict=True))
-        heapq.heapify(best)
-        while len(best) > beam:
-            heapq.heappop(best)
-        queue = [(-s, j) for s, j in best]
-        heapq.heapify(queue)
-        while queue:
-            away, j = heapq.heappop(queue)
-            if -away < best[0][0] and len(best) >= beam:
-                break
-            new = [k for k in links[j] if k not in seen]
-            if not new:
+            node = np.where(good, ids[live[:, None], pick], -1)
+            done[live[:, None], pick] |= good
+            new = np.where(node[:, :, None] >= 0, links[node], -1).reshape(len(live), -1)
+            new.sort(axis=1)
+            new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
+            fresh = (new >= 0) & ~seen[live[:, None], new]
+            most = int(fresh.sum(axis=1).max())
+            if not most:
                 continue
-            seen.update(new)
-            for s, k in zip((unit[new] @ q).tolist(), new, strict=True):
-                if len(best) < beam:
-                    heapq.heappush(best, (s, k))
-                    heapq.heappush(queue, (-s, k))
-                elif s > best[0][0]:
-                    heapq.heapreplace(best, (s, k))
-                    heapq.heappush(queue, (-s, k))
-        return sorted(best, reverse=True)
-
-    def search(self, q: np.ndarray, beam: int) -> list[tuple[float, int]]:
-        near = [self.entry]
-        for layer in range(self.top, 0, -1):
-            near = [self.search_layer(q, near, 1, layer)[0][1]]
+            order = np.argsort(~fresh, axis=1, kind="stable")[:, :most]
+            new, fresh = np.take_along_axis(new, order, 1), np.take_along_axis(fresh, order, 1)
+            row, col = np.nonzero(fresh)
+            seen[live[row], new[row, col]] = True
+            near = np.full(new.shape, -np.inf, np.float32)
+            near[row, col] = np.einsum("rd,rd->r", unit[new[row, col]], q[live[row]])
+            every = np.concatenate([sims[live], near], axis=1)
+            top = _best(every, beam)
+            sims[live] = np.take_along_axis(every, top, 1)
+            ids[live] = np.take_along_axis(np.concatenate([ids[live], new], axis=1), top, 1)
+            done[live] = np.take_along_axis(np.concatenate([done[live], ~fresh], axis=1), top, 1)
+        return _descending(ids, sims)
+
+    def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes near to each of some queries, and their nearness, nearest first."""
+        near = np.full((len(q), 1), self.entry)
+        for layer in range(len(self.links) - 1, 0, -1):
+            near, _ = self.search_layer(q, near, 1, layer)
         return self.search_layer(q, near, beam, 0)
 
 
-def range_search(graph: SmallWorld, queries: np.ndarray, least: float) -> tuple[list[list[int]], float, int]:
+def range_search(graph: SmallWorld, queries: np.ndarray, least: float) -> tuple[list[np.ndarray], float, int]:
     """Of each unit query, the nodes of inner product `least` or more; the audited recall, and the beam that reached it."""
     slack, beam, n = least - 1e-5, FIRST_BEAM, min(NEAREST, len(graph.unit))
-    audit = range(0, len(queries), AUDIT_EVERY)
-    truth = []
-    for i in audit:
-        sims = graph.unit @ queries[i]
-        truth.append((set(np.flatnonzero(sims >= slack).tolist()), float(np.partition(sims, -n)[-n]) - 1e-6))
-    wanted = sum(len(t) for t, _ in truth)
+    audit = np.arange(0, len(queries), AUDIT_EVERY)
+    sims = queries[audit] @ graph.unit.T
+    truth = [set(np.flatnonzero(s >= slack).tolist()) for s in sims]
+    edge = np.partition(sims, -n, axis=1)[:, -n] - 1e-6
+    wanted = sum(map(len, truth))
+
+    def links(which: np.ndarray, beam: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Links, and the nearness of what the beam holds; where that is nothing but links, the whole shard was compared."""
+        ids, near = graph.search(queries[which], beam)
+        found = [i[s >= slack] for i, s in zip(ids, near, strict=True)]
+        if ids.shape[1] < len(graph.unit):
+            for k in np.flatnonzero(near[:, -1] >= slack).tolist():
+                found[k] = np.flatnonzero(graph.unit @ queries[which[k]] >= slack)
+        return found, near
+
     while True:
-        found, linked, close = {}, 0, 0
-
-        def links(i: int, beam: int = beam) -> tuple[list[int], list[tuple[float, int]] | None]:
-            """Links, and what the beam holds unless the whole shard was compared."""
-            near = graph.search(queries[i], beam)
-            if len(near) < len(graph.unit) and near[-1][0] >= slack:
-                return np.flatnonzero(graph.unit @ queries[i] >= slack).tolist(), None
-            return [j for s, j in near if s >= slack], near
-
-        for i, (t, edge) in zip(audit, truth, strict=True):
-            found[i], near = links(i)
-            linked += len(t & set(found[i]))
-            close += n if near is None else sum(s >= edge for s, _ in near[:n])
+        found, near = links(audit, beam)
+        linked = sum(len(t & set(f.tolist())) for t, f in zip(truth, found, strict=True))
+        close = int((near[:, :n] >= edge[:, None]).sum())
         recall = min(linked / wanted if wanted else 1.0, close / (n * len(truth)) if truth else 1.0)
         if recall >= RECALL:
-            return [found[i] if i in found else links(i)[0] for i in range(len(queries))], recall, beam
+            rest = np.setdiff1d(np.arange(len(queries)), audit)
+            out = dict(zip(audit.tolist(), found, strict=True)) | (dict(zip(rest.tolist(), links(rest, beam)[0], strict=True)) if len(rest) else {})
+            return [out[i] for i in range(len(queries))], recall, beam
         if beam >= MOST_BEAM:
-            return [np.flatnonzero(s >= slack).tolist() for s in queries @ graph.unit.T], 1.0, len(graph.unit)
+            return [np.flatnonzero(graph.unit @ q >= slack) for q in queries], 1.0, len(graph.unit)
         beam *= 2
 
 
@@ -170,7 +241,7 @@ def _packed(table: pa.Table, part: str, graph: bytes | None, order: np.ndarray)
 def _build(table: pa.Table) -> pa.Table:
     order = np.argsort(table.column("id").to_numpy())
     graph = SmallWorld(_unit(_vectors(table)[order]).astype(np.float32))
-    return _packed(table, "shard", pickle.dumps((graph.entry, graph.top, graph.links)), order)
+    return _packed(table, "shard", pickle.dumps((graph.entry, graph.links)), order)
 
 
 def _block(table: pa.Table) -> pa.Table:
@@ -186,11 +257,10 @@ def _match(least: float, table: pa.Table) -> pa.Table:
         unit = unit.reshape(-1, r["dim"])
         graph = SmallWorld.__new__(SmallWorld)
         graph.unit = unit.astype(np.float32)
-        graph.entry, graph.top, graph.links = pickle.loads(r["graph"])
+        graph.entry, graph.links = pickle.loads(r["graph"])
         found, recall, _ = range_search(graph, asks.astype(np.float32), least)
         groups = UnionFind()
         for q, u, near in zip(own.tolist(), asks, found, strict=True):
-            near = np.array(near, np.int64)
             near = near[(ids[near] != q) & (unit[near] @ u >= least)]
             rows.append((q, int(copies[near].sum()), None, recall))
             rows += [(q, 0, k, recall) for k in ids[near].tolist() if groups.union(q, k)]
