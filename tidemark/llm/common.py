@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -11,9 +9,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.storage import new_path
+from tidemark.storage import remove as drop  # noqa: F401  # the operators take it from here
+
 #: ASCII white space that separates words: space and \t \n \v \f \r.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -28,22 +29,6 @@ PACKED_ROWS = "uid long, size long, rows binary"
 PACKED_LAYOUT = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20)}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not hasattr(shared_dir, "own"):
-        shared_dir.own = tempfile.mkdtemp(prefix="tidemark-")
-    return "file://" + shared_dir.own
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, name: str = "step", partition_by: str | None = None, packed: bool = False) -> tuple[DataFrame, str]:
     """Write df as Parquet into the shared folder and read it back, which cuts its lineage. Packed columns are not compressed again."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
@@ -54,14 +39,6 @@ def materialize(df: DataFrame, name: str = "step", partition_by: str | None = No
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete tables that no later step reads."""
-    jvm = spark.sparkContext._jvm
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def parts_of(n_bytes: int | None, bytes_each: int, least: int = 8) -> int:
     """How many parts of bytes_each a measured number of bytes makes."""
     return max(least, -(-(n_bytes or 0) // bytes_each))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import drop, materialize, mix64, on_group
-from tidemark.llm.components import UnionFind, connected_components
+from tidemark.operators.components import UnionFind, connected_components
 
 #: Classes of a shard, and of a block of queries.
 SHARD_ROWS, BLOCK_ROWS = 8192, 1024
