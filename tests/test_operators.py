@@ -347,3 +347,74 @@ def test_parameter_sweep_equals_brute_force(spark):
                 seen |= mine
                 sizes.append(len(mine))
         assert r.n == len(sizes), r
+
+
+def _socket_server(messages):
+    """A server for one client: handshake, a ping, a message in two frames, the others whole; returns its port and what the client sent."""
+    import socket
+    import threading
+
+    from tidemark.sources import wire
+
+    line, sent = socket.create_server(("127.0.0.1", 0)), []
+
+    def serve():
+        client, _ = line.accept()
+        head = b""
+        while b"\r\n\r\n" not in head:
+            head += client.recv(4096)
+        sent.append(head.decode().split("\r\n")[0])
+        key = next(x for x in head.decode().split("\r\n") if x.lower().startswith("sec-websocket-key")).split(": ")[1]
+        client.sendall(f"HTTP/1.1 101 Switching Protocols\r\nUpgrade: websocket\r\nSec-WebSocket-Accept: {wire.accept_key(key)}\r\n\r\n".encode())
+        client.sendall(wire.frame(wire.PING, b"hi"))
+        half = messages[0][:5]
+        client.sendall(bytes([wire.TEXT, len(half)]) + half + wire.frame(0, messages[0][5:]))
+        for m in messages[1:]:
+            client.sendall(wire.frame(wire.TEXT, m))
+        client.sendall(wire.frame(wire.CLOSE, b""))
+        sent.append(client.recv(4096))
+        client.close()
+
+    threading.Thread(target=serve, daemon=True).start()
+    return line.getsockname()[1], sent
+
+
+def test_web_socket_events():
+    from tidemark.sources import wire
+
+    events = [{"time_us": 9_000_000 + i, "pad": "x" * n} for i, n in enumerate((3, 200, 70_000))]
+    port, sent = _socket_server([json.dumps(e).encode() for e in events] + [b"no json"])
+    fetch = wire.stream_fetch(("a.b", "c"), idle=10)
+    reader = EventReader(fetch, (f"ws://127.0.0.1:{port}/subscribe",), 9_000_000, 3, 100, tries=1)
+    rows, end = reader.read({"time_us": 9_000_000})
+    assert [json.loads(r[0]) for r in rows] == events and end == {"time_us": 9_000_002}
+    assert EventReader(lambda *_: events, ("a",), 0, 3, 9).read({"time_us": 9_000_002})[1] == {"time_us": 9_000_002}
+    assert sent[0] == "GET /subscribe?wantedCollections=a.b&wantedCollections=c&cursor=6000000 HTTP/1.1"
+    with pytest.raises(OSError):
+        wire.stream_fetch(("a",), idle=1)("ws://127.0.0.1:9", 0, 1)
+
+
+def test_paged_feed(spark):
+    """Pages over HTTP until the limit is reached, counted by page; rows come from the data source."""
+    import http.server
+    import threading
+
+    from tidemark.sources import live, wire
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            at = int((self.path.split("cursor=") + ["0"])[1])
+            body = json.dumps({"feed": [{"post": {"uri": f"u{at + i}"}} for i in range(4)], "cursor": str(at + 4) if at < 40 else None}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    spark.dataSource.register(live.feed_source("test_feed", wire.feed_fetch(f"http://127.0.0.1:{server.server_port}/feed")))
+    read = lambda limit: sorted(json.loads(r.value)["post"]["uri"] for r in spark.read.format("test_feed").option("limit", limit).option("page", 4).load().collect())
+    assert read(10) == sorted(f"u{i}" for i in range(12)) and len(read(1000)) == 44
+    server.shutdown()

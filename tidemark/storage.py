@@ -79,3 +79,18 @@ def write_one(df: DataFrame, target: str, kind: str = "parquet", **options: str)
     remove(spark, target)
     move(spark, f"{scratch}/{part}", target)
     remove(spark, scratch)
+
+
+def copy_missing(spark: SparkSession, source: str, target: str, name: str = "merged.parquet") -> list[str]:
+    """Copy files of a name below source to the same places below target, but for those that are there with the same size; what was copied."""
+    out = []
+    for f in files_below(spark, source):
+        if f.rsplit("/", 1)[-1] != name:
+            continue
+        (a, p), (b, q) = _file_system(spark, f"{source}/{f}"), _file_system(spark, f"{target}/{f}")
+        if not b.exists(q) or a.getFileStatus(p).getLen() != b.getFileStatus(q).getLen():
+            remove(spark, f"{target}/{f}")
+            b.mkdirs(q.getParent())
+            copy(spark, f"{source}/{f}", f"{target}/{f}")
+            out.append(f)
+    return out
