@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.stats import clean, fleiss_kappa, mean_ci, t_quantile, upper_median
 from tidemark.operators import evaluation as ev
@@ -59,7 +58,7 @@ def fleiss(spark, d):
 
 @query(f"WITH {RATINGS} SELECT rater, round(100.0 * avg(CASE WHEN v = quality THEN 1 ELSE 0 END), 6) AS accuracy FROM ratings JOIN labels USING (doc_id) GROUP BY 1")
 def accuracy(spark, d):
-    """AGG-17, STR-06."""
+    """AGG-17."""
     both = _ratings(spark, d).join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id")
     return both.groupBy("rater").agg(F.round(100.0 * F.avg((F.col("v") == F.col("quality")).cast("int")), 6).alias("accuracy"))
 
@@ -114,7 +113,7 @@ def per_run_accuracy(spark, d):
 
 @query(f"WITH {runs_sql('s')}, {runs_sql('p')} SELECT round(100.0 * avg(CASE WHEN s.validity = p.validity THEN 1 ELSE 0 END) FILTER (toxic = 0 AND s.validity IS NOT NULL AND p.validity IS NOT NULL), 6) AS clean, round(100.0 * avg(CASE WHEN s.validity = p.validity THEN 1 ELSE 0 END) FILTER (toxic = 7 AND s.validity IS NOT NULL), 6) AS none FROM s JOIN p USING (ex_idx, run) JOIN labels ON doc_id = ex_idx")
 def agreement(spark, d):
-    """AGG-25/26."""
+    """AGG-25."""
     both = runs(spark, d, "s").select("ex_idx", "run", F.col("validity").alias("s")).join(runs(spark, d, "p").select("ex_idx", "run", F.col("validity").alias("p")), ["ex_idx", "run"])
     both = both.join(read(spark, d, "labels").withColumnRenamed("doc_id", "ex_idx"), "ex_idx")
     pct = lambda t: F.round(ev.agreement(F.col("s"), F.col("p"), F.col("toxic") == t), 6)
@@ -140,7 +139,7 @@ def mean_tool_calls(spark, d):
 @query("""WITH s AS (SELECT source, count(*) AS size, round((CAST(('0x' || substr(md5(source), 1, 2)) AS INT)) / 255.0, 6) AS sim FROM documents GROUP BY 1), t AS (SELECT unnest([0.2, 0.5, 0.8])::DOUBLE AS threshold)
 SELECT threshold, count(*) FILTER (sim < threshold) AS clusters, CAST(coalesce(sum(size) FILTER (sim < threshold), 0) AS BIGINT) AS items, round(100.0 * coalesce(sum(size) FILTER (sim < threshold), 0) / sum(size), 4)::DOUBLE AS pct_items FROM s, t GROUP BY 1""")
 def threshold_simulation(spark, d):
-    """AGG-35/36, JOIN-17."""
+    """AGG-35, JOIN-17."""
     sim = F.round(F.conv(F.substring(F.md5(F.col("source").cast("binary")), 1, 2), 16, 10).cast("int") / 255.0, 6)
     s = read(spark, d, "documents").groupBy("source").agg(F.count("*").alias("size")).withColumn("sim", sim)
     return ev.thresholds(s, "size", "sim", [0.2, 0.5, 0.8])
@@ -181,16 +180,6 @@ def coherence_over_runs(spark, d):
     return _ci(r, ["kind"], "v")
 
 
-@query("SELECT item_id, replace(text, ' ', '_') AS name, coalesce((SELECT min(s) FROM (SELECT DISTINCT source AS s FROM documents) WHERE s = 'src' || (item_id % 25)), (SELECT min(source) FROM documents WHERE contains('src' || (item_id % 25), source))) AS prefix FROM benchmark")
-def fuzzy_names(spark, d):
-    """JOIN-18: names to known prefixes, exact match before containment; the first of equals."""
-    names = read(spark, d, "benchmark").select("item_id", F.replace("text", F.lit(" "), F.lit("_")).alias("name"), F.concat(F.lit("src"), (F.col("item_id") % 25).cast("string")).alias("wanted"))
-    known = read(spark, d, "documents").select(F.col("source").alias("prefix")).distinct()
-    exact = names.select("wanted").distinct().join(known, F.expr("contains(wanted, prefix)")).withColumn("rank", F.when(F.col("wanted") == F.col("prefix"), 0).otherwise(1))
-    best = exact.withColumn("r", F.row_number().over(Window.partitionBy("wanted").orderBy("rank", "prefix"))).where("r = 1").select("wanted", "prefix")
-    return names.join(best, "wanted", "left").select("item_id", "name", "prefix")
-
-
 @query("SELECT source, CASE WHEN count(*) > 1 THEN round(stddev_samp(n_chars), 2) END AS std FROM documents GROUP BY 1")
 def cleaned_stats(spark, d):
     """MTH-04."""

@@ -84,7 +84,7 @@ def annotation_coverage_status(spark, d):
 @query("""WITH u AS (SELECT strftime(ts, '%Y-%m-%d') AS date, 'event_type' AS "column", event_type AS v FROM events UNION ALL SELECT strftime(ts, '%Y-%m-%d'), 'kind', CASE WHEN event_type IN ('click', 'view') THEN event_type END FROM events)
 SELECT date, "column", count(v) AS total_non_null, count(*) FILTER (v = 'click') AS label_count, round(CASE WHEN count(v) > 0 THEN 100.0 * count(*) FILTER (v = 'click') / count(v) ELSE 0 END, 4)::DOUBLE AS label_pct FROM u GROUP BY 1, 2""")
 def daily_label_stats(spark, d):
-    """AGG-07, PRJ-07, SNK-07."""
+    """AGG-07, PRJ-07."""
     rows = read(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("date"), "event_type", F.when(F.col("event_type").isin("click", "view"), F.col("event_type")).alias("kind"))
     return coverage.column_stats(rows, "date", ["event_type", "kind"], "click")
 
@@ -133,14 +133,14 @@ def glob_batches(spark, d):
 
 @query(f"WITH {REACTIONS}, w AS (SELECT DISTINCT subject FROM reactions) SELECT item_id AS subject, text FROM benchmark WHERE item_id IN (SELECT subject FROM w) AND length(trim(text)) > 0")
 def text_lookup_semi(spark, d):
-    """JOIN-03, FLT-06, SRC-05."""
+    """JOIN-03, FLT-06."""
     texts = read(spark, d, "benchmark").select(F.col("item_id").alias("subject"), "text", F.col("item_id").alias("at"))
     return first_text(texts, reactions(spark, d), "subject", "text", "at")
 
 
 @query(f"WITH {REACTIONS}, m AS (SELECT subject, count(*) AS n FROM reactions GROUP BY 1) SELECT subject, n, text FROM m LEFT JOIN benchmark ON item_id = subject")
 def text_lookup_left(spark, d):
-    """JOIN-04, SNK-08."""
+    """JOIN-04."""
     m = reactions(spark, d).groupBy("subject").agg(F.count("*").alias("n"))
     return m.join(read(spark, d, "benchmark").select(F.col("item_id").alias("subject"), "text"), "subject", "left")
 
@@ -167,7 +167,7 @@ def class_balance(spark, d):
 @query("""WITH r AS (SELECT doc_id, quality, (row_number() OVER (PARTITION BY quality ORDER BY md5('5|' || doc_id), doc_id) - 1) / (count(*) OVER (PARTITION BY quality))::DOUBLE AS p FROM labels)
 SELECT doc_id, quality, CASE WHEN p < 0.8 THEN 'train' WHEN p < 0.9 THEN 'val' ELSE 'test' END AS split FROM r""")
 def stratified_split(spark, d):
-    """SMP-05, SNK-09."""
+    """SMP-05."""
     return sampling.split(read(spark, d, "labels"), "doc_id", "quality", 5).select("doc_id", "quality", "split")
 
 
@@ -181,14 +181,14 @@ def export_by_batch(spark, d):
 
 @query("SELECT 'documents' AS kind, doc_id AS id, source, CAST(NULL AS VARCHAR) AS url FROM documents UNION ALL SELECT 'pages', page_id, NULL, url FROM pages")
 def union_results(spark, d):
-    """SET-04, SRC-18."""
+    """SET-04."""
     a = read(spark, d, "documents").select(F.lit("documents").alias("kind"), F.col("doc_id").alias("id"), "source")
     return a.unionByName(read(spark, d, "pages").select(F.lit("pages").alias("kind"), F.col("page_id").alias("id"), "url"), allowMissingColumns=True)
 
 
 @query("""WITH r AS (SELECT source, doc_id, substr(text, 1, 60) AS text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pos FROM documents) SELECT source, doc_id, text, pos FROM r WHERE pos <= 3""")
 def first_n_per_batch(spark, d):
-    """WIN-10, SNK-10, SRT-04."""
+    """WIN-10."""
     w = Window.partitionBy("source").orderBy("doc_id")
     rows = read(spark, d, "documents").withColumn("pos", F.row_number().over(w)).where("pos <= 3")
     return rows.select("source", "doc_id", F.substring("text", 1, 60).alias("text"), F.col("pos").cast("long"))

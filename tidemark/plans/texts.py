@@ -97,7 +97,7 @@ def role_map(spark, d):
 
 @query("SELECT doc_id AS id, '\"' || source || '\"' AS source, n_chars FROM documents")
 def json_columns(spark, d):
-    """JSN-02, SNK-04: text as JSON, numbers as they are."""
+    """JSN-02: text as JSON, numbers as they are."""
     return encode_columns(read(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "n_chars"))
 
 
@@ -155,7 +155,7 @@ def best_epochs(spark, d):
 
 @query("SELECT source, count(DISTINCT text) AS texts, count(*) AS n FROM documents GROUP BY 1")
 def unique_texts(spark, d):
-    """AGG-11, JOIN-10: key deduplication on text, whatever the number of copies."""
+    """AGG-11: key deduplication on text, whatever the number of copies."""
     p = posts(spark, d)
     once = p.select("_batch", "text").dropDuplicates(["_batch", "text"]).groupBy("_batch").agg(F.count("text").alias("texts"))
     return p.groupBy("_batch").agg(F.count("*").alias("n")).join(once, "_batch").select(F.col("_batch").alias("source"), "texts", "n")
