@@ -18,6 +18,8 @@ from tidemark.llm.common import WORD, drop, materialize
 #: Slices of each pattern's hash range in the search for the last document of a partial pass.
 SLICES = 4096
 MAX_USES = 3
+#: Most patterns whose limits are sent to every task, so that texts need not move.
+BROADCAST_ROWS = 20_000
 
 
 def fill_targets(sizes: dict, weights: dict, most: float = MAX_USES) -> dict:
@@ -141,6 +143,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
     drop(spark, sized_at)
     cuts = [(p, size_, target, passes, *found.get(p, (-1, None, None, 0, 1))) for p, size_, target, passes, _ in plan]
     limits = spark.createDataFrame(cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string, {tag}_left long, {tag}_n long")
+    if len(cuts) <= BROADCAST_ROWS:  # else the join decides by what it finds
+        limits = F.broadcast(limits)
     here, there = F.struct(F.col(key).alias("a"), F.col(ident).alias("b")), F.struct(F.col(f"{tag}_k").alias("a"), F.col(f"{tag}_i").alias("b"))
     part = F.floor(F.col(size) * F.col(f"{tag}_left") / F.col(f"{tag}_n"))
     inside = F.when(here < there, F.col(size)).when(here == there, part).otherwise(0)
