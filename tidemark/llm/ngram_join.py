@@ -34,8 +34,8 @@ SHARE = 12
 HOT, HOT_FROM = 1 << 16, 32
 #: Bytes of text, and shingles, that one step of a task handles.
 TEXT_STEP, COUNT_STEP = 2 << 20, 1 << 21
-#: Classes of a block of a long list.
-LIST_BLOCK = 512
+#: Classes of a block of a long list, and places that the rows of a hot shingle or family are dealt to.
+LIST_BLOCK, SALT = 512, 16
 #: Weight of the cost of a probe against a merge step in DivideSkip's choice of long lists.
 MU = 0.05
 
@@ -274,6 +274,23 @@ def _links(docs: DataFrame, needed: DataFrame, width: int, percent: int) -> Data
     return held.groupBy("block").applyInArrow(on_group(_search, width, percent), "a long, b long")
 
 
+def _salted(many: DataFrame, few: DataFrame, key: str, by: str) -> DataFrame:
+    """many joined to few by a key that may be hot: its rows are dealt to SALT places by another column, and each row of few goes to all."""
+    salt = F.pmod(F.xxhash64(by, F.lit(3)), F.lit(SALT)).cast("int")
+    every = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return many.withColumn("_salt", salt).join(every, [key, "_salt"]).drop("_salt")
+
+
+def _parts(family: DataFrame) -> DataFrame:
+    """family (family, doc_id, n, ...) with `part`: blocks of LIST_BLOCK in order of size. Places are counted within each size and moved on
+    by how many are smaller, so that no task sorts a family."""
+    sizes = family.groupBy("family", "n").agg(F.count("*").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("family").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = family.join(sizes.select("family", "n", before.alias("before")), ["family", "n"])
+    place = F.col("before") + F.row_number().over(Window.partitionBy("family", "n").orderBy("doc_id")) - 1
+    return found.withColumn("part", F.floor(place / LIST_BLOCK)).drop("before")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs: components of links between sets of word shingles.
 
@@ -315,19 +332,19 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heads = heads.where("low <> high").select("token", "head")
     # Lists of one family mostly begin with the same documents: they are joined to one list under the least head of any list that
     # holds their own head, so that a family is searched about once and not for each of its shingles.
-    held = long.join(heads, "token").groupBy("head", "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+    held = _salted(long, heads, "token", "doc_id").groupBy("head", "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
     held, held_at = materialize(held, "heads")
     lower = held.join(held.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("head")).agg(F.min("head").alias("first"))
-    family = held.join(lower, "head").groupBy(F.col("first").alias("family"), "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+    family = _salted(held, lower, "head", "doc_id").groupBy(F.col("first").alias("family"), "doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
     mixed = family.groupBy("family").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("family")
-    left, left_at = materialize(family.join(mixed, "family"), "open")
-    placed = left.withColumn("part", F.floor((F.row_number().over(Window.partitionBy("family").orderBy("n", "doc_id")) - 1) / LIST_BLOCK))
-    placed, placed_at = materialize(placed, "placed")
+    left, left_at = materialize(_salted(family, mixed, "family", "doc_id"), "open")
+    placed, placed_at = materialize(_parts(left), "placed")
     spans = placed.groupBy("family", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     s, t = spans.alias("s"), spans.alias("t")
     meet = s.join(t, (F.col("s.family") == F.col("t.family")) & (F.col("s.part") <= F.col("t.part")) & (100 * F.col("s.high") >= percent * F.col("t.low")))
     meet = meet.select(F.col("s.family").alias("family"), F.col("s.part").alias("p"), F.col("t.part").alias("q"), F.xxhash64("s.family", "s.part", "t.part").alias("block"))
-    needed = placed.join(meet, "family").where("part = p or part = q").select("block", "doc_id", "component", (F.col("part") == F.col("p")).alias("query"), (F.col("part") == F.col("q")).alias("stored"))
+    side = lambda part, query: placed.join(meet.select("family", F.col(part).alias("part"), "block"), ["family", "part"]).select("block", "doc_id", "component", F.lit(query).alias("query"), F.lit(not query).alias("stored"))
+    needed = side("p", True).unionByName(side("q", False))
     more, more_at = materialize(_links(docs, needed, width, percent), "far")
     final, final_at = materialize(connected_components(links.unionByName(more)), "groups")
     named = classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", "check", F.coalesce("component", "doc_id").alias("component"))
