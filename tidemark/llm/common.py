@@ -60,15 +60,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20)
             yield batch.slice(i, j - i)
 
 
-def _pack_rows(column: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_rows(column: int, most: int, shape: Callable[[pa.Table], pa.Table] | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     uid, held, size = (task.partitionId() if task else 0) << 32, [], 0
 
     def packed() -> pa.RecordBatch:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
-            out.write_table(pa.Table.from_batches(held).combine_chunks())
-        return pa.RecordBatch.from_arrays([pa.array([uid], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["uid", "size", "rows"])
+        rows = pa.Table.from_batches(held).combine_chunks()
+        data = pack_table(shape(rows) if shape else rows)
+        return pa.RecordBatch.from_arrays([pa.array([uid], pa.int64()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], ["uid", "size", "rows"])
 
     for batch in slices(batches, column, most):
         n = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
@@ -81,16 +80,24 @@ def _pack_rows(column: int, most: int, batches: Iterator[pa.RecordBatch]) -> Ite
         yield packed()
 
 
-def pack_rows(df: DataFrame, text_col: str, most: int = 4 << 20) -> tuple[DataFrame, str]:
-    """A table of shards: (uid, size, rows), where rows has all columns of up to `most` bytes of text as a compressed Arrow stream.
+def pack_rows(df: DataFrame, text_col: str, most: int = 4 << 20, shape: Callable[[pa.Table], pa.Table] | None = None) -> tuple[DataFrame, str]:
+    """A table of shards: (uid, size, rows), where rows has all columns of up to `most` bytes of text as a compressed Arrow stream, or
+    what `shape` makes of them.
 
     Rows stay where they are read, nothing is shuffled; a longer text is a shard of its own. uid is unique within the table, and as
     the table is written once, it means the same rows whenever it is read.
     """
-    rows = df.mapInArrow(partial(_pack_rows, df.columns.index(text_col), most), PACKED_ROWS)
+    rows = df.mapInArrow(partial(_pack_rows, df.columns.index(text_col), most, shape), PACKED_ROWS)
     return materialize(rows, "shards", packed=True)
 
 
+def pack_table(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def unpack_rows(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all().combine_chunks()
 

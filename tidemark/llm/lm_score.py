@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, unpack_ints, unpack_rows, unpack_sorted
+from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, pack_table, parts_of, unpack_ints, unpack_rows, unpack_sorted
 
 #: Bytes of text in a shard, for each hash range of words, and for each of n-grams.
 SHARD, WORD_RANGE, GRAM_RANGE = 4 << 20, 16 << 20, 8 << 20
@@ -52,6 +52,23 @@ def text_symbols(texts: pa.ChunkedArray | pa.Array) -> tuple[list[bytes], np.nda
     return list(index), (np.concatenate(rows) if rows else np.zeros(0, np.int32)) + np.int32(2), starts
 
 
+def _as_symbols(rows: pa.Table) -> pa.Table:
+    """(doc_id, taught, symbols) of a shard's rows; the words go with the schema."""
+    words, symbols, starts = text_symbols(rows.column("text"))
+    lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(symbols))
+    return pa.table({"doc_id": rows.column("doc_id"), "taught": rows.column("taught"), "symbols": lists}).replace_schema_metadata({b"words": _squeeze(b" ".join(words))})
+
+
+def _read_symbols(rows: bytes) -> tuple[pa.Table, list[bytes], np.ndarray, np.ndarray]:
+    """The rows of a shard, its words, the symbols of all rows and where rows begin."""
+    table = unpack_rows(rows)
+    column = table.column("symbols").combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks)
+    starts = column.offsets.to_numpy()
+    return table, _loosen((table.schema.metadata or {}).get(b"words", _squeeze(b""))).split(b" "), column.flatten().to_numpy(), starts - starts[0]
+
+
 def _ranges(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[int]]:
     """The order of words by hash range, and where ranges begin in it."""
     bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
@@ -82,8 +99,7 @@ def _ask_words(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     """Words of each shard and how often its training texts have them, by hash range."""
     for batch in batches:
         for uid, rows in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-            table = unpack_rows(rows.as_buffer())
-            words, symbols, starts = text_symbols(table.column("text"))
+            table, words, symbols, starts = _read_symbols(rows.as_buffer())
             use = np.repeat(table.column("taught").to_numpy(), np.diff(starts))
             count = np.bincount(symbols[use] - 2, minlength=len(words))
             order, edge = _ranges(words, buckets)
@@ -115,8 +131,7 @@ def _number(buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
     """A shard's texts as symbols: 0 for words that training texts don't have, else 2 and the place among its other words."""
     out = []
     for uid, size, rows in zip(shards.column("uid").to_pylist(), shards.column("size").to_pylist(), shards.column("rows"), strict=True):
-        table = unpack_rows(rows.as_buffer())
-        words, symbols, starts = text_symbols(table.column("text"))
+        table, words, symbols, starts = _read_symbols(rows.as_buffer())
         order, _ = _ranges(words, buckets)
         said = sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "names", "totals")), strict=True))
         name, total = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
@@ -127,12 +142,9 @@ def _number(buckets: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
         place = np.zeros(len(words), np.int32)
         place[known] = np.arange(2, len(known) + 2)
         lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(place[symbols - 2]))
-        sink = pa.BufferOutputStream()
         kept = pa.table({"doc_id": table.column("doc_id"), "taught": table.column("taught"), "symbols": lists})
-        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
-            stream.write_table(kept)
         # As many begins as ends, which is the first word.
-        out.append((uid, size, sink.getvalue().to_pybytes(), _squeeze(pack_ints(np.append(np.uint64(BEGIN), name[known]))), _squeeze(pack_ints(np.append(total[0], total[known])))))
+        out.append((uid, size, pack_table(kept), _squeeze(pack_ints(np.append(np.uint64(BEGIN), name[known]))), _squeeze(pack_ints(np.append(total[0], total[known])))))
     return pa.Table.from_batches([_batch(("uid", "size", "rows", "names", "totals"), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), out)])
 
 
@@ -149,16 +161,12 @@ class Texts(NamedTuple):
 
 
 def _texts(rows: bytes, names: bytes, totals: bytes) -> Texts:
-    table = unpack_rows(rows)
-    column = table.column("symbols").combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    size = np.diff(column.offsets.to_numpy())
-    starts = np.concatenate([[0], np.cumsum(size + 1, dtype=np.int64)])
+    table, _, found, begin = _read_symbols(rows)
+    starts = begin.astype(np.int64) + np.arange(len(begin))
     symbols = np.full(starts[-1], BEGIN, np.int64)
     inside = np.ones(len(symbols), bool)
     inside[starts[:-1]] = False
-    symbols[inside] = column.flatten().to_numpy()
+    symbols[inside] = found
     name = np.append(np.uint64(UNKNOWN), unpack_ints(_loosen(names)))
     total = np.append(0, unpack_ints(_loosen(totals)).astype(np.int64))
     return Texts(table, table.column("taught").to_numpy(), symbols, starts, name, total)
@@ -263,16 +271,16 @@ class BackoffAutomaton:
     def add_arcs(self, state: np.ndarray, symbol: np.ndarray, weight: np.ndarray, target: np.ndarray) -> None:
         self.arcs.update(zip((state * self.width + symbol).tolist(), range(len(self.weight), len(self.weight) + len(weight)), strict=True))
         self.weight += weight.tolist()
-        self.target += target.tolist()
+        self.target += (target * self.width).tolist()  # where the state's arcs begin among the keys
 
     def read(self, symbols: list[int]) -> float:
         """Walk one text from its begin and add up the weights of the arcs and failure arcs taken."""
-        arc_of, weight, target, fail, fail_weight, width = self.arcs.get, self.weight, self.target, self.fail, self.fail_weight, self.width
-        state, total = self.begin, 0.0
+        arc_of, weight, target, fail, fail_weight = self.arcs.get, self.weight, self.target, self.fail, self.fail_weight
+        state, total = self.begin * self.width, 0.0
         for symbol in symbols:
-            while (arc := arc_of(state * width + symbol)) is None:
-                total += fail_weight[state]
-                state = fail[state]
+            while (arc := arc_of(state + symbol)) is None:
+                total += fail_weight[state // self.width]
+                state = fail[state // self.width] * self.width
             total += weight[arc]
             state = target[arc]
         return total
@@ -353,7 +361,7 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     table stays empty. Other columns are not read. All n-grams up to `order` words are counted, none is pruned.
     """
     spark = docs.sparkSession
-    shards, shards_at = pack_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("taught")), "text", shard_bytes)
+    shards, shards_at = pack_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("taught")), "text", shard_bytes, _as_symbols)
     size = shards.agg(F.sum("size")).first()[0]
     word_buckets, buckets = parts_of(size, WORD_RANGE), parts_of(size, GRAM_RANGE)
     words = shards.mapInArrow(partial(_ask_words, word_buckets), ASK).groupBy("bucket").applyInArrow(on_group(_name_words, word_buckets), ANSWER)
