@@ -153,12 +153,14 @@ def judged_sweep(spark, d):
     return sweep.judged_sweep(rows, (0.0, 0.5, 0.8, 0.9, 0.95, 0.99), (2, 3, 5, 10), (0.0, 0.2))
 
 
-@query()
+@query("""WITH c AS (SELECT conv_id, list(text ORDER BY turn, text) AS texts FROM conversations GROUP BY 1), e AS (SELECT conv_id, texts, unnest(range(0, least(2, len(texts)))) AS i FROM c)
+SELECT conv_id, CAST(i AS INT) AS claim_no, 'Claim ' || array_to_string(regexp_extract_all(string_split(texts[i + 1], chr(10))[1], '[a-zA-Z]+')[1:6], ' ') AS claim, 1 AS post_count, md5(texts[i + 1]) AS texts, true AS is_relevant FROM e""")
 def claims(spark, d):
-    """UDF-05, STR-05, SRT-06: claims of every conversation by the stand-in model."""
+    """UDF-05, STR-05, SRT-06: claims of every conversation by the stand-in model; places that are out of range are left out."""
     texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
     c = read(spark, d, "conversations").groupBy("conv_id").agg(texts.alias("texts"))
-    return models.extract_claims(c, "conv_id", "texts", models.first_sentences)
+    found = models.extract_claims(c, "conv_id", "texts", models.first_sentences)
+    return found.select("conv_id", "claim_no", "claim", "post_count", F.md5(F.array_join("original_texts", "|").cast("binary")).alias("texts"), "is_relevant")
 
 
 @query()
