@@ -418,3 +418,48 @@ def test_paged_feed(spark):
     read = lambda limit: sorted(json.loads(r.value)["post"]["uri"] for r in spark.read.format("test_feed").option("limit", limit).option("page", 4).load().collect())
     assert read(10) == sorted(f"u{i}" for i in range(12)) and len(read(1000)) == 44
     server.shutdown()
+
+
+def test_late_events_are_dropped(spark):
+    """Windows close when the watermark passes them; an event older than that changes nothing."""
+    import time
+
+    from tidemark.streaming import flows
+
+    at = storage.new_path(spark, "late")
+    for hours in (["00:10", "01:10"], ["03:00"], ["00:20", "05:00"], ["08:00"]):
+        storage.write_one(spark.createDataFrame([(f"2024-01-01 {h}:00", "k") for h in hours], "t string, kind string"), f"{at}/in/{hours[0].replace(':', '')}-{len(hours)}.json", "json")
+        time.sleep(1.1)  # files of a trigger come in the order of their times
+    stream = flows.replay(spark, f"{at}/in", "t timestamp, kind string")
+    got = flows.collect_stream(flows.tumbling(stream, "t", ["kind"]), f"{at}/rows", f"{at}/state").collect()
+    assert {r.start.hour: r.n for r in got if r.start.hour < 8} == {0: 1, 1: 1, 3: 1, 5: 1}
+
+
+def test_kmeans_finds_apart_groups(spark):
+    rng = np.random.default_rng(1)
+    centers = np.eye(6)[:4] * 10
+    rows = [(g * 20 + i, (centers[g] + rng.normal(size=6) * 0.1).tolist()) for g in range(4) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    found = {r.id: r.cluster for r in clustering.cluster_kmeans(df, 4).collect()}
+    groups = [{found[g * 20 + i] for i in range(20)} for g in range(4)]
+    assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 4
+    assert {r.id: r.cluster for r in clustering.cluster_kmeans(df, 4).collect()} == found
+    assert len({r.cluster for r in clustering.cluster_kmeans(df.limit(1)).collect()}) == 1
+
+
+def test_knn_clusters_of_apart_groups(spark):
+    """A group too large is split, one too small and far from all others goes."""
+    rng = np.random.default_rng(2)
+    centers = np.eye(8) * 10
+    centers[2] = -5  # less than nothing in common with the others
+    sizes = [30, 9, 2]
+    rows, n = [], 0
+    for g, size in enumerate(sizes):
+        for _ in range(size):
+            rows.append((n, (centers[g] + rng.normal(size=8) * 0.2).tolist()))
+            n += 1
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    named = {r.id: r.cluster for r in clustering.cluster_knn_graph(df, k=8, drop_frac=0.0, min_size=5, max_size=15, outlier_threshold=0.5).collect()}
+    of = lambda a, b: {named.get(i) for i in range(a, b)}
+    assert of(39, 41) == {None} and len(of(30, 39)) == 1 and not of(0, 30) & of(30, 39)
+    assert None not in of(0, 30) and len(of(0, 30)) > 1
