@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -18,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import Recent, cached_chunks, id_lists
+from tidemark.llm.bpe import _STOPS, Recent, id_lists
 from tidemark.llm.common import pieces, select_text, slices
 
 LAYOUT = {
@@ -32,7 +33,7 @@ LAYOUT = {
 }
 FIELDS = "doc_id long, part int, at long, n_tokens long, ids array<int>"
 #: Bytes of each generation of a worker's cache of encoded words.
-CACHE_BYTES = 80 << 20
+CACHE_BYTES = 128 << 20
 _BUILT: dict = {}
 
 
@@ -45,16 +46,81 @@ def _tokenizer(key: str, text: str) -> dict:
     return _BUILT
 
 
+def _chunks_of(text: str) -> list[str] | None:
+    """A text cut before every blank; None if a chunk could not be told from its neighbours."""
+    return None if "\0" in text else text.replace(" ", "\0 ").split("\0")
+
+
+def _byte_names() -> dict[int, str]:
+    """Bytes as the model spells them: printable Latin-1 characters as they are, all others by characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_NAMES = _byte_names()
+
+
+def _word(chunk: str) -> str | None:
+    """A chunk that is one match of the pre-tokenizer, letters with or without a blank, in the model's spelling; None for others.
+
+    Letters of scripts up to Cyrillic, on which all versions of Unicode agree.
+    """
+    body = chunk[1:] if chunk[:1] == " " else chunk
+    if not body.isalpha():
+        return None
+    if chunk.isascii():
+        return chunk.replace(" ", _NAMES[32])
+    return chunk.encode().decode("latin-1").translate(_NAMES) if max(body) < "\u0530" else None
+
+
+def encode_texts(texts: list[str], tokenizer, cache: Recent) -> list[bytes]:
+    """Ids of whole texts as native 32-bit integers. Chunks that the cache doesn't have are encoded by the library, words by its
+    model and others in one call.
+
+    A match of the pre-tokenizer takes at most one leading blank, so chunks can be encoded alone, and so can letters and a stop after
+    them. Texts in which another white-space character stands beside a blank, or with a blank first, are encoded whole.
+    """
+    split = [_chunks_of(t) for t in texts]
+    young, old, model = cache.young, cache.old, tokenizer.model.tokenize
+    missing = set().union(*[p for p in split if p]) - young.keys()
+    bad = {c for c in missing if not c or c[0] == " " and (len(c) == 1 or c[1].isspace())}
+    if bad:
+        split = [None if p and len(p) > 1 and not bad.isdisjoint(p) else p for p in split]
+    whole = [t for t, p in zip(texts, split, strict=True) if p is None]
+    stopped = [c for c in missing if c[-1:] in _STOPS and c[c[:1] == " " : -1].isalpha() and c not in old]
+    # Letters and a stop are two matches: the word is likelier to come again alone.
+    todo, ask = ((missing | {part for c in stopped for part in (c[:-1], c[-1])}) - young.keys()).difference(stopped), []
+    if "" in todo and [""] not in split:
+        todo.discard("")
+    found = {}
+    for c in todo:
+        if (got := old.get(c)) is not None:
+            found[c] = got
+        elif c in bad and c:
+            continue
+        elif (word := _word(c)) is not None:  # the library's model alone, without its search for matches and special tokens
+            found[c] = array("i", [t.id for t in model(word)]).tobytes()
+        else:
+            ask.append(c)
+    answers = tokenizer.encode_batch_fast([*ask, *whole], add_special_tokens=False) if ask or whole else []
+    found |= {c: array("i", e.ids).tobytes() for c, e in zip(ask, answers, strict=False)}
+    young |= found
+    both = {c: young[c[:-1]] + young[c[-1]] for c in stopped}
+    young |= both
+    cache.size += sum(2 * len(c) + len(ids) + 200 for x in (found, both) for c, ids in x.items())
+    rest, get = iter(answers[len(ask) :]), young.__getitem__
+    out = [array("i", next(rest).ids).tobytes() if p is None else b"".join(map(get, p)) for p in split]
+    if cache.size > cache.most:
+        cache.young, cache.old, cache.size = {}, young, 0
+    return out
+
+
 def _encode(key: str, shipped: Broadcast, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     built = _tokenizer(key, shipped.value)
-    cache, encode = built["cache"], built["tokenizer"].encode
-    pack = lambda text: np.array(encode(text, add_special_tokens=False).ids, np.int32).tobytes()
     end, at = np.array([end_id], np.int32).tobytes(), 0
     for batch in slices(batches, 1):
-        out = []
-        for text in batch.column(1).to_pylist():
-            parts = cached_chunks(text, cache, pack)
-            out.append((b"".join(parts) if parts is not None else pack(text)) + end)
+        out = [x + end for x in encode_texts(batch.column(1).to_pylist(), built["tokenizer"], built["cache"])]
         n = np.array([len(x) >> 2 for x in out], np.int64)
         starts = at + np.cumsum(n) - n
         at += int(n.sum())
