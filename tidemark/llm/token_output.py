@@ -83,7 +83,15 @@ def encode_texts(texts: list[str], tokenizer, cache: Recent) -> list[bytes]:
     """
     split = [_chunks_of(t) for t in texts]
     young, old, model = cache.young, cache.old, tokenizer.model.tokenize
-    missing = set().union(*[p for p in split if p]) - young.keys()
+    get, rows, missing = young.get, [], set()
+    for p in split:
+        ids, gaps = [], []
+        for c in p or ():
+            if (got := get(c)) is None:
+                gaps.append(len(ids))
+            ids.append(got)
+        rows.append((ids, gaps))
+        missing.update([p[i] for i in gaps])
     bad = {c for c in missing if not c or c[0] == " " and (len(c) == 1 or c[1].isspace())}
     if bad:
         split = [None if p and len(p) > 1 and not bad.isdisjoint(p) else p for p in split]
@@ -109,8 +117,14 @@ def encode_texts(texts: list[str], tokenizer, cache: Recent) -> list[bytes]:
     both = {c: young[c[:-1]] + young[c[-1]] for c in stopped}
     young |= both
     cache.size += sum(2 * len(c) + len(ids) + 200 for x in (found, both) for c, ids in x.items())
-    rest, get = iter(answers[len(ask) :]), young.__getitem__
-    out = [array("i", next(rest).ids).tobytes() if p is None else b"".join(map(get, p)) for p in split]
+    rest, out = iter(answers[len(ask) :]), []
+    for p, (ids, gaps) in zip(split, rows, strict=True):
+        if p is None:
+            out.append(array("i", next(rest).ids).tobytes())
+        else:
+            for i in gaps:
+                ids[i] = young[p[i]]
+            out.append(b"".join(ids))
     if cache.size > cache.most:
         cache.young, cache.old, cache.size = {}, young, 0
     return out
