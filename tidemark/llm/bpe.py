@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import select_text, slices
 
 #: Bytes of each generation of a Python worker's caches, as they are counted, and most remembered pairs of tokens.
-CACHE_BYTES, PAIRS = 12 << 20, 200_000
+CACHE_BYTES, PAIRS = 24 << 20, 200_000
 #: The white space of Unicode's White_Space property, which is what the pattern's \s means to the library.
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
