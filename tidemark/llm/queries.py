@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import materialize, new_path
+from tidemark.llm.decontaminate import CONTAMINATION_SQL, contamination, contamination_digest
+from tidemark.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from tidemark.llm.lang_id import classify, fit_profiles, fold
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.media import encode_media, media_features
@@ -115,6 +117,14 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -126,5 +136,7 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_decontamination": op13_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": OP7_SQL, "op12_filter_audit": FILTER_AUDIT_SQL, "op13_decontamination": CONTAMINATION_SQL}
