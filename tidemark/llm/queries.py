@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import aligned_tokens
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import materialize, new_path
 from tidemark.llm.decontaminate import CONTAMINATION_SQL, contamination, contamination_digest
@@ -117,6 +118,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -136,6 +141,7 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_filter_audit": op12_filter_audit,
     "op13_decontamination": op13_decontamination,
 }
