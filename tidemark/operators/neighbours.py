@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import kept_neighbours, search_width
 from tidemark.operators.components import connected_components
+from tidemark.storage import cut
+
+if TYPE_CHECKING:
+    from tidemark.operators.cells import Cells
 
 BLOCK_ROWS = 4096
 
@@ -36,27 +43,69 @@ def _top(k: int, least: float, table: pa.Table) -> pa.Table:
     return pa.table({"src": pa.array(np.concatenate(src)), "dst": pa.array(np.concatenate(dst)), "sim": pa.array(np.concatenate(sim))})
 
 
-def nearest(vectors: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS, by: str | None = None) -> DataFrame:
-    """(src, dst, sim, rank): the k most similar of all rows for each row of (id, v), by exact cosine; with `by`, of rows equal in it.
+def meet(queries: DataFrame, base: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS, by: str | None = None) -> DataFrame:
+    """(src, dst, sim, rank): the k most similar rows of base for each row of queries, both (id, v); with `by`, of rows equal in it.
 
-    Rows are dealt to blocks of bounded size and each two blocks meet in one task, so no task or broadcast holds all vectors; each
-    block pair gives k rows for each of its rows, and ranks are cut before the last shuffle.
+    Both sides are dealt to blocks of bounded size and each two blocks meet in one task, so no task or broadcast holds all vectors. With
+    `by` the blocks are counted for each of its values, so small groups are not copied and large ones are split. A row of queries
+    may come in several groups, whose finds are ranked together; each block pair gives k rows for each of its rows.
     """
-    rows = vectors.where("v is not null and size(v) > 0").select(F.col("id").cast("long").alias("id"), "v", *([by] if by else []))
-    blocks = max(1, -(-rows.count() // block_rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select(*rows.columns, F.lit(0).alias("side"), block.alias("i"), every.alias("j"))
-    right = rows.select(*rows.columns, F.lit(1).alias("side"), block.alias("j"), every.alias("i")).select(left.columns)
+    keys = [by] if by else []
+    rows = [x.where("v is not null and size(v) > 0").select(F.col("id").cast("long").alias("id"), "v", *keys) for x in (queries, base)]
+    if by:
+        parts = [x.groupBy(by).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name)) for x, name in zip(rows, ("left", "right"), strict=True)]
+        sizes = parts[0].join(parts[1], by)
+        rows = [x.join(sizes, by) for x in rows]
+    else:
+        counts = [max(1, -(-x.count() // block_rows)) for x in rows]
+        rows = [x.withColumns({"left": F.lit(counts[0]), "right": F.lit(counts[1])}) for x in rows]
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows[0].select("id", "v", *keys, F.lit(0).alias("side"), block("left").alias("i"), every("right").alias("j"))
+    right = rows[1].select("id", "v", *keys, F.lit(1).alias("side"), block("right").alias("j"), every("left").alias("i")).select(left.columns)
 
     def top(table: pa.Table) -> pa.Table:
         return _top(k, least, table)
 
-    found = left.unionByName(right).groupBy("i", "j", *([by] if by else [])).applyInArrow(top, "src long, dst long, sim double")
+    found = left.unionByName(right).groupBy("i", "j", *keys).applyInArrow(top, "src long, dst long, sim double")
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def nearest(vectors: DataFrame, k: int, least: float = -2.0, block_rows: int = BLOCK_ROWS, by: str | None = None, index: Cells | None = None) -> DataFrame:
+    """(src, dst, sim, rank): the k most similar of all rows for each row of (id, v), by exact cosine; with `by`, of rows equal in it.
+
+    With an index (cells.fit) a row meets the rows of the cells it visits alone, and finds what the index's audit promises.
+    """
+    if index is not None:
+        from tidemark.operators.cells import search
+
+        return search(index, k, least, block_rows=block_rows)
+    return meet(vectors, vectors, k, least, block_rows, by)
+
+
+def pairs_above(vectors: DataFrame, least: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, sim), a < b: every pair of rows at `least` or more, without ranks, so a block's result is what reaches the threshold.
+
+    Blocks of one row order meet once: of two blocks only one is the left of the other.
+    """
+    rows = vectors.where("v is not null and size(v) > 0").select(F.col("id").cast("long").alias("id"), "v")
+    blocks = max(1, -(-rows.count() // block_rows))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    left = rows.select("id", "v", F.lit(0).alias("side"), block.alias("i"), F.explode(F.sequence(block, F.lit(blocks - 1))).alias("j"))
+    right = rows.select("id", "v", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), block)).alias("i"), block.alias("j"))
+
+    def above(table: pa.Table) -> pa.Table:
+        found = _top(max(1, len(table)), least, table)
+        src, dst = found.column("src").to_numpy(), found.column("dst").to_numpy()
+        if found.num_rows and pc.min_max(table.column("i"))["min"].as_py() == pc.min_max(table.column("j"))["min"].as_py():
+            found = found.filter(pa.array(src < dst))  # a block with itself finds each pair from both sides
+            src, dst = found.column("src").to_numpy(), found.column("dst").to_numpy()
+        return pa.table({"a": np.minimum(src, dst), "b": np.maximum(src, dst), "sim": found.column("sim")})
+
+    return left.unionByName(right).groupBy("i", "j").applyInArrow(above, "a long, b long, sim double")
+
+
 def symmetric(edges: DataFrame) -> DataFrame:
     """(a, b, sim) once for each pair: the larger of both directions, where a direction that is missing counts as 0."""
     pair = edges.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.count("*").alias("n"), F.max("sim").alias("sim"))
@@ -73,14 +122,16 @@ def knn_graph(vectors: DataFrame, k: int, drop_frac: float = 0.9) -> DataFrame:
     return symmetric(nearest(vectors, kept_neighbours(k, drop_frac)))
 
 
-def dbscan(vectors: DataFrame, eps: float = 0.7, min_samples: int = 5, min_cluster_size: int = 1, width: int | None = None, by: str | None = None) -> DataFrame:
+def dbscan(vectors: DataFrame, eps: float = 0.7, min_samples: int = 5, min_cluster_size: int = 1, width: int | None = None, by: str | None = None, index: Cells | None = None) -> DataFrame:
     """(id, cluster, core): density clusters on cosine; noise is left out. With `by`, rows that are equal in it are clustered apart.
 
+    With an index (cells.fit, for this eps and width) neighbours come from the cells that its audit found enough.
+
     A core has min_samples neighbours of similarity eps among its nearest `width`, not counting itself. Cores that are neighbours share
     a cluster; another row with a core neighbour joins that of the most similar. Below two cores there are no clusters.
     """
     width = width or search_width(vectors.count())
-    near = nearest(vectors, width, eps, by=by).select("src", "dst", "sim")
+    near, _ = cut(nearest(vectors, width, eps, by=by, index=index).select("src", "dst", "sim"), "near")
     cores = near.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples).select(F.col("src").alias("id"))
     if by:
         cores = cores.join(vectors.select("id", by), "id")

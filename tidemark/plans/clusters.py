@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import centroids
-from tidemark.operators import clustering, models, neighbours, sweep
+from tidemark.functions.vectors import centroids, search_width
+from tidemark.operators import cells, clustering, models, neighbours, sweep
 from tidemark.plans.tables import embedded, read
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -32,10 +32,8 @@ def _rows(spark, d):
 
 @query(f"WITH {SIMS} SELECT src AS a, dst AS b, round(sim, 6) AS sim FROM sims WHERE src < dst AND sim >= {EPS}")
 def cosine_pairs(spark, d):
-    """MTH-01, JOIN-14: pairs of at least this similarity; every row has far fewer such neighbours than the width."""
-    rows = _rows(spark, d)
-    near = neighbours.nearest(rows, rows.count(), EPS)
-    return near.where("src < dst").select(F.col("src").alias("a"), F.col("dst").alias("b"), F.round("sim", 6).alias("sim"))
+    """MTH-01, JOIN-14: pairs of at least this similarity."""
+    return neighbours.pairs_above(_rows(spark, d), EPS).select("a", "b", F.round("sim", 6).alias("sim"))
 
 
 @query(f"WITH {TOP} SELECT src, dst, CAST(rank AS INT) AS rank, round(sim, 6) AS sim FROM knn WHERE rank <= {K}")
@@ -57,15 +55,38 @@ def knn_components(spark, d):
     return neighbours.with_components(rows, neighbours.knn_graph(rows, K, 0.9))
 
 
-@query(f"""WITH RECURSIVE {SIMS}, near AS (SELECT src, dst, sim FROM sims WHERE sim >= {EPS} QUALIFY row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) <= least(500, greatest(200, (SELECT count(*) FROM e) // 1000))), core AS (SELECT src AS id FROM near GROUP BY 1 HAVING count(*) >= {MIN_SAMPLES}),
+DBSCAN = f"""WITH RECURSIVE {SIMS}, near AS (SELECT src, dst, sim FROM sims WHERE sim >= {EPS} QUALIFY row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) <= least(500, greatest(200, (SELECT count(*) FROM e) // 1000))), core AS (SELECT src AS id FROM near GROUP BY 1 HAVING count(*) >= {MIN_SAMPLES}),
 links AS (SELECT src AS a, dst AS b FROM near WHERE src IN (SELECT id FROM core) AND dst IN (SELECT id FROM core)), {components_sql('links')}, named AS (SELECT core.id, coalesce(cluster, core.id) AS cluster FROM core LEFT JOIN comp USING (id)),
 border AS (SELECT src AS id, arg_max(cluster, (sim, -dst)) AS cluster FROM near JOIN named ON named.id = dst WHERE src NOT IN (SELECT id FROM core) GROUP BY 1)
-SELECT id, cluster, true AS core FROM named UNION ALL SELECT id, cluster, false FROM border""")
+SELECT id, cluster, true AS core FROM named UNION ALL SELECT id, cluster, false FROM border"""
+
+
+@query(DBSCAN)
 def dbscan_labels(spark, d):
     """ML-09, JOIN-14/15, MTH-03: with the usual width of the search."""
     return neighbours.dbscan(_rows(spark, d), EPS, MIN_SAMPLES, 1)
 
 
+@query(DBSCAN)
+def dbscan_indexed(spark, d):
+    """ML-09/10: the same clusters through an inverted file that visits cells until its audit finds every neighbour."""
+    rows = _rows(spark, d)
+    index = cells.fit(rows, search_width(rows.count()), EPS, recall=1.0)
+    return neighbours.dbscan(rows, EPS, MIN_SAMPLES, 1, index=index)
+
+
+@query(f"WITH {TOP}, q AS (SELECT * FROM knn WHERE rank <= 10 AND src % 100 = 0) SELECT (SELECT count(*) FROM e) AS vectors, (SELECT count(*) FROM e WHERE id % 100 = 0) AS queries, count(*) AS neighbours, true AS reached FROM q")
+def index_recall(spark, d):
+    """ML-10: ten neighbours of every row whose id is divisible by 100, by the index and by exact blocks; reached if it finds 95 % of them."""
+    rows = _rows(spark, d)
+    asked = rows.where("id % 100 = 0")
+    index = cells.fit(rows, 10, recall=0.97)
+    exact, found = neighbours.meet(asked, rows, 10), cells.search(index, 10, queries=asked)
+    both = exact.select("src", "dst").join(found.select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left").agg(F.count("*").alias("neighbours"), F.count("hit").alias("hits"))
+    sizes = rows.agg(F.count("*").alias("vectors"), F.count_if(F.col("id") % 100 == 0).alias("queries"))
+    return sizes.join(both).select("vectors", "queries", "neighbours", (F.col("hits") >= 0.95 * F.col("neighbours")).alias("reached"))
+
+
 @query("WITH x AS (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS m FROM x GROUP BY 1, 2) SELECT label, round(sqrt(sum(m * m)), 9) AS length, round(max(m) FILTER (i = 1), 9) AS first, (SELECT count(*) FROM embeddings e WHERE e.label = m.label) AS size FROM m GROUP BY 1")
 def cluster_centroids(spark, d):
     """AGG-14, ML-13."""
