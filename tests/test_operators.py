@@ -15,7 +15,6 @@ from tidemark.operators import bursts, classifier, clustering, evaluation, model
 from tidemark.operators.components import connected_components
 from tidemark.sources import files
 from tidemark.sources.files import encode_columns, parse_logs
-from tidemark.sources.live import EventReader, waits
 
 
 def one(spark, column, **values):
@@ -195,27 +194,6 @@ def test_encode_columns(spark):
     assert (r.id, r.s, r.a, r.n) == ("i", json.dumps('a"b'), "[1,2]", None)
 
 
-def test_event_reader_rewinds_and_rotates():
-    asked = []
-
-    def fetch(endpoint, since, most):
-        asked.append((endpoint, since))
-        if len(asked) == 1:
-            raise OSError
-        return [{"time_us": 7_000_000}, {"time_us": None}]
-
-    reader = EventReader(fetch, ("a", "b"), 5_000_000, 3, 10)
-    import tidemark.sources.live as live
-
-    live.time.sleep, keep = (lambda _: None), live.time.sleep
-    try:
-        rows, end = reader.read(reader.initialOffset())
-    finally:
-        live.time.sleep = keep
-    assert end == {"time_us": 7_000_000} and len(list(rows)) == 2 and asked == [("a", 2_000_000), ("b", 2_000_000)]
-    assert waits(10, draw=lambda: 0) == 30 and waits(0, draw=lambda: 1) == pytest.approx(1.2)
-
-
 def test_label_ranks_and_splits(spark):
     rows = spark.createDataFrame([(i, "a" if i % 5 else "b") for i in range(500)] + [(900, None)], "id long, label string").repartition(7)
     got = sampling.ranked(rows, "id", "label", 3).collect()
@@ -380,18 +358,17 @@ def _socket_server(messages):
 
 
 def test_web_socket_events():
-    from tidemark.sources import wire
+    from tidemark.sources import live, wire
 
     events = [{"time_us": 9_000_000 + i, "pad": "x" * n} for i, n in enumerate((3, 200, 70_000))]
     port, sent = _socket_server([json.dumps(e).encode() for e in events] + [b"no json"])
-    fetch = wire.stream_fetch(("a.b", "c"), idle=10)
-    reader = EventReader(fetch, (f"ws://127.0.0.1:{port}/subscribe",), 9_000_000, 3, 100, tries=1)
-    rows, end = reader.read({"time_us": 9_000_000})
-    assert [json.loads(r[0]) for r in rows] == events and end == {"time_us": 9_000_002}
-    assert EventReader(lambda *_: events, ("a",), 0, 3, 9).read({"time_us": 9_000_002})[1] == {"time_us": 9_000_002}
-    assert sent[0] == "GET /subscribe?wantedCollections=a.b&wantedCollections=c&cursor=6000000 HTTP/1.1"
+    fetch = wire.stream_fetch(idle=10)
+    reader = live.EventReader(fetch, lambda: 9_000_002, (f"ws://127.0.0.1:{port}/subscribe",), ("a.b",), 9_000_000, 3, 100, tries=1)
+    [span] = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert [json.loads(r[0]) for r in reader.read(span)] == events[:2]
+    assert sent[0] == "GET /subscribe?wantedCollections=a.b&cursor=6000000 HTTP/1.1"
     with pytest.raises(OSError):
-        wire.stream_fetch(("a",), idle=1)("ws://127.0.0.1:9", 0, 1)
+        wire.stream_fetch(idle=1)("ws://127.0.0.1:9", "a", 0, 1, 1)
 
 
 def test_paged_feed(spark):

@@ -25,20 +25,21 @@ def query(sql: str | None = None):
     return add
 
 
-@query("SELECT n_nationkey AS key, (n_nationkey + 1) * 1000000 AS time_us FROM nation")
+@query("SELECT event_id AS key, event_type AS kind, epoch_us(ts) AS time_us FROM events WHERE event_type IN ('click', 'view')")
 def live_events(spark, d):
-    """SRC-01/02, STM-01: events come at least once, as every read begins before the last one seen, and once after deduplication."""
-    rows = [r[0] for r in read(spark, d, "nation").select("n_nationkey").collect()]  # a fixed table of nations stands for the server
-
-    def fetch(endpoint: str, since: int, most: int) -> list[dict]:
-        return [e for e in sorted(({"time_us": (k + 1) * 1_000_000, "key": k} for k in rows), key=lambda e: e["time_us"]) if e["time_us"] >= since][:most]
-
-    spark.dataSource.register(live.event_source("tidemark_events", fetch, ("one", "two")))
+    """SRC-01/02, STM-01: an archive of the events is replayed by tasks for each collection and span of time, first its older half, then,
+    after a stop, the rest; every event comes once, and the driver sees times alone."""
     at = new_path(spark, "live")
-    stream = spark.readStream.format("tidemark_events").option("rewind", 3).option("max", 10).load().select(F.from_json("value", "time_us long, key long").alias("e")).select("e.*")
-    for _ in range(5):  # a run ends when it has read what was there; the next goes on from its cursor, and before it
-        stream.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(once=True).start(f"{at}/rows").awaitTermination()
-    return spark.read.schema("time_us long, key long").parquet(f"{at}/rows").dropDuplicates().select("key", "time_us")
+    events = read(spark, d, "events").select("event_id", F.col("event_type").alias("kind"), "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"))
+    live.write_log(events, f"{at}/log", "event_type", "time_us")
+    first, middle, last = events.agg(F.min("time_us"), F.percentile_approx("time_us", 0.5), F.max("time_us")).first()
+    for turn, until in enumerate((middle, last + 1) if last else ()):
+        name = f"tidemark_events_{turn}"
+        spark.dataSource.register(live.event_source(name, live.log_fetch, lambda until=until: until, (f"{at}/log",), ("click", "view")))
+        stream = spark.readStream.format(name).option("cursor", first).option("max", 5000).option("seconds", 86400).load()
+        rows = stream.select(F.from_json("value", "event_id long, kind string, time_us long").alias("e")).select(F.col("e.event_id").alias("key"), "e.kind", "e.time_us")
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(once=True).start(f"{at}/rows").awaitTermination()
+    return spark.read.schema("key long, kind string, time_us long").parquet(f"{at}/rows") if last else spark.createDataFrame([], "key long, kind string, time_us long")
 
 
 @query("SELECT CAST(n_nationkey AS BIGINT) AS key FROM nation ORDER BY 1 LIMIT 12")

@@ -84,20 +84,21 @@ class WebSocket:
         self.line.close()
 
 
-def stream_fetch(collections: tuple[str, ...], seconds: float = 10.0, idle: float = 30.0) -> Callable[[str, int, int], list[dict]]:
-    """For live.event_source: events of some collections from an endpoint since a time, until `most` came, `seconds` went by, or the line
-    was silent or broke after events had come; a line that breaks before that is tried again by the reader, at the next endpoint."""
-
-    def fetch(endpoint: str, since: int, most: int) -> list[dict]:
-        query = urllib.parse.urlencode([("wantedCollections", c) for c in collections] + ([("cursor", since)] if since else []))
-        line, out, until = WebSocket(f"{endpoint}?{query}", idle), [], time.monotonic() + seconds
+def stream_fetch(seconds: float = 10.0, idle: float = 30.0) -> Callable[[str, str, int, int, int], list[dict]]:
+    """For live.event_source: events of a collection from an endpoint since a time, until one at `until` or after it, or `most` came, `seconds`
+    went by, or the line was silent or broke after events had come; a line that breaks before that is tried again by the reader, at
+    the next endpoint."""
+
+    def fetch(endpoint: str, collection: str, since: int, until: int, most: int) -> list[dict]:
+        query = urllib.parse.urlencode(([("wantedCollections", collection)] if collection else []) + ([("cursor", since)] if since else []))
+        line, out, stop = WebSocket(f"{endpoint}?{query}", idle), [], time.monotonic() + seconds
         try:
             for message in line.messages():
                 try:
                     out.append(json.loads(message))
                 except ValueError:
                     continue
-                if len(out) >= most or time.monotonic() >= until:
+                if len(out) >= most or time.monotonic() >= stop or (out[-1].get("time_us") or 0) >= until:
                     break
         except OSError:
             if not out:
