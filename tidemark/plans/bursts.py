@@ -66,7 +66,7 @@ def _states(spark, d):
 @query(f"WITH RECURSIVE {VITERBI} SELECT subject, pos, CAST(state AS INT) AS state FROM states")
 def burst_states(spark, d):
     """WIN-02."""
-    return _states(spark, d).select("subject", F.posexplode("states").alias("pos", "state")).select("subject", F.col("pos").cast("long"), "state")
+    return _states(spark, d).select("subject", "at", F.posexplode("states").alias("pos", "state")).select("subject", (F.col("at") + F.col("pos")).alias("pos"), "state")
 
 
 @query(f'WITH RECURSIVE {SEGMENTS} SELECT subject, "start", "end", CAST(max_state AS INT) AS max_state, round(duration, 3) AS duration, round(max_state * duration, 3) AS energy FROM seg')

@@ -80,7 +80,7 @@ def index_recall(spark, d):
     """ML-10: ten neighbours of every row whose id is divisible by 100, by the index and by exact blocks; reached if it finds 95 % of them."""
     rows = _rows(spark, d)
     asked = rows.where("id % 100 = 0")
-    index = cells.fit(rows, 10, recall=0.97)
+    index = cells.fit(rows, 10, recall=0.99)
     exact, found = neighbours.meet(asked, rows, 10), cells.search(index, 10, queries=asked)
     both = exact.select("src", "dst").join(found.select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left").agg(F.count("*").alias("neighbours"), F.count("hit").alias("hits"))
     sizes = rows.agg(F.count("*").alias("vectors"), F.count_if(F.col("id") % 100 == 0).alias("queries"))
