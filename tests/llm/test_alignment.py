@@ -88,3 +88,19 @@ def test_chunks_give_the_ids_of_whole_texts():
         chunks = [data[i:j].tobytes().decode() for i, j in zip(at[:-1], at[1:], strict=True)]
         assert [i for x in own.encode_a(chunks) for i in x] == own.encode_a([text])[0], repr(text)
         assert [i for x in own.encode_b(chunks) for i in x] == own.b.encode(text[1:]), repr(text)
+
+
+def test_op8_chunks_give_the_ids_of_whole_texts():
+    """Special tokens' strings, all kinds of white space and a cache that is too small, against one call of the library for each text."""
+    import pyarrow as pa
+
+    from tidemark.llm import token_output
+    from tidemark.llm.bpe import Recent
+
+    tokenizer, rng = Tokenizer.from_file(A), np.random.default_rng(2)
+    parts = [" ", "  ", "\n", "\t", "\r", "\r\n", "a", "Word", "don't", "é", "日本", ".", ";", "\u00a0", "\u3000", "\x85", "\x1c", "12", "<|endoftext|>", "<|endof", "text|>", "\u200b", "Ж"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(2000)] + ["", None, ""]
+    ids, at = token_output.encode_texts(pa.array(texts), tokenizer, Recent(1 << 14), np.array([7], np.int32).tobytes())
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 7], repr(text)
+    assert token_output.encode_texts(pa.array([], pa.string()), tokenizer, Recent())[1].tolist() == [0]

@@ -19,8 +19,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import _STOPS, Recent, id_lists
-from tidemark.llm.common import pieces, select_text, slices
+from tidemark.llm.alignment import chunk_starts
+from tidemark.llm.bpe import Recent
+from tidemark.llm.common import pieces, select_text, slices, utf8
 
 LAYOUT = {
     "compression": "zstd",
@@ -33,7 +34,9 @@ LAYOUT = {
 }
 FIELDS = "doc_id long, part int, at long, n_tokens long, ids array<int>"
 #: Bytes of each generation of a worker's cache of encoded words.
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 64 << 20
+#: Bytes of text whose chunks are looked up together.
+SLICE_BYTES = 8 << 20
 _BUILT: dict = {}
 
 
@@ -46,11 +49,6 @@ def _tokenizer(key: str, text: str) -> dict:
     return _BUILT
 
 
-def _chunks_of(text: str) -> list[str] | None:
-    """A text cut before every blank; None if a chunk could not be told from its neighbours."""
-    return None if "\0" in text else text.replace(" ", "\0 ").split("\0")
-
-
 def _byte_names() -> dict[int, str]:
     """Bytes as the model spells them: printable Latin-1 characters as they are, all others by characters from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -74,71 +72,54 @@ def _word(chunk: str) -> str | None:
     return chunk.encode().decode("latin-1").translate(_NAMES) if max(body) < "\u0530" else None
 
 
-def encode_texts(texts: list[str], tokenizer, cache: Recent) -> list[bytes]:
-    """Ids of whole texts as native 32-bit integers. Chunks that the cache doesn't have are encoded by the library, words by its
-    model and others in one call.
+def encode_chunks(chunks: list[bytes], tokenizer, cache: Recent) -> list[bytes]:
+    """Ids of distinct chunks as native 32-bit integers. Words that the cache doesn't have are encoded by the library's model, others by
+    the library in calls of some thousand."""
+    out, ask, model = [cache.get(c) for c in chunks], [], tokenizer.model.tokenize
+    for i, found in enumerate(out):
+        if found is None:
+            text = chunks[i].decode("utf-8", "replace")
+            if (word := _word(text)) is None:
+                ask.append((i, text))
+            else:  # the library's model alone, without its search for matches and special tokens
+                out[i] = array("i", [t.id for t in model(word)]).tobytes()
+                cache.put(chunks[i], out[i])
+    for k in range(0, len(ask), 8192):
+        some = ask[k : k + 8192]
+        for (i, _), e in zip(some, tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False), strict=True):
+            out[i] = array("i", e.ids).tobytes()
+            cache.put(chunks[i], out[i])
+    return out
+
+
+def encode_texts(texts: pa.Array, tokenizer, cache: Recent, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """Ids of whole texts, one after another and each with `end` behind it, and where each text's ids begin.
 
-    A match of the pre-tokenizer takes at most one leading blank, so chunks can be encoded alone, and so can letters and a stop after
-    them. Texts in which another white-space character stands beside a blank, or with a blank first, are encoded whole.
+    No match of the pre-tokenizer goes on across a place where a blank, tab or line end follows something else than white space, nor do strings of special tokens,
+    so chunks between such places are encoded alone, each once for a batch. A text's end is a chunk without bytes.
     """
-    split = [_chunks_of(t) for t in texts]
-    young, old, model = cache.young, cache.old, tokenizer.model.tokenize
-    get, rows, missing = young.get, [], set()
-    for p in split:
-        ids, gaps = [], []
-        for c in p or ():
-            if (got := get(c)) is None:
-                gaps.append(len(ids))
-            ids.append(got)
-        rows.append((ids, gaps))
-        missing.update([p[i] for i in gaps])
-    bad = {c for c in missing if not c or c[0] == " " and (len(c) == 1 or c[1].isspace())}
-    if bad:
-        split = [None if p and len(p) > 1 and not bad.isdisjoint(p) else p for p in split]
-    whole = [t for t, p in zip(texts, split, strict=True) if p is None]
-    stopped = [c for c in missing if c[-1:] in _STOPS and c[c[:1] == " " : -1].isalpha() and c not in old]
-    # Letters and a stop are two matches: the word is likelier to come again alone.
-    todo, ask = ((missing | {part for c in stopped for part in (c[:-1], c[-1])}) - young.keys()).difference(stopped), []
-    if "" in todo and [""] not in split:
-        todo.discard("")
-    found = {}
-    for c in todo:
-        if (got := old.get(c)) is not None:
-            found[c] = got
-        elif c in bad and c:
-            continue
-        elif (word := _word(c)) is not None:  # the library's model alone, without its search for matches and special tokens
-            found[c] = array("i", [t.id for t in model(word)]).tobytes()
-        else:
-            ask.append(c)
-    answers = tokenizer.encode_batch_fast([*ask, *whole], add_special_tokens=False) if ask or whole else []
-    found |= {c: array("i", e.ids).tobytes() for c, e in zip(ask, answers, strict=False)}
-    young |= found
-    both = {c: young[c[:-1]] + young[c[-1]] for c in stopped}
-    young |= both
-    cache.size += sum(2 * len(c) + len(ids) + 200 for x in (found, both) for c, ids in x.items())
-    rest, out = iter(answers[len(ask) :]), []
-    for p, (ids, gaps) in zip(split, rows, strict=True):
-        if p is None:
-            out.append(array("i", next(rest).ids).tobytes())
-        else:
-            for i in gaps:
-                ids[i] = young[p[i]]
-            out.append(b"".join(ids))
-    if cache.size > cache.most:
-        cache.young, cache.old, cache.size = {}, young, 0
-    return out
+    data, offsets = utf8(texts)
+    starts = chunk_starts(data, offsets)
+    at = np.searchsorted(starts, offsets[1:], "left")
+    edges = np.append(np.insert(starts, at, offsets[1:]), len(data)).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
+    chunks = coded.dictionary.to_pylist()
+    empty = chunks.index(b"") if b"" in chunks else -1
+    found = encode_chunks([c for c in chunks if c], tokenizer, cache)
+    if empty >= 0:
+        found.insert(empty, end)
+    ids, cut = utf8(pa.array(found, pa.large_binary()).take(coded.indices))
+    return np.frombuffer(ids.tobytes(), np.int32), np.append(0, cut[at + np.arange(len(at)) + 1]) >> 2
 
 
 def _encode(key: str, shipped: Broadcast, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     built = _tokenizer(key, shipped.value)
     end, at = np.array([end_id], np.int32).tobytes(), 0
-    for batch in slices(batches, 1):
-        out = [x + end for x in encode_texts(batch.column(1).to_pylist(), built["tokenizer"], built["cache"])]
-        n = np.array([len(x) >> 2 for x in out], np.int64)
-        starts = at + np.cumsum(n) - n
-        at += int(n.sum())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(starts), pa.array(n), id_lists(out)], ["doc_id", "part", "at", "n_tokens", "ids"])
+    for batch in slices(batches, 1, SLICE_BYTES):
+        ids, edges = encode_texts(batch.column(1), built["tokenizer"], built["cache"], end)
+        starts = pa.array(at + edges[:-1])
+        at += len(ids)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), starts, pa.array(np.diff(edges)), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))], ["doc_id", "part", "at", "n_tokens", "ids"])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", bytes_each: int = 8 << 20) -> None:
@@ -146,7 +127,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     One file holds one range of document ids. Null and empty texts have the end id alone; a null document id comes first; repeated
     rows all stay, in no fixed order among equals; an empty table gives files without rows. Other columns are not read.
-    Chunks between blanks are encoded by the library once for each cache of a worker, which gives the ids of the whole text
+    Chunks between white space are encoded by the library once for each cache of a worker, which gives the ids of the whole text
     because the byte-level pre-tokenizer never joins them; strings of special tokens have no blanks and are found as the library finds them.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
