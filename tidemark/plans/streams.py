@@ -78,4 +78,15 @@ def stream_bursts(spark, d):
     """STM-08, WIN-02: running burst states, one row per subject and batch."""
     at = _folder(spark)
     events = _stream(spark, d).select("subject", F.unix_micros("ts").alias("time_us"))
-    return flows.collect_stream(flows.running_bursts(events, "subject", "time_us", 1 / 60000), f"{at}/rows", f"{at}/state", "update").select("subject", "n", "state")
+    with flows.keyed_state(spark):
+        return flows.collect_stream(flows.running_bursts(events, "subject", "time_us", 1 / 60000), f"{at}/rows", f"{at}/state", "update").select("subject", "n", "state")
+
+
+@query("""SELECT strftime(w, '%Y-%m-%d %H:%M') AS start, CASE event_type WHEN 'click' THEN 'like' ELSE 'repost' END AS kind, count(*) AS n
+FROM (SELECT event_type, unnest([time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR * k FOR k IN range(0, 4)]) AS w FROM events WHERE event_type IN ('click', 'view')) GROUP BY 1, 2""")
+def stream_sliding(spark, d):
+    """STM-08: windows of a day, a new one every six hours."""
+    at = _folder(spark)
+    rows = flows.collect_stream(flows.sliding(_stream(spark, d), "ts", ["kind"], "24 hours", "6 hours"), f"{at}/rows", f"{at}/state", "complete")
+    last = rows.where(F.col("_n") == rows.agg(F.max("_n")).first()[0])
+    return last.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "kind", "n")
