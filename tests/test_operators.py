@@ -126,13 +126,6 @@ def test_merge_rows_skips_nulls(spark):
     assert views.merge_rows(rows).first().asDict() == {"id": 1, "text": "t", "_batch": "a"}
 
 
-def test_split_ends_on_equal_points():
-    v = np.ones((20, 4))
-    assert len(set(clustering.split_rows(v, 5, 4, 0.5, 0.5).tolist())) == 1
-    v = np.concatenate([np.random.default_rng(0).normal(size=(30, 4)) + c for c in ([9, 0, 0, 0], [0, 9, 0, 0])])
-    assert np.bincount(clustering.split_rows(v, 40, 6, 0.5, 0.5)).max() <= 40
-
-
 def test_sweep_merges_as_merge_small(spark):
     rng = np.random.default_rng(4)
     rows = [(f, i, i % 7 if i < 40 else i, [float(x) for x in rng.normal(size=4)]) for f in (0.5, 0.9) for i in range(44 if f == 0.5 else 30)]
@@ -143,7 +136,7 @@ def test_sweep_merges_as_merge_small(spark):
             for t in (0.0, 0.4):
                 want = clustering.merge_small(df.where(F.col("drop_frac") == f).select("id", "cluster", "v"), m, t).collect()
                 assert sorted((r.id, r.cluster) for r in got if (r.drop_frac, r.min_size, r.threshold) == (f, m, t)) == sorted((r.id, r.cluster) for r in want)
-    assert sweep.shares([50, 30, 1], 20) == [12, 7, 1] and sweep.shares([3, 0, 1], 20) == [3, 0, 1] and sum(sweep.shares([1, 1, 98], 20)) == 20
+    assert sampling.allocate([50, 30, 1], 20) == [12, 7, 1] and sampling.allocate([3, 0, 1], 20) == [3, 0, 1] and sum(sampling.allocate([1, 1, 98], 20)) == 20
 
 
 def test_sweeps_have_every_combination(spark):

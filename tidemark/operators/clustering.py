@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import auto_clusters, auto_k, centroids, cosine, kept_neighbours
-from tidemark.operators.neighbours import knn_graph, with_components
-from tidemark.storage import cut
+from tidemark.functions.vectors import auto_clusters, auto_k, centroids, cosine, dot, kept_neighbours, norm, unit
+from tidemark.operators import cells
+from tidemark.operators.neighbours import knn_graph, meet, nearest, with_components
+from tidemark.operators.sampling import ranked
+from tidemark.storage import cut, remove
+
+#: Rows of a cluster that one group of a diverse sample holds, centroids that are merged on the driver.
+GROUP_ROWS, MOST_MERGED = 8192, 200_000
+#: k-means within parts: means of a part at most, rounds, and the seed of the digests that the first means have least.
+MEANS, ROUNDS, SEED = 16, 10, 7
 
 
 def simhash_buckets(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -58,109 +65,199 @@ def diverse_order(v: np.ndarray, n: int) -> list[int]:
     return chosen
 
 
-def diverse(rows: DataFrame, n: int) -> DataFrame:
-    """(cluster, id, rank) of a diverse sample; a cluster is one group, so clusters are meant to be bounded by splitting."""
+def diverse(rows: DataFrame, n: int, most: int = GROUP_ROWS) -> DataFrame:
+    """(cluster, id, rank) of a diverse sample. Clusters of up to `most` rows are groups of one task; larger ones are chosen from in rounds."""
+    sizes, _ = cut(rows.groupBy("cluster").agg(F.count("*").alias("n")), "sizes")
+    large = sizes.where(F.col("n") > most).select("cluster")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
         at = diverse_order(np.array(pdf["v"].tolist(), float), n)
         return pd.DataFrame({"cluster": pdf["cluster"].iloc[at].to_numpy(), "id": pdf["id"].iloc[at].to_numpy(), "rank": range(1, len(at) + 1)})
 
-    return rows.select("cluster", "id", "v").groupBy("cluster").applyInPandas(choose, "cluster long, id long, rank int")
-
-
-def _components(n: int, edges: list[tuple[int, int]]) -> np.ndarray:
-    up = list(range(n))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for a, b in edges:
-        a, b = root(a), root(b)
-        up[max(a, b)] = min(a, b)
-    return np.array([root(x) for x in range(n)])
-
-
-def _halve(unit: np.ndarray, k: int) -> np.ndarray:
-    """A few rounds of k-means from points spread over the rows."""
-    centre = unit[np.linspace(0, len(unit) - 1, k).astype(int)]
-    for _ in range(20):
-        label = np.argmax(unit @ centre.T, axis=1)
-        centre = np.stack([unit[label == j].mean(axis=0) if (label == j).any() else centre[j] for j in range(k)])
-    return label
-
-
-def split_rows(v: np.ndarray, most: int, k: int, drop_frac: float, scale: float) -> np.ndarray:
-    """Labels within one large cluster: sparser neighbour graphs until parts are small, then k-means; identical rows stay together."""
-    unit = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    out, queue = np.zeros(len(v), np.int64), [(np.arange(len(v)), k)]
-    label = 0
-    while queue:
-        rows, now = queue.pop(0)
-        if len(rows) <= most:
-            out[rows] = label
-            label += 1
-            continue
-        sub = max(2, int(now * scale))
-        keep = min(kept_neighbours(sub, drop_frac), len(rows) - 1)
-        sims = unit[rows] @ unit[rows].T
-        np.fill_diagonal(sims, -np.inf)
-        near = np.argsort(-sims, axis=1, kind="stable")[:, :keep]
-        parts = _components(len(rows), [(i, int(j)) for i in range(len(rows)) for j in near[i] if sims[i, j] > 0])
-        if len(np.unique(parts)) == 1:
-            if sub > 3:
-                queue.append((rows, sub))
-                continue
-            parts = _halve(unit[rows], max(2, math.ceil(len(rows) / most)))
-        kinds = np.unique(parts)
-        if len(kinds) == 1:  # nothing tells these rows apart
-            out[rows] = label
-            label += 1
-            continue
-        queue += [(rows[parts == p], sub) for p in kinds]
-    return out
+    held = rows.select(F.col("cluster").cast("long").alias("cluster"), F.col("id").cast("long").alias("id"), "v")
+    if not large.limit(1).count():
+        return held.groupBy("cluster").applyInPandas(choose, "cluster long, id long, rank int")
+    small = held.join(large, "cluster", "left_anti").groupBy("cluster").applyInPandas(choose, "cluster long, id long, rank int")
+    return small.unionByName(diverse_rounds(held.join(large, "cluster", "left_semi"), n))
+
+
+def diverse_rounds(rows: DataFrame, n: int) -> DataFrame:
+    """diverse for clusters of more than n rows: each round is one aggregate over all of them, summed where the rows are.
+
+    Of each cluster n rows and their sum are kept between rounds."""
+    rows, _ = cut(rows.withColumn("v", F.transform("v", lambda x: x.cast("double"))), "rows")
+    means = centroids(rows, "cluster", "v").select("cluster", F.col("centroid").alias("m"))
+    pick = lambda far, chosen: F.max(F.struct(far.alias("far"), (-F.col("id")).alias("no"), F.col("v").alias("v"))).alias("p")  # noqa: E731, ARG005
+    held = rows.join(means, "cluster").groupBy("cluster").agg(pick(cosine(F.col("v"), F.col("m")), None))
+    held, path = cut(held.select("cluster", F.array((-F.col("p.no"))).alias("ids"), F.col("p.v").alias("total")), "chosen")
+    for i in range(1, n):
+        known = held.select("cluster", "ids", F.transform("total", lambda x: x / i).alias("m"), "total")  # noqa: B023
+        left = rows.join(known, "cluster").where(~F.array_contains("ids", F.col("id")))
+        far = norm(F.zip_with("v", "m", lambda x, y: x - y))
+        found = left.groupBy("cluster").agg(pick(far, None))
+        moved = held.join(found, "cluster").select("cluster", F.array_append("ids", -F.col("p.no")).alias("ids"), F.zip_with("total", "p.v", lambda x, y: x + y).alias("total"))
+        (held, new), old = cut(moved, "chosen"), path
+        remove(rows.sparkSession, old)
+        path = new
+    return held.select("cluster", F.posexplode("ids").alias("i", "id")).select("cluster", "id", (F.col("i") + 1).cast("int").alias("rank"))
+
+
+def _named(rows: DataFrame, label: str) -> DataFrame:
+    """(id, v, part) where a part of equal part and label is named by its least id."""
+    least = rows.groupBy("part", label).agg(F.min("id").alias("_new"))
+    return rows.join(least, ["part", label]).select("id", "v", F.col("_new").alias("part"))
+
+
+def _by_means(rows: DataFrame, most: int) -> DataFrame:
+    """(id, v, part, label): the rows of each part by k-means from rows of least digest, as many as parts of `most` rows are, up to MEANS.
+
+    Assignments and means are aggregates over all parts at once; a mean without rows stays where it was."""
+    unit_rows = rows.withColumn("u", unit(F.col("v")))
+    wanted = F.least(F.greatest(F.ceil(F.col("_n") / most), F.lit(2)), F.lit(MEANS))
+    first = ranked(unit_rows, "id", "part", SEED).where(F.col("_r") < wanted).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("_r", "u"))).alias("c"))
+    means, path = cut(first.select("part", F.transform("c", lambda x: x["u"]).alias("means")), "means")
+    nearest = F.transform("means", lambda m: F.round(dot(F.col("u"), m), 9))
+    for _ in range(ROUNDS):
+        named = unit_rows.join(means, "part").withColumn("label", F.array_position(nearest, F.array_max(nearest)) - 1)
+        moved = named.select("part", "label", F.posexplode("u").alias("i", "x")).groupBy("part", "label", "i").agg(F.avg("x").alias("x"))
+        moved = moved.groupBy("part", "label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda t: t["x"]).alias("m"))
+        moved = moved.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("label", "m"))).alias("to"))
+        after = means.join(moved, "part").select("part", F.transform("means", lambda m, j: F.coalesce(F.element_at("to", j.cast("long")), m)).alias("means"), F.col("means").alias("was"))
+        after, new = cut(after, "means")
+        same = not after.where(F.to_json("means") != F.to_json("was")).limit(1).count()
+        remove(rows.sparkSession, path)
+        means, path = after.select("part", "means"), new
+        if same:
+            break
+    return unit_rows.join(means, "part").withColumn("label", F.array_position(nearest, F.array_max(nearest)) - 1).select("id", "v", "part", "label")
 
 
 def split_large(rows: DataFrame, most: int, k: int, drop_frac: float, scale: float = 0.5) -> DataFrame:
-    """(id, cluster, v) with clusters above `most` rows split; a part is named by its least id."""
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > most).select("cluster")
+    """(id, cluster, v) with clusters above `most` rows split; a part is named by its least id.
 
-    def part(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        label = pd.Series(split_rows(np.array(pdf["v"].tolist(), float), most, k, drop_frac, scale))
-        return pd.DataFrame({"id": pdf["id"], "cluster": pdf["id"].groupby(label).transform("min"), "v": pdf["v"]})
-
-    kind = rows.schema["v"].dataType.simpleString()
-    done = rows.join(large, "cluster", "left_semi").select("id", "cluster", "v").groupBy("cluster").applyInPandas(part, f"id long, cluster long, v {kind}")
-    return rows.join(large, "cluster", "left_anti").select("id", "cluster", "v").unionByName(done)
+    A round works on all parts that are too large: components of a sparser neighbour graph within each, and where that is whole and can't be
+    made sparser, k-means. Neighbours meet in blocks, so no task holds a part. Parts whose rows nothing tells apart stay as they are.
+    """
+    large = rows.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > most).select("cluster")
+    base = rows.join(large, "cluster", "left_anti").select("id", "cluster", "v")
+    active, _ = cut(rows.join(large, "cluster", "left_semi").select("id", "v", F.col("cluster").alias("part")), "active")
+    settled, now = [], k
+    while active.limit(1).count():
+        now = max(2, int(now * scale))
+        near = nearest(active, kept_neighbours(now, drop_frac), 0.0, by="part").where("sim > 0")
+        parts = with_components(active, near.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+        found, _ = cut(_named(active.join(parts, "id"), "cluster").join(active.select("id", F.col("part").alias("was")), "id"), "found")
+        if now <= 3:
+            whole = found.groupBy("was").agg(F.countDistinct("part").alias("kinds")).where("kinds = 1").select("was")
+            stuck, _ = cut(found.join(whole, "was", "left_semi").select("id", "v", F.col("was").alias("part")), "stuck")
+            if stuck.limit(1).count():
+                means, _ = cut(_by_means(stuck, most), "means")
+                alike = means.groupBy("part").agg(F.countDistinct("label").alias("kinds")).where("kinds = 1").select("part")
+                settled.append(_named(means.join(alike, "part", "left_semi"), "label"))
+                found = found.join(whole, "was", "left_anti").select("id", "v", "part").unionByName(_named(means.join(alike, "part", "left_anti"), "label"))
+        sizes = found.groupBy("part").agg(F.count("*").alias("n"))
+        held, _ = cut(found.join(sizes, "part").select("id", "v", "part", "n"), "parts")
+        settled.append(held.where(F.col("n") <= most).drop("n"))
+        active = held.where(F.col("n") > most).drop("n")
+    for part in settled:
+        base = base.unionByName(part.select("id", F.col("part").alias("cluster"), "v"))
+    return base
 
 
 def small_cluster_matches(rows: DataFrame, least: int) -> DataFrame:
     """(cluster, size, max_sim, nearest): each cluster below `least` rows and the large one whose centroid is most similar.
 
-    Both sides have one row for each cluster.
+    Centroids, one row for each cluster, meet in blocks.
     """
-    c = centroids(rows, "cluster", "v")
-    small, large = c.where(F.col("size") < least), c.where(F.col("size") >= least)
-    sims = small.join(large.select(F.col("cluster").alias("other"), F.col("centroid").alias("oc")), how="cross").select("cluster", "size", "other", F.round(cosine(F.col("centroid"), F.col("oc")), 9).alias("sim"))
-    return sims.groupBy("cluster", "size").agg(F.max("sim").alias("max_sim"), F.max_by("other", F.struct("sim", -F.col("other"))).alias("nearest"))
+    c, _ = cut(centroids(rows, "cluster", "v").select(F.col("cluster").cast("long").alias("id"), F.col("centroid").alias("v"), "size"), "centroids")
+    best = meet(c.where(F.col("size") < least), c.where(F.col("size") >= least), 1)
+    return c.select(F.col("id").alias("src"), "size").join(best, "src").select(F.col("src").alias("cluster"), "size", F.round("sim", 9).alias("max_sim"), F.col("dst").alias("nearest"))
 
 
 def merge_small(rows: DataFrame, least: int, threshold: float = 0.0) -> DataFrame:
-    """(id, cluster, v): clusters below `least` rows join the most similar large one; below the threshold they go."""
-    match = small_cluster_matches(rows, least)
-    if match.limit(1).count() == 0:
-        return rows
-    named = rows.join(match.select("cluster", "max_sim", "nearest"), "cluster", "left")
+    """(id, cluster, v): clusters below `least` rows join the most similar large one; below the threshold they go.
+
+    Where all clusters are small there is none to join: with a threshold those stay that are similar to any other cluster, without one all.
+    """
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"))
+    if not sizes.where(F.col("n") >= least).limit(1).count():
+        if threshold <= 0:
+            return rows.select("id", "cluster", "v")
+        c = centroids(rows, "cluster", "v").select(F.col("cluster").cast("long").alias("id"), F.col("centroid").alias("v"))
+        alike = nearest(c, 1).where(F.round("sim", 9) >= threshold).select(F.col("src").alias("cluster"))
+        return rows.join(alike, "cluster", "left_semi").select("id", "cluster", "v")
+    named = rows.join(small_cluster_matches(rows, least).select("cluster", "max_sim", "nearest"), "cluster", "left")
     if threshold > 0:
         named = named.where((F.col("max_sim") >= threshold) | F.col("max_sim").isNull())
     return named.select("id", F.coalesce("nearest", "cluster").alias("cluster"), "v")
 
 
+class Merging:
+    """Centroids of which the most similar two merge, again and again; each knows its best partner among those behind it.
+
+    A merge changes one row of similarities. Partners are looked for again only where the best one is gone."""
+
+    def __init__(self, v: np.ndarray, size: np.ndarray) -> None:
+        self.v, self.size, self.alive = v.astype(float), size.astype(float), np.ones(len(v), bool)
+        self.u = self.v / np.maximum(np.linalg.norm(self.v, axis=1, keepdims=True), 1e-12)
+        self.best, self.partner = np.full(len(v), -np.inf), np.zeros(len(v), np.int64)
+        for start in range(0, len(v), 1024):
+            sims = self.u[start : start + 1024] @ self.u[start:].T
+            sims[np.arange(sims.shape[1])[None] <= np.arange(sims.shape[0])[:, None]] = -np.inf
+            self.partner[start : start + 1024] = sims.argmax(axis=1) + start
+            self.best[start : start + 1024] = sims.max(axis=1)
+
+    def _seek(self, i: int) -> None:
+        sims = np.where(self.alive[i + 1 :], self.u[i + 1 :] @ self.u[i], -np.inf)
+        self.best[i], self.partner[i] = (sims.max(), int(sims.argmax()) + i + 1) if len(sims) else (-np.inf, i)
+
+    def run(self, threshold: float) -> dict[int, int]:
+        """Which centroid each merged one is part of in the end."""
+        into: dict[int, int] = {}
+        while len(self.best):
+            i = int(self.best.argmax())
+            if not self.best[i] >= threshold or not np.isfinite(self.best[i]):
+                break
+            j = int(self.partner[i])
+            into[j] = i
+            self.v[i] = (self.size[i] * self.v[i] + self.size[j] * self.v[j]) / (self.size[i] + self.size[j])
+            self.size[i] += self.size[j]
+            self.u[i] = self.v[i] / max(np.linalg.norm(self.v[i]), 1e-12)
+            self.alive[j], self.best[j] = False, -np.inf
+            sims = self.u[:i] @ self.u[i]
+            gone = self.alive[:j] & ((self.partner[:j] == j) | (self.partner[:j] == i))
+            gone[i] = True
+            ahead = self.alive[:i] & ((sims > self.best[:i]) | (sims == self.best[:i]) & (self.partner[:i] > i))
+            for r in np.flatnonzero(gone).tolist():
+                if r >= i or not ahead[r]:
+                    self._seek(r)
+            at = np.flatnonzero(ahead)
+            self.best[at], self.partner[at] = sims[at], i
+        for x in list(into):
+            while into[x] in into:
+                into[x] = into[into[x]]
+        return into
+
+
+def merge_similar(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, cluster, v): the most similar two centroids merge, weighted by size, while they reach the threshold.
+
+    Each step depends on the one before, so the centroids, one for each cluster and not each row, are merged on the driver; up to
+    MOST_MERGED of them, more are refused.
+    """
+    means, _ = cut(centroids(rows, "cluster", "v"), "centroids")
+    if (n := means.count()) > MOST_MERGED:
+        raise ValueError(f"{n} clusters are more than {MOST_MERGED}: merge small ones first, or with a higher size")
+    c = means.orderBy("cluster").toPandas()
+    names = c["cluster"].tolist()
+    into = Merging(np.array(c["centroid"].tolist(), float).reshape(len(c), -1), c["size"].to_numpy()).run(threshold)
+    if not into:
+        return rows.select("id", "cluster", "v")
+    moved = rows.sparkSession.createDataFrame(sorted((names[j], names[i]) for j, i in into.items()), "cluster long, new long")
+    return rows.join(moved, "cluster", "left").select("id", F.coalesce("new", "cluster").alias("cluster"), "v")
+
+
 def merge_similar(rows: DataFrame, threshold: float) -> DataFrame:
     """(id, cluster, v): the most similar two centroids merge, weighted by size, while they reach the threshold.
 
@@ -190,20 +287,61 @@ def merge_similar(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.join(moved, "cluster", "left").select("id", F.coalesce("new", "cluster").alias("cluster"), "v")
 
 
-def cluster_knn_graph(vectors: DataFrame, k: int | None = None, drop_frac: float = 0.9, min_size: int = 0, max_size: int = 0, scale: float = 0.5, outlier_threshold: float = 0.0, merge_threshold: float = 0.0) -> DataFrame:
-    """(id, cluster) of (id, v): components of the neighbour graph, then splitting, merging of small and of similar clusters."""
+@dataclass
+class Clustered:
+    """Clusters (id, cluster, v) and what each step made of them; `small` has a row for each cluster that was too small after splitting."""
+
+    rows: DataFrame
+    n_initial: int
+    n_after_split: int
+    n_after_merge: int
+    small: DataFrame
+
+
+def _counted(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The rows written, and how many clusters they make, observed on the way: the row that a cluster is named by is one of its own."""
+    seen = Observation(name)
+    held, _ = cut(rows.observe(seen, F.count_if(F.col("id") == F.col("cluster")).alias("n")), name)
+    return held, seen.get["n"]
+
+
+def small_clusters(rows: DataFrame, least: int) -> DataFrame:
+    """(cluster, size, max_sim, nearest, nearest_size, ids): clusters below `least` rows with the large one they are most similar to,
+    null where there is none, and their rows' ids, fewer than `least`."""
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("size"))
+    small = sizes.where(F.col("size") < least)
+    ids = rows.join(small, "cluster", "left_semi").groupBy("cluster").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    match = small_cluster_matches(rows, least).select("cluster", "max_sim", "nearest")
+    large = sizes.select(F.col("cluster").alias("nearest"), F.col("size").alias("nearest_size"))
+    return small.join(ids, "cluster").join(match, "cluster", "left").join(large, "nearest", "left").select("cluster", "size", "max_sim", "nearest", "nearest_size", "ids")
+
+
+def cluster_with_diagnostics(vectors: DataFrame, k: int | None = None, drop_frac: float = 0.9, min_size: int = 0, max_size: int = 0, scale: float = 0.5, outlier_threshold: float = 0.0, merge_threshold: float = 0.0, index_recall: float | None = None) -> Clustered:
+    """Components of the neighbour graph of (id, v), then splitting, merging of small and of similar clusters, with counts of each step.
+
+    With index_recall neighbours come from an inverted file that finds so many of them (cells.fit).
+    """
     n = vectors.count()
     if n < 2:
-        return vectors.select("id", F.col("id").alias("cluster"))
+        rows = vectors.select("id", F.col("id").alias("cluster"), "v")
+        return Clustered(rows, n, n, n, small_clusters(rows, min_size))
     k = k or auto_k(n)
-    rows, _ = cut(vectors.join(with_components(vectors, knn_graph(vectors, k, drop_frac)), "id").select("id", "cluster", "v"), "clusters")
+    index = cells.fit(vectors, kept_neighbours(k, drop_frac), recall=index_recall) if index_recall else None
+    rows, first = _counted(vectors.join(with_components(vectors, knn_graph(vectors, k, drop_frac, index)), "id").select("id", "cluster", "v"), "initial")
+    split = first
     if max_size:
-        rows, _ = cut(split_large(rows, max_size, k, drop_frac, scale), "clusters")
+        rows, split = _counted(split_large(rows, max_size, k, drop_frac, scale), "split")
+    small, merged = small_clusters(rows, min_size), split
     if min_size:
-        rows, _ = cut(merge_small(rows, min_size, outlier_threshold), "clusters")
+        rows, merged = _counted(merge_small(rows, min_size, outlier_threshold), "merged")
     if merge_threshold:
-        rows = merge_similar(rows, merge_threshold)
-    return rows.select("id", "cluster")
+        rows, merged = _counted(merge_similar(rows, merge_threshold), "joined")
+    return Clustered(rows, first, split, merged, small)
+
+
+def cluster_knn_graph(vectors: DataFrame, *args, **more) -> DataFrame:
+    """(id, cluster) of cluster_with_diagnostics."""
+    return cluster_with_diagnostics(vectors, *args, **more).rows.select("id", "cluster")
 
 
 def cluster_kmeans(vectors: DataFrame, k: int | None = None, seed: int = 42) -> DataFrame:

@@ -118,8 +118,8 @@ def with_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("id").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
 
 
-def knn_graph(vectors: DataFrame, k: int, drop_frac: float = 0.9) -> DataFrame:
-    return symmetric(nearest(vectors, kept_neighbours(k, drop_frac)))
+def knn_graph(vectors: DataFrame, k: int, drop_frac: float = 0.9, index: Cells | None = None) -> DataFrame:
+    return symmetric(nearest(vectors, kept_neighbours(k, drop_frac), index=index))
 
 
 def dbscan(vectors: DataFrame, eps: float = 0.7, min_samples: int = 5, min_cluster_size: int = 1, width: int | None = None, by: str | None = None, index: Cells | None = None) -> DataFrame:

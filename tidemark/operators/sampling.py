@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,17 +44,16 @@ def split(df: DataFrame, key: str, label: str, seed: int, train: float = 0.8, va
 
 
 def allocate(sizes: list[int], n: int) -> list[int]:
-    """How many of n go to each bin: in proportion, at least one of a bin that is not empty; what is left goes to the largest."""
-    total, left, out = sum(sizes), n, []
-    for size in sizes:
-        a = min(max(1, round(n * size / total)) if size else 0, size, left)
-        out.append(a)
-        left -= a
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        more = min(left, sizes[i] - out[i])
-        out[i] += more
-        left -= more
-    return out
+    """How many of n each bin gives: what its share of n rounds to, one at least, as far as n goes in the order of bins; what is left
+    comes from the fullest bins. All if there are no more than n."""
+    size = np.asarray(sizes, np.int64)
+    if size.sum() <= n:
+        return size.tolist()
+    wished = np.where(size > 0, np.clip(np.rint(n * size / size.sum()), 1, size), 0).astype(np.int64)
+    given = np.diff(np.minimum(np.cumsum(wished), n), prepend=0)
+    fullest = np.argsort(-size, kind="stable")
+    given[fullest] += np.diff(np.minimum(np.cumsum((size - given)[fullest]), n - given.sum()), prepend=0)
+    return given.tolist()
 
 
 def sample_clusters(clusters: DataFrame, key: str, texts: str, n: int, least: int, seed: int = 42, most_texts: int = 32) -> DataFrame:
@@ -62,7 +62,7 @@ def sample_clusters(clusters: DataFrame, key: str, texts: str, n: int, least: in
     bin_ = F.when(F.size(texts) <= least + 2, 0).when(F.size(texts) < 10, 1).otherwise(2)
     found = {r[0]: r[1] for r in full.groupBy(bin_.alias("bin")).count().collect()}
     sizes = [found.get(i, 0) for i in range(3)]
-    take = sizes if sum(sizes) <= n else allocate(sizes, n)
+    take = allocate(sizes, n)
     rank = F.row_number().over(Window.partitionBy("bin").orderBy(digest(F.col(key), seed), key))
     wanted = F.element_at(F.array(*[F.lit(x) for x in take]), F.col("bin") + 1)
     return full.withColumn("bin", bin_).withColumn("_r", rank).where(F.col("_r") <= wanted).withColumn(texts, F.slice(texts, 1, most_texts)).drop("bin", "_r")

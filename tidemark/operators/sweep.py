@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.vectors import auto_k, centroids, cosine, kept_neighbours
+from tidemark.functions.vectors import auto_k, centroids, kept_neighbours
 from tidemark.operators import clustering, models, neighbours
+from tidemark.operators.sampling import allocate
 from tidemark.storage import cut, shared_dir
 
 MOST_TEXTS = 32
@@ -26,31 +27,27 @@ def cluster_counts(vectors: DataFrame, ks: tuple[int, ...], drops: tuple[float,
     return vectors.sparkSession.createDataFrame([(k, f, n[m]) for (k, f), m in kept.items()], "k int, drop_frac double, n long")
 
 
-def merged_grid(rows: DataFrame, sizes: tuple[int, ...], thresholds: tuple[float, ...]) -> DataFrame:
-    """Of (drop_frac, id, cluster, v) the clusters that merge_small gives for every size and threshold: (*COMBO, id, cluster, v)."""
-    c = centroids(rows.withColumn("key", F.struct("drop_frac", "cluster")), "key", "v").select("key.*", "centroid", "size")
-    c = c.withColumn("min_size", F.explode(F.array(*map(F.lit, sizes))))
-    large = c.where("size >= min_size").select("drop_frac", "min_size", F.col("cluster").alias("other"), F.col("centroid").alias("oc"))
-    sims = c.where("size < min_size").join(large, ["drop_frac", "min_size"]).withColumn("sim", F.round(cosine(F.col("centroid"), F.col("oc")), 9))
-    match = sims.groupBy("drop_frac", "min_size", "cluster").agg(F.max("sim").alias("max_sim"), F.max_by("other", F.struct("sim", -F.col("other"))).alias("nearest"))
-    every = rows.withColumn("min_size", F.explode(F.array(*map(F.lit, sizes)))).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
-    named = every.join(match, ["drop_frac", "min_size", "cluster"], "left").where("threshold <= 0 or max_sim is null or max_sim >= threshold")
-    return named.select(*COMBO, "id", F.coalesce("nearest", "cluster").alias("cluster"), "v")
-
-
-def shares(counts: list[int], n: int) -> list[int]:
-    """How many of n samples each bin gives: in proportion, one at least, and what is left from the fullest bins."""
-    total, left, out = sum(counts), n, []
-    if total <= n:
-        return list(counts)
-    for c in counts:
-        out.append(min(max(1, round(n * c / total)) if c else 0, c, left))
-        left -= out[-1]
-    for i in sorted(range(len(counts)), key=lambda i: -counts[i]):
-        more = min(left, counts[i] - out[i])
-        out[i] += more
-        left -= more
-    return out
+def relabels(parts: DataFrame, sizes: tuple[int, ...], thresholds: tuple[float, ...]) -> DataFrame:
+    """What merge_small makes of the clusters of (drop_frac, id, cluster, v) for every size and threshold: (*COMBO, cluster, new), without those
+    that go. Rows and their vectors are read once, for the centroids, which meet in blocks."""
+    c = centroids(parts.withColumn("key", F.struct("drop_frac", "cluster")), "key", "v").select("key.*", F.col("centroid").alias("v"), "size")
+    c = c.withColumn("min_size", F.explode(F.array(*map(F.lit, sizes)))).withColumn("grp", F.concat_ws("|", "drop_frac", "min_size"))
+    c = c.join(c.groupBy("grp").agg(F.max(F.col("size") >= F.col("min_size")).alias("any_large")), "grp").withColumn("small", F.col("size") < F.col("min_size"))
+    c, _ = cut(c.orderBy("grp", "cluster").withColumn("id", F.monotonically_increasing_id()), "centroids")  # ids in the order of clusters, for ties
+    alone, merging = c.where("not any_large"), c.where("any_large")
+    best = neighbours.meet(merging.where("small"), merging.where("not small"), 1, by="grp").unionByName(neighbours.meet(alone, alone, 1, by="grp"))
+    best = best.select(F.col("src").alias("id"), F.round("sim", 9).alias("max_sim"), F.col("dst"))
+    target = c.select(F.col("id").alias("dst"), F.col("cluster").alias("nearest"))
+    found = c.select("drop_frac", "min_size", "cluster", "id", "small", "any_large").join(best, "id", "left").join(target, "dst", "left")
+    every = found.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
+    stays = ~F.col("small") | (F.col("threshold") <= 0) | F.coalesce(F.col("max_sim") >= F.col("threshold"), F.lit(False))
+    new = F.when(F.col("small") & F.col("any_large"), F.col("nearest")).otherwise(F.col("cluster"))
+    return every.where(stays).select(*COMBO, "cluster", new.alias("new"))
+
+
+def merged_grid(parts: DataFrame, sizes: tuple[int, ...], thresholds: tuple[float, ...]) -> DataFrame:
+    """(*COMBO, id, cluster): the rows of parts as merge_small names them for every size and threshold."""
+    return parts.select("drop_frac", "id", "cluster").join(relabels(parts, sizes, thresholds), ["drop_frac", "cluster"]).select(*COMBO, "id", F.col("new").alias("cluster"))
 
 
 def judged_sweep(rows: DataFrame, drops: tuple[float, ...], sizes: tuple[int, ...], thresholds: tuple[float, ...], max_size: int = 50, scale: float = 0.5, sample: int = 20, judge: Callable[[list], list] = models.coherent, seed: int = 42) -> DataFrame:
@@ -68,8 +65,10 @@ def judged_sweep(rows: DataFrame, drops: tuple[float, ...], sizes: tuple[int, ..
         one, _ = cut(clustering.split_large(rows.select("id", "v").join(named, "id"), max_size, k, f, scale).select(F.lit(f).alias("drop_frac"), "id", "cluster", "v"), "parts")
         parts = one if parts is None else parts.unionByName(one)
     grid = spark.createDataFrame(list(itertools.product(drops, sizes, thresholds)), "drop_frac double, min_size int, threshold double")
-    whole, _ = cut(merged_grid(parts, sizes, thresholds).join(rows.select("id", F.coalesce(F.trim("text") != "", F.lit(False)).alias("says")), "id"), "grid")
-    clusters, _ = cut(whole.groupBy(*COMBO, "cluster").agg(F.count("*").alias("size"), F.count_if("says").alias("texts")), "sizes")
+    moved, _ = cut(relabels(parts, sizes, thresholds), "relabels")
+    said, _ = cut(parts.join(rows.select("id", F.coalesce(F.trim("text") != "", F.lit(False)).alias("says")), "id"), "said")
+    counts = said.groupBy("drop_frac", "cluster").agg(F.count("*").alias("size"), F.count_if("says").alias("texts"))
+    clusters, _ = cut(counts.join(moved, ["drop_frac", "cluster"]).groupBy(*COMBO, F.col("new").alias("cluster")).agg(F.sum("size").alias("size"), F.sum("texts").alias("texts")), "sizes")
     before = parts.groupBy("drop_frac", "cluster").agg(F.count("*").alias("size"))
     small = before.withColumn("min_size", F.explode(F.array(*map(F.lit, sizes)))).groupBy("drop_frac", "min_size").agg(F.count_if(F.col("size") < F.col("min_size")).alias("n_small"))
     size_bin = F.when(F.col("texts") <= F.col("min_size") + 2, 0).when(F.col("texts") < 10, 1).otherwise(2)
@@ -78,12 +77,13 @@ def judged_sweep(rows: DataFrame, drops: tuple[float, ...], sizes: tuple[int, ..
     count: dict[tuple, list[int]] = {}
     for r in binned.groupBy(*COMBO, "bin").count().collect():
         count.setdefault((r.drop_frac, r.min_size, r.threshold), [0, 0, 0])[r.bin] = r["count"]
-    give = [(*c, b, m) for c, bins in count.items() for b, m in enumerate(shares(bins, sample))]
+    give = [(*c, b, m) for c, bins in count.items() for b, m in enumerate(allocate(bins, sample))]
     give = spark.createDataFrame(give, "drop_frac double, min_size int, threshold double, bin int, give int")
     drawn = F.row_number().over(Window.partitionBy(*COMBO, "bin").orderBy(F.xxhash64("cluster", *COMBO, F.lit(seed)), "cluster"))
     chosen = binned.withColumn("r", drawn).join(give, [*COMBO, "bin"]).where("r <= give").select(*COMBO, "cluster")
     place = F.row_number().over(Window.partitionBy(*COMBO, "cluster").orderBy("id"))
-    shown = whole.where("says").join(chosen, [*COMBO, "cluster"], "left_semi").withColumn("place", place).where(F.col("place") <= MOST_TEXTS)
+    wanted = moved.join(chosen.withColumnRenamed("cluster", "new"), [*COMBO, "new"], "left_semi")  # rows are copied for sampled clusters alone
+    shown = said.where("says").join(wanted, ["drop_frac", "cluster"]).select(*COMBO, F.col("new").alias("cluster"), "id", "v").withColumn("place", place).where(F.col("place") <= MOST_TEXTS)
     asked = shown.groupBy(*COMBO, "cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda s: s["v"]).alias("vectors"))
     verdicts = models.annotate(asked, "vectors", judge, "verdict", T.IntegerType()).groupBy(*COMBO).agg(F.count("*").alias("n_sampled"), F.count("verdict").alias("n_judged"), F.count_if(F.col("verdict") == 1).alias("n_coherent"))
     sums = clusters.groupBy(*COMBO).agg(F.count("*").alias("n_clusters"), F.round(F.avg("size"), 1).alias("avg_size"), F.round(F.stddev_pop("size"), 1).alias("std_size"))
