@@ -62,16 +62,32 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return low.select("u", F.col("m").alias("v")).unionByName(moved).distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def _whole_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All edges as stars of their components."""
+    sets = UnionFind()
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sets.union(a, b)
+    rows = [(x, r) for x in sets.parent if (r := sets.find(x)) != x]
+    u, v = np.array(rows, np.int64).reshape(-1, 2).T
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, one_task: int = 0) -> DataFrame:
     """(node, component) for every node with a link; component is the smallest node reachable.
 
     Nulls and self links are ignored; repeated links count once; no links give an empty table.
-    Each round is written to the shared folder, so a lost executor costs one round.
+    Each round is written to the shared folder, so a lost executor costs one round. Up to `one_task` edges, counted after each
+    partition's are reduced to a forest, one task finds all at once.
     """
     spark = edges.sparkSession
     edges = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
     now, path = cut(edges.mapInArrow(_forest, "u long, v long"), "links")
     mark = None
+    if one_task and now.limit(one_task + 1).count() <= one_task:
+        after, new = cut(now.coalesce(1).mapInArrow(_whole_forest, "u long, v long"), "links")
+        remove(spark, path)
+        return _members(after)
     for _ in range(most_rounds):
         after, new = cut(_small_star(_large_star(now)), "links")
         remove(spark, path)
@@ -82,4 +98,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         mark = (row[0], row[1])
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return _members(now)
+
+
+def _members(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -18,6 +18,8 @@ if TYPE_CHECKING:
     from tidemark.operators.cells import Cells
 
 BLOCK_ROWS = 4096
+#: Up to so many edges of forests, 16 bytes each, components are found by one task.
+ONE_TASK_EDGES = 1 << 18
 
 
 def _top(k: int, least: float, table: pa.Table) -> pa.Table:
@@ -114,7 +116,7 @@ def symmetric(edges: DataFrame) -> DataFrame:
 
 def with_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, cluster): the least id of each node's component; nodes without links are their own."""
-    found = connected_components(edges)
+    found = connected_components(edges, one_task=ONE_TASK_EDGES)
     return nodes.select("id").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
 
 
