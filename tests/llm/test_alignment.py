@@ -104,3 +104,10 @@ def test_op8_chunks_give_the_ids_of_whole_texts():
     for i, text in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 7], repr(text)
     assert token_output.encode_texts(pa.array([], pa.string()), tokenizer, Recent())[1].tolist() == [0]
+
+
+def test_op3_refuses_widths_that_its_records_cannot_hold(spark):
+    from tidemark.llm import suffix_dedup
+
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), width=260)

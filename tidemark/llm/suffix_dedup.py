@@ -415,8 +415,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     than `width`, lose nothing; very long texts are shards of their own, hashed and sorted in parts. Rows that share an id are one
     document, so they don't take from one another; null ids come last and are one document. Repeated rows stay; an empty table stays
     empty. Without carry other columns are not read. A key of an anchor has spare_bits more bits than tell the windows of the corpus
-    apart; fewer would only make more candidates.
+    apart; fewer would only make more candidates. Records tell sizes in one byte, so a `width` above 255 is refused.
     """
+    if not 0 < width <= 255:
+        raise ValueError("width must be 1 to 255")
     spark = docs.sparkSession
     extra = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")] if carry else []
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"), *extra)
