@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.parse import verdict_012
-from tidemark.storage import exists
+from tidemark.sources import batches
+from tidemark.storage import cut, remove
 
 
 def _annotate(model: Callable, column: str, batch_rows: int, failed, kind: pa.DataType, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,19 +66,22 @@ def retrying(model: Callable[[list], list], tries: int = 6) -> Callable[[list],
 
 
 def annotate_batches(view: DataFrame, path: str, column: str, model: Callable[[list], list], name: str, kind: T.DataType, max_batches: int | None = None, chunk_rows: int = 10_000) -> int:
-    """Append to the annotation table at path the answers for rows of a view (id, _batch, column) whose id it doesn't have.
+    """Add to the annotations at path (sources.batches) the answers for rows of a view (id, _batch, column) whose id they don't have.
 
-    One batch is one commit, so a run that stops goes on with the batch it was in; at most max_batches in one call. Returns how many
-    batches were written.
+    All batches that are left, or the first max_batches of them, are one job and one run; a run that is killed leaves nothing, and the next does its
+    batches again. Rows without a batch are a batch of their own. Returns how many batches were written.
     """
     spark = view.sparkSession
-    if exists(spark, path):
-        view = view.join(spark.read.parquet(path).select("id"), "id", "left_anti")
-    left = [r[0] for r in view.select("_batch").distinct().orderBy("_batch").collect()][:max_batches]
-    for b in left:
-        rows = annotate(view.where(F.col("_batch") == b).select("id", column), column, model, name, kind).drop(column)
-        rows.withColumn("_batch", F.lit(b)).write.option("maxRecordsPerFile", chunk_rows).mode("append").parquet(path)
-    return len(left)
+    if (done := batches.read_runs(spark, path)) is not None:
+        known = done.select(F.col("id").alias("_id"))
+        view = view.join(known, F.col("id").eqNullSafe(F.col("_id")), "left_anti")
+    names = view.select(F.col("_batch").alias("_b")).distinct()
+    names, names_at = cut(names if max_batches is None else names.orderBy("_b").limit(max_batches), "batches")
+    if n := names.count():
+        rows = view if max_batches is None else view.join(names, F.col("_batch").eqNullSafe(F.col("_b")), "left_semi")
+        batches.write_run(annotate(rows.select("id", "_batch", column), column, model, name, kind).drop(column), path, rows_per_file=chunk_rows)
+    remove(spark, names_at)
+    return n
 
 
 def judge_feasibility(df: DataFrame, text: str, model: Callable[[list], list], tries: int = 6) -> DataFrame:

@@ -10,7 +10,7 @@ from tidemark.operators import evaluation, models, sampling
 from tidemark.operators.views import EXPORTS, Layer, export_mode, export_view
 from tidemark.plans.relational import first_n_per_batch, stratified_split, text_lookup_left
 from tidemark.plans.tables import ANN, REACTIONS, annotations, reactions, read, runs, runs_sql
-from tidemark.sources import files
+from tidemark.sources import batches, files
 from tidemark.storage import new_path, remove, write_one
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -62,9 +62,10 @@ def layered_files(spark, d):
     return view.groupBy("_batch", "classifier_label").agg(F.count("*").alias("n"), F.min("id").alias("first"))
 
 
-@query(f"SELECT {BATCH} AS run_id, true AS completed, count(*) AS lines FROM documents WHERE doc_id % 4 <> 3 GROUP BY 1")
+@query(f"SELECT {BATCH} AS run_id, true AS completed, count(*) AS lines, count(*) OVER () AS manifests, count(*) OVER () AS n_completed FROM documents WHERE doc_id % 4 <> 3 GROUP BY 1")
 def published_days(spark, d):
-    """SNK-05, SRC-13, AGG-37: finished folders go out with their manifests, an unfinished one does not; lines of the chunks by folder."""
+    """SNK-05, SRC-13, AGG-37: finished folders go out with their manifests, an unfinished one does not; lines of the chunks by folder, and
+    what all manifests sum to. Files are copied by tasks."""
     source, target = new_path(spark, "days"), new_path(spark, "published")
     rows = read(spark, d, "documents").select("doc_id", "source", _batch())
     for k in range(4):
@@ -73,7 +74,8 @@ def published_days(spark, d):
     files.publish(spark, source, target)
     manifests = files.publish(spark, source, target)  # nothing is left to do
     chunks = files.line_counts(spark, f"{target}/*/chunk-*.jsonl").groupBy(F.substring_index("file", "/", 1).alias("run_id")).agg(F.count("*").alias("chunk_count"), F.sum("lines").alias("lines"))
-    return manifests.join(chunks, ["run_id", "chunk_count"]).select("run_id", "completed", "lines")
+    totals = files.manifest_totals(spark, f"{target}/*/run_manifest.json").select("manifests", F.col("completed").alias("n_completed"))  # one row
+    return manifests.join(chunks, ["run_id", "chunk_count"]).join(totals).select("run_id", "completed", "lines", "manifests", "n_completed")
 
 
 @query("""WITH l AS (SELECT doc_id, text, quality FROM documents LEFT JOIN labels USING (doc_id))
@@ -135,13 +137,24 @@ def compacted_chunks(spark, d):
 
 @query(f"SELECT doc_id AS id, {BATCH} AS _batch, CASE WHEN regexp_matches(text, '\\S') THEN ('0x' || substr(md5(text), 1, 2))::INT % 3 END AS verdict FROM documents")
 def resumed_annotations(spark, d):
-    """SNK-03: two batches, then a run that goes on with the others, then one that finds nothing to do."""
+    """SNK-03: two batches, then a run that goes on with the others, then one that finds nothing to do; each run is one job and commits a manifest."""
     path = new_path(spark, "annotated")
     view = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", _batch())
     done = [models.annotate_batches(view, path, "text", models.hashed_judge, "answer", T.StringType(), most) for most in (2, None, None)]
     if done[2] or done[0] > 2:
         raise AssertionError(f"batches written: {done}")
-    return spark.read.parquet(path).select("id", "_batch", verdict_012(F.col("answer")).alias("verdict"))
+    return batches.read_runs(spark, path).select("id", "_batch", verdict_012(F.col("answer")).alias("verdict"))
+
+
+@query(f"SELECT _batch AS batch, count(*) AS annotated, CAST(ceil(count(*) / 50.0) AS BIGINT) > 0 AS chunked, 1 AS runs FROM (SELECT {BATCH} AS _batch FROM documents) GROUP BY 1")
+def manifest_sums(spark, d):
+    """AGG-37, SRC-13: rows, files and runs of each batch by the manifests of two committed runs."""
+    path = new_path(spark, "annotated")
+    view = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", _batch())
+    for most in (1, None):
+        models.annotate_batches(view, path, "text", models.hashed_judge, "answer", T.StringType(), most, 50)
+    found = batches.manifests(spark, path).groupBy("batch")
+    return found.agg(F.sum("rows").alias("annotated"), (F.count_distinct("file") > 0).alias("chunked"), F.count_distinct("run_id").cast("int").alias("runs"))
 
 
 @query("SELECT label AS id, to_json(list(vec_id ORDER BY vec_id)) AS ids, '\"c' || label || '\"' AS name FROM embeddings GROUP BY label")

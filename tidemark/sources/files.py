@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.parse import found, text_column, true_false
-from tidemark.storage import copy, exists, files_below, write_one
+from tidemark.sources.batches import NO_BATCH, write_run
+from tidemark.storage import copy_files, exists, files_below, write_text
 
 REACTION = "subject_uri string, event_type string, actor_did string, time_us long, created_at string"
 
@@ -28,7 +31,7 @@ def dataset(spark: SparkSession, root: str, name: str, batches: list[str] | None
     base = f"{root}/{name}" + (f"/annotations/{annotator}" if annotator else "")
     paths = [f"{base}/{b}/merged.parquet" for b in batches] if batches else [f"{base}/*/merged.parquet"]
     rows = spark.read.option("mergeSchema", "true").parquet(*paths)
-    return rows.withColumn("_batch", F.regexp_extract(F.input_file_name(), r"/([^/]+)/merged\.parquet", 1))
+    return rows.withColumn("_batch", F.nullif(F.regexp_extract(F.input_file_name(), r"/([^/]+)/merged\.parquet", 1), F.lit(NO_BATCH)))
 
 
 def batches(df: DataFrame) -> DataFrame:
@@ -148,12 +151,10 @@ def merged_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_batches(df: DataFrame, root: str, name: str, annotator: str | None = None) -> list[str]:
-    """df by its `_batch` in the layout that `dataset` reads, one file a batch; the names of the batches."""
+    """df by its `_batch` in the layout that `dataset` reads, one file a batch, in one job; the names of the batches, null for rows without one."""
     base = f"{root}/{name}" + (f"/annotations/{annotator}" if annotator else "")
-    names = [r[0] for r in df.select("_batch").distinct().orderBy("_batch").collect()]
-    for b in names:
-        write_one(df.where(F.col("_batch") == b).drop("_batch"), f"{base}/{b}/merged.parquet")
-    return names
+    write_run(df.repartition("_batch"), base, layout="merged")
+    return [r[0] for r in df.select("_batch").distinct().orderBy("_batch").collect()]
 
 
 def finished(spark: SparkSession, root: str) -> list[str]:
@@ -164,16 +165,13 @@ def finished(spark: SparkSession, root: str) -> list[str]:
 def publish(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Copy the JSON chunks of finished folders to target, each with a manifest that names its run; the manifests' rows.
 
-    A folder whose manifest is there already is not copied again.
+    A folder whose manifest is there already is not copied again. All files are copied in one job, by tasks.
     """
-    for day in finished(spark, source):
-        manifest = f"{target}/{day}/run_manifest.json"
-        if exists(spark, manifest):
-            continue
-        chunks = [f for f in files_below(spark, f"{source}/{day}") if f.endswith(".json")]
-        for i, f in enumerate(chunks):
-            copy(spark, f"{source}/{day}/{f}", f"{target}/{day}/chunk-{i:05d}.jsonl")
-        write_one(spark.createDataFrame([(day, True, len(chunks))], "run_id string, completed boolean, chunk_count long"), manifest, "json")
+    days = [day for day in finished(spark, source) if not exists(spark, f"{target}/{day}/run_manifest.json")]
+    chunks = {day: [f for f in files_below(spark, f"{source}/{day}") if f.endswith(".json")] for day in days}
+    copy_files(spark, [(f"{source}/{day}/{f}", f"{target}/{day}/chunk-{i:05d}.jsonl") for day in days for i, f in enumerate(chunks[day])])
+    for day in days:  # what makes a day count is written when all of it is there
+        write_text(spark, f"{target}/{day}/run_manifest.json", json.dumps({"run_id": day, "completed": True, "chunk_count": len(chunks[day])}) + "\n")
     return spark.read.schema("run_id string, completed boolean, chunk_count long").json(f"{target}/*/run_manifest.json")
 
 

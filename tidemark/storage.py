@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -66,9 +69,31 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def copy(spark: SparkSession, source: str, target: str) -> None:
-    (a, p), (b, q) = _file_system(spark, source), _file_system(spark, target)
-    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(a, p, b, q, False, spark.sparkContext._jsc.hadoopConfiguration())
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, such as a manifest."""
+    fs, p = _file_system(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = []
+        for source, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            (a, p), (b, q) = arrow_fs.FileSystem.from_uri(source), arrow_fs.FileSystem.from_uri(target)
+            b.create_dir(q.rsplit("/", 1)[0], recursive=True)
+            arrow_fs.copy_files(p, q, source_filesystem=a, destination_filesystem=b)
+            sizes.append(b.get_file_info(q).size)
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.int64())], ["target", "size"])
+
+
+def copy_files(spark: SparkSession, pairs: list[tuple[str, str]]) -> int:
+    """Copy files, given as pairs of names, by tasks that read and write them; the bytes copied. The driver sees names alone."""
+    if not pairs:
+        return 0
+    named = spark.createDataFrame(pairs, "source string, target string").repartition(min(len(pairs), 4 * spark.sparkContext.defaultParallelism))
+    return named.mapInArrow(_copied, "target string, size long").agg({"size": "sum"}).first()[0]
 
 
 def write_one(df: DataFrame, target: str, kind: str = "parquet", **options: str) -> None:
@@ -89,8 +114,6 @@ def copy_missing(spark: SparkSession, source: str, target: str, name: str = "mer
             continue
         (a, p), (b, q) = _file_system(spark, f"{source}/{f}"), _file_system(spark, f"{target}/{f}")
         if not b.exists(q) or a.getFileStatus(p).getLen() != b.getFileStatus(q).getLen():
-            remove(spark, f"{target}/{f}")
-            b.mkdirs(q.getParent())
-            copy(spark, f"{source}/{f}", f"{target}/{f}")
             out.append(f)
+    copy_files(spark, [(f"{source}/{f}", f"{target}/{f}") for f in out])
     return out
