@@ -86,10 +86,14 @@ def best_epoch(epochs: DataFrame, task: str) -> DataFrame:
 
 def grid(spark, **axes) -> DataFrame:
     """All combinations of parameter values, in a `combo` order."""
-    out = spark.range(1).select(F.lit(0).alias("_"))
+    return grid_over(spark.range(1).select(F.lit(0).alias("_")), **axes).drop("_")
+
+
+def grid_over(rows: DataFrame, **axes) -> DataFrame:
+    """Rows of parameters, one for each setting and not each row of data, with all combinations of other values, in a `combo` order."""
     for name, values in axes.items():
-        out = out.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
-    return out.drop("_").withColumn("combo", F.row_number().over(Window.orderBy(*axes)) - 1)
+        rows = rows.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+    return rows.withColumn("combo", F.row_number().over(Window.orderBy(*rows.columns)) - 1)
 
 
 def check_sweep(drop_frac: list[float], min_size: list[int], threshold: list[float]) -> None:

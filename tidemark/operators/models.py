@@ -9,7 +9,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import threading
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import partial
 
 import numpy as np
@@ -65,6 +68,91 @@ def retrying(model: Callable[[list], list], tries: int = 6) -> Callable[[list],
     return partial(_retried, model, tries)
 
 
+class Batcher:
+    """Requests gathered from single inputs: one goes out when it has `size` inputs, or `wait` seconds after the last one came, with at most
+    `workers` on their way. A request that fails, or has not one answer for each input, fails for its own inputs alone."""
+
+    def __init__(self, model: Callable[[list], list], size: int, wait: float, workers: int) -> None:
+        self.model, self.size, self.wait = model, size, wait
+        self.pool, self.lock, self.held, self.timer = ThreadPoolExecutor(workers), threading.Lock(), [], None
+
+    def add(self, value) -> Future:
+        answer: Future = Future()
+        with self.lock:
+            self.held.append((value, answer))
+            if self.timer:
+                self.timer.cancel()
+            if len(self.held) >= self.size:
+                self._send()
+            else:
+                self.timer = threading.Timer(self.wait, self.flush)
+                self.timer.daemon = True
+                self.timer.start()
+        return answer
+
+    def flush(self) -> None:
+        with self.lock:
+            self._send()
+
+    def _send(self) -> None:
+        some, self.held, self.timer = self.held, [], None
+        if some:
+            self.pool.submit(self._ask, some)
+
+    def _ask(self, some: list[tuple]) -> None:
+        try:
+            answers = self.model([v for v, _ in some])
+            if len(answers) != len(some):
+                raise ValueError(f"{len(answers)} answers to {len(some)} inputs")
+            for (_, f), x in zip(some, answers, strict=True):
+                f.set_result(x)
+        except Exception as e:  # noqa: BLE001  # whatever a model raises goes to those who asked
+            for _, f in some:
+                f.set_exception(e)
+
+    def close(self) -> None:
+        self.flush()
+        self.pool.shutdown()
+
+
+def _batched(model: Callable, column: str, size: int, wait: float, workers: int, ahead: int, kind: pa.DataType, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    batcher, line = Batcher(model, size, wait, workers), deque()
+
+    def done() -> pa.RecordBatch:
+        batch, asked = line.popleft()
+        out, errors = [], []
+        for f in asked:
+            error = f.exception() if f is not None else None
+            out.append(f.result() if f is not None and error is None else None)
+            errors.append(f"{type(error).__name__}: {error}" if error is not None else None)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind), pa.array(errors, pa.string())], [*batch.schema.names, name, f"{name}_error"])
+
+    try:
+        for batch in batches:
+            for i in range(0, len(batch), size):
+                part = batch.slice(i, size)
+                line.append((part, [batcher.add(v) if v is not None and (not isinstance(v, str) or v.strip()) else None for v in part.column(column).to_pylist()]))
+                if len(line) > ahead:
+                    yield done()
+        batcher.flush()
+        while line:
+            yield done()
+    finally:
+        batcher.close()
+
+
+def annotate_concurrently(df: DataFrame, column: str, model: Callable[[list], list], name: str, kind: T.DataType, size: int = 256, wait: float = 1.0, workers: int = 4) -> DataFrame:
+    """df with the model's answers and `{name}_error`: a task has up to `workers` requests of up to `size` inputs on their way, and holds twice as many rows.
+
+    A request goes out early when no input has come for `wait` seconds. What fails has its error in its own rows and no answer; empty inputs are not
+    sent and have neither.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    work = partial(_batched, model, column, size, wait, workers, 2 * workers, to_arrow_type(kind), name)
+    return df.mapInArrow(work, T.StructType([*df.schema.fields, T.StructField(name, kind), T.StructField(f"{name}_error", T.StringType())]))
+
+
 def annotate_batches(view: DataFrame, path: str, column: str, model: Callable[[list], list], name: str, kind: T.DataType, max_batches: int | None = None, chunk_rows: int = 10_000) -> int:
     """Add to the annotations at path (sources.batches) the answers for rows of a view (id, _batch, column) whose id they don't have.
 
@@ -246,3 +334,36 @@ def extract_claims(clusters: DataFrame, cluster: str, texts: str, model: Callabl
     rows = F.transform(F.slice("claims", 1, most_claims), lambda c, i: F.struct(F.size(gather(F.col(texts), c["post_indices"])).alias("post_count"), i.alias("at"), c.alias("c")))
     each = parsed.select(cluster, texts, (F.lit("") if date is None else date).alias("date"), F.posexplode(F.array_sort(rows)).alias("claim_no", "r"))
     return each.select(cluster, "claim_no", "r.c.claim", "r.post_count", gather(F.col(texts), F.col("r.c.post_indices")).alias("original_texts"), "date", "r.c.public_entities", "r.c.is_time_sensitive", "r.c.is_relevant", "r.c.is_specific")
+
+
+CLAIM_ROW = "claim_no int, claim string, post_count int, original_texts array<string>"
+
+
+def claims_function(cluster: str, text: str, model: Callable[[list], list], kind: str = "long", template: str = "{posts}", most_texts: int = 50, most_claims: int = 5):
+    """A table function from the rows of one cluster, in their order, to its claims: for `f(rows.asTable().partitionBy(cluster).orderBy(...))`.
+
+    Its rows are (cluster, claim_no, claim, post_count, original_texts), as extract_claims has them. A cluster's texts are held while it is
+    asked, so clusters are meant to be bounded; those without an answer or with one that can't be read, and those whose request fails, give no rows.
+    """
+
+    class Claims:
+        def __init__(self) -> None:
+            self.key, self.texts = None, []
+
+        def eval(self, row) -> None:
+            self.key = row[cluster]
+            self.texts.append(row[text])
+
+        def terminate(self) -> Iterator[tuple]:
+            if not self.texts:
+                return
+            prompt = template.replace("{posts}", "\n\n".join(f"[{i}] {t}" for i, t in enumerate(self.texts[:most_texts]) if t is not None))
+            try:
+                found = parse_claims((model([prompt]) or [None])[0]) or []
+            except Exception:  # noqa: BLE001  # a cluster whose request fails has no claims
+                return
+            gathered = [(c["claim"], [self.texts[i] for i in c["post_indices"] if 0 <= i < len(self.texts)]) for c in found[:most_claims]]
+            for n, (claim, texts) in enumerate(sorted(gathered, key=lambda x: len(x[1]))):  # ties in the order of the answer
+                yield self.key, n, claim, len(texts), texts
+
+    return F.udtf(Claims, returnType=f"{cluster} {kind}, {CLAIM_ROW}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import parse
+from tidemark.functions import parse, vectors
 from tidemark.operators import classifier, evaluation, models
 from tidemark.operators.sampling import split
 from tidemark.plans.tables import read, runs, runs_sql
@@ -13,7 +13,7 @@ from tidemark.plans.tables import read, runs, runs_sql
 QUERIES, ORACLE_SQL = {}, {}
 #: The first byte of a digest of `x`, as SQL.
 BYTE = "('0x' || substr(md5({x}), {at}, 2))::INT"
-KNOWN = ["Src-1", "src_2", "(src) 3", "big src4 set", "src5"]
+KNOWN = ["red widget", "Blue Gear", "old_ring", "(hot) rod", "plate", "a small bolt or two", "new anvil"]
 
 
 def query(sql: str | None = None):
@@ -112,13 +112,25 @@ def noise_by_threshold(spark, d):
     return evaluation.noise_rates(c, judged, levels).withColumn("noise_pct", F.round("noise_pct", 6))
 
 
-@query("""WITH n AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'src5' WHEN 1 THEN 'SRC 1' WHEN 2 THEN 'Src-2' WHEN 3 THEN '(src) 3' WHEN 4 THEN 'the big src4 set again' ELSE 'none of them' END AS name FROM documents)
-SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'src5' WHEN 1 THEN 'Src-1' WHEN 2 THEN 'src_2' WHEN 3 THEN '(src) 3' WHEN 4 THEN 'big src4 set' END AS known FROM n""")
+PLAIN = "trim(regexp_replace(replace(replace(lower({x}), '(', ''), ')', ''), '\\s+', '-', 'g'), '-')"
+
+
+@query(f"""WITH k AS (SELECT unnest({[*sorted(KNOWN)]}) AS k), pairs AS (SELECT p_partkey, p_name, k, {PLAIN.format(x='p_name')} AS own, {PLAIN.format(x='k')} AS other FROM part, k)
+SELECT p_partkey, coalesce(min(k) FILTER (k = p_name), min(k) FILTER (other = own), min(k) FILTER (other = replace(own, '-', '_')), min(k) FILTER (contains(own, other) OR contains(other, own))) AS known FROM pairs GROUP BY 1""")
 def matched_names(spark, d):
-    """JOIN-18: exact, plain, underscored and partial matches against a folder's names."""
-    k = F.col("doc_id") % 6
-    name = F.when(k == 0, "src5").when(k == 1, "SRC 1").when(k == 2, "Src-2").when(k == 3, "(src) 3").when(k == 4, "the big src4 set again").otherwise("none of them")
-    return read(spark, d, "documents").select("doc_id", parse.match_name(name, KNOWN).alias("known"))
+    """JOIN-18: names of parts against a folder's: exact, plain, underscored and partial matches, the first in order of each kind."""
+    return read(spark, d, "part").select("p_partkey", parse.match_name(F.col("p_name"), KNOWN).alias("known"))
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(text, '\\S') THEN 128 END AS dims, CAST(NULL AS VARCHAR) AS error, regexp_matches(text, '\\S') AS alike FROM documents")
+def embedded_texts(spark, d):
+    """UDF-03, STM-06: vectors of all texts by concurrent requests, of unit length; equal texts have equal vectors."""
+    rows = read(spark, d, "documents").select("doc_id", "text")
+    found = models.annotate_concurrently(rows, "text", models.hashed_embedder, "v", T.ArrayType(T.DoubleType()), size=64)
+    named = found.select("doc_id", "text", F.col("v_error").alias("error"), F.size("v").alias("dims"), F.hash("v").alias("h"), vectors.norm(F.col("v")).alias("length"))
+    same = named.groupBy(F.col("text").alias("_text")).agg((F.min("h") == F.max("h")).alias("same"))
+    alike = F.col("same") & (F.abs(F.col("length") - 1) < 1e-6)
+    return named.join(same, F.col("text") == F.col("_text"), "left").select("doc_id", F.when(F.col("dims") >= 0, F.col("dims")).alias("dims"), "error", F.when(F.col("text").isNotNull(), F.coalesce(alike, F.lit(False))).alias("alike"))
 
 
 @query("SELECT source AS claim, count(*) AS post_count FROM documents WHERE n_chars > 1000 GROUP BY 1 HAVING count(*) >= 2")
@@ -135,10 +147,11 @@ def mapped_values(spark, d):
     return rows.groupBy(F.col("source").alias("annotator"), parse.mapped(F.col("lang"), {"en": 0, "de": 1}).alias("label")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH a AS (SELECT unnest([0.0, 0.5, 1.0])::DOUBLE AS drop_frac), b AS (SELECT unnest([1, 2]) AS min_size), c AS (SELECT unnest([-0.1, 0.9])::DOUBLE AS threshold)
+@query("""WITH a AS (SELECT unnest([0.0, 0.5, 1.0])::DOUBLE AS drop_frac), b AS (SELECT DISTINCT CAST(count(*) % 4 AS INT) AS min_size FROM documents GROUP BY source), c AS (SELECT unnest([-0.1, 0.9])::DOUBLE AS threshold)
 SELECT drop_frac, min_size, threshold, drop_frac < 1 AND min_size >= 2 AND threshold >= 0 AS ok FROM a, b, c""")
 def sweep_arguments(spark, d):
-    """FLT-11: which combinations of a sweep pass its checks."""
+    """FLT-11: which combinations of a sweep pass its checks, with least sizes from the sizes of sources."""
+    sizes = sorted({r[0] for r in read(spark, d, "documents").groupBy("source").agg((F.count("*") % 4).cast("int").alias("n")).select("n").distinct().collect()})  # four at most
 
     def ok(r) -> bool:
         try:
@@ -147,7 +160,7 @@ def sweep_arguments(spark, d):
             return False
         return True
 
-    combos = evaluation.grid(spark, drop_frac=[0.0, 0.5, 1.0], min_size=[1, 2], threshold=[-0.1, 0.9]).collect()
+    combos = evaluation.grid(spark, drop_frac=[0.0, 0.5, 1.0], min_size=sizes, threshold=[-0.1, 0.9]).collect()
     return spark.createDataFrame([(r.drop_frac, r.min_size, r.threshold, ok(r)) for r in combos], "drop_frac double, min_size int, threshold double, ok boolean")
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import centroids, search_width
-from tidemark.operators import cells, clustering, models, neighbours, sweep
+from tidemark.functions.vectors import centroids, cosine, search_width
+from tidemark.operators import cells, clustering, models, neighbours, sampling, sweep
 from tidemark.plans.tables import embedded, read
+from tidemark.storage import cut
 
 QUERIES, ORACLE_SQL = {}, {}
 EPS, MIN_SAMPLES, K = 0.35, 3, 5
@@ -133,6 +134,46 @@ def simhash_dedup(spark, d):
     return clustering.drop_near_copies(rows).select("id", "cluster")
 
 
+SMALL_SQL = f"""{CENTROIDS}, s AS (SELECT cluster, count(*) AS size, list_aggregate(list_sort(list(id)), 'string_agg', ',') AS ids FROM e GROUP BY 1), mean AS (SELECT ceil(avg(size)) AS m FROM s),
+p AS (SELECT small.cluster, small.size, small.ids, large.cluster AS other, large.size AS other_size, round(list_cosine_similarity(a.c, b.c), 9) AS sim FROM s small JOIN c a ON a.cluster = small.cluster, s large JOIN c b ON b.cluster = large.cluster, mean WHERE small.size < m AND large.size >= m),
+best AS (SELECT cluster, size, ids, max(sim) AS max_sim, arg_max(other, (sim, -other)) AS nearest, arg_max(other_size, (sim, -other)) AS nearest_size FROM p GROUP BY 1, 2, 3)"""
+
+
+@query(f"""WITH {SMALL_SQL}, t AS (SELECT median(max_sim) AS t FROM best)
+SELECT (SELECT count(*) FROM s) AS n_before, (SELECT count(*) FROM best) AS n_small, (SELECT count(*) FROM best, t WHERE max_sim < t) AS n_dropped, (SELECT count(*) FROM s, mean WHERE size >= m) AS n_after, cluster, size, round(max_sim, 6) AS max_sim, nearest, nearest_size, ids FROM best""")
+def clustering_diagnostics(spark, d):
+    """ML-08, ML-05: clusters below the mean size with their nearest large one and their rows, and how many clusters stay when half of them go."""
+    rows = _clustered(spark, d).withColumn("cluster", F.col("cluster").cast("long"))
+    mean = rows.groupBy("cluster").count().agg(F.ceil(F.avg("count"))).first()[0]
+    small, _ = cut(clustering.small_clusters(rows, mean or 0), "small")
+    middle = small.agg(F.median("max_sim")).first()[0]
+    merged = clustering.merge_small(rows, mean or 0, middle or 0.0)
+    counts = rows.agg(F.count_distinct("cluster").alias("n_before")).join(small.agg(F.count("*").alias("n_small"), F.count_if(F.col("max_sim") < middle).alias("n_dropped"))).join(merged.agg(F.count_distinct("cluster").alias("n_after")))  # one row each
+    return counts.join(small).select("n_before", "n_small", "n_dropped", "n_after", F.col("cluster").cast("int").alias("cluster"), "size", F.round("max_sim", 6).alias("max_sim"), F.col("nearest").cast("int").alias("nearest"), "nearest_size", F.array_join("ids", ",").alias("ids"))
+
+
+@query(f"""WITH {CENTROIDS}, f AS (SELECT id, round(list_cosine_similarity(v, c), 9) AS sim FROM e JOIN c USING (cluster)), n AS (SELECT id, sim, sim < 0.3 AS below FROM f WHERE abs(sim - 0.3) <= 0.05),
+k AS (SELECT count(*) FILTER (below) AS b, count(*) FILTER (NOT below) AS a FROM n), t AS (SELECT least(b, 40 - least(a, 20)) AS low, a FROM k), r AS (SELECT *, row_number() OVER (PARTITION BY below ORDER BY md5('18|' || id), id) AS r FROM n)
+SELECT id, round(sim, 6) AS sim FROM r, t WHERE r <= CASE WHEN below THEN low ELSE least(a, 40 - low) END""")
+def boundary_sample(spark, d):
+    """SMP-07: forty vectors whose similarity to their centroid is near a threshold, half below it."""
+    rows = _clustered(spark, d)
+    near = rows.join(centroids(rows, "cluster", "v").select("cluster", "centroid"), "cluster").select("id", F.round(cosine(F.col("v"), F.col("centroid")), 9).alias("sim"))
+    return sampling.boundary(near, "id", "sim", 0.3, 40).select("id", F.round("sim", 6).alias("sim"))
+
+
+@query("""WITH c AS (SELECT conv_id, count(*) AS n FROM conversations WHERE length(trim(text)) > 0 GROUP BY 1), b AS (SELECT *, CASE WHEN n <= 4 THEN 0 WHEN n < 10 THEN 1 ELSE 2 END AS bin FROM c),
+s AS (SELECT bin, count(*) AS size, least(count(*), greatest(1, round_even(40.0 * count(*) / (SELECT count(*) FROM b), 0))) AS wish FROM b GROUP BY 1), w AS (SELECT *, sum(wish) OVER (ORDER BY bin) AS upto FROM s),
+g AS (SELECT bin, size, least(upto, 40) - least(upto - wish, 40) AS given FROM w), x AS (SELECT *, sum(size - given) OVER (ORDER BY size DESC, bin) AS spare, 40 - sum(given) OVER () AS rest FROM g),
+t AS (SELECT bin, CASE WHEN (SELECT count(*) FROM b) <= 40 THEN size ELSE given + least(spare, rest) - least(spare - (size - given), rest) END AS take FROM x),
+r AS (SELECT conv_id, n, bin, row_number() OVER (PARTITION BY bin ORDER BY md5('42|' || conv_id), conv_id) AS r FROM b) SELECT conv_id, least(n, 6) AS n FROM r JOIN t USING (bin) WHERE r <= take""")
+def sampled_clusters(spark, d):
+    """SMP-06: forty conversations as clusters of texts over three bins of size, with six texts at most."""
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
+    c = read(spark, d, "conversations").groupBy("conv_id").agg(texts.alias("texts"))
+    return sampling.sample_clusters(c, "conv_id", "texts", 40, 2, most_texts=6).select("conv_id", F.size("texts").cast("long").alias("n"))
+
+
 @query()
 def kmeans_clusters(spark, d):
     """ML-11, MTH-03."""
@@ -174,8 +215,11 @@ def judged_sweep(spark, d):
     return sweep.judged_sweep(rows, (0.0, 0.5, 0.8, 0.9, 0.95, 0.99), (2, 3, 5, 10), (0.0, 0.2))
 
 
-@query("""WITH c AS (SELECT conv_id, list(text ORDER BY turn, text) AS texts FROM conversations GROUP BY 1), e AS (SELECT conv_id, texts, unnest(range(0, least(2, len(texts)))) AS i FROM c)
-SELECT conv_id, CAST(i AS INT) AS claim_no, 'Claim ' || array_to_string(regexp_extract_all(string_split(texts[i + 1], chr(10))[1], '[a-zA-Z]+')[1:6], ' ') AS claim, 1 AS post_count, md5(texts[i + 1]) AS texts, true AS is_relevant FROM e""")
+CLAIMS = """WITH c AS (SELECT conv_id, list(text ORDER BY turn, text) AS texts FROM conversations GROUP BY 1), e AS (SELECT conv_id, texts, unnest(range(0, least(2, len(texts)))) AS i FROM c)
+SELECT conv_id, CAST(i AS INT) AS claim_no, 'Claim ' || array_to_string(regexp_extract_all(string_split(texts[i + 1], chr(10))[1], '[a-zA-Z]+')[1:6], ' ') AS claim, 1 AS post_count, md5(texts[i + 1]) AS texts, true AS is_relevant FROM e"""
+
+
+@query(CLAIMS)
 def claims(spark, d):
     """UDF-05, STR-05, SRT-06: claims of every conversation by the stand-in model; places that are out of range are left out."""
     texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
@@ -184,6 +228,14 @@ def claims(spark, d):
     return found.select("conv_id", "claim_no", "claim", "post_count", F.md5(F.array_join("original_texts", "|").cast("binary")).alias("texts"), "is_relevant")
 
 
+@query(CLAIMS)
+def claims_by_function(spark, d):
+    """UDF-05 as a table function over the conversations as partitions, in the order of their turns."""
+    rows = read(spark, d, "conversations").select("conv_id", "turn", "text")
+    found = models.claims_function("conv_id", "text", models.first_sentences)(rows.asTable().partitionBy("conv_id").orderBy("turn", "text"))
+    return found.select("conv_id", "claim_no", "claim", "post_count", F.md5(F.array_join("original_texts", "|").cast("binary")).alias("texts"), F.lit(True).alias("is_relevant"))
+
+
 @query()
 def double_clustering(spark, d):
     """UDF-06, AGG-13: claims embedded by the stand-in, clustered again, with posts and claims of each meta-cluster."""

@@ -152,10 +152,11 @@ def pivot_grid(spark, d):
     return p.fillna(0)
 
 
-@query("WITH a AS (SELECT unnest([5, 10]) AS k), b AS (SELECT unnest([0.8, 0.9])::DOUBLE AS drop_frac) SELECT k, drop_frac, CAST(row_number() OVER (ORDER BY k, drop_frac) - 1 AS INT) AS combo FROM a, b")
+@query("WITH a AS (SELECT DISTINCT CAST(count(*) AS INT) AS k FROM embeddings GROUP BY label), b AS (SELECT unnest([0.8, 0.9])::DOUBLE AS drop_frac) SELECT k, drop_frac, CAST(row_number() OVER (ORDER BY k, drop_frac) - 1 AS INT) AS combo FROM a, b")
 def parameter_grid(spark, d):
-    """JOIN-17, ML-20."""
-    return ev.grid(spark, k=[5, 10], drop_frac=[0.8, 0.9])
+    """JOIN-17, ML-20: the sizes of the labels as numbers of neighbours, with two shares to drop."""
+    sizes = embedded(spark, d).groupBy("label").agg(F.count("*").cast("int").alias("k")).select("k").distinct()
+    return ev.grid_over(sizes, drop_frac=[0.8, 0.9])
 
 
 @query("""WITH s AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1) SELECT round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS std, min(n) AS least, max(n) AS most, round(median(n), 6) AS mid, (list(n ORDER BY n))[count(*) // 2 + 1] AS upper FROM s""")

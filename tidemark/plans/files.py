@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.parse import verdict_012
-from tidemark.operators import evaluation, models, sampling
+from tidemark.operators import clustering, evaluation, models, sampling
 from tidemark.operators.views import EXPORTS, Layer, export_mode, export_view
+from tidemark.plans.clusters import SMALL_SQL
 from tidemark.plans.relational import first_n_per_batch, stratified_split, text_lookup_left
-from tidemark.plans.tables import ANN, REACTIONS, annotations, reactions, read, runs, runs_sql
+from tidemark.plans.tables import ANN, REACTIONS, annotations, embedded, reactions, read, runs, runs_sql
 from tidemark.sources import batches, files
 from tidemark.storage import new_path, remove, write_one
 
@@ -236,35 +237,35 @@ def cluster_dump(spark, d):
     return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH s AS (SELECT source, count(*) AS size, round((CAST(('0x' || substr(md5(source), 1, 2)) AS INT)) / 255.0, 6) AS max_sim FROM documents WHERE source IS NOT NULL GROUP BY 1),
-t AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM documents)
-SELECT s.source AS cluster, size, max_sim, row_number() OVER (ORDER BY max_sim, s.source) - 1 AS rank, list_aggregate(list_sort(list(doc_id)), 'string_agg', ',') AS ids FROM s JOIN t ON s.source = t.source AND p <= 5 GROUP BY 1, 2, 3""")
+@query(f"""WITH {SMALL_SQL}, r AS (SELECT cluster, id, row_number() OVER (PARTITION BY cluster ORDER BY id) AS p FROM e)
+SELECT b.cluster, size, round(max_sim, 6) AS max_sim, row_number() OVER (ORDER BY max_sim, b.cluster) - 1 AS rank, list_aggregate(list_sort(list(id)), 'string_agg', ',') AS ids FROM best b JOIN r ON r.cluster = b.cluster AND p <= 5 GROUP BY b.cluster, size, max_sim""")
 def outlier_candidates(spark, d):
-    """SNK-12, ML-17: small clusters with their first texts, worst first, as JSON."""
+    """SNK-12, ML-17: clusters below the mean size by their similarity to the nearest large one, with their first texts, worst first, as JSON."""
     path = new_path(spark, "candidates")
-    rows = read(spark, d, "documents").where("source is not null").select(F.col("source").alias("cluster"), F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("text"))
-    sim = F.round(F.conv(F.substring(F.md5(F.col("cluster").cast("binary")), 1, 2), 16, 10).cast("int") / 255.0, 6)
-    sims = rows.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("max_sim", sim)
-    files.write_json(evaluation.outlier_candidates(sims, rows, "cluster", 5), path)
-    back = spark.read.schema("cluster string, size long, max_sim double, rank long, texts array<string>").json(path)
-    return back.select("cluster", "size", "max_sim", "rank", F.array_join("texts", ",").alias("ids"))
+    rows = embedded(spark, d).select("id", "v", F.col("label").cast("long").alias("cluster"))
+    mean = rows.groupBy("cluster").count().agg(F.ceil(F.avg("count"))).first()[0]
+    sims = clustering.small_cluster_matches(rows, mean or 0).select("cluster", "size", "max_sim")
+    files.write_json(evaluation.outlier_candidates(sims, rows.select("cluster", "id", F.col("id").cast("string").alias("text")), "cluster", 5), path)
+    back = spark.read.schema("cluster int, size long, max_sim double, rank long, texts array<string>").json(path)
+    return back.select("cluster", "size", F.round("max_sim", 6).alias("max_sim"), "rank", F.array_join("texts", ",").alias("ids"))
 
 
-@query("SELECT unnest([5, 10]) AS k, 4 AS n")
+@query("SELECT source, count(*) AS n FROM documents GROUP BY 1")
 def cached_sweep(spark, d):
-    """SNK-13: a sweep's table is made once, read again, and made anew when asked."""
+    """SNK-13: a table of counts is made once, read again, and made anew when asked."""
     path = new_path(spark, "sweep")
-    make = lambda n: lambda: evaluation.grid(spark, k=[5, 10]).select("k", F.lit(n).alias("n"))
-    files.cached(spark, path, make(3))
-    if {r.n for r in files.cached(spark, path, make(9)).collect()} != {3}:
+    counts = read(spark, d, "documents").groupBy("source")
+    files.cached(spark, path, lambda: counts.agg(F.max("doc_id").alias("n")))
+    if files.cached(spark, path, lambda: counts.agg(F.lit(-1).alias("n"))).where("n < 0").limit(1).count():
         raise AssertionError("made again without being asked")
-    return files.cached(spark, path, make(4), regenerate=True).select(F.col("k").cast("int").alias("k"), F.col("n").cast("int").alias("n"))
+    return files.cached(spark, path, lambda: counts.agg(F.count("*").alias("n")), regenerate=True).select("source", "n")
 
 
-@query("SELECT mode, len AS n_columns FROM (VALUES ('classifier_hits', 4), ('raw_clusters', 3), ('clustered', 6), ('embedded_claims', 7), ('clusters_summarized', 7), ('clusters_summarized_kmeans', 7), ('meta_clusters', 4), ('double_summarized', 6)) v(mode, len)")
+@query("SELECT mode, len AS n_columns, (SELECT count(*) FROM documents) AS n_rows FROM (VALUES ('classifier_hits', 4), ('raw_clusters', 3), ('clustered', 6), ('embedded_claims', 7), ('clusters_summarized', 7), ('clusters_summarized_kmeans', 7), ('meta_clusters', 4), ('double_summarized', 6)) v(mode, len)")
 def export_modes(spark, d):
-    """SNK-06: the named exports."""
-    return spark.createDataFrame([(k, len(v.base_columns)) for k, v in EXPORTS.items()], "mode string, n_columns int")
+    """SNK-06: the named exports, and how many posts each would look at."""
+    modes = spark.createDataFrame([(k, len(v.base_columns)) for k, v in EXPORTS.items()], "mode string, n_columns int")
+    return modes.join(read(spark, d, "documents").agg(F.count("*").alias("n_rows")))  # one row
 
 
 @query("WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id FROM events), f AS (SELECT DISTINCT day FROM e ORDER BY day LIMIT 3) SELECT CAST(day AS VARCHAR) AS day, count(*) AS n FROM e WHERE day IN (SELECT day FROM f) GROUP BY 1")

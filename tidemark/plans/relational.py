@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.parse import day_of_batch, json_scalar, sunday_label
-from tidemark.operators import coverage, sampling
+from tidemark.operators import coverage, sampling, sketches
 from tidemark.operators.views import ExportConfig, Layer, annotation_view, export_subsets, export_view, first_text, hash_share, merge_rows
 from tidemark.plans.tables import ANN, POSTS, REACTIONS, annotations, embedded, posts, reactions, read
+from tidemark.storage import new_path
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -224,3 +225,20 @@ def revenue_by_nation(spark, d):
     buyers = t("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
     sold = t("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "n_name")
     return t("lineitem").join(sold, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+
+
+@query("""WITH e AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, user_id FROM events)
+SELECT day, event_type, CAST(grouping(day, event_type) AS INT) AS grouped, count(*) AS n, true AS who_close, true AS middle_close FROM e GROUP BY CUBE (day, event_type)""")
+def daily_sketches(spark, d):
+    """AGG-38: a cube over days and kinds from daily sketches that are stored once, in two steps; estimates against exact counts and ranks."""
+    path = new_path(spark, "sketches")
+    e = read(spark, d, "events").select(F.to_date("ts").cast("string").alias("day"), "event_type", "user_id", "value")
+    last = e.agg(F.max("day")).first()[0]
+    for rows in (e.where(F.col("day") < last), e):
+        sketches.update_days(rows, path, "day", ["event_type"], "user_id", "value")
+    columns = ["day", "event_type"]
+    found = sketches.over_days(spark, path, "day", sketches.cube_of(columns), columns)
+    exact = e.cube(*columns).agg(F.grouping_id(*columns).cast("int").alias("g"), F.count_distinct("user_id").alias("users"), *[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY value)").alias(f"p{int(100 * q)}") for q in (0.4, 0.6)])
+    same = found["day"].eqNullSafe(exact["day"]) & found["event_type"].eqNullSafe(exact["event_type"]) & (found["grouped"] == exact["g"])
+    close = F.abs(F.col("who") - F.col("users")) <= 4 * sketches.ERROR * F.col("users") + 1
+    return found.join(exact, same).select(found["day"], found["event_type"], "grouped", "n", close.alias("who_close"), F.col("q50").between(F.col("p40"), F.col("p60")).alias("middle_close"))
