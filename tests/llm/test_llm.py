@@ -508,6 +508,7 @@ def test_bpe_operator(spark, bpe):
 
 def test_near_duplicates(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(near_dedup, "ASK_BLOCKS", 2)
     rng = np.random.default_rng(0)
     base = rng.normal(size=(150, 16))
     near = base[:40] + rng.normal(size=(40, 16)) * 0.02
@@ -516,7 +517,9 @@ def test_near_duplicates(spark, monkeypatch):
     rows = [(i, x.tolist(), i % 2 if i < 150 else (i - 150) % 2 if i < 190 else 0) for i, x in enumerate(v)]
     odd = [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] + [1.0] * 15, 0), (903, v[0].tolist(), None), (904, [], 0), (905, v[0].tolist()[:8], 0), (906, [None] + [1.0] * 15, 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, label int").withColumn("component", F.lit("clash"))
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_dedup.near_duplicates(df, shard_rows=64).collect()}
+    rows_found = near_dedup.near_duplicates(df, shard_rows=64).collect()
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in rows_found}
+    assert all((r.recall or 1.0) >= near_dedup.RECALL and (r.recall is None) == (r.exact is None) == (r.vec_id >= 900 and r.vec_id != 905) for r in rows_found)
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     label = np.array([r[2] for r in rows])
     link = (u @ u.T >= 0.98 - 1e-12) & (label[:, None] == label[None])

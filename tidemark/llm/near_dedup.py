@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop, materialize, mix64, on_group
+from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group
 from tidemark.operators.components import UnionFind, connected_components
 
 #: Classes of a shard, and of a block of queries.
 SHARD_ROWS, BLOCK_ROWS = 8192, 1024
+#: Blocks of queries that one group streams past a shard.
+ASK_BLOCKS = 64
 M, BUILD_BEAM, FIRST_BEAM, MOST_BEAM = 12, 48, 24, 192
 #: Nodes that come into a graph together, and nodes of a beam that are expanded together.
 BATCH, WIDE = 512, 4
@@ -248,29 +250,34 @@ def _block(table: pa.Table) -> pa.Table:
     return _packed(table, "block", None, np.argsort(table.column("id").to_numpy()))
 
 
-def _match(least: float, table: pa.Table) -> pa.Table:
-    """Blocks of queries against a shard: link counts of the queries, and links that join their components."""
+def _match(least: float, shard: pa.Table, asks: pa.Table) -> pa.Table:
+    """Blocks of queries, one after another, past the graph of a shard: link counts of the queries, links that join their components, the
+    audited recall and whether the whole shard was compared."""
     rows: list[tuple] = []
-    for r in table.to_pylist():
+    for r in shard.to_pylist():  # one row
         ids, copies, unit = (np.frombuffer(r[c], t) for c, t in (("ids", np.int64), ("copies", np.int64), ("vectors", np.float64)))
-        own, asks = np.frombuffer(r["ask_ids"], np.int64), np.frombuffer(r["ask_vectors"], np.float64).reshape(-1, r["dim"])
         unit = unit.reshape(-1, r["dim"])
         graph = SmallWorld.__new__(SmallWorld)
         graph.unit = unit.astype(np.float32)
         graph.entry, graph.links = pickle.loads(r["graph"])
-        found, recall, _ = range_search(graph, asks.astype(np.float32), least)
-        groups = UnionFind()
-        for q, u, near in zip(own.tolist(), asks, found, strict=True):
-            near = near[(ids[near] != q) & (unit[near] @ u >= least)]
-            rows.append((q, int(copies[near].sum()), None, recall))
-            rows += [(q, 0, k, recall) for k in ids[near].tolist() if groups.union(q, k)]
-    a, n, b, recall = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "n": pa.array(n, pa.int64()), "b": pa.array(b, pa.int64()), "recall": pa.array(recall, pa.float64())})
+        for ask_ids, ask_vectors in zip(asks.column("ask_ids"), asks.column("ask_vectors"), strict=True):
+            own, block = np.frombuffer(ask_ids.as_py(), np.int64), np.frombuffer(ask_vectors.as_py(), np.float64).reshape(-1, r["dim"])
+            found, recall, beam = range_search(graph, block.astype(np.float32), least)
+            groups, exact = UnionFind(), beam >= len(unit)
+            for q, u, near in zip(own.tolist(), block, found, strict=True):
+                near = near[(ids[near] != q) & (unit[near] @ u >= least)]
+                rows.append((q, int(copies[near].sum()), None, recall, exact))
+                rows += [(q, 0, k, recall, exact) for k in ids[near].tolist() if groups.union(q, k)]
+    columns = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+    kinds = (("a", pa.int64()), ("n", pa.int64()), ("b", pa.int64()), ("recall", pa.float64()), ("exact", pa.bool_()))
+    return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds, columns, strict=True)})
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of vectors.
+    """(vec_id, n_links, component_id, kept, recall, exact) for every row of vectors.
 
+    recall is the least that an audit found for the searches of the row, and exact says that one of them compared a whole shard; both
+    are null for rows that aren't searched for.
     Rows link when their labels are equal and not null, their vectors have one length, and their cosine is `least` or more. Vectors
     that are null, empty, zero, or hold nulls or non-finite numbers link with nothing, and so do rows with a null id, whose component and
     kept are null. Repeated rows are rows of their own to n_links; rows that share an
@@ -295,18 +302,23 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     asks = dealt.groupBy("label", "dim", "block").applyInArrow(on_group(_block), f"label {kind}, dim int, block int, {fields}")
     asks = asks.select("label", "dim", "block", F.col("ids").alias("ask_ids"), F.col("vectors").alias("ask_vectors"))
     asks, asks_at = materialize(asks, "asks")
-    # Each pair of a shard and a block of its label is one group of bounded size; blocks go to every shard, so that no label is one key.
-    every = asks.join(sizes.select("label", "dim", "shards"), ["label", "dim"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    found = graphs.join(every, ["label", "dim", "shard"]).groupBy("label", "dim", "shard", "block").applyInArrow(on_group(_match, least), "a long, n long, b long, recall double")
+    # A shard's graph meets up to ASK_BLOCKS blocks of its label in one group, which streams them past it; blocks go to every shard, so that
+    # no label is one key.
+    parts = sizes.select("label", "dim", "shards", F.ceil(F.col("blocks") / ASK_BLOCKS).cast("int").alias("parts"))
+    every = asks.join(parts.select("label", "dim", "shards"), ["label", "dim"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    every = every.withColumn("part", F.floor(F.col("block") / ASK_BLOCKS).cast("int")).select("label", "dim", "shard", "part", "ask_ids", "ask_vectors")
+    copies = graphs.join(parts.select("label", "dim", "parts"), ["label", "dim"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("label", "dim", "shard", "part", "ids", "copies", "vectors", "graph")
+    by = ("label", "dim", "shard", "part")
+    found = copies.groupBy(*by).cogroup(every.groupBy(*by)).applyInArrow(on_cogroup(_match, least), "a long, n long, b long, recall double, exact boolean")
     found, found_at = materialize(found, "found")
     groups, groups_at = materialize(connected_components(found.where("b is not null")), "groups")
     missed = F.when(F.min("recall") < RECALL, F.raise_error(F.lit("links of a query were searched below the wanted recall")).cast("long"))
-    counts = found.groupBy(F.col("a").alias("id")).agg(F.coalesce(missed, F.sum("n")).alias("others"))
+    counts = found.groupBy(F.col("a").alias("id")).agg(F.coalesce(missed, F.sum("n")).alias("others"), F.min("recall").alias("recall"), F.max("exact").alias("exact"))
     named = classes.join(counts, "id", "left").join(groups.withColumnRenamed("node", "id"), "id", "left")
-    named, _ = materialize(named.select("label", "vector", "copies", F.coalesce("others", F.lit(0)).alias("others"), F.coalesce("component", "id").alias("component")), "named")
+    named, _ = materialize(named.select("label", "vector", "copies", F.coalesce("others", F.lit(0)).alias("others"), F.coalesce("component", "id").alias("component"), "recall", "exact"), "named")
     drop(spark, classes_at, graphs_at, asks_at, found_at, groups_at)
     # A row that isn't sound may share a label and vector with a class: only sound ones are in it.
     out = rows.join(named.withColumn("sound", F.lit(True)), ["label", "vector", "sound"], "left")
     links = F.when(F.col("sound"), F.coalesce(F.col("copies") - 1 + F.col("others"), F.lit(0))).otherwise(0)
     component = F.when(F.col("sound"), F.coalesce("component", "vec_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", links.cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return out.select("vec_id", links.cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"), F.when(F.col("sound"), F.col("recall")).alias("recall"), F.when(F.col("sound"), F.col("exact")).alias("exact"))
