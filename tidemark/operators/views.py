@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +18,6 @@ class Layer:
     where: str | Column | None = None
 
 
-@dataclass
-class ExportConfig:
-    """What an export has: base columns and filter, layers, and the column whose values make subsets."""
-
-    base_columns: list[str]
-    base_filter: str | None = None
-    layers: list[Layer] = field(default_factory=list)
-    subset_by: str | None = None
-
-
 def merge_rows(df: DataFrame, key: str = "id") -> DataFrame:
     """One row per key; of every other column the least non-null value, so that the result does not depend on order."""
     return df.groupBy(key).agg(*[F.min(c).alias(c) for c in df.columns if c != key])
@@ -54,13 +45,13 @@ def annotation_view(base: DataFrame, layers: list[Layer], columns: list[str], do
     return view if fraction >= 1 else view.where(hash_share(F.col("id"), fraction))
 
 
-def export_subsets(config: ExportConfig, base: DataFrame) -> DataFrame:
-    """The export with a `subset` column: each value of subset_by, and everything once more as `default`."""
-    view = export_view(base, config.layers, config.base_columns, config.base_filter)
+def export_rows(base: DataFrame, columns: list[str], where: str | None = None, by: str | None = None, layers: Sequence[Layer] = ()) -> DataFrame:
+    """An export view with a `subset` column: each value of the column `by`, and everything once more as `default`."""
+    view = export_view(base, list(layers), columns, where)
     every = view.withColumn("subset", F.lit("default"))
-    if config.subset_by is None:
+    if by is None:
         return every
-    return every.unionByName(view.where(F.col(config.subset_by).isNotNull()).withColumn("subset", F.col(config.subset_by).cast("string")))
+    return every.unionByName(view.where(F.col(by).isNotNull()).withColumn("subset", F.col(by).cast("string")))
 
 
 def first_text(texts: DataFrame, wanted: DataFrame, key: str, text: str, order: str) -> DataFrame:
@@ -69,16 +60,16 @@ def first_text(texts: DataFrame, wanted: DataFrame, key: str, text: str, order:
     return rows.groupBy(key).agg(F.min_by(text, order).alias(text))
 
 
-# The columns of each named export, its filter and the column that makes its subsets.
+# The columns of each named export, its filter and the column that makes its subsets, as export_rows takes them.
 EXPORTS = {
-    "classifier_hits": ExportConfig(["created_at", "at_uri", "uri", "text"]),
-    "raw_clusters": ExportConfig(["id", "original_ids", "text"]),
-    "clustered": ExportConfig(["claim", "cluster_id", "id", "original_ids", "original_texts", "post_count"], "post_count >= 2"),
-    "embedded_claims": ExportConfig(["claim", "claim_id", "cluster_id", "embedding_dim", "post_count", "original_ids", "original_texts"]),
-    "clusters_summarized": ExportConfig(["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], subset_by="date"),
-    "clusters_summarized_kmeans": ExportConfig(["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], subset_by="date"),
-    "meta_clusters": ExportConfig(["claim_id", "cluster_id", "num_claims", "total_post_count"]),
-    "double_summarized": ExportConfig(["claim", "cluster_id", "post_count", "original_ids", "original_texts", "date"]),
+    "classifier_hits": {"columns": ["created_at", "at_uri", "uri", "text"]},
+    "raw_clusters": {"columns": ["id", "original_ids", "text"]},
+    "clustered": {"columns": ["claim", "cluster_id", "id", "original_ids", "original_texts", "post_count"], "where": "post_count >= 2"},
+    "embedded_claims": {"columns": ["claim", "claim_id", "cluster_id", "embedding_dim", "post_count", "original_ids", "original_texts"]},
+    "clusters_summarized": {"columns": ["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], "by": "date"},
+    "clusters_summarized_kmeans": {"columns": ["_batch", "claim", "cluster_id", "date", "diverse_sample_ids", "post_count", "original_texts"], "by": "date"},
+    "meta_clusters": {"columns": ["claim_id", "cluster_id", "num_claims", "total_post_count"]},
+    "double_summarized": {"columns": ["claim", "cluster_id", "post_count", "original_ids", "original_texts", "date"]},
 }
 #: Of the first export: the annotator's columns and the label that makes a hit.
 HIT_COLUMNS, HIT = ["classifier_label", "classifier_probs"], '"LABEL_1"'
@@ -88,7 +79,6 @@ def export_mode(spark: SparkSession, root: str, mode: str, name: str, target: st
     """Write one of the named exports of a dataset of files to target, a folder for each subset."""
     from tidemark.sources.files import dataset, write_subsets
 
-    config = EXPORTS[mode]
     layers = [Layer(dataset(spark, root, name, annotator=annotator), HIT_COLUMNS, F.col(HIT_COLUMNS[0]) == HIT)] if mode == "classifier_hits" else []
-    columns = [c for c in config.base_columns if c != "id"]
-    write_subsets(export_subsets(ExportConfig(columns, config.base_filter, layers, config.subset_by), dataset(spark, root, name)), target)
+    chosen = EXPORTS[mode] | {"columns": [c for c in EXPORTS[mode]["columns"] if c != "id"]}
+    write_subsets(export_rows(dataset(spark, root, name), layers=layers, **chosen), target)

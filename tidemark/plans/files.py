@@ -264,7 +264,7 @@ def cached_sweep(spark, d):
 @query("SELECT mode, len AS n_columns, (SELECT count(*) FROM documents) AS n_rows FROM (VALUES ('classifier_hits', 4), ('raw_clusters', 3), ('clustered', 6), ('embedded_claims', 7), ('clusters_summarized', 7), ('clusters_summarized_kmeans', 7), ('meta_clusters', 4), ('double_summarized', 6)) v(mode, len)")
 def export_modes(spark, d):
     """SNK-06: the named exports, and how many posts each would look at."""
-    modes = spark.createDataFrame([(k, len(v.base_columns)) for k, v in EXPORTS.items()], "mode string, n_columns int")
+    modes = spark.createDataFrame([(k, len(v["columns"])) for k, v in EXPORTS.items()], "mode string, n_columns int")
     return modes.join(read(spark, d, "documents").agg(F.count("*").alias("n_rows")))  # one row
 
 

@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.parse import day_of_batch, json_scalar, sunday_label
 from tidemark.operators import coverage, sampling, sketches
-from tidemark.operators.views import ExportConfig, Layer, annotation_view, export_subsets, export_view, first_text, hash_share, merge_rows
+from tidemark.operators.views import Layer, annotation_view, export_rows, export_view, first_text, hash_share, merge_rows
 from tidemark.plans.tables import ANN, POSTS, REACTIONS, annotations, embedded, posts, reactions, read
 from tidemark.storage import new_path
 
@@ -176,8 +176,8 @@ def stratified_split(spark, d):
 SELECT subset, count(*) AS n, min(id) AS first FROM (SELECT 'default' AS subset, id FROM v UNION ALL SELECT _batch, id FROM v) GROUP BY 1""")
 def export_by_batch(spark, d):
     """SNK-06, SET-06, FLT-02, PRJ-01."""
-    config = ExportConfig(["_batch"], None, [Layer(annotations(spark, d), ["classifier_label"], F.col("classifier_label") != '"LABEL_0"')], "_batch")
-    return export_subsets(config, posts(spark, d)).groupBy("subset").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    layer = Layer(annotations(spark, d), ["classifier_label"], F.col("classifier_label") != '"LABEL_0"')
+    return export_rows(posts(spark, d), ["_batch"], by="_batch", layers=[layer]).groupBy("subset").agg(F.count("*").alias("n"), F.min("id").alias("first"))
 
 
 @query("SELECT 'documents' AS kind, doc_id AS id, source, CAST(NULL AS VARCHAR) AS url FROM documents UNION ALL SELECT 'pages', page_id, NULL, url FROM pages")
