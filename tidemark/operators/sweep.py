@@ -59,10 +59,11 @@ def judged_sweep(rows: DataFrame, drops: tuple[float, ...], sizes: tuple[int, ..
     spark, n = rows.sparkSession, rows.count()
     k = auto_k(n)
     near, _ = cut(neighbours.nearest(rows, max(1, *(kept_neighbours(k, f) for f in drops))), "near")
-    parts = None
+    parts, graphs = None, {}
     for f in drops:
-        named = neighbours.with_components(rows, neighbours.symmetric(near.where(F.col("rank") <= kept_neighbours(k, f))))
-        one, _ = cut(clustering.split_large(rows.select("id", "v").join(named, "id"), max_size, k, f, scale).select(F.lit(f).alias("drop_frac"), "id", "cluster", "v"), "parts")
+        if (m := kept_neighbours(k, f)) not in graphs:  # shares that keep as many neighbours have one graph
+            graphs[m] = cut(rows.select("id", "v").join(neighbours.with_components(rows, neighbours.symmetric(near.where(F.col("rank") <= m))), "id"), "graph")[0]
+        one, _ = cut(clustering.split_large(graphs[m], max_size, k, f, scale, near).select(F.lit(f).alias("drop_frac"), "id", "cluster", "v"), "parts")
         parts = one if parts is None else parts.unionByName(one)
     grid = spark.createDataFrame(list(itertools.product(drops, sizes, thresholds)), "drop_frac double, min_size int, threshold double")
     moved, _ = cut(relabels(parts, sizes, thresholds), "relabels")
