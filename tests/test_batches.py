@@ -47,3 +47,24 @@ def test_copies_by_tasks(spark, tmp_path):
     files.write_batches(view_of(spark), root, "posts")
     assert len(storage.copy_missing(spark, root, target)) == 5 and storage.copy_missing(spark, root, target) == []
     assert files.dataset(spark, target, "posts").count() == 100
+
+
+def test_large_batches_are_folders_of_files(spark, tmp_path):
+    root, target = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
+    rows = lambda df: sorted((r.id, r._batch) for r in df.collect())
+    for size, several in ((200, True), (1 << 20, False), (200, True)):  # a batch written anew replaces what was there
+        assert files.write_batches(view_of(spark), root, "posts", part_bytes=size) == [None, "b0", "b1", "b2", "b3"]
+        names = [f for f in storage.files_below(spark, f"{root}/posts") if "/b0/" in f"/{f}"]
+        assert (len(names) > 1) == several and all("merged.parquet" in f for f in names)
+        assert rows(files.dataset(spark, root, "posts")) == rows(view_of(spark))
+        assert rows(files.dataset(spark, root, "posts", ["b0"])) == rows(view_of(spark).where("_batch = 'b0'"))
+        storage.copy_missing(spark, root, target)
+        assert rows(files.dataset(spark, target, "posts")) == rows(view_of(spark)) and storage.copy_missing(spark, root, target) == []
+
+
+def test_tables_of_a_split_have_several_files(spark):
+    root = storage.new_path(spark, "split")
+    storage.write_table(spark.range(100).selectExpr("cast(id as string) as claim").repartition(3), f"{root}/data/t/test-0.parquet")
+    assert len([f for f in storage.files_below(spark, f"{root}/data/t/test-0.parquet") if f.startswith("part-")]) == 3
+    assert files.dataset_files(spark, root, "t", "test") == ["data/t/test-0.parquet"] == [files.best_file(spark, root, "t")]
+    assert files.load_split(spark, root, "t", "test").count() == 100

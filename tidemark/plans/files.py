@@ -12,7 +12,7 @@ from tidemark.plans.clusters import SMALL_SQL
 from tidemark.plans.relational import first_n_per_batch, stratified_split, text_lookup_left
 from tidemark.plans.tables import ANN, REACTIONS, annotations, embedded, reactions, read, runs, runs_sql
 from tidemark.sources import batches, files
-from tidemark.storage import new_path, remove, write_one
+from tidemark.storage import new_path, remove, write_one, write_table
 
 QUERIES, ORACLE_SQL = {}, {}
 BATCH = "'b' || (doc_id % 4)"
@@ -86,8 +86,8 @@ def split_loader(spark, d):
     root = new_path(spark, "hub")
     rows = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id", "left")
     even, odd = rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")
-    write_one(even.select("text", F.when(F.col("quality") == 1, " True").otherwise("unknown").alias("veracity")), f"{root}/data/en/train-0.parquet")
-    write_one(odd.select(F.col("text").alias("title"), F.col("text"), (F.col("quality") == 1).alias("veracity"), "doc_id"), f"{root}/data/en/train-1.parquet")
+    write_table(even.select("text", F.when(F.col("quality") == 1, " True").otherwise("unknown").alias("veracity")), f"{root}/data/en/train-0.parquet")
+    write_table(odd.select(F.col("text").alias("title"), F.col("text"), (F.col("quality") == 1).alias("veracity"), "doc_id"), f"{root}/data/en/train-1.parquet")
     write_one(rows.select(F.lit("other split").alias("text")).limit(1), f"{root}/data/en/test-0.parquet")
     write_one(rows.select(F.lit("other subset").alias("text")).limit(1), f"{root}/data/de/train-0.parquet")
     return files.load_split(spark, root, "en", "train").groupBy("veracity").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
@@ -98,8 +98,8 @@ def best_split(spark, d):
     """SRC-15: only the best file is read; without a veracity column there is no truth."""
     root = new_path(spark, "hub")
     rows = read(spark, d, "documents").select(F.col("text").alias("statement"), "doc_id")
-    write_one(rows.where("doc_id % 2 = 0"), f"{root}/data/a-train.parquet")
-    write_one(rows.where("doc_id % 2 = 1"), f"{root}/data/b-test.parquet")
+    write_table(rows.where("doc_id % 2 = 0"), f"{root}/data/a-train.parquet")
+    write_table(rows.where("doc_id % 2 = 1"), f"{root}/data/b-test.parquet")
     found = files.texts_of(files.read_files(spark, [f"{root}/{files.best_file(spark, root, None)}"]))
     return found.groupBy("veracity").agg(F.count("*").alias("n"))
 

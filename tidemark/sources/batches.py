@@ -63,7 +63,7 @@ class RunWriter(DataSourceArrowWriter):
             close()
 
     def _merged(self, to: fs.FileSystem, base: str, batches: Iterator[pa.RecordBatch], done: list) -> None:
-        """One file for each batch, all of whose rows come to one task."""
+        """One file for each batch of the task; what several tasks have of a batch becomes a folder of its name."""
         open_files: dict[str | None, list] = {}
         for batch in batches:
             rows = batch.drop_columns(["_batch"])
@@ -91,8 +91,20 @@ class RunWriter(DataSourceArrowWriter):
         to, base = self._to()
         files = [f for m in messages if m is not None for f in m.files]
         if self.layout == "merged":
+            named: dict[str, list[str]] = {}
             for name, final, _, _ in files:
-                to.move(f"{base}/{name}", f"{base}/{final}")
+                named.setdefault(final, []).append(name)
+            for final, parts in named.items():
+                if to.get_file_info(f"{base}/{final}").type == fs.FileType.Directory:
+                    to.delete_dir(f"{base}/{final}")
+                if len(parts) == 1:
+                    to.move(f"{base}/{parts[0]}", f"{base}/{final}")
+                    continue
+                if to.get_file_info(f"{base}/{final}").type == fs.FileType.File:
+                    to.delete_file(f"{base}/{final}")
+                to.create_dir(f"{base}/{final}", recursive=True)
+                for i, name in enumerate(parts):
+                    to.move(f"{base}/{name}", f"{base}/{final}/part-{i:05d}.parquet")
             return
         to.create_dir(f"{base}/_runs", recursive=True)
         body = "".join(json.dumps({"run_id": self.run, "batch": b, "file": name, "rows": n}) + "\n" for name, _, b, n in files)

@@ -8,11 +8,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.parse import found, text_column, true_false
 from tidemark.sources.batches import NO_BATCH, write_run
-from tidemark.storage import copy_files, exists, files_below, write_text
+from tidemark.storage import copy_files, exists, files_below, tables_below, write_text
 
+#: Bytes of rows that one file of a batch holds.
+PART_BYTES = 128 << 20
 REACTION = "subject_uri string, event_type string, actor_did string, time_us long, created_at string"
 
 
@@ -86,17 +89,18 @@ def complete_runs(runs: DataFrame, n_examples: int, n_runs: int) -> DataFrame:
 
 
 def dataset_files(spark: SparkSession, root: str, subset: str | None, split: str | None) -> list[str]:
-    """Parquet files of a dataset's subset folder (below data/, else directly) with `{split}-` in their names. Names only are listed."""
-    files = [f for f in files_below(spark, root) if f.endswith(".parquet")]
+    """Parquet files, or folders named as files, of a dataset's subset folder (below data/, else directly) with `{split}-` in their names. Names only
+    are listed."""
+    files = tables_below(spark, root)
     if subset:
         files = [f for f in files if f.startswith(f"data/{subset}/")] or [f for f in files if f.startswith(f"{subset}/")]
     return [f for f in files if split is None or f"{split}-" in f.rsplit("/", 1)[-1]]
 
 
 def best_file(spark: SparkSession, root: str, subset: str | None, split: str = "test") -> str:
-    """The first file below data/[subset/], those whose path names the split before all others."""
+    """The first file, or folder named as one, below data/[subset/], those whose path names the split before all others."""
     base = f"data/{subset}/" if subset else "data/"
-    files = [f for f in files_below(spark, root) if f.startswith(base) and f.endswith(".parquet")]
+    files = [f for f in tables_below(spark, root) if f.startswith(base)]
     if not files:
         raise ValueError(f"no Parquet files below {root}/{base}")
     return min(files, key=lambda f: (split not in f, f))
@@ -150,11 +154,25 @@ def merged_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.inline(items))
 
 
-def write_batches(df: DataFrame, root: str, name: str, annotator: str | None = None) -> list[str]:
-    """df by its `_batch` in the layout that `dataset` reads, one file a batch, in one job; the names of the batches, null for rows without one."""
+def write_batches(df: DataFrame, root: str, name: str, annotator: str | None = None, part_bytes: int = PART_BYTES) -> list[str]:
+    """df by its `_batch` in the layout that `dataset` reads, in one job; the names of the batches, null for rows without one.
+
+    A batch of up to part_bytes, measured, is one file; a larger one is dealt by its rows' digests to as many files as that makes.
+    """
     base = f"{root}/{name}" + (f"/annotations/{annotator}" if annotator else "")
-    write_run(df.repartition("_batch"), base, layout="merged")
-    return [r[0] for r in df.select("_batch").distinct().orderBy("_batch").collect()]
+    size = lambda f: F.coalesce(F.octet_length(F.col(f.name) if f.dataType.simpleString() in ("string", "binary") else F.to_json(F.struct(f.name))), F.lit(0))
+    wide = [f for f in df.schema if f.name != "_batch" and f.dataType.simpleString().startswith(("string", "binary", "array", "map", "struct"))]
+    row = sum([size(f) for f in wide], F.lit(8 * len(df.columns)))
+    parts = df.groupBy("_batch").agg(F.ceil(F.sum(row) / part_bytes).cast("int").alias("parts"), F.sum(row).alias("bytes")).orderBy("_batch").collect()  # one row for each batch
+    if max((r.parts for r in parts), default=0) <= 1:
+        write_run(df.repartition("_batch"), base, layout="merged")
+    else:
+        names = df.sparkSession.createDataFrame([(r[0], r.parts) for r in parts], T.StructType([T.StructField("_name", df.schema["_batch"].dataType), T.StructField("_parts", T.IntegerType())]))
+        hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+        dealt = df.join(names, F.col("_batch").eqNullSafe(F.col("_name"))).withColumn("_part", F.pmod(F.xxhash64(*hashed), F.col("_parts")))
+        tasks = 2 * -(-sum(r.bytes for r in parts) // part_bytes)
+        write_run(dealt.repartition(tasks, "_batch", "_part").select(*df.columns), base, layout="merged")
+    return [r[0] for r in parts]
 
 
 def finished(spark: SparkSession, root: str) -> list[str]:
