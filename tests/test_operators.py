@@ -433,3 +433,9 @@ def test_knn_clusters_of_apart_groups(spark):
     of = lambda a, b: {named.get(i) for i in range(a, b)}
     assert of(39, 41) == {None} and len(of(30, 39)) == 1 and not of(0, 30) & of(30, 39)
     assert None not in of(0, 30) and len(of(0, 30)) > 1
+
+
+def test_blocks_are_as_large_as_a_task_holds(spark):
+    """Rows are copied once for each block: 200,000 narrow rows make 13 blocks, not 49; wide rows and small tables have blocks as before."""
+    count = lambda n, dims, k: spark.range(n).select(F.array_repeat(F.lit(1.0), dims).alias("v")).agg(neighbours._blocks(None, k)).first()[0]
+    assert [count(200_000, 64, 500), count(200_000, 8, 5), count(9000, 1024, 5), count(4000, 64, 5), count(30_000, 64, 5)] == [13, 13, 3, 1, 6]
