@@ -439,3 +439,19 @@ def test_blocks_are_as_large_as_a_task_holds(spark):
     """Rows are copied once for each block: 200,000 narrow rows make 13 blocks, not 49; wide rows and small tables have blocks as before."""
     count = lambda n, dims, k: spark.range(n).select(F.array_repeat(F.lit(1.0), dims).alias("v")).agg(neighbours._blocks(None, k)).first()[0]
     assert [count(200_000, 64, 500), count(200_000, 8, 5), count(9000, 1024, 5), count(4000, 64, 5), count(30_000, 64, 5)] == [13, 13, 3, 1, 6]
+
+
+def test_trigrams_are_hashed_once(monkeypatch):
+    import hashlib
+
+    asked, digest = [], hashlib.blake2b
+    monkeypatch.setattr(hashlib, "blake2b", lambda *a, **k: asked.append(1) or digest(*a, **k))
+    texts = ["Abc abc ABC" * 50, "é", "abcd", "İx"]
+    got = models.hashed_embedder(texts, 64)
+    assert len(asked) < 40
+    for t, v in zip(texts, got, strict=True):
+        want = np.zeros(64)
+        for i in range(max(1, len(t) - 2)):
+            h = int.from_bytes(digest(t[i : i + 3].lower().encode(), digest_size=8).digest(), "little")
+            want[h % 64] += 1 if h >> 63 else -1
+        assert v == (want / max(np.linalg.norm(want), 1e-12)).tolist()

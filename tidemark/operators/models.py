@@ -13,7 +13,7 @@ import threading
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -251,14 +251,33 @@ def repeat_runs(df: DataFrame, runs: int) -> DataFrame:
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
 
 
+@lru_cache(1 << 16)
+def _trigram_place(trigram: str, dims: int) -> int:
+    """Where a trigram counts: its digest's remainder, and dims more if it counts as positive."""
+    h = int.from_bytes(hashlib.blake2b(trigram.lower().encode(), digest_size=8).digest(), "little")
+    return h % dims + dims * (h >> 63)
+
+
+@lru_cache(2)
+def _ascii_places(dims: int) -> np.ndarray:
+    """_trigram_place by the three 7-bit codes, negative where it isn't known yet: 8 MB."""
+    return np.full(1 << 21, -1, np.int32)
+
+
 def hashed_embedder(texts: list[str], dims: int = 128) -> list[list[float]]:
     """Stand-in: signed counts of hashed character trigrams, of unit length."""
     out = []
     for t in texts:
-        v = np.zeros(dims)
-        for i in range(max(1, len(t) - 2)):
-            h = int.from_bytes(hashlib.blake2b(t[i : i + 3].lower().encode(), digest_size=8).digest(), "little")
-            v[h % dims] += 1 if h >> 63 else -1
+        if t.isascii() and len(t) > 2:
+            known, b = _ascii_places(dims), np.frombuffer(t.encode(), np.uint8).astype(np.int32)
+            codes = b[:-2] << 14 | b[1:-1] << 7 | b[2:]
+            for code in np.unique(codes[known[codes] < 0]).tolist():
+                known[code] = _trigram_place(chr(code >> 14) + chr(code >> 7 & 127) + chr(code & 127), dims)
+            places = known[codes]
+        else:
+            places = [_trigram_place(t[i : i + 3], dims) for i in range(max(1, len(t) - 2))]
+        counts = np.bincount(places, minlength=2 * dims).astype(float)
+        v = counts[dims:] - counts[:dims]
         out.append((v / max(np.linalg.norm(v), 1e-12)).tolist())
     return out
 
