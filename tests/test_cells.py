@@ -1,6 +1,7 @@
 """The inverted file against exact search, and block joins by group."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import cells, neighbours
@@ -80,3 +81,45 @@ def test_pairs_above(spark, block_rows):
     v = planted(90, 6, groups=9)
     got = sorted((r.a, r.b) for r in neighbours.pairs_above(table(spark, v), 0.7, block_rows).collect())
     assert got == sorted((a, b) for a, b in brute(v, 90, 0.7) if a < b) and got
+
+
+@pytest.mark.parametrize("probes", [3, 40, 60])
+def test_search_sees_the_cells_it_visits(spark, probes):
+    v = planted(700, 7, groups=9)
+    rows = table(spark, v)
+    index = cells.fit(rows, 5, cells=60)
+    index.probes = min(probes, len(index.centres))
+    u = cells._unit(v)
+    at, near = cells._order(u, index.centres, 1)[:, 0], cells._order(u, index.centres, index.probes)
+    sims = np.round(u @ u.T, 12)
+    sims[~(near[:, None, :] == at[None, :, None]).any(axis=2)] = -np.inf
+    np.fill_diagonal(sims, -np.inf)
+    want = {(i, int(j), r + 1) for i in range(len(v)) for r, j in enumerate(np.lexsort((np.arange(len(v)), -sims[i]))[:5]) if np.isfinite(sims[i, j])}
+    for block_rows in (None, 64, 7):
+        assert {(r.src, r.dst, r["rank"]) for r in cells.search(index, 5, block_rows=block_rows).collect()} == want
+
+
+def test_queries_are_copied_for_parts_not_for_cells(spark, monkeypatch):
+    rows = table(spark, np.random.default_rng(8).normal(size=(900, 16)))  # no structure, so nearly all cells are visited
+    index = cells.fit(rows, 50, recall=1.0)
+    dealt, deal = [], cells._deal
+    monkeypatch.setattr(cells, "_deal", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    assert cells.search(index, 50, block_rows=300).count() == 900 * 50
+    assert index.probes > 10 and dealt[0].count() <= 900 * 3
+
+
+def test_a_task_keeps_so_many_finds(monkeypatch):
+    v = planted(300, 9)
+    u, ids, cell = cells._unit(v), np.arange(300), np.arange(300) % 20
+    table = pa.table({"side": np.repeat([0, 1], 300), "id": np.tile(ids, 2), "v": [*u.tolist()] * 2, "cells": [[*range(20)]] * 300 + [[c] for c in cell.tolist()]})
+    monkeypatch.setattr(neighbours, "BLOCK_FINDS", 5000)
+    got = cells._top(6, -2.0, table).to_pydict()
+    assert {*zip(got["src"], got["dst"], strict=True)} == brute(v, 6) and len(got["src"]) == 1800
+
+
+def test_queries_without_a_vector(spark):
+    v = planted(300, 9)
+    rows = table(spark, v)
+    index = cells.fit(rows, 6, recall=1.0)
+    asked = rows.where("id < 50").unionByName(spark.createDataFrame([(900, None), (901, [])], "id long, v array<double>"))
+    assert {r.src for r in cells.search(index, 6, queries=asked).collect()} == set(range(50))
