@@ -455,3 +455,14 @@ def test_trigrams_are_hashed_once(monkeypatch):
             h = int.from_bytes(digest(t[i : i + 3].lower().encode(), digest_size=8).digest(), "little")
             want[h % 64] += 1 if h >> 63 else -1
         assert v == (want / max(np.linalg.norm(want), 1e-12)).tolist()
+
+
+def test_rounds_of_components_broadcast_nothing(spark):
+    from tidemark.operators import components, neighbours
+    from tidemark.storage import cut
+
+    edges, _ = cut(spark.range(60).selectExpr("id as u", "id + 1 as v"), "edges")
+    nodes = spark.range(61)
+    plans = [components._large_star(edges), components._small_star(edges), neighbours.with_components(nodes, edges.selectExpr("u as a", "v as b"))]
+    assert all("Broadcast" not in x._jdf.queryExecution().executedPlan().toString() for x in plans)
+    assert plans[2].groupBy("cluster").count().collect() == [(0, 61)]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.vectors import auto_k, centroids, kept_neighbours
 from tidemark.operators import clustering, models, neighbours
+from tidemark.operators.components import connected_components
 from tidemark.operators.sampling import allocate
 from tidemark.storage import cut, shared_dir
 
@@ -23,8 +24,11 @@ def cluster_counts(vectors: DataFrame, ks: tuple[int, ...], drops: tuple[float,
     """(k, drop_frac, n): clusters of every combination; those that keep as many neighbours share one graph."""
     kept = {(k, f): kept_neighbours(k, f) for k, f in itertools.product(ks, drops)}
     near, _ = cut(neighbours.nearest(vectors, max(kept.values())), "near")
-    n = {m: neighbours.with_components(vectors, neighbours.symmetric(near.where(F.col("rank") <= m))).agg(F.countDistinct("cluster")).first()[0] for m in sorted(set(kept.values()))}
-    return vectors.sparkSession.createDataFrame([(k, f, n[m]) for (k, f), m in kept.items()], "k int, drop_frac double, n long")
+    rows, joined = vectors.agg(F.count_distinct("id")).first()[0], {}
+    for m in set(kept.values()):  # a component has one node that is not joined to a smaller one
+        found = connected_components(neighbours.symmetric(near.where(F.col("rank") <= m)), one_task=neighbours.ONE_TASK_EDGES)
+        joined[m] = found.where("node <> component").count()
+    return vectors.sparkSession.createDataFrame([(k, f, rows - joined[m]) for (k, f), m in kept.items()], "k int, drop_frac double, n long")
 
 
 def relabels(parts: DataFrame, sizes: tuple[int, ...], thresholds: tuple[float, ...]) -> DataFrame:
