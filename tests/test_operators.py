@@ -466,3 +466,14 @@ def test_rounds_of_components_broadcast_nothing(spark):
     plans = [components._large_star(edges), components._small_star(edges), neighbours.with_components(nodes, edges.selectExpr("u as a", "v as b"))]
     assert all("Broadcast" not in x._jdf.queryExecution().executedPlan().toString() for x in plans)
     assert plans[2].groupBy("cluster").count().collect() == [(0, 61)]
+
+
+def test_annotations_hold_one_request():
+    import pyarrow as pa
+
+    asked = []
+    found = models._annotate(lambda texts: asked.append(len(texts)) or [t.upper() for t in texts], "t", 256, "-", pa.string(), "a", iter([pa.record_batch({"t": [*["x"] * 300, None, " ", *["y"] * 298]})]))
+    first = next(found)
+    assert (asked, first.num_rows) == ([256], 256)
+    rest = [first, *found]
+    assert [x for b in rest for x in b.column("a").to_pylist()] == ["X"] * 300 + ["-"] * 2 + ["Y"] * 298 and asked == [256, 254, 88]

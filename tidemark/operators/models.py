@@ -28,14 +28,13 @@ from tidemark.storage import cut, remove
 
 def _annotate(model: Callable, column: str, batch_rows: int, failed, kind: pa.DataType, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = batch.column(column).to_pylist()
-        out: list = []
-        for i in range(0, len(values), batch_rows):
-            part = values[i : i + batch_rows]
-            asked = [v for v in part if v is not None and (not isinstance(v, str) or v.strip())]
+        for i in range(0, len(batch), batch_rows):  # of a batch, one request's values and answers are held as Python's objects
+            part = batch.slice(i, batch_rows)
+            values = part.column(column).to_pylist()
+            asked = [v for v in values if v is not None and (not isinstance(v, str) or v.strip())]
             answers = iter(model(asked) if asked else [])
-            out += [next(answers) if v is not None and (not isinstance(v, str) or v.strip()) else failed for v in part]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, name])
+            out = [next(answers) if v is not None and (not isinstance(v, str) or v.strip()) else failed for v in values]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, kind)], [*part.schema.names, name])
 
 
 def annotate(df: DataFrame, column: str, model: Callable[[list], list], name: str, kind: T.DataType, batch: int = 256, failed=None) -> DataFrame:
@@ -349,7 +348,7 @@ def extract_claims(clusters: DataFrame, cluster: str, texts: str, model: Callabl
 
     prompts = clusters.withColumn("prompt", fill_prompt(template, "posts", numbered(F.slice(texts, 1, most_texts))))
     answers = annotate(prompts, "prompt", model, "answer", T.StringType())
-    parsed = annotate(answers, "answer", _parse_all, "claims", T.ArrayType(CLAIM))
+    parsed = annotate(answers.drop("prompt"), "answer", _parse_all, "claims", T.ArrayType(CLAIM))
     rows = F.transform(F.slice("claims", 1, most_claims), lambda c, i: F.struct(F.size(gather(F.col(texts), c["post_indices"])).alias("post_count"), i.alias("at"), c.alias("c")))
     each = parsed.select(cluster, texts, (F.lit("") if date is None else date).alias("date"), F.posexplode(F.array_sort(rows)).alias("claim_no", "r"))
     return each.select(cluster, "claim_no", "r.c.claim", "r.post_count", gather(F.col(texts), F.col("r.c.post_indices")).alias("original_texts"), "date", "r.c.public_entities", "r.c.is_time_sensitive", "r.c.is_relevant", "r.c.is_specific")
