@@ -1,11 +1,14 @@
 """Each operator against brute force, round trips or the public libraries, with nulls, empty and repeated rows and clashing columns."""
 
+import gc
 import hashlib
 import os
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, lang_id, media, mixing, near_dedup, ngram_join, suffix_dedup, token_output, url_filters
+from tidemark.llm import bpe as bpe_module, common, lang_id, media, mixing, near_dedup, ngram_join, suffix_dedup, token_output, url_filters
 from tidemark.llm.bpe import Bpe, bpe_decode, bpe_encode, read_ranks
 from tidemark.operators.components import connected_components
 from tidemark.llm.lm_score import BackoffAutomaton, lm_scores
@@ -625,3 +628,34 @@ def test_pipeline_edges(spark):
             assert found.count() > 30 or table is not docs, name
         last = corpus_pipeline.STAGES[-1][1](spark, found, "")
         assert last.count() == found.count()
+
+
+def test_a_worker_keeps_tables_of_one_operator():
+    """A Python worker outlives the step that used it: the tables of one operator don't stay beside the memory of the next."""
+    before = {id(o) for o in gc.get_objects() if isinstance(o, Bpe)}
+    with open(RANKS, "rb") as f:
+        shipped = SimpleNamespace(value=f.read().splitlines())
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": ["some words, some more"]})
+    run = lambda: list(bpe_module._both((RANKS, public_tokenizers.PATTERN), shipped, iter([batch])))[0].column("ids").to_pylist()
+    found = run()
+    made = [weakref.ref(o) for o in gc.get_objects() if isinstance(o, Bpe) and id(o) not in before]
+    assert found and made
+    table = pa.table({"a": [1]})
+    assert common.on_group(lambda t: t)(table) is table
+    gc.collect()
+    assert all(r() is None for r in made)
+    assert run() == found
+
+
+def test_mix_starts_no_workers_of_another_kind(spark):
+    docs = spark.range(20).selectExpr("id as doc_id", "'a b c' as text", "concat('s', id % 3) as source")
+    mixed = mixing.mix(docs)
+    assert mixed.count() == 20
+    assert "LogicalRDD" not in mixed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_local_table(spark):
+    fields = "a string, b long, c double"
+    for rows in ([], [("x", 1, 0.5), (None, None, None)]):
+        made = common.local_table(spark, rows, fields)
+        assert made.schema.simpleString() == "struct<a:string,b:bigint,c:double>" and [tuple(r) for r in made.collect()] == rows

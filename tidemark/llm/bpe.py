@@ -12,7 +12,6 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import ahocorasick
 import numpy as np
@@ -21,7 +20,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import select_text, slices
+from tidemark.llm.common import kept, on_batches, select_text, slices
 
 #: Bytes of each generation of a Python worker's caches, as they are counted, and most remembered pairs of tokens.
 CACHE_BYTES, PAIRS = 24 << 20, 200_000
@@ -213,13 +212,11 @@ def id_lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
 
-_BUILT: dict = {}
-
-
 def _encode(key: tuple[str, str], shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if _BUILT.get("key") != key:
-        _BUILT.update(key=key, bpe=Bpe(read_ranks(shipped.value), key[1]), cache=Recent())
-    bpe, cache = _BUILT["bpe"], _BUILT["cache"]
+    built = kept("bpe")
+    if built.get("key") != key:
+        built.update(key=key, bpe=Bpe(read_ranks(shipped.value), key[1]), cache=Recent())
+    bpe, cache = built["bpe"], built["cache"]
     for batch in slices(batches, 1):
         out = []
         for text in batch.column(1).to_pylist():
@@ -229,13 +226,14 @@ def _encode(key: tuple[str, str], shipped: Broadcast, batches: Iterator[pa.Recor
 
 
 def _decode(ranks_path: str, shipped: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if _BUILT.get("names") != ranks_path:
+    built = kept("bpe")
+    if built.get("names") != ranks_path:
         ranks = read_ranks(shipped.value)
         tokens, names = np.empty(max(ranks.values()) + 1, object), np.empty(max(ranks.values()) + 1, object)
         for t, r in ranks.items():
             tokens[r], names[r] = t, str(r)
-        _BUILT.update(names=ranks_path, tables=(tokens, names))
-    tokens, names = _BUILT["tables"]
+        built.update(names=ranks_path, tables=(tokens, names))
+    tokens, names = built["tables"]
     for batch in slices(batches, 1, 1 << 20):
         n, data, digest = [], [], []
         for row in batch.column(1):
@@ -258,7 +256,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         lines = f.read().splitlines()
     shipped = docs.sparkSession.sparkContext.broadcast(lines)
 
-    run = partial(_encode, (ranks_path, pattern), shipped)
+    run = on_batches("bpe", _encode, (ranks_path, pattern), shipped)
     return select_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -271,7 +269,7 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_
         lines = f.read().splitlines()
     shipped = encoded.sparkSession.sparkContext.broadcast(lines)
 
-    run = partial(_decode, ranks_path, shipped)
+    run = on_batches("bpe", _decode, ranks_path, shipped)
     return encoded.select(id_col, ids_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string, ids array<int>")
 
 
@@ -285,5 +283,5 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         lines = f.read().splitlines()
     shipped = docs.sparkSession.sparkContext.broadcast(lines)
 
-    run = partial(_both, (ranks_path, pattern), shipped)
+    run = on_batches("bpe", _both, (ranks_path, pattern), shipped)
     return select_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, decoded binary, ids_sha256 string, ids array<int>")

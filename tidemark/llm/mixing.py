@@ -13,7 +13,7 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, drop, materialize
+from tidemark.llm.common import WORD, drop, local_table, materialize
 
 #: Slices of each pattern's hash range in the search for the last document of a partial pass.
 SLICES = 4096
@@ -130,7 +130,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
         passes, rest = divmod(words[unpack(p)], n) if n else (0, 0)
         plan.append((p, of[unpack(p)[0]], targets[unpack(p)[0]], passes, rest))
     fields = f"{pattern} string, source_size long, target double, passes long, rest long"
-    planned = spark.createDataFrame(plan, fields)
+    planned = local_table(spark, plan, fields)
     # The slice in which each pattern's partial pass ends, then the id in it.
     before = F.sum("n").over(Window.partitionBy(pattern).orderBy("slice")) - F.col("n")
     ends = sums.withColumn("before", before).join(planned.where("rest > 0"), pattern).where("before < rest and before + n >= rest").select(pattern, "slice", (F.col("rest") - F.col("before")).alias("want"))
@@ -142,7 +142,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
     found = {r[0]: r[1:] for r in ends.select(pattern, "slice").join(last, pattern).select(pattern, "slice", "k", "i", "left", "n").collect()}
     drop(spark, sized_at)
     cuts = [(p, size_, target, passes, *found.get(p, (-1, None, None, 0, 1))) for p, size_, target, passes, _ in plan]
-    limits = spark.createDataFrame(cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string, {tag}_left long, {tag}_n long")
+    limits = local_table(spark, cuts, f"{pattern} string, source_size long, target double, {tag}_passes long, {tag}_slice long, {tag}_k long, {tag}_i string, {tag}_left long, {tag}_n long")
     if len(cuts) <= BROADCAST_ROWS:  # else the join decides by what it finds
         limits = F.broadcast(limits)
     here, there = F.struct(F.col(key).alias("a"), F.col(ident).alias("b")), F.struct(F.col(f"{tag}_k").alias("a"), F.col(f"{tag}_i").alias("b"))

@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop, materialize, mix64, on_group, pieces, select_text, utf8, words
+from tidemark.llm.common import chunks, drop, materialize, mix64, on_batches, on_group, pieces, select_text, utf8, words
 from tidemark.operators.components import connected_components
 
 SHORT_LIST = 6
@@ -302,11 +301,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     two independent digests are, and links are confirmed by the words themselves.
     """
     spark, docs = docs.sparkSession, select_text(docs, id_col, text_col)
-    counts = docs.mapInArrow(partial(_frequent, width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = docs.mapInArrow(on_batches("", _frequent, width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     hot = counts.where(F.col("n") >= HOT_FROM).orderBy(F.desc("n"), "token").limit(HOT).select("token").toPandas()["token"].to_numpy(np.int64)
     shipped = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
     buckets = pieces(docs, 4 << 20)
-    packed = docs.mapInArrow(partial(_post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary, check binary")
+    packed = docs.mapInArrow(on_batches("", _post, width, percent, buckets, shipped), "bucket int, a binary, n binary, digest binary, check binary")
     found, found_at = materialize(packed.groupBy("bucket").applyInArrow(on_group(_meet, percent), MET), "meetings", "kind")
     rows = found.where(F.col("kind") == ROW).select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("token").alias("digest"), F.col("b").alias("check"))
     long = found.where(F.col("kind") == LONG).select("token", F.col("a").alias("digest"))

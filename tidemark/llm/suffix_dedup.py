@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import drop, materialize, mix64, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, prefix_sums, span_hashes, unpack_ints, unpack_rows, unpack_sorted, utf8
+from tidemark.llm.common import drop, materialize, mix64, on_batches, on_cogroup, on_group, pack_ints, pack_rows, pack_sorted, parts_of, prefix_sums, span_hashes, unpack_ints, unpack_rows, unpack_sorted, utf8
 
 #: Bytes of text in a shard, bytes hashed at once, bytes of candidates in one suffix array, and bytes of text for each hash range.
 SHARD, TEXT_STEP, ARRAY_STEP, RANGE = 4 << 20, 1 << 20, 1 << 20, 12 << 20
@@ -425,7 +424,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards, _ = pack_rows(rows, "text", shard_bytes)
     total = shards.agg(F.sum("size")).first()[0] or 0
     buckets, bits = parts_of(total, RANGE), min(63, max(8, total.bit_length() + spare_bits - 3))
-    answers = shards.mapInArrow(partial(_ask, width, part_bytes, buckets, bits), ASK).groupBy("bucket").applyInArrow(on_group(_answer), "uid long, bucket int, bits binary")
+    answers = shards.mapInArrow(on_batches("", _ask, width, part_bytes, buckets, bits), ASK).groupBy("bucket").applyInArrow(on_group(_answer), "uid long, bucket int, bits binary")
     answers, answers_at = materialize(answers, "anchors", packed=True)
     runs = shards.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(on_cogroup(_segment, width, part_bytes, array_bytes, buckets, bits), FIELDS)
     marks, _ = materialize(runs.groupBy("bucket").applyInArrow(on_group(_merge, width), FIELDS), "marks", packed=True)
