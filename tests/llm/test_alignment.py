@@ -106,6 +106,78 @@ def test_op8_chunks_give_the_ids_of_whole_texts():
     assert token_output.encode_texts(pa.array([], pa.string()), tokenizer, Recent())[1].tolist() == [0]
 
 
+class Counted:
+    """A tokenizer that counts the strings it is asked for, by its own calls or its model's."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.model, self.asked = tokenizer, self, 0
+
+    def __getattr__(self, name: str):
+        return getattr(self.tokenizer, name)
+
+    def tokenize(self, word: str) -> list:
+        self.asked += 1
+        return self.tokenizer.model.tokenize(word)
+
+    def encode_batch_fast(self, texts: list[str], **settings) -> list:
+        self.asked += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **settings)
+
+
+def test_op8_asks_for_many_words_at_once_and_for_each_word_once():
+    import pyarrow as pa
+
+    from tidemark.llm import token_output
+    from tidemark.llm.bpe import Recent
+
+    words = [f"{a}{b}{c}" for a in "abcdefghijklmnop" for b in "abcdefghijklmno" for c in "éabcdefghij"]
+    texts = [f"x {w}. Then {w}, and {w}!" for w in words]
+    tokenizer = Counted(Tokenizer.from_file(A))
+    want = [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert token_output.encode_texts(pa.array(texts), tokenizer, Recent())[0].tolist() == want
+    assert tokenizer.asked < len(words) // 32, "a call's own cost is more than a word's"
+    known = token_output.Chunks()
+    token_output.encode_texts(pa.array(texts), tokenizer, known)
+    tokenizer.asked = 0
+    assert token_output.encode_texts(pa.array([t + t for t in texts]), tokenizer, known)[0].tolist() == [i for t in texts for i in tokenizer.encode(t + t, add_special_tokens=False).ids]
+    assert tokenizer.asked <= 2  # the words that begin a text behind a mark: "!x"
+
+
+def test_op8_chunks_of_one_hash(monkeypatch):
+    """Hashes only choose: where all chunks share one, or long ones begin alike, each still gets its own ids."""
+    import pyarrow as pa
+
+    from tidemark.llm import token_output
+
+    tokenizer, known = Tokenizer.from_file(A), token_output.Chunks(1 << 14)
+    monkeypatch.setattr(token_output, "word_hashes", lambda data, start, end, seed: np.full(len(start), 5, np.uint64))
+    for k in range(20):
+        texts = [f"one two w{i * k} {'x' * 400}{i}" for i in range(50)] + [""]
+        ids, at = token_output.encode_texts(pa.array(texts), tokenizer, known)
+        assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_op8_chunks_between_calls_and_bytes_that_are_not_utf8():
+    """Marks behind letters and other characters, long chunks, bytes that are not UTF-8, and chunks that are dropped and asked for again."""
+    import pyarrow as pa
+
+    from tidemark.llm import token_output
+
+    tokenizer, rng = Tokenizer.from_file(A), np.random.default_rng(3)
+    text = [" ", "  ", "\n", "\t", "a", "Word", "don't", "'s", "'", "é", "÷", "×", "ũ", "e\u0301", "日本", "Ж", ".", ",", "...", "!", "|", "<", "1", "<|endoftext|>", "<|endof", "text|>", "\u00a0", "x" * 3000]
+    parts = [x.encode() for x in text] + [b"\xff", b"\xc3", b"\xa9", b"\xe2\x80", b"\0"]
+    for most in (1 << 12, 1 << 15, 32 << 20):
+        known = token_output.Chunks(most)
+        for valid in (True, False, True, False):
+            texts = [b"".join(parts[i] for i in rng.integers(0, len(text) if valid else len(parts), rng.integers(0, 12))) for _ in range(400)]
+            ids, at = token_output.encode_texts(pa.array(texts, pa.binary()), tokenizer, known, np.array([7], np.int32).tobytes())
+            for i, t in enumerate(texts):
+                assert ids[at[i] : at[i + 1]].tolist() == [*tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, 7], repr(t)
+            assert known.keys[0].as_py() == b"" and len(known.keys) == len(known.ids) == len(known.used) == len(set(known.keys.to_pylist()))
+            assert (known.find(known.keys)[0] == np.arange(len(known.keys))).all()
+            assert sum(len(k) + len(v) + token_output.ROW_BYTES for k, v in zip(known.keys.to_pylist()[1:], known.ids.to_pylist()[1:], strict=True)) <= most
+
+
 def test_op3_refuses_widths_that_its_records_cannot_hold(spark):
     from tidemark.llm import suffix_dedup
 
