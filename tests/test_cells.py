@@ -51,6 +51,19 @@ def test_dbscan_by_index_is_exact_where_all_rows_are_audited(spark):
     assert {(r.id, r.cluster, r.core) for r in neighbours.dbscan(rows, 0.8, 4, index=index).collect()} == plain and plain
 
 
+def test_dbscan_by_index_has_no_width(spark):
+    """Two dense groups whose rows have more neighbours in their own than any search width, and all neighbours in the other."""
+    rng, turn = np.random.default_rng(4), np.pi / 9
+    v = np.repeat([[1.0, 0, 0], [np.cos(turn), np.sin(turn), 0], [0, 0, 1]], [260, 260, 3], axis=0) + 0.01 * rng.normal(size=(523, 3))
+    rows = table(spark, v)
+    index = cells.fit(rows, 4, 0.9, recall=1.0)
+    got = {(r.id, r.cluster, r.core) for r in neighbours.dbscan(rows, 0.9, 4, index=index).collect()}
+    assert got == {(i, 0, True) for i in range(520)}
+    index.probes = 1
+    found = {(r.src, r.dst) for r in cells.search(index, 300, 0.9, every=True, block_rows=90).collect()}
+    assert found == brute(v, 300, 0.9)
+
+
 def test_equal_vectors_nulls_and_nothing(spark):
     rows = table(spark, np.ones((300, 4))).unionByName(spark.createDataFrame([(900, None), (901, [])], "id long, v array<double>"))
     index = cells.fit(rows, 3, recall=1.0)
